@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analysis this library rebuilds is a batch job over monthly files; it has no
+stream source, watermark, time window or state. Nothing here is claimed as a
+capability (see the README).
+"""
