@@ -70,6 +70,7 @@ def rollup_fact(
     strategy: str = "expanded",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     units_rows: int | None = None,
+    calendar_days: int | None = None,
 ) -> DataFrame:
     """Roll observations ``(date, hour, <unit_col>, measures...)`` up to the fact grain.
 
@@ -90,7 +91,10 @@ def rollup_fact(
 
     area_units = units.select(unit_col, *AREA_COLUMNS)
     located = join_dimension(obs, area_units, unit_col, "inner", max_broadcast_rows, known_rows=units_rows)
-    labelled = label_periods(located.drop(unit_col), calendar, "date", strategy, max_broadcast_rows=max_broadcast_rows)
+    labelled = label_periods(
+        located.drop(unit_col), calendar, "date", strategy,
+        max_broadcast_rows=max_broadcast_rows, calendar_days=calendar_days,
+    )
 
     keys = ["date", "hour", *AREA_COLUMNS, "phase", "exam_type", "semester"] + (["exam_year"] if by_year else [])
     rolled = labelled.groupBy(*keys).agg(*[m.aggregate() for m in measures])

@@ -19,9 +19,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+# Verdicts of earlier probes, keyed by (plan, input files, cap). A dataset that
+# gains files gets a new key and is probed again.
+_VERDICTS: dict[tuple, bool] = {}
+
+
 def bounded_rows(df: DataFrame, cap: int) -> bool:
     """True when ``df`` has at most ``cap`` rows (reads no more than cap + 1 rows)."""
-    return df.limit(cap + 1).count() <= cap
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
+    except Exception:  # noqa: BLE001 - plans without a stable identity are probed every time
+        key = None
+    if key is not None and key in _VERDICTS:
+        return _VERDICTS[key]
+    verdict = df.limit(cap + 1).count() <= cap
+    if key is not None:
+        _VERDICTS[key] = verdict
+    return verdict
 
 
 def join_dimension(

@@ -46,17 +46,19 @@ def label_periods(
     strategy: str = "expanded",
     default: str = NORMAL,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    calendar_days: int | None = None,
 ) -> DataFrame:
     """Left-join the calendar on ``date_col`` and default unmatched labels.
 
     Adds ``exam_year``, ``semester`` (int, NULL when unmatched), ``exam_type`` and
-    ``phase`` (``default`` when unmatched).
+    ``phase`` (``default`` when unmatched). ``calendar_days`` is the known size of
+    the day-expanded calendar (for literal calendars); otherwise it is probed.
     """
     if strategy not in ("expanded", "range"):
         raise ValueError(f"unknown strategy {strategy!r}; use 'expanded' or 'range'")
     if strategy == "range":
         periods = calendar.select(*LABEL_COLUMNS, F.col("start_date").alias("_start"), F.col("end_date").alias("_end"))
-        if not bounded_rows(periods, max_broadcast_rows):
+        if calendar_days is None and not bounded_rows(periods, max_broadcast_rows):
             raise ValueError("calendar too large for the range form; use strategy='expanded'")
         d = F.col(date_col)
         joined = df.join(F.broadcast(periods), (d >= F.col("_start")) & (d <= F.col("_end")), "left").drop(
@@ -64,7 +66,8 @@ def label_periods(
         )
     else:
         days = expand_calendar(calendar, date_col)
-        days = F.broadcast(days) if bounded_rows(days, max_broadcast_rows) else days
+        small = calendar_days <= max_broadcast_rows if calendar_days is not None else bounded_rows(days, max_broadcast_rows)
+        days = F.broadcast(days) if small else days
         joined = df.join(days, date_col, "left")
     return (
         joined.withColumn("phase", F.coalesce(F.col("phase"), F.lit(default)))
@@ -77,9 +80,8 @@ def overlapping_periods(calendar: DataFrame) -> DataFrame:
     """Calendar validator (Q3): for every period, the number of its days that some
     other period also covers. Distributed: per-day counts over the expanded calendar."""
     days = expand_calendar(calendar, "day")
-    keyed = days.withColumn("_period", F.struct(*LABEL_COLUMNS))
-    per_day = keyed.groupBy("day").agg(F.count(F.lit(1)).alias("_periods_on_day"))
-    covered = keyed.join(per_day, "day")
+    per_day = days.groupBy("day").agg(F.count(F.lit(1)).alias("_periods_on_day"))
+    covered = days.join(per_day, "day")
     per_period = covered.groupBy(*LABEL_COLUMNS).agg(
         F.count(F.lit(1)).alias("period_days"),
         F.sum(F.when(F.col("_periods_on_day") > 1, 1).otherwise(0)).cast("long").alias("overlap_days"),

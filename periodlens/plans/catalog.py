@@ -40,22 +40,32 @@ def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def event_population_fact(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    units = td.unit_areas(spark, sf_dir)
+def event_population_fact(spark: SparkSession, sf_dir: str, units: DataFrame | None = None, **options) -> DataFrame:
+    units = units if units is not None else td.unit_areas(spark, sf_dir)
+    options.setdefault("calendar_days", td.EVENT_CALENDAR_DAYS)
     return population_fact(
         td.event_observations(spark, sf_dir), units, td.event_calendar(spark), scale=td.VALUE_SCALE, **options
     )
 
 
-def event_ridership_fact(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    units = td.unit_areas(spark, sf_dir)
+def event_ridership_fact(spark: SparkSession, sf_dir: str, units: DataFrame | None = None, **options) -> DataFrame:
+    units = units if units is not None else td.unit_areas(spark, sf_dir)
+    options.setdefault("calendar_days", td.EVENT_CALENDAR_DAYS)
     return ridership_fact(td.exit_observations(spark, sf_dir), units, td.event_calendar(spark), **options)
 
 
+def event_facts(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Both facts over one shared unit map."""
+    units = td.unit_areas(spark, sf_dir)
+    return (
+        event_population_fact(spark, sf_dir, units, **options),
+        event_ridership_fact(spark, sf_dir, units, **options),
+    )
+
+
 def _report_query(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pop = event_population_fact(spark, sf_dir)
-        rid = event_ridership_fact(spark, sf_dir)
+        pop, rid = event_facts(spark, sf_dir)
         return rounded(REPORTS[name].build(pop, rid))
 
     run.__name__ = f"report_{name}"

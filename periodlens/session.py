@@ -25,10 +25,13 @@ _CONF_CHECKPOINT = "spark.checkpoint.dir"
 
 REQUIRED_CONF = {
     "spark.sql.legacy.javaCharsets": "true",
+    # literal dimension tables are shipped through Arrow as LocalRelations
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

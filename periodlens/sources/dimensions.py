@@ -95,20 +95,28 @@ PERIOD_SCHEMA = T.StructType(
 )
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A literal table as a ``LocalRelation`` (shipped in the plan, exact size
+    statistics, no RDD), built through Arrow from the driver-side rows."""
+    import pandas as pd
+
+    pdf = pd.DataFrame.from_records(rows, columns=schema.names)
+    return spark.createDataFrame(pdf, schema)
+
+
 def area_mapping_raw(spark: SparkSession) -> DataFrame:
     """The shipped area mapping as all-string rows."""
-    return spark.createDataFrame(AREA_MAPPING_ROWS, STRING_SCHEMA(AREA_MAPPING_COLUMNS))
+    return local_table(spark, AREA_MAPPING_ROWS, STRING_SCHEMA(AREA_MAPPING_COLUMNS))
 
 
 def exam_periods_raw(spark: SparkSession) -> DataFrame:
     """The shipped exam calendar as all-string rows."""
-    return spark.createDataFrame(EXAM_PERIOD_ROWS, STRING_SCHEMA(EXAM_PERIOD_COLUMNS))
+    return local_table(spark, EXAM_PERIOD_ROWS, STRING_SCHEMA(EXAM_PERIOD_COLUMNS))
 
 
 def station_names(spark: SparkSession) -> DataFrame:
     """Native station name -> station id."""
-    schema = STRING_SCHEMA(["raw_station_name", "station_name"])
-    return spark.createDataFrame(STATION_NAME_ROWS, schema)
+    return local_table(spark, STATION_NAME_ROWS, STRING_SCHEMA(["raw_station_name", "station_name"]))
 
 
 def write_reference_csvs(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -157,4 +165,9 @@ def typed_periods(periods: DataFrame) -> DataFrame:
 
 def calendar_from_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """A typed calendar from (exam_year, semester, exam_type, phase, start, end) tuples."""
-    return spark.createDataFrame(rows, PERIOD_SCHEMA)
+    return local_table(spark, rows, PERIOD_SCHEMA)
+
+
+def calendar_day_count(rows: list[tuple]) -> int:
+    """Rows of the day-expanded calendar of literal period rows (its exact size)."""
+    return sum(max((end - start).days + 1, 0) for *_, start, end in rows if start is not None and end is not None)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_row_sum
 from ..operators.joins import join_dimension
-from .dimensions import calendar_from_rows
+from .dimensions import calendar_day_count, calendar_from_rows, local_table
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -61,8 +61,16 @@ ORDER_CALENDAR = [
 VALUE_SCALE = 2
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The DataFrame (a lazy plan; file listing and footer read
+    done once) is reused by every query of the same session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _READS[key]
 
 
 def _dates(rows):
@@ -77,10 +85,17 @@ def order_calendar(spark: SparkSession) -> DataFrame:
     return calendar_from_rows(spark, _dates(ORDER_CALENDAR))
 
 
+EVENT_CALENDAR_DAYS = calendar_day_count(_dates(EVENT_CALENDAR))
+ORDER_CALENDAR_DAYS = calendar_day_count(_dates(ORDER_CALENDAR))
+
+
 def area_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region -> (nationkey, area_id, area_name, area_type); 25 rows."""
-    types = spark.createDataFrame(REGION_AREA_TYPES, "r_name string, area_type string")
-    region = table(spark, sf_dir, "region").join(F.broadcast(types), "r_name", "left")
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("r_name", T.StringType()), T.StructField("area_type", T.StringType())])
+    types = local_table(spark, REGION_AREA_TYPES, schema)
+    region = join_dimension(table(spark, sf_dir, "region"), types, "r_name", "left", known_rows=len(REGION_AREA_TYPES))
     nation = table(spark, sf_dir, "nation")
     region = region.select(F.col("r_regionkey").alias("n_regionkey"), "area_type")
     return join_dimension(nation, region, "n_regionkey", "inner").select(
