@@ -71,6 +71,7 @@ def rollup_fact(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     units_rows: int | None = None,
     calendar_days: int | None = None,
+    gates=None,
 ) -> DataFrame:
     """Roll observations ``(date, hour, <unit_col>, measures...)`` up to the fact grain.
 
@@ -79,7 +80,9 @@ def rollup_fact(
       a unit under two areas counts in both);
     * ``late_night='previous_day'`` files hours 0-2 under the evening before;
     * ``by_year`` keeps ``exam_year`` as a key, so periods of different years with
-      the same semester and exam type are not pooled.
+      the same semester and exam type are not pooled;
+    * ``gates`` (a :class:`periodlens.operators.quality.Gates`) counts the rows
+      left after the night filter and after the area join, in the same job.
     """
     if late_night not in ("same_day", "previous_day"):
         raise ValueError("late_night must be 'same_day' or 'previous_day'")
@@ -88,9 +91,13 @@ def rollup_fact(
     ).filter(F.col("date").isNotNull() & F.col("hour").isNotNull() & in_night_window("hour"))
     if late_night == "previous_day":
         obs = obs.withColumn("date", previous_day_for_late_night(F.col("date"), F.col("hour")))
+    if gates is not None:
+        obs = gates.watch(obs, "time band filtering")
 
     area_units = units.select(unit_col, *AREA_COLUMNS)
     located = join_dimension(obs, area_units, unit_col, "inner", max_broadcast_rows, known_rows=units_rows)
+    if gates is not None:
+        located = gates.watch(located, "area mapping join")
     labelled = label_periods(
         located.drop(unit_col), calendar, "date", strategy,
         max_broadcast_rows=max_broadcast_rows, calendar_days=calendar_days,

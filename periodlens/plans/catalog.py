@@ -79,6 +79,19 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
+def all_queries() -> dict[str, QueryFn]:
+    """Reports and fact builds plus the operator-level entries."""
+    from . import catalog_ops
+
+    return {**QUERIES, **catalog_ops.QUERIES}
+
+
+def all_oracle_sql() -> dict[str, str]:
+    from . import catalog_ops
+
+    return {**ORACLE_SQL, **catalog_ops.ORACLE_SQL}
+
+
 # ---------------------------------------------------------------------------
 # Oracle side (DuckDB SQL, written independently of the Spark code)
 # ---------------------------------------------------------------------------
@@ -111,25 +124,30 @@ _SQL_DATE_PARTS = """
   CASE WHEN o.h >= 18 AND o.h < 21 THEN 'evening' WHEN o.h >= 21 AND o.h < 24 THEN 'night'
        WHEN o.h >= 0 AND o.h <= 2 THEN 'late_night' ELSE 'other' END AS time_band"""
 
-_SQL_POP = f"""
-pobs AS (
-  SELECT CAST(ts AS DATE) AS d, CAST(hour(ts) AS INTEGER) AS h, user_id AS unit_code, value AS tot,
+def sql_population(date_expr: str = "CAST(ts AS DATE)", name: str = "pop") -> str:
+    """Population fact CTEs over ``events`` (``date_expr`` may shift late-night hours)."""
+    return f"""
+{name}_obs AS (
+  SELECT {date_expr} AS d, CAST(hour(ts) AS INTEGER) AS h, user_id AS unit_code, value AS tot,
          CASE WHEN event_type IN ('view', 'click') THEN value ELSE 0 END AS yng
   FROM events),
-pop_raw AS (
+{name}_raw AS (
   SELECT o.d AS date, {_SQL_DATE_PARTS},
     u.area_id, u.area_name, u.area_type,
     COALESCE(c.phase, 'normal') AS phase, COALESCE(c.exam_type, 'normal') AS exam_type, c.semester,
     CAST(SUM(CAST(ROUND(o.tot * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_population,
     CAST(SUM(CAST(ROUND(o.yng * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS young_20s_population
-  FROM pobs o
+  FROM {name}_obs o
   JOIN units u ON o.unit_code = u.unit_code
   LEFT JOIN cal c ON o.d >= c.start_date AND o.d <= c.end_date
   WHERE (o.h >= 18 AND o.h <= 23) OR (o.h >= 0 AND o.h <= 2)
   GROUP BY ALL),
-pop AS (
+{name} AS (
   SELECT *, CASE WHEN total_population > 0 THEN young_20s_population / total_population END AS young_20s_ratio
-  FROM pop_raw)"""
+  FROM {name}_raw)"""
+
+
+_SQL_POP = sql_population()
 
 _SQL_RID = f"""
 robs AS (
@@ -147,6 +165,7 @@ rid AS (
   GROUP BY ALL)"""
 
 _FACTS = f"WITH {_SQL_CALENDAR},{_SQL_UNITS},{_SQL_POP},{_SQL_RID}"
+SQL_CALENDAR, SQL_UNITS, SQL_DATE_PARTS, SQL_FACTS = _SQL_CALENDAR, _SQL_UNITS, _SQL_DATE_PARTS, _FACTS
 
 
 def _r(col: str, alias: str | None = None) -> str:

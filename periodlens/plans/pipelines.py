@@ -35,9 +35,9 @@ def load_dimensions(spark: SparkSession, mapping_path: str, periods_path: str) -
 def population_fact_from_csv(
     spark: SparkSession, people_path: str, mapping_path: str, periods_path: str, encoding: str = "auto", **options
 ) -> DataFrame:
-    raw = read_csv_layouts(spark, people_path, encoding=encoding)
+    obs = read_csv_layouts(spark, people_path, encoding=encoding, per_layout=people_observations)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
-    return population_fact(people_observations(raw), units_to_areas(mapping), calendar, **options)
+    return population_fact(obs, units_to_areas(mapping), calendar, **options)
 
 
 def station_units(spark: SparkSession, mapping: DataFrame) -> DataFrame:
@@ -56,13 +56,12 @@ def ridership_fact_from_csv(
     gates: Gates | None = None,
     **options,
 ) -> DataFrame:
-    raw = read_csv_layouts(spark, subway_path, encoding=encoding)
+    obs = read_csv_layouts(spark, subway_path, encoding=encoding, per_layout=subway_observations)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
-    obs = subway_observations(raw)
     if gates is not None:
         obs = gates.watch(obs, "date and passenger parsing")
     units = station_units(spark, mapping)
-    return ridership_fact(obs, units, calendar, unit_col="raw_station_name", **options)
+    return ridership_fact(obs, units, calendar, unit_col="raw_station_name", gates=gates, **options)
 
 
 def population_job(spark, people_path, mapping_path, periods_path, output, partition_by=(), **options) -> None:

@@ -13,7 +13,7 @@ by column name. Only the per-file profile (one row per file) reaches the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,11 +80,15 @@ def read_csv_layouts(
     paths: str | Sequence[str],
     encoding: str = "auto",
     legacy_encoding: str = DEFAULT_LEGACY_ENCODING,
+    per_layout: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Read CSV files with differing headers and/or charsets into one frame.
 
     ``encoding='auto'`` detects UTF-8 vs ``legacy_encoding`` per file; any other
-    value is used for every file. Columns missing from a layout are NULL.
+    value is used for every file. ``per_layout`` (e.g. a parser that resolves
+    candidate column names) runs on each layout group **before** the union, so
+    every group is resolved against its own header. Without it, columns missing
+    from a layout are NULL in the union.
     """
     profiles = file_profiles(spark, paths)
     if not profiles:
@@ -94,6 +98,8 @@ def read_csv_layouts(
         charset = (UTF8 if p.utf8 else legacy_encoding) if encoding == "auto" else encoding
         groups.setdefault((charset, p.header), []).append(p.path)
     frames = [read_csv_strings(spark, sorted(files), charset) for (charset, _), files in sorted(groups.items())]
+    if per_layout is not None:
+        frames = [per_layout(f) for f in frames]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
