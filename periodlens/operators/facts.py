@@ -95,7 +95,9 @@ def rollup_fact(
         obs = gates.watch(obs, "time band filtering")
 
     area_units = units.select(unit_col, *AREA_COLUMNS)
-    located = join_dimension(obs, area_units, unit_col, "inner", max_broadcast_rows, known_rows=units_rows)
+    located = join_dimension(
+        obs, area_units, unit_col, "inner", max_broadcast_rows, known_rows=units_rows, size_of=units
+    )
     if gates is not None:
         located = gates.watch(located, "area mapping join")
     labelled = label_periods(

@@ -26,6 +26,14 @@ _VERDICTS: dict[tuple, bool] = {}
 
 def bounded_rows(df: DataFrame, cap: int) -> bool:
     """True when ``df`` has at most ``cap`` rows (reads no more than cap + 1 rows)."""
+    seen = df.__dict__.setdefault("_periodlens_row_bounds", {})
+    if cap in seen:
+        return seen[cap]
+    seen[cap] = _probe(df, cap)
+    return seen[cap]
+
+
+def _probe(df: DataFrame, cap: int) -> bool:
     try:
         key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
     except Exception:  # noqa: BLE001 - plans without a stable identity are probed every time
@@ -45,11 +53,16 @@ def join_dimension(
     how: str = "inner",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     known_rows: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``dim``; broadcast ``dim`` only when its row count is bounded.
 
     ``known_rows`` skips the probe for dimensions built from a literal list on the
-    driver, whose size is known by construction.
+    driver, whose size is known by construction. ``size_of`` probes another frame
+    with the same row count (e.g. the unprojected dimension, probed once and reused).
     """
-    small = known_rows <= max_broadcast_rows if known_rows is not None else bounded_rows(dim, max_broadcast_rows)
+    if known_rows is not None:
+        small = known_rows <= max_broadcast_rows
+    else:
+        small = bounded_rows(size_of if size_of is not None else dim, max_broadcast_rows)
     return fact.join(F.broadcast(dim) if small else dim, on, how)

@@ -36,6 +36,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call-site capture on every PySpark call (error context) costs a JVM round
+    # trip per expression when plans are built; off for benchmarks and tests
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

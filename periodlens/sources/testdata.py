@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_row_sum
 from ..operators.joins import join_dimension
-from .dimensions import calendar_day_count, calendar_from_rows, local_table
+from .dimensions import calendar_day_count, calendar_from_rows
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -90,14 +90,14 @@ ORDER_CALENDAR_DAYS = calendar_day_count(_dates(ORDER_CALENDAR))
 
 
 def area_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region -> (nationkey, area_id, area_name, area_type); 25 rows."""
-    from pyspark.sql import types as T
+    """nation x region -> (nationkey, area_id, area_name, area_type); 25 rows.
 
-    schema = T.StructType([T.StructField("r_name", T.StringType()), T.StructField("area_type", T.StringType())])
-    types = local_table(spark, REGION_AREA_TYPES, schema)
-    region = join_dimension(table(spark, sf_dir, "region"), types, "r_name", "left", known_rows=len(REGION_AREA_TYPES))
+    The region -> area type lookup is a literal map expression (no join stage)."""
+    types = F.create_map(*[F.lit(x) for pair in REGION_AREA_TYPES for x in pair])
+    region = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("n_regionkey"), types[F.col("r_name")].alias("area_type")
+    )
     nation = table(spark, sf_dir, "nation")
-    region = region.select(F.col("r_regionkey").alias("n_regionkey"), "area_type")
     return join_dimension(nation, region, "n_regionkey", "inner").select(
         F.col("n_nationkey").alias("nationkey"),
         F.col("n_nationkey").cast("string").alias("area_id"),
@@ -106,12 +106,22 @@ def area_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_UNITS: dict[tuple, DataFrame] = {}
+
+
 def unit_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit (customer) -> area: (unit_code, area_id, area_name, area_type).
 
     The customer table grows with the data; the nation side is tiny and is
-    broadcast after a size check.
+    broadcast after a size check. The plan is built once per session.
     """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _UNITS:
+        _UNITS[key] = _unit_areas(spark, sf_dir)
+    return _UNITS[key]
+
+
+def _unit_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("unit_code"), F.col("c_nationkey").alias("nationkey")
     )
