@@ -25,6 +25,7 @@ from ..functions.columns import (
     try_number,
 )
 from ..operators.facts import population_fact, ridership_fact
+from ..operators.joins import join_dimension
 from ..operators.ingest import (
     PEOPLE_DATE,
     PEOPLE_HOUR,
@@ -47,7 +48,7 @@ from ..session import staging_path
 from ..sinks import create_database, export_report, register_fact_table, write_parquet
 from ..sources import testdata as td
 from ..sources.csv import read_csv_layouts, source_bytes
-from ..sources.dimensions import calendar_day_count, calendar_from_rows
+from ..sources.dimensions import calendar_day_count, calendar_from_rows, local_table
 from .catalog import (
     SQL_CALENDAR,
     SQL_DATE_PARTS,
@@ -261,7 +262,7 @@ def ridership_from_wide_csv(spark, sf):
     ev = _events_dated(spark, sf)
     areas = td.area_of_nation(spark, sf)
     cust = td.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("nationkey"))
-    located = ev.join(cust, "user_id").join(F.broadcast(areas.select("nationkey", "area_name")), "nationkey")
+    located = join_dimension(ev.join(cust, "user_id"), areas.select("nationkey", "area_name"), "nationkey")
     located = located.filter(in_night_window("hour")).withColumn(
         "direction", F.when(F.col("event_type") == td.EXIT_EVENT_TYPE, F.lit(SUBWAY_EXIT_LABEL)).otherwise(F.lit("승차"))
     )
@@ -298,14 +299,22 @@ def ridership_from_wide_csv(spark, sf):
 def dedupe_dimension(spark, sf):
     c = td.table(spark, sf, "customer")
     areas = td.area_of_nation(spark, sf)
-    mapping = c.join(F.broadcast(areas), c.c_nationkey == areas.nationkey).select(
+    mapping = join_dimension(c.withColumnRenamed("c_nationkey", "nationkey"), areas, "nationkey").select(
         "area_id", "area_name", F.col("c_mktsegment").alias("unit_code")
     )
     return mapping.dropDuplicates(["area_id", "unit_code"])
 
 
 def literal_dimension_join(spark, sf):
-    return td.area_of_nation(spark, sf).select("area_id", "area_name", "area_type")
+    """nation -> region -> literal (region name -> area type) table, as joins."""
+    schema = T.StructType([T.StructField("r_name", T.StringType()), T.StructField("area_type", T.StringType())])
+    types = local_table(spark, td.REGION_AREA_TYPES, schema)
+    region = join_dimension(td.table(spark, sf, "region"), types, "r_name", "left", known_rows=len(td.REGION_AREA_TYPES))
+    region = region.select(F.col("r_regionkey").alias("n_regionkey"), "area_type")
+    nation = td.table(spark, sf, "nation")
+    return join_dimension(nation, region, "n_regionkey").select(
+        F.col("n_nationkey").cast("string").alias("area_id"), F.col("n_name").alias("area_name"), "area_type"
+    )
 
 
 # ---------------------------------------------------------------------------

@@ -17,6 +17,7 @@ def spark():
     for k, v in LOCAL_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="periodlens-test-ckpt-"))
+    builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="periodlens-test-wh-"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     configure(session)

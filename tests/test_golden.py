@@ -131,8 +131,9 @@ def test_report_job_exports(spark, facts, tmp_path):
     pop, rid, _ = facts
     pop.write.parquet(str(tmp_path / "pop"))
     rid.write.parquet(str(tmp_path / "rid"))
-    spark.sql("CREATE DATABASE IF NOT EXISTS golden")
-    out = pipelines.report_job(spark, str(tmp_path / "pop"), str(tmp_path / "rid"), str(tmp_path / "results"), database="golden",
+    db = f"golden_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path / 'warehouse'}'")
+    out = pipelines.report_job(spark, str(tmp_path / "pop"), str(tmp_path / "rid"), str(tmp_path / "results"), database=db,
                                names=["young_population_lift", "population_phase_change"])
     text = "".join(p.read_text() for p in sorted((tmp_path / "results" / "young_population_lift").glob("part-*")))
     lines = text.strip().splitlines()
@@ -140,5 +141,5 @@ def test_report_job_exports(spark, facts, tmp_path):
     assert lines[1].startswith("1,midterm,2,shinchon,")
     r1 = "".join(p.read_text() for p in sorted((tmp_path / "results" / "population_phase_change").glob("part-*")))
     assert "\\N" in r1  # NULL during values are written as \N
-    assert spark.table("golden.result_young_population_lift").count() == 2
+    assert spark.table(f"{db}.result_young_population_lift").count() == 2
     assert set(out) == {"young_population_lift", "population_phase_change"}

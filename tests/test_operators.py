@@ -242,3 +242,16 @@ def test_ridership_fact_types(spark):
     obs = spark.createDataFrame([(D(2025, 4, 14), 18, "u1", 3)], "date date, hour int, unit_code string, alighting_count long")
     fact = ridership_fact(obs, _units(spark), cal(spark, PERIODS))
     assert dict(fact.dtypes)["alighting_count"] == "bigint" and fact.first()["alighting_count"] == 3
+
+
+def test_rollup_without_broadcast_matches_and_survives_hot_unit(spark):
+    """Forcing every dimension join to the shuffle path (cap 1 row) gives the same
+    fact; one unit holds a third of the rows."""
+    rows = [(D(2025, 4, 14 + (i % 7)), 18 + (i % 3), "u1" if i % 3 == 0 else f"u{2 + i % 2}", float(i), 1.0) for i in range(300)]
+    obs = _obs(spark, rows)
+    fast = population_fact(obs, _units(spark), cal(spark, PERIODS))
+    slow = population_fact(obs, _units(spark), cal(spark, PERIODS), max_broadcast_rows=1)
+    plan = slow._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [unit_code" in plan  # the unit map is not broadcast past the cap
+    assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, slow.collect()), key=str)
+    assert fast.count() == 7 * 3 * 2
