@@ -25,11 +25,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 ROUND_DIGITS = 6
 
 
+def round_like_sql(c, digits: int = ROUND_DIGITS):
+    """round(x * 10^d) / 10^d, half away from zero on the scaled double: the rule the
+    oracle engine applies, so exact half-way values round the same in both."""
+    scale = float(10**digits)
+    return F.round(c * scale) / scale
+
+
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     """Round every double column (for engine-independent comparison)."""
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            round_like_sql(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
