@@ -2,9 +2,10 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (default 3). Each query: one warm-up, then the median of BENCH_RUNS
-timed runs, written to the ``noop`` sink so every row is produced. Two extra
-entries compare design choices: the range-join form of the period labelling, and
-all reports over facts persisted once to Parquet (the production shape).
+timed runs, written to the ``noop`` sink so every row is produced. Extra entries
+compare design choices (day-expanded vs range-join period labelling; all reports
+over facts persisted once to Parquet, the production shape) and time each
+operator-level catalog entry once after a warm-up (BENCH_OPERATORS=0 skips them).
 
 Prints ONE JSON line.
 """
@@ -21,11 +22,9 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from periodlens.operators.facts import population_fact  # noqa: E402
-from periodlens.plans import catalog  # noqa: E402
+from periodlens.plans import catalog, catalog_ops  # noqa: E402
 from periodlens.plans.reports import REPORTS  # noqa: E402
 from periodlens.session import local_session, staging_path  # noqa: E402
-from periodlens.sources import testdata as td  # noqa: E402
 
 
 def timed(fn, runs: int) -> float:
@@ -38,6 +37,14 @@ def timed(fn, runs: int) -> float:
     return round(statistics.median(samples), 3)
 
 
+def _sf(sf_dir: str):
+    name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -53,13 +60,10 @@ def main() -> None:
     headline = round(sum(results.values()), 3)
 
     extras: dict[str, float] = {}
-    units = lambda: td.unit_areas(spark, sf_dir)
-    extras["fact_population_range_join"] = timed(
-        lambda: noop(
-            population_fact(td.event_observations(spark, sf_dir), units(), td.event_calendar(spark), scale=2, strategy="range")
-        ),
-        runs,
-    )
+    for strategy in ("expanded", "range"):
+        extras[f"fact_population_{strategy}_join"] = timed(
+            lambda strategy=strategy: noop(catalog.event_population_fact(spark, sf_dir, strategy=strategy)), runs
+        )
 
     def persisted():
         base = staging_path(spark, "bench-facts")
@@ -72,6 +76,11 @@ def main() -> None:
 
     extras["all_reports_over_persisted_facts"] = timed(persisted, runs)
 
+    operators: dict[str, float] = {}
+    if os.environ.get("BENCH_OPERATORS", "1") == "1":
+        for name, fn in catalog_ops.QUERIES.items():
+            operators[name] = timed(lambda fn=fn: noop(fn(spark, sf_dir)), 1)
+
     print(
         json.dumps(
             {
@@ -80,7 +89,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": results,
                 "extras": extras,
-                "sf": os.path.basename(sf_dir).replace("sf", ""),
+                "operators": operators,
+                "sf": _sf(sf_dir),
                 "cpus": cpus,
                 "runs": runs,
                 "machine": {"cores": os.cpu_count(), "python": platform.python_version(), "spark": spark.version},

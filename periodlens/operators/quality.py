@@ -1,7 +1,7 @@
 """Data-quality gates (Q1, O2).
 
-The reference-style gate "stage produced rows" costs one extra job per gate if
-written as ``take(1)``. Here every gate is an ``Observation`` attached to the
+A gate "this stage produced rows" costs one extra job per gate when written as
+``take(1)``. Here every gate is an ``Observation`` attached to the
 plan: the row counts of all stages are collected by the one job that writes the
 result, and :meth:`Gates.check` raises naming the first empty stage.
 """

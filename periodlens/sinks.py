@@ -55,6 +55,16 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def use_database(spark: SparkSession, name: str) -> None:
+    """Namespace DDL (K4)."""
+    spark.sql(f"USE `{name}`")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """``DROP TABLE IF EXISTS`` (K4)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def register_fact_table(spark: SparkSession, database: str, table: str, path: str) -> None:
     """External Parquet table over a fact directory."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACT_SCHEMAS[table].fields)

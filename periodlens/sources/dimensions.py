@@ -119,7 +119,7 @@ def station_names(spark: SparkSession) -> DataFrame:
     return local_table(spark, STATION_NAME_ROWS, STRING_SCHEMA(["raw_station_name", "station_name"]))
 
 
-def write_reference_csvs(spark: SparkSession, folder: str) -> dict[str, str]:
+def write_dimension_csvs(spark: SparkSession, folder: str) -> dict[str, str]:
     """Write both dimension CSVs (header, UTF-8) below ``folder``."""
     paths = {"area_mapping": f"{folder}/area_mapping", "exam_periods": f"{folder}/exam_periods"}
     area_mapping_raw(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(paths["area_mapping"])

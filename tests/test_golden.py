@@ -5,7 +5,7 @@ import pytest
 
 from periodlens.plans import pipelines
 from periodlens.plans.reports import REPORTS
-from periodlens.sources.dimensions import write_reference_csvs
+from periodlens.sources.dimensions import write_dimension_csvs
 
 PEOPLE_HEADER = "기준일ID,시간대구분,행정동코드,총생활인구수,남자20세부터24세생활인구수,남자25세부터29세생활인구수,여자20세부터24세생활인구수,여자25세부터29세생활인구수"
 PEOPLE_ROWS = [
@@ -38,7 +38,7 @@ def facts(spark, tmp_path_factory):
     (root / "subway").mkdir()
     (root / "people" / "p1.csv").write_bytes(("\ufeff" + "\n".join([PEOPLE_HEADER, *PEOPLE_ROWS]) + "\n").encode("utf-8"))
     (root / "subway" / "s1.csv").write_bytes(("\n".join([SUBWAY_HEADER, *SUBWAY_ROWS]) + "\n").encode("cp949"))
-    dims = write_reference_csvs(spark, str(root / "dims"))
+    dims = write_dimension_csvs(spark, str(root / "dims"))
     pipelines.population_job(spark, str(root / "people"), dims["area_mapping"], dims["exam_periods"], str(root / "pop"))
     counts = pipelines.ridership_job(spark, str(root / "subway"), dims["area_mapping"], dims["exam_periods"], str(root / "rid"))
     pop = spark.read.parquet(str(root / "pop"))
