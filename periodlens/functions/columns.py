@@ -74,9 +74,17 @@ def strict_date(text: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
     return F.try_to_date(_col(text).cast("string"), fmt)
 
 
+def try_integer(text: ColumnOrName, dtype: str = "int") -> Column:
+    """Text to an integer type the way a non-ANSI cast does it: surrounding blanks
+    ignored, a fractional part truncated toward zero (``"18.0"`` -> 18), anything
+    else (or an out-of-range value) NULL. A plain ``try_cast`` under ANSI rules
+    would reject ``"18.0"``."""
+    return F.trim(_col(text).cast("string")).try_cast("decimal(38,9)").try_cast(dtype)
+
+
 def parse_count(text: ColumnOrName) -> Column:
     """Thousands-separated integer text such as ``"1,000"`` to bigint, else NULL."""
-    return F.regexp_replace(_col(text).cast("string"), ",", "").try_cast("long")
+    return try_integer(F.regexp_replace(_col(text).cast("string"), ",", ""), "long")
 
 
 def try_number(text: ColumnOrName, dtype: str = "double") -> Column:

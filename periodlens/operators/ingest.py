@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import lenient_date, parse_count, safe_row_sum, strict_date, try_number
+from ..functions.columns import lenient_date, parse_count, safe_row_sum, strict_date, try_integer, try_number
 from ..sources.csv import resolve_column
 from .reshape import columns_to_rows
 
@@ -63,7 +63,7 @@ def people_observations(raw: DataFrame) -> DataFrame:
         resolve_column(raw.columns, [c], c)
     return raw.select(
         strict_date(PEOPLE_DATE, PEOPLE_DATE_FORMAT).alias("date"),
-        try_number(PEOPLE_HOUR, "int").alias("hour"),
+        try_integer(PEOPLE_HOUR, "int").alias("hour"),
         F.col(PEOPLE_UNIT).cast("string").alias("unit_code"),
         try_number(PEOPLE_TOTAL, "double").alias("total_population"),
         safe_row_sum([try_number(c, "double") for c in PEOPLE_YOUNG]).alias("young_20s_population"),

@@ -54,6 +54,13 @@ def test_parsers(spark):
     assert [tuple(r) for r in got] == [(None, 1000, None), (D(2025, 4, 14), 12, 3.5), (None, None, None)]
 
 
+def test_try_integer_truncates_like_legacy_cast(spark):
+    from periodlens.functions.columns import try_integer
+
+    df = spark.createDataFrame([("18.0",), (" 18 ",), ("18.7",), ("x",), ("-2.9",), (None,)], "s string")
+    assert [r["i"] for r in df.select(try_integer("s").alias("i")).collect()] == [18, 18, 18, None, -2, None]
+
+
 def test_safe_row_sum_guarded_ratio_lift(spark):
     df = spark.createDataFrame([(1.0, None, 0.0), (None, None, 5.0), (2.0, 3.0, None)], "a double, b double, base double")
     got = df.select(
