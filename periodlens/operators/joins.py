@@ -15,8 +15,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that may be broadcast to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest dimension (in rows) that may be broadcast to every executor. A unit map
+# row (key + three short strings) is ~100 bytes, so the cap keeps a broadcast
+# around 100 MB at most.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 # Verdicts of earlier probes, keyed by (plan, input files, cap). A dataset that
