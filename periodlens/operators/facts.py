@@ -72,6 +72,7 @@ def rollup_fact(
     units_rows: int | None = None,
     calendar_days: int | None = None,
     gates=None,
+    derived: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Roll observations ``(date, hour, <unit_col>, measures...)`` up to the fact grain.
 
@@ -82,7 +83,8 @@ def rollup_fact(
     * ``by_year`` keeps ``exam_year`` as a key, so periods of different years with
       the same semester and exam type are not pooled;
     * ``gates`` (a :class:`periodlens.operators.quality.Gates`) counts the rows
-      left after the night filter and after the area join, in the same job.
+      left after the night filter and after the area join, in the same job;
+    * ``derived`` adds columns computed from the summed measures (after them).
     """
     if late_night not in ("same_day", "previous_day"):
         raise ValueError("late_night must be 'same_day' or 'previous_day'")
@@ -118,7 +120,8 @@ def rollup_fact(
     ]
     if by_year:
         out.append(F.col("exam_year"))
-    return rolled.select(*out, *[F.col(m.name) for m in measures])
+    sums = [F.col(m.name) for m in measures]
+    return rolled.select(*out, *sums, *[c.alias(n) for n, c in (derived or {}).items()])
 
 
 def population_fact(
@@ -135,10 +138,8 @@ def population_fact(
     young_20s_population``.
     """
     measures = [Measure("total_population", scale), Measure("young_20s_population", scale)]
-    fact = rollup_fact(observations, units, calendar, measures, unit_col, **options)
-    return fact.withColumn(
-        "young_20s_ratio", guarded_ratio("young_20s_population", "total_population").cast("double")
-    )
+    ratio = {"young_20s_ratio": guarded_ratio("young_20s_population", "total_population").cast("double")}
+    return rollup_fact(observations, units, calendar, measures, unit_col, derived=ratio, **options)
 
 
 def ridership_fact(

@@ -69,11 +69,12 @@ def label_periods(
         small = calendar_days <= max_broadcast_rows if calendar_days is not None else bounded_rows(days, max_broadcast_rows)
         days = F.broadcast(days) if small else days
         joined = df.join(days, date_col, "left")
-    return (
-        joined.withColumn("phase", F.coalesce(F.col("phase"), F.lit(default)))
-        .withColumn("exam_type", F.coalesce(F.col("exam_type"), F.lit(default)))
-        .withColumn("semester", F.col("semester").try_cast("int"))
-    )
+    defaults = {
+        "phase": F.coalesce(F.col("phase"), F.lit(default)),
+        "exam_type": F.coalesce(F.col("exam_type"), F.lit(default)),
+        "semester": F.col("semester").try_cast("int"),
+    }
+    return joined.select(*[defaults[c].alias(c) if c in defaults else F.col(c) for c in joined.columns])
 
 
 def overlapping_periods(calendar: DataFrame) -> DataFrame:
