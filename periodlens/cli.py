@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
         j.add_argument("--periods", required=True, help="period calendar CSV")
         j.add_argument("--output", required=True, help="Parquet output folder (replaced)")
         j.add_argument("--encoding", default="auto", help="charset, or 'auto' to detect UTF-8 vs CP949 per file")
+        j.add_argument("--single-layout", action="store_true",
+                       help="all files share one header and the given --encoding: skip the profiling pass")
         j.add_argument("--partition-by", default="", help="comma-separated fact columns, e.g. year,month")
         j.add_argument("--by-year", action="store_true", help="keep the calendar year as a key")
         j.add_argument("--late-night", default="same_day", choices=["same_day", "previous_day"])
@@ -49,7 +51,10 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"periodlens-{args.job}").getOrCreate())
     if args.job in ("population", "ridership"):
-        options = {"encoding": args.encoding, "by_year": args.by_year, "late_night": args.late_night}
+        options = {
+            "encoding": args.encoding, "single_layout": args.single_layout,
+            "by_year": args.by_year, "late_night": args.late_night,
+        }
         parts = tuple(c for c in args.partition_by.split(",") if c)
         if args.job == "population":
             pipelines.population_job(spark, args.input, args.mapping, args.periods, args.output, parts, **options)

@@ -33,9 +33,15 @@ def load_dimensions(spark: SparkSession, mapping_path: str, periods_path: str) -
 
 
 def population_fact_from_csv(
-    spark: SparkSession, people_path: str, mapping_path: str, periods_path: str, encoding: str = "auto", **options
+    spark: SparkSession,
+    people_path: str,
+    mapping_path: str,
+    periods_path: str,
+    encoding: str = "auto",
+    single_layout: bool = False,
+    **options,
 ) -> DataFrame:
-    obs = read_csv_layouts(spark, people_path, encoding=encoding, per_layout=people_observations)
+    obs = read_csv_layouts(spark, people_path, encoding, per_layout=people_observations, single_layout=single_layout)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
     return population_fact(obs, units_to_areas(mapping), calendar, **options)
 
@@ -54,9 +60,10 @@ def ridership_fact_from_csv(
     periods_path: str,
     encoding: str = "auto",
     gates: Gates | None = None,
+    single_layout: bool = False,
     **options,
 ) -> DataFrame:
-    obs = read_csv_layouts(spark, subway_path, encoding=encoding, per_layout=subway_observations)
+    obs = read_csv_layouts(spark, subway_path, encoding, per_layout=subway_observations, single_layout=single_layout)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
     if gates is not None:
         obs = gates.watch(obs, "date and passenger parsing")

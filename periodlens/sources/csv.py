@@ -81,6 +81,7 @@ def read_csv_layouts(
     encoding: str = "auto",
     legacy_encoding: str = DEFAULT_LEGACY_ENCODING,
     per_layout: Callable[[DataFrame], DataFrame] | None = None,
+    single_layout: bool = False,
 ) -> DataFrame:
     """Read CSV files with differing headers and/or charsets into one frame.
 
@@ -89,7 +90,16 @@ def read_csv_layouts(
     candidate column names) runs on each layout group **before** the union, so
     every group is resolved against its own header. Without it, columns missing
     from a layout are NULL in the union.
+
+    Profiling costs one pass over the files. ``single_layout=True`` (with an
+    explicit ``encoding``) states that every file shares one header and charset
+    and skips that pass: one plain read, as Spark's CSV source does.
     """
+    if single_layout:
+        if encoding == "auto":
+            raise ValueError("single_layout=True needs an explicit encoding")
+        frame = read_csv_strings(spark, paths, encoding)
+        return per_layout(frame) if per_layout is not None else frame
     profiles = file_profiles(spark, paths)
     if not profiles:
         raise ValueError(f"no input files under {paths!r}")

@@ -156,7 +156,8 @@ def test_cli_jobs(spark, tmp_path):
     common = ["--mapping", dims["area_mapping"], "--periods", dims["exam_periods"]]
     assert cli.main(["population", "--input", str(tmp_path / "people"), *common, "--output", str(tmp_path / "pop"),
                      "--partition-by", "year,month"]) == 0
-    assert cli.main(["ridership", "--input", str(tmp_path / "subway"), *common, "--output", str(tmp_path / "rid")]) == 0
+    assert cli.main(["ridership", "--input", str(tmp_path / "subway"), *common, "--output", str(tmp_path / "rid"),
+                     "--encoding", "CP949", "--single-layout"]) == 0
     assert cli.main(["reports", "--population", str(tmp_path / "pop"), "--ridership", str(tmp_path / "rid"),
                      "--results", str(tmp_path / "results"), "--names", "did_subway_alighting"]) == 0
     text = "".join(p.read_text() for p in (tmp_path / "results" / "did_subway_alighting").glob("part-*"))
