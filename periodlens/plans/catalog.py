@@ -61,13 +61,22 @@ def event_ridership_fact(spark: SparkSession, sf_dir: str, units: DataFrame | No
     return ridership_fact(td.exit_observations(spark, sf_dir), units, td.event_calendar(spark), **options)
 
 
+_FACT_PLANS: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
 def event_facts(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
-    """Both facts over one shared unit map."""
-    units = td.unit_areas(spark, sf_dir)
-    return (
-        event_population_fact(spark, sf_dir, units, **options),
-        event_ridership_fact(spark, sf_dir, units, **options),
-    )
+    """Both facts over one shared unit map.
+
+    The two DataFrames are lazy plans over the raw tables; they are built once per
+    session and reused by every report (each report still runs the whole plan)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(options.items())))
+    if key not in _FACT_PLANS:
+        units = td.unit_areas(spark, sf_dir)
+        _FACT_PLANS[key] = (
+            event_population_fact(spark, sf_dir, units, **options),
+            event_ridership_fact(spark, sf_dir, units, **options),
+        )
+    return _FACT_PLANS[key]
 
 
 def _report_query(name: str) -> QueryFn:
