@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import clean_header_name
+from ..functions.columns import clean_header_name, try_integer
 
 # ---------------------------------------------------------------------------
 # Fixed values (must stay exactly as below to reproduce the analysis).
@@ -138,7 +138,7 @@ def units_to_areas(mapping: DataFrame) -> DataFrame:
     (area_id, unit) (S3, A15). A unit listed under two areas stays in both."""
     return (
         mapping.select(
-            "area_id", "area_name", "area_type", F.trim(F.col("dong_code").cast("string")).alias("unit_code")
+            "area_id", "area_name", "area_type", F.col("dong_code").cast("string").alias("unit_code")
         ).dropDuplicates(["area_id", "unit_code"])
     )
 
@@ -152,10 +152,11 @@ def stations_to_areas(mapping: DataFrame) -> DataFrame:
 
 
 def typed_periods(periods: DataFrame) -> DataFrame:
-    """Calendar rows typed (S4): bad numbers and dates become NULL, never errors."""
+    """Calendar rows typed (S4): numbers parse like a non-ANSI cast ("1.0" -> 1);
+    bad numbers and dates become NULL, never errors."""
     return periods.select(
-        F.col("year").try_cast("int").alias("exam_year"),
-        F.col("semester").try_cast("int").alias("semester"),
+        try_integer("year").alias("exam_year"),
+        try_integer("semester").alias("semester"),
         F.col("exam_type").cast("string").alias("exam_type"),
         F.col("phase").cast("string").alias("phase"),
         F.try_to_date(F.col("start_date").cast("string")).alias("start_date"),
