@@ -36,12 +36,20 @@ RIDERSHIP_FACT_SCHEMA = T.StructType(
 FACT_SCHEMAS = {"area_population": POPULATION_FACT_SCHEMA, "area_subway": RIDERSHIP_FACT_SCHEMA}
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), replace_partitions_only: bool = False
+) -> None:
     """Replace ``path`` with ``df`` as Parquet (K1). Partitioning the facts by
-    (year, month) lets later reads prune whole directories."""
+    (year, month) lets later reads prune whole directories.
+
+    ``replace_partitions_only`` (with ``partition_by``) replaces just the
+    partitions present in ``df`` (dynamic partition overwrite), so a monthly load
+    rewrites its own months and leaves the others in place."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if replace_partitions_only:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 

@@ -262,3 +262,15 @@ def test_rollup_without_broadcast_matches_and_survives_hot_unit(spark):
     assert "SortMergeJoin [unit_code" in plan  # the unit map is not broadcast past the cap
     assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, slow.collect()), key=str)
     assert fast.count() == 35  # 7 days x (hour 18: area a; hours 19, 20: areas a and b)
+
+
+def test_dynamic_partition_overwrite(spark, tmp_path):
+    from periodlens.sinks import write_parquet
+
+    path = str(tmp_path / "fact")
+    jan = spark.createDataFrame([(2025, 1, 1.0), (2025, 2, 2.0)], "year int, month int, v double")
+    write_parquet(jan, path, ("year", "month"))
+    feb = spark.createDataFrame([(2025, 2, 5.0)], "year int, month int, v double")
+    write_parquet(feb, path, ("year", "month"), replace_partitions_only=True)
+    got = sorted((r["month"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1.0), (2, 5.0)]
