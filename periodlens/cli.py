@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
         j.add_argument("--single-layout", action="store_true",
                        help="all files share one header and the given --encoding: skip the profiling pass")
         j.add_argument("--partition-by", default="", help="comma-separated fact columns, e.g. year,month")
+        j.add_argument("--replace-partitions", action="store_true",
+                       help="with --partition-by: replace only the partitions this load contains")
         j.add_argument("--by-year", action="store_true", help="keep the calendar year as a key")
         j.add_argument("--late-night", default="same_day", choices=["same_day", "previous_day"])
     r = sub.add_parser("reports", help="run the report catalog over written facts")
@@ -56,10 +58,11 @@ def main(argv: list[str] | None = None) -> int:
             "by_year": args.by_year, "late_night": args.late_night,
         }
         parts = tuple(c for c in args.partition_by.split(",") if c)
+        io = (spark, args.input, args.mapping, args.periods, args.output, parts, args.replace_partitions)
         if args.job == "population":
-            pipelines.population_job(spark, args.input, args.mapping, args.periods, args.output, parts, **options)
+            pipelines.population_job(*io, **options)
         else:
-            counts = pipelines.ridership_job(spark, args.input, args.mapping, args.periods, args.output, parts, **options)
+            counts = pipelines.ridership_job(*io, **options)
             print(json.dumps({"stage_rows": counts}))
     else:
         if args.database:

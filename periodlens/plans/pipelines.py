@@ -71,15 +71,20 @@ def ridership_fact_from_csv(
     return ridership_fact(obs, units, calendar, unit_col="raw_station_name", gates=gates, **options)
 
 
-def population_job(spark, people_path, mapping_path, periods_path, output, partition_by=(), **options) -> None:
-    write_parquet(population_fact_from_csv(spark, people_path, mapping_path, periods_path, **options), output, partition_by)
+def population_job(
+    spark, people_path, mapping_path, periods_path, output, partition_by=(), replace_partitions_only=False, **options
+) -> None:
+    fact = population_fact_from_csv(spark, people_path, mapping_path, periods_path, **options)
+    write_parquet(fact, output, partition_by, replace_partitions_only)
 
 
-def ridership_job(spark, subway_path, mapping_path, periods_path, output, partition_by=(), **options) -> dict[str, int]:
+def ridership_job(
+    spark, subway_path, mapping_path, periods_path, output, partition_by=(), replace_partitions_only=False, **options
+) -> dict[str, int]:
     gates = Gates("ridership")
     fact = ridership_fact_from_csv(spark, subway_path, mapping_path, periods_path, gates=gates, **options)
     fact = gates.watch(fact, "area mapping and roll-up")
-    write_parquet(fact, output, partition_by)
+    write_parquet(fact, output, partition_by, replace_partitions_only)
     return gates.check()
 
 
