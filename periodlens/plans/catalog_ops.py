@@ -47,7 +47,7 @@ from ..operators.reshape import columns_to_rows, rows_to_columns
 from ..session import staging_path
 from ..sinks import create_database, export_report, register_fact_table, write_parquet
 from ..sources import testdata as td
-from ..sources.csv import read_csv_layouts, source_bytes
+from ..sources.csv import normalize_to_utf8, read_csv_layouts, source_bytes
 from ..sources.dimensions import calendar_day_count, calendar_from_rows, local_table
 from .catalog import (
     SQL_CALENDAR,
@@ -252,10 +252,10 @@ def _layout_a_hours():
     return [(h, cands[0]) for h, cands in SUBWAY_HOUR_CANDIDATES]
 
 
-def ridership_from_wide_csv(spark, sf):
+def _write_ridership_feed(spark, sf) -> list[str]:
     """Events written as a wide ridership feed in two header layouts and two
     charsets (first half of each month UTF-8 layout A, the rest CP949 layout B with
-    reversed columns), read back with the layout-safe reader; equals ``fact_ridership``."""
+    reversed columns). Returns the two folders."""
     ev = _events_dated(spark, sf)
     areas = td.area_of_nation(spark, sf)
     cust = td.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("nationkey"))
@@ -286,13 +286,31 @@ def ridership_from_wide_csv(spark, sf):
         "header", True
     ).option("encoding", "CP949").csv(f"{base}/b")
 
-    obs = read_csv_layouts(spark, [f"{base}/a", f"{base}/b"], per_layout=subway_observations)
+    return [f"{base}/a", f"{base}/b"]
+
+
+def _ridership_fact_from_feed(spark, sf, paths, encoding="auto"):
+    obs = read_csv_layouts(spark, paths, encoding, per_layout=subway_observations)
+    areas = td.area_of_nation(spark, sf)
     units = areas.select(F.col("area_name").alias("raw_station_name"), "area_id", "area_name", "area_type")
     return ridership_fact(
         obs, units, td.event_calendar(spark), unit_col="raw_station_name", calendar_days=td.EVENT_CALENDAR_DAYS
     )
 
 
+def ridership_from_wide_csv(spark, sf):
+    """The two-layout, two-charset feed read back with the layout-safe reader;
+    equals ``fact_ridership``."""
+    return _ridership_fact_from_feed(spark, sf, _write_ridership_feed(spark, sf))
+
+
+def ridership_from_normalized_csv(spark, sf):
+    """The same feed first rewritten as UTF-8 per layout (S8), then read with an
+    explicit UTF-8 charset; equals ``fact_ridership``."""
+    folders = normalize_to_utf8(spark, _write_ridership_feed(spark, sf), staging_path(spark, "ridership-utf8"))
+    return _ridership_fact_from_feed(spark, sf, folders, encoding="UTF-8")
+
+
 def dedupe_dimension(spark, sf):
     c = td.table(spark, sf, "customer")
     areas = td.area_of_nation(spark, sf)
@@ -393,6 +411,7 @@ QUERIES = {
     "unpivot_hours": unpivot_hours,
     "population_from_csv": population_from_csv,
     "ridership_from_wide_csv": ridership_from_wide_csv,
+    "ridership_from_normalized_csv": ridership_from_normalized_csv,
     "dedupe_dimension": dedupe_dimension,
     "literal_dimension_join": literal_dimension_join,
     "ordered_export_roundtrip": ordered_export_roundtrip,
@@ -504,6 +523,7 @@ FROM lpop""",
 FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
     "population_from_csv": REPORT_SQL["fact_population"],
     "ridership_from_wide_csv": REPORT_SQL["fact_ridership"],
+    "ridership_from_normalized_csv": REPORT_SQL["fact_ridership"],
     "dedupe_dimension": """SELECT DISTINCT CAST(n.n_nationkey AS VARCHAR) AS area_id, n.n_name AS area_name,
   c.c_mktsegment AS unit_code
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey

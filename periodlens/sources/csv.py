@@ -116,6 +116,28 @@ def read_csv_layouts(
     return out
 
 
+def normalize_to_utf8(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    output: str,
+    legacy_encoding: str = DEFAULT_LEGACY_ENCODING,
+) -> list[str]:
+    """Rewrite CSV files as UTF-8 (S8): each (charset, header) group is read with
+    its own charset and written, with its header, to ``output/layout=<i>``.
+    Returns the written folders. Runs as Spark jobs; no file passes the driver."""
+    profiles = file_profiles(spark, paths)
+    groups: dict[tuple[str, str], list[str]] = {}
+    for p in profiles:
+        groups.setdefault((UTF8 if p.utf8 else legacy_encoding, p.header), []).append(p.path)
+    written = []
+    for i, ((charset, _), files) in enumerate(sorted(groups.items())):
+        target = f"{output.rstrip('/')}/layout={i}"
+        frame = read_csv_strings(spark, sorted(files), charset)
+        frame.write.mode("overwrite").option("header", True).option("encoding", UTF8).csv(target)
+        written.append(target)
+    return written
+
+
 def resolve_column(columns: Sequence[str], candidates: Sequence[str], label: str, required: bool = True) -> str | None:
     """First candidate present in ``columns`` (P3). A missing required column is an
     error listing the candidates and the input columns, raised before any job (Q2)."""
