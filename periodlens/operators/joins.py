@@ -15,6 +15,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import session_key
+
 # Largest dimension (in rows) that may be broadcast to every executor. A unit map
 # row (key + three short strings) is ~100 bytes, so the cap keeps a broadcast
 # around 100 MB at most.
@@ -37,7 +39,7 @@ def bounded_rows(df: DataFrame, cap: int) -> bool:
 
 def _probe(df: DataFrame, cap: int) -> bool:
     try:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
+        key = (session_key(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
     except Exception:  # noqa: BLE001 - plans without a stable identity are probed every time
         key = None
     if key is not None and key in _VERDICTS:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.facts import population_fact, ridership_fact
+from ..session import session_key
 from ..sources import testdata as td
 from .reports import REPORTS
 
@@ -69,7 +70,7 @@ def event_facts(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame,
 
     The two DataFrames are lazy plans over the raw tables; they are built once per
     session and reused by every report (each report still runs the whole plan)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(options.items())))
+    key = (session_key(spark), sf_dir.rstrip("/"), tuple(sorted(options.items())))
     if key not in _FACT_PLANS:
         units = td.unit_areas(spark, sf_dir)
         _FACT_PLANS[key] = (

@@ -63,14 +63,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the running application (for per-session plan caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        return f"session-{id(spark)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set up locally only if unset."""
-    current = spark.conf.get(_CONF_CHECKPOINT, None) or spark.sparkContext.getConf().get(_CONF_CHECKPOINT, None)
+    current = spark.conf.get(_CONF_CHECKPOINT, None)
+    try:
+        sc = spark.sparkContext
+        current = current or sc.getConf().get(_CONF_CHECKPOINT, None)
+    except Exception:  # noqa: BLE001 - Spark Connect: the conf is the only source
+        sc = None
     if not current:
         current = tempfile.mkdtemp(prefix="periodlens-ckpt-")
         spark.conf.set(_CONF_CHECKPOINT, current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current.rstrip("/")
 
 

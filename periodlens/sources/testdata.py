@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_row_sum
 from ..operators.joins import join_dimension
+from ..session import session_key
 from .dimensions import calendar_day_count, calendar_from_rows
 
 TABLES = (
@@ -67,7 +68,7 @@ _READS: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. The DataFrame (a lazy plan; file listing and footer read
     done once) is reused by every query of the same session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _READS[key]
@@ -115,7 +116,7 @@ def unit_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     The customer table grows with the data; the nation side is tiny and is
     broadcast after a size check. The plan is built once per session.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _UNITS:
         _UNITS[key] = _unit_areas(spark, sf_dir)
     return _UNITS[key]
