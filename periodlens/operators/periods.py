@@ -79,16 +79,22 @@ def label_periods(
 
 def overlapping_periods(calendar: DataFrame) -> DataFrame:
     """Calendar validator (Q3): for every period, its number of days and how many
-    of them another period also covers. Distributed: per-day counts over the
-    day-expanded calendar, joined back on the day (no pairs of periods are built).
-    Inverted or unparsable periods cover no day and are not reported."""
+    of them another period also covers. Distributed: identical periods are merged
+    first (keeping their multiplicity), the rest is per-day counts over the
+    day-expanded calendar joined back on the day; no pairs of periods are built.
+    Two identical periods overlap each other. Inverted or unparsable periods cover
+    no day and are not reported."""
     period_key = [*LABEL_COLUMNS, "start_date", "end_date"]
-    valid = calendar.filter(F.col("start_date") <= F.col("end_date"))
-    days = valid.select(*period_key, F.explode(F.sequence("start_date", "end_date")).alias("day"))
-    per_day = days.groupBy("day").agg(F.count(F.lit(1)).alias("_periods_on_day"))
+    distinct = (
+        calendar.filter(F.col("start_date") <= F.col("end_date"))
+        .groupBy(*period_key)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+    days = distinct.select(*period_key, "_copies", F.explode(F.sequence("start_date", "end_date")).alias("day"))
+    per_day = days.groupBy("day").agg(F.sum("_copies").alias("_periods_on_day"))
     covered = days.join(per_day, "day")
     per_period = covered.groupBy(*period_key).agg(
-        F.count_distinct("day").alias("period_days"),
-        F.count_distinct(F.when(F.col("_periods_on_day") > 1, F.col("day"))).alias("overlap_days"),
+        F.count(F.lit(1)).alias("period_days"),
+        F.sum(F.when(F.col("_periods_on_day") > 1, 1).otherwise(0)).cast("long").alias("overlap_days"),
     )
     return per_period.withColumn("is_overlapping", F.col("overlap_days") > 0)

@@ -90,8 +90,8 @@ def _report_query(name: str) -> QueryFn:
 
 
 QUERIES: dict[str, QueryFn] = {
-    "fact_population": lambda spark, sf: rounded(event_population_fact(spark, sf)),
-    "fact_ridership": lambda spark, sf: event_ridership_fact(spark, sf),
+    "fact_population": lambda spark, sf: rounded(event_facts(spark, sf)[0]),
+    "fact_ridership": lambda spark, sf: event_facts(spark, sf)[1],
     **{f"report_{name}": _report_query(name) for name in REPORTS},
 }
 
