@@ -321,15 +321,18 @@ def dedupe_dimension(spark, sf):
 
 
 def literal_dimension_join(spark, sf):
-    """nation -> region -> literal (region name -> area type) table, as joins."""
+    """The unit map built with joins only: customer -> nation -> region -> literal
+    (region name -> area type) table (S5, J2); one row per customer."""
     schema = T.StructType([T.StructField("r_name", T.StringType()), T.StructField("area_type", T.StringType())])
     types = local_table(spark, td.REGION_AREA_TYPES, schema)
     region = join_dimension(td.table(spark, sf, "region"), types, "r_name", "left", known_rows=len(td.REGION_AREA_TYPES))
     region = region.select(F.col("r_regionkey").alias("n_regionkey"), "area_type")
-    nation = td.table(spark, sf, "nation")
-    return join_dimension(nation, region, "n_regionkey").select(
-        F.col("n_nationkey").cast("string").alias("area_id"), F.col("n_name").alias("area_name"), "area_type"
+    nation = join_dimension(td.table(spark, sf, "nation"), region, "n_regionkey").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_nationkey").cast("string").alias("area_id"),
+        F.col("n_name").alias("area_name"), "area_type",
     )
+    customer = td.table(spark, sf, "customer").select(F.col("c_custkey").alias("unit_code"), "c_nationkey")
+    return join_dimension(customer, nation, "c_nationkey").select("unit_code", "area_id", "area_name", "area_type")
 
 
 # ---------------------------------------------------------------------------
@@ -529,8 +532,7 @@ FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "literal_dimension_join": f"""WITH {SQL_UNITS}
-SELECT CAST(n.n_nationkey AS VARCHAR) AS area_id, n.n_name AS area_name, t.area_type
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN atype t ON r.r_name = t.r_name""",
+SELECT unit_code, area_id, area_name, area_type FROM units""",
     "ordered_export_roundtrip": REPORT_SQL["report_population_phase_change"],
     "table_roundtrip": REPORT_SQL["report_area_type_change"],
     "top_k_lift": f"""SELECT * FROM ({REPORT_SQL['report_young_population_lift']}) r2
