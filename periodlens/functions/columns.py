@@ -122,9 +122,12 @@ def to_units(value: ColumnOrName, scale: int) -> Column:
     """A decimal quantity with ``scale`` fraction digits as an exact bigint count.
 
     Summing integers is exact and order independent, so a distributed SUM gives
-    bit-identical results however the rows are partitioned.
+    bit-identical results however the rows are partitioned. ``rint`` (IEEE
+    nearest) is used instead of ``round``: a value recorded with ``scale``
+    decimals lands within 1e-9 of an integer once scaled, where both agree, and
+    ``rint`` avoids a BigDecimal per row.
     """
-    return F.round(_col(value) * (10**scale)).cast("long")
+    return F.rint(_col(value) * (10**scale)).cast("long")
 
 
 def from_units(units: ColumnOrName, scale: int) -> Column:
