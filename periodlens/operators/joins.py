@@ -1,8 +1,9 @@
 """Joins of a large fact to a dimension.
 
-A dimension is broadcast only after its size is proven: ``limit(cap + 1).count()``
-reads at most ``cap + 1`` rows, so the check itself stays cheap even when the
-"dimension" turns out to be a billion-row table. Beyond the cap the join is left
+A dimension is broadcast only after its size is proven: one job over
+``limit(cap + 1)`` counts its rows and sums their serialized size, reading at most
+``cap + 1`` rows, so the check stays cheap even when the "dimension" turns out to
+be a billion-row table. Beyond the cap the join is left
 to the planner (sort-merge or shuffled hash join); AQE may still turn it into a
 broadcast at run time from real sizes, and its skew-join handling splits a hot
 key's partition instead of sending a third of the fact to one task.
@@ -17,34 +18,39 @@ from pyspark.sql import functions as F
 
 from ..session import session_key
 
-# Largest dimension (in rows) that may be broadcast to every executor. A unit map
-# row (key + three short strings) is ~100 bytes, so the cap keeps a broadcast
-# around 100 MB at most.
+# Largest dimension that may be broadcast to every executor: both bounds must
+# hold. Bytes are measured as the JSON size of the rows, a close proxy of their
+# in-memory size for flat rows of keys and short strings.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-# Verdicts of earlier probes, keyed by (plan, input files, cap). A dataset that
+# Verdicts of earlier probes, keyed by (plan, input files, caps). A dataset that
 # gains files gets a new key and is probed again.
 _VERDICTS: dict[tuple, bool] = {}
 
 
-def bounded_rows(df: DataFrame, cap: int) -> bool:
-    """True when ``df`` has at most ``cap`` rows (reads no more than cap + 1 rows)."""
+def bounded_rows(df: DataFrame, cap: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``cap`` rows and ``max_bytes`` bytes.
+
+    One job over ``df.limit(cap + 1)``: it never reads more than ``cap + 1`` rows,
+    so the probe stays cheap even when the frame is a billion-row table."""
     seen = df.__dict__.setdefault("_periodlens_row_bounds", {})
-    if cap in seen:
-        return seen[cap]
-    seen[cap] = _probe(df, cap)
-    return seen[cap]
+    if (cap, max_bytes) not in seen:
+        seen[(cap, max_bytes)] = _probe(df, cap, max_bytes)
+    return seen[(cap, max_bytes)]
 
 
-def _probe(df: DataFrame, cap: int) -> bool:
+def _probe(df: DataFrame, cap: int, max_bytes: int) -> bool:
     try:
-        key = (session_key(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
+        key = (session_key(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), cap, max_bytes)
     except Exception:  # noqa: BLE001 - plans without a stable identity are probed every time
         key = None
     if key is not None and key in _VERDICTS:
         return _VERDICTS[key]
-    verdict = df.limit(cap + 1).count() <= cap
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    stats = df.limit(cap + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+    verdict = stats["rows"] <= cap and (stats["bytes"] or 0) <= max_bytes
     if key is not None:
         _VERDICTS[key] = verdict
     return verdict

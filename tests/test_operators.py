@@ -274,3 +274,9 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
     write_parquet(feb, path, ("year", "month"), replace_partitions_only=True)
     got = sorted((r["month"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, 1.0), (2, 5.0)]
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    wide = spark.range(3).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("payload"))
+    assert bounded_rows(wide, 10)
+    assert not bounded_rows(wide, 10, max_bytes=20_000)
