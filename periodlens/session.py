@@ -10,7 +10,8 @@ correct results:
 
 Staging data (CSV round trips, checkpoints) goes to the folder named by
 ``spark.checkpoint.dir``, which a cluster points at shared storage. Only when the
-setting is absent (local runs, tests) is a local folder chosen and recorded.
+setting is absent and the master is local (local runs, tests) is a local folder
+chosen and recorded; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -71,6 +72,14 @@ def session_key(spark: SparkSession) -> str:
         return f"session-{id(spark)}"
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): assume a cluster
+        master = spark.conf.get("spark.master", "")
+    return str(master).startswith("local")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set up locally only if unset."""
     current = spark.conf.get(_CONF_CHECKPOINT, None)
@@ -80,6 +89,11 @@ def shared_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Spark Connect: the conf is the only source
         sc = None
     if not current:
+        if not _is_local(spark):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: point it at a folder on shared storage "
+                "(a machine-local folder is not visible to every executor)"
+            )
         current = tempfile.mkdtemp(prefix="periodlens-ckpt-")
         spark.conf.set(_CONF_CHECKPOINT, current)
     if sc is not None and sc.getCheckpointDir() is None:
