@@ -120,8 +120,10 @@ def station_names(spark: SparkSession) -> DataFrame:
 
 
 def write_dimension_csvs(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Write both dimension CSVs (header, UTF-8) below ``folder``."""
-    paths = {"area_mapping": f"{folder}/area_mapping", "exam_periods": f"{folder}/exam_periods"}
+    """Write both dimension CSVs (header, UTF-8) below ``folder`` (S9), as
+    ``area_mapping.csv`` and ``exam_periods.csv`` (Spark output folders; both
+    readable by path like single files)."""
+    paths = {"area_mapping": f"{folder}/area_mapping.csv", "exam_periods": f"{folder}/exam_periods.csv"}
     area_mapping_raw(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(paths["area_mapping"])
     exam_periods_raw(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(paths["exam_periods"])
     return paths

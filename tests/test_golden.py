@@ -148,17 +148,15 @@ def test_report_job_exports(spark, facts, tmp_path):
 def test_cli_jobs(spark, tmp_path):
     from periodlens import cli
 
-    (tmp_path / "people").mkdir()
-    (tmp_path / "subway").mkdir()
-    (tmp_path / "people" / "p.csv").write_bytes(("\n".join([PEOPLE_HEADER, *PEOPLE_ROWS]) + "\n").encode("utf-8"))
-    (tmp_path / "subway" / "s.csv").write_bytes(("\n".join([SUBWAY_HEADER, *SUBWAY_ROWS]) + "\n").encode("cp949"))
-    dims = write_dimension_csvs(spark, str(tmp_path / "dims"))
-    common = ["--mapping", dims["area_mapping"], "--periods", dims["exam_periods"]]
-    assert cli.main(["population", "--input", str(tmp_path / "people"), *common, "--output", str(tmp_path / "pop"),
-                     "--partition-by", "year,month"]) == 0
-    assert cli.main(["ridership", "--input", str(tmp_path / "subway"), *common, "--output", str(tmp_path / "rid"),
-                     "--encoding", "CP949", "--single-layout"]) == 0
-    assert cli.main(["reports", "--population", str(tmp_path / "pop"), "--ridership", str(tmp_path / "rid"),
-                     "--results", str(tmp_path / "results"), "--names", "did_subway_alighting"]) == 0
-    text = "".join(p.read_text() for p in (tmp_path / "results" / "did_subway_alighting").glob("part-*"))
+    base = tmp_path / "base"
+    (base / "raw" / "people").mkdir(parents=True)
+    (base / "raw" / "subway").mkdir(parents=True)
+    (base / "raw" / "people" / "p.csv").write_bytes(("\n".join([PEOPLE_HEADER, *PEOPLE_ROWS]) + "\n").encode("utf-8"))
+    (base / "raw" / "subway" / "s.csv").write_bytes(("\n".join([SUBWAY_HEADER, *SUBWAY_ROWS]) + "\n").encode("cp949"))
+    b = ["--base-dir", str(base)]
+    assert cli.main([*b, "dimensions"]) == 0
+    assert cli.main([*b, "population", "--partition-by", "year,month"]) == 0
+    assert cli.main([*b, "ridership", "--encoding", "CP949", "--single-layout"]) == 0
+    assert cli.main([*b, "reports", "--names", "did_subway_alighting"]) == 0
+    text = "".join(p.read_text() for p in (base / "results" / "did_subway_alighting").glob("part-*"))
     assert text.startswith("1,midterm,500.0,600.0,0.2,1000.0,550.0,-0.45,0.65")
