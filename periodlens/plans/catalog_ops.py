@@ -47,7 +47,7 @@ from ..operators.reshape import columns_to_rows, rows_to_columns
 from ..session import staging_path
 from ..sinks import create_database, export_report, register_fact_table, write_parquet
 from ..sources import testdata as td
-from ..sources.csv import normalize_to_utf8, read_csv_layouts, source_bytes
+from ..sources.csv import detect_encodings, normalize_to_utf8, read_csv_layouts, read_csv_strings, source_bytes
 from ..sources.dimensions import calendar_day_count, calendar_from_rows, local_table
 from .catalog import (
     SQL_CALENDAR,
@@ -311,6 +311,22 @@ def ridership_from_normalized_csv(spark, sf):
     return _ridership_fact_from_feed(spark, sf, folders, encoding="UTF-8")
 
 
+def csv_detect_encoding(spark, sf):
+    """Charset detected per file of the two-charset feed (S8), as data rows per
+    detected charset (file names and counts depend on the writer, rows do not)."""
+    by_charset: dict[str, list[str]] = {}
+    for path, charset in detect_encodings(spark, _write_ridership_feed(spark, sf)).items():
+        by_charset.setdefault(charset, []).append(path)
+    frames = [
+        read_csv_strings(spark, sorted(paths), charset).select(F.lit(charset).alias("charset"))
+        for charset, paths in sorted(by_charset.items())
+    ]
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    return rows.groupBy("charset").agg(F.count(F.lit(1)).alias("data_rows"))
+
+
 def dedupe_dimension(spark, sf):
     c = td.table(spark, sf, "customer")
     areas = td.area_of_nation(spark, sf)
@@ -415,6 +431,7 @@ QUERIES = {
     "population_from_csv": population_from_csv,
     "ridership_from_wide_csv": ridership_from_wide_csv,
     "ridership_from_normalized_csv": ridership_from_normalized_csv,
+    "csv_detect_encoding": csv_detect_encoding,
     "dedupe_dimension": dedupe_dimension,
     "literal_dimension_join": literal_dimension_join,
     "ordered_export_roundtrip": ordered_export_roundtrip,
@@ -527,6 +544,13 @@ FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
     "population_from_csv": REPORT_SQL["fact_population"],
     "ridership_from_wide_csv": REPORT_SQL["fact_ridership"],
     "ridership_from_normalized_csv": REPORT_SQL["fact_ridership"],
+    "csv_detect_encoding": """WITH w AS (
+  SELECT DISTINCT CAST(e.ts AS DATE) AS d, n.n_name,
+    CASE WHEN e.event_type = 'purchase' THEN 'exit' ELSE 'entry' END AS direction
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE hour(e.ts) >= 18 OR hour(e.ts) <= 2)
+SELECT CASE WHEN day(d) <= 15 THEN 'UTF-8' ELSE 'CP949' END AS charset, COUNT(*) AS data_rows
+FROM w GROUP BY 1""",
     "dedupe_dimension": """SELECT DISTINCT CAST(n.n_nationkey AS VARCHAR) AS area_id, n.n_name AS area_name,
   c.c_mktsegment AS unit_code
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
