@@ -103,22 +103,14 @@ def did(
     treatment: Sequence[str] = TREATMENT_AREA_TYPES,
     control: Sequence[str] = CONTROL_AREA_TYPES,
 ) -> DataFrame:
-    """Difference in differences of the after-vs-before lift, treatment vs control."""
-    names = {
-        ("treatment", "before"): f"treatment_before_{suffix}",
-        ("treatment", "after"): f"treatment_after_{suffix}",
-        ("control", "before"): f"control_before_{suffix}",
-        ("control", "after"): f"control_after_{suffix}",
-    }
-    members = sorted(set(treatment) | set(control))
-    rows = period_rows(fact, ("before", "after")).filter(F.col("area_type").isin(*members))
-    aggs = [
-        conditional_avg(measure, F.col("area_type").isin(*(treatment if g == "treatment" else control)) & (F.col("phase") == p)).alias(n)
-        for (g, p), n in names.items()
-    ]
-    tb, ta = names[("treatment", "before")], names[("treatment", "after")]
-    cb, ca = names[("control", "before")], names[("control", "after")]
-    return rows.groupBy(*keys).agg(*aggs).select(
+    """Difference in differences of the after-vs-before lift, treatment vs control
+    (A13, A14, P14): one group x phase pivot, then the two lifts and their gap."""
+    pivot = group_phase_avg(
+        fact, keys, measure, {"treatment": treatment, "control": control}, name_fmt="{group}_{phase}_" + suffix
+    )
+    tb, ta = f"treatment_before_{suffix}", f"treatment_after_{suffix}"
+    cb, ca = f"control_before_{suffix}", f"control_after_{suffix}"
+    return pivot.select(
         *keys,
         tb,
         ta,
