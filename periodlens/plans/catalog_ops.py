@@ -58,7 +58,7 @@ from .catalog import (
     rounded,
     sql_population,
 )
-from .reports import REPORTS, area_type_change, population_phase_change, young_population_lift
+from .reports import REPORTS, area_type_change, hotplace_rank_compare, population_phase_change, young_population_lift
 
 NIGHT_HOURS = [18, 19, 20, 21, 22, 23, 0, 1, 2]
 
@@ -185,6 +185,20 @@ def _order_fact(spark, sf, by_year):
     )
 
 
+def _order_ridership_fact(spark, sf, by_year):
+    obs = td.order_observations(spark, sf).select("date", "hour", "unit_code", F.lit(1).cast("long").alias("alighting_count"))
+    return ridership_fact(
+        obs, td.unit_areas(spark, sf), td.order_calendar(spark), by_year=by_year, calendar_days=td.ORDER_CALENDAR_DAYS
+    )
+
+
+def rank_compare_by_exam_year(spark, sf):
+    """R4 with the calendar year as a key on both facts and in the join."""
+    pop = _order_fact(spark, sf, True)
+    rid = _order_ridership_fact(spark, sf, True)
+    return rounded(hotplace_rank_compare(pop, rid, by_year=True))
+
+
 def pooled_by_exam(spark, sf):
     return rounded(population_phase_change(_order_fact(spark, sf, False), None))
 
@@ -427,6 +441,7 @@ QUERIES = {
     "late_night_previous_day": late_night_previous_day,
     "pooled_by_exam": pooled_by_exam,
     "pooled_by_exam_year": pooled_by_exam_year,
+    "rank_compare_by_exam_year": rank_compare_by_exam_year,
     "unpivot_hours": unpivot_hours,
     "population_from_csv": population_from_csv,
     "ridership_from_wide_csv": ridership_from_wide_csv,
@@ -538,6 +553,33 @@ SELECT date, year, month, day_of_week, day_of_week_num, is_weekend, hour, time_b
 FROM lpop""",
     "pooled_by_exam": _order_r1_sql(False),
     "pooled_by_exam_year": _order_r1_sql(True),
+    "rank_compare_by_exam_year": f"""WITH {_ORDER_CAL},{SQL_UNITS},
+f AS (
+  SELECT c.semester, c.exam_type, c.exam_year, u.area_id, u.area_name, u.area_type, c.phase,
+    CAST(o.o_orderdate AS DATE) AS d,
+    CAST(SUM(CAST(ROUND(o.o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS tot,
+    COUNT(*) AS n
+  FROM orders o JOIN units u ON o.o_custkey = u.unit_code
+  JOIN ocal c ON CAST(o.o_orderdate AS DATE) BETWEEN c.start_date AND c.end_date
+  WHERE hour(o.o_orderdate) >= 18 OR hour(o.o_orderdate) <= 2
+  GROUP BY ALL),
+p AS (
+  SELECT semester, exam_type, exam_year, area_id, area_name, area_type, AVG(tot) AS ap
+  FROM f WHERE phase = 'after' AND semester IS NOT NULL
+  GROUP BY semester, exam_type, exam_year, area_id, area_name, area_type),
+r AS (
+  SELECT semester, exam_type, exam_year, area_id, AVG(n) AS aa
+  FROM f WHERE phase = 'after' AND semester IS NOT NULL
+  GROUP BY semester, exam_type, exam_year, area_id),
+j AS (
+  SELECT p.*, r.aa,
+    ROW_NUMBER() OVER (PARTITION BY p.semester, p.exam_type, p.exam_year ORDER BY p.ap DESC NULLS LAST, p.area_id) AS population_rank,
+    ROW_NUMBER() OVER (PARTITION BY p.semester, p.exam_type, p.exam_year ORDER BY r.aa DESC NULLS LAST, p.area_id) AS subway_rank
+  FROM p JOIN r ON p.semester = r.semester AND p.exam_type = r.exam_type AND p.exam_year = r.exam_year
+    AND p.area_id = r.area_id)
+SELECT semester, exam_type, exam_year, area_id, area_name, area_type, ROUND(ap, 6) AS after_population,
+  ROUND(aa, 6) AS after_alighting, population_rank, subway_rank, population_rank - subway_rank AS rank_gap
+FROM j""",
     "unpivot_hours": """SELECT CAST(ts AS DATE) AS date, user_id AS unit_code, CAST(hour(ts) AS INTEGER) AS hour,
   COUNT(*) AS events
 FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
