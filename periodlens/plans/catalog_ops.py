@@ -58,7 +58,14 @@ from .catalog import (
     rounded,
     sql_population,
 )
-from .reports import REPORTS, area_type_change, hotplace_rank_compare, population_phase_change, young_population_lift
+from .reports import (
+    REPORTS,
+    area_type_change,
+    did_subway_alighting,
+    hotplace_rank_compare,
+    population_phase_change,
+    young_population_lift,
+)
 
 NIGHT_HOURS = [18, 19, 20, 21, 22, 23, 0, 1, 2]
 
@@ -199,6 +206,11 @@ def rank_compare_by_exam_year(spark, sf):
     return rounded(hotplace_rank_compare(pop, rid, by_year=True))
 
 
+def did_exits_by_exam_year(spark, sf):
+    """R10 (difference in differences of exits) with the calendar year as a key."""
+    return rounded(did_subway_alighting(None, _order_ridership_fact(spark, sf, True), by_year=True))
+
+
 def pooled_by_exam(spark, sf):
     return rounded(population_phase_change(_order_fact(spark, sf, False), None))
 
@@ -442,6 +454,7 @@ QUERIES = {
     "pooled_by_exam": pooled_by_exam,
     "pooled_by_exam_year": pooled_by_exam_year,
     "rank_compare_by_exam_year": rank_compare_by_exam_year,
+    "did_exits_by_exam_year": did_exits_by_exam_year,
     "unpivot_hours": unpivot_hours,
     "population_from_csv": population_from_csv,
     "ridership_from_wide_csv": ridership_from_wide_csv,
@@ -580,6 +593,29 @@ j AS (
 SELECT semester, exam_type, exam_year, area_id, area_name, area_type, ROUND(ap, 6) AS after_population,
   ROUND(aa, 6) AS after_alighting, population_rank, subway_rank, population_rank - subway_rank AS rank_gap
 FROM j""",
+    "did_exits_by_exam_year": f"""WITH {_ORDER_CAL},{SQL_UNITS},
+f AS (
+  SELECT c.semester, c.exam_type, c.exam_year, u.area_type, c.phase, CAST(o.o_orderdate AS DATE) AS d,
+    u.area_id, u.area_name, COUNT(*) AS n
+  FROM orders o JOIN units u ON o.o_custkey = u.unit_code
+  JOIN ocal c ON CAST(o.o_orderdate AS DATE) BETWEEN c.start_date AND c.end_date
+  WHERE hour(o.o_orderdate) >= 18 OR hour(o.o_orderdate) <= 2
+  GROUP BY ALL),
+g AS (
+  SELECT semester, exam_type, exam_year,
+    AVG(CASE WHEN area_type IN ('university', 'culture_university', 'university_nightlife') AND phase = 'before' THEN n END) AS tb,
+    AVG(CASE WHEN area_type IN ('university', 'culture_university', 'university_nightlife') AND phase = 'after' THEN n END) AS ta,
+    AVG(CASE WHEN area_type IN ('nightlife', 'nightlife_business') AND phase = 'before' THEN n END) AS cb,
+    AVG(CASE WHEN area_type IN ('nightlife', 'nightlife_business') AND phase = 'after' THEN n END) AS ca
+  FROM f WHERE phase IN ('before', 'after') AND semester IS NOT NULL
+    AND area_type IN ('university', 'culture_university', 'university_nightlife', 'nightlife', 'nightlife_business')
+  GROUP BY semester, exam_type, exam_year)
+SELECT semester, exam_type, exam_year, ROUND(tb, 6) AS treatment_before_alighting, ROUND(ta, 6) AS treatment_after_alighting,
+  ROUND(CASE WHEN tb > 0 THEN (ta - tb) / tb END, 6) AS treatment_lift,
+  ROUND(cb, 6) AS control_before_alighting, ROUND(ca, 6) AS control_after_alighting,
+  ROUND(CASE WHEN cb > 0 THEN (ca - cb) / cb END, 6) AS control_lift,
+  ROUND(CASE WHEN tb > 0 AND cb > 0 THEN (ta - tb) / tb - (ca - cb) / cb END, 6) AS did_lift
+FROM g""",
     "unpivot_hours": """SELECT CAST(ts AS DATE) AS date, user_id AS unit_code, CAST(hour(ts) AS INTEGER) AS hour,
   COUNT(*) AS events
 FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
