@@ -62,14 +62,39 @@ def ranked(
     order: str,
     name: str = "rank_no",
     tiebreak: Sequence[str] = ("area_id",),
+    method: str = "window",
+    num_ranges: int | None = None,
 ) -> DataFrame:
     """ROW_NUMBER per ``partition`` by ``order`` DESC NULLS LAST.
 
-    ``tiebreak`` columns make the numbering deterministic for equal values. The
-    frame is an aggregate (areas x periods), so the window's shuffle is small.
+    ``tiebreak`` columns make the numbering deterministic for equal values.
+
+    ``method="window"`` (used by the reports) is one window: every row of a
+    group is numbered in one task, which suits report aggregates, whose size is
+    bounded by the number of areas. ``method="range"`` numbers a frame of any size
+    without sending a group to one task: the rows are range-partitioned on the
+    full sort key (a large group spans several ranges), numbered within each
+    (group, range), and shifted by the row counts of the group's earlier ranges.
     """
-    w = Window.partitionBy(*partition).orderBy(F.col(order).desc_nulls_last(), *[F.col(t).asc() for t in tiebreak])
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    sort = [F.col(order).desc_nulls_last(), *[F.col(t).asc() for t in tiebreak]]
+    if method == "window":
+        w = Window.partitionBy(*partition).orderBy(*sort)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    if method != "range":
+        raise ValueError("method must be 'window' or 'range'")
+    spread = df.repartitionByRange(
+        num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        *[F.col(p).asc() for p in partition], *sort,
+    ).withColumn("_range", F.spark_partition_id())
+    local = spread.withColumn(
+        "_local", F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*sort))
+    )
+    counts = spread.groupBy(*partition, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*partition, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    # one row per (group, range): bounded by groups x ranges, so it is broadcast
+    joined = local.join(F.broadcast(offsets), [*partition, "_range"], "inner")
+    return joined.withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint")).drop("_range", "_local", "_offset")
 
 
 def group_phase_avg(

@@ -85,3 +85,18 @@ def test_rollup_preserves_totals_with_one_to_one_mapping(spark, obs):
     cal = _calendar(spark, [("midterm", "before", 0, 3)])
     fact = population_fact(df, units, cal, scale=2)
     assert round(sum(r["total_population"] for r in fact.collect()), 2) == round(sum(v for _, _, _, v in obs) / 100.0, 2)
+
+
+def test_range_ranking_matches_window_with_a_hot_group(spark):
+    from pyspark.sql import functions as F
+
+    n = 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string"))).alias("grp"),
+        F.concat(F.lit("a"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("area_id"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") * 7919 % 101).cast("double")).alias("lift"),
+    )
+    a = {(r["grp"], r["area_id"]): r["rank_no"] for r in ranked(df, ["grp"], "lift").collect()}
+    b = {(r["grp"], r["area_id"]): r["rank_no"] for r in ranked(df, ["grp"], "lift", method="range", num_ranges=6).collect()}
+    c = {(r["grp"], r["area_id"]): r["rank_no"] for r in ranked(df, ["grp"], "lift", method="range").collect()}
+    assert a == b == c and len(a) == n
