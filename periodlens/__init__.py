@@ -13,7 +13,7 @@ Main entry points::
 
 from .operators.facts import Measure, population_fact, ridership_fact, rollup_fact
 from .operators.joins import join_dimension
-from .operators.metrics import did, group_phase_avg, phase_avg, ranked, zscore
+from .operators.metrics import did, group_phase_avg, phase_avg, ranked, with_zscores
 from .operators.periods import expand_calendar, label_periods, overlapping_periods
 from .plans.reports import REPORTS, run_report
 from .session import configure
@@ -23,5 +23,5 @@ __version__ = "0.1.0"
 __all__ = [
     "Measure", "REPORTS", "configure", "did", "expand_calendar", "group_phase_avg", "join_dimension",
     "label_periods", "overlapping_periods", "phase_avg", "population_fact", "ranked", "ridership_fact",
-    "rollup_fact", "run_report", "zscore",
+    "rollup_fact", "run_report", "with_zscores",
 ]

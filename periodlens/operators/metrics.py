@@ -147,9 +147,36 @@ def did(
     )
 
 
-def zscore(col: str, partition: Sequence[str]) -> Column:
-    """(x - mean) / population standard deviation within ``partition``; NULL when
-    the deviation is 0 or undefined (X1)."""
-    w = Window.partitionBy(*partition)
-    sd = F.stddev_pop(col).over(w)
-    return F.when(sd > 0, (F.col(col) - F.avg(col).over(w)) / sd)
+def with_zscores(
+    df: DataFrame, columns: dict[str, str], partition: Sequence[str], method: str = "window"
+) -> DataFrame:
+    """Append ``name = (x - mean) / population standard deviation`` within
+    ``partition`` for each ``name: x`` of ``columns`` (X1); NULL when the deviation
+    is 0 or undefined.
+
+    ``method="window"`` (used by the reports) computes the statistics with a window
+    in the same pass; each group is handled by one task, which suits report
+    aggregates bounded by the number of areas. ``method="aggregate"`` takes the
+    statistics from a ``groupBy`` (partially aggregated, so no group is gathered
+    into one task) joined back on the partition keys; ``df`` is then read twice,
+    so materialize a large ``df`` first (e.g. write it as a table).
+    """
+    if method == "window":
+        w = Window.partitionBy(*partition)
+        scores = []
+        for n, x in columns.items():
+            sd = F.stddev_pop(x).over(w)
+            scores.append(F.when(sd > 0, (F.col(x) - F.avg(x).over(w)) / sd).alias(n))
+        return df.select("*", *scores)
+    if method != "aggregate":
+        raise ValueError("method must be 'window' or 'aggregate'")
+    stats = df.groupBy(*partition).agg(
+        *[F.avg(x).alias(f"_mean_{n}") for n, x in columns.items()],
+        *[F.stddev_pop(x).alias(f"_sd_{n}") for n, x in columns.items()],
+    )
+    joined = df.join(stats, list(partition), "left")
+    scores = [
+        F.when(F.col(f"_sd_{n}") > 0, (F.col(x) - F.col(f"_mean_{n}")) / F.col(f"_sd_{n}")).alias(n)
+        for n, x in columns.items()
+    ]
+    return joined.select(*df.columns, *scores)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import lift
-from ..operators.metrics import did, phase_avg, ranked, with_lifts, zscore
+from ..operators.metrics import did, phase_avg, ranked, with_lifts, with_zscores
 
 AREA = ["area_id", "area_name", "area_type"]
 
@@ -214,11 +214,10 @@ def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool =
         lift("before_young_population", "after_young_population").alias("young_after_lift"),
         lift("before_alighting", "after_alighting").alias("alighting_after_lift"),
     )
-    scored = joined.select(
-        "*",
-        zscore("after_population", pk).alias("z_population"),
-        zscore("young_after_lift", pk).alias("z_young_lift"),
-        zscore("alighting_after_lift", pk).alias("z_alighting_lift"),
+    scored = with_zscores(
+        joined,
+        {"z_population": "after_population", "z_young_lift": "young_after_lift", "z_alighting_lift": "alighting_after_lift"},
+        pk,
     ).withColumn("hotplace_score", F.col("z_population") + F.col("z_young_lift") + F.col("z_alighting_lift"))
     return ranked(scored, pk, "hotplace_score", "hotplace_rank")
 

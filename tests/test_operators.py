@@ -19,7 +19,7 @@ from periodlens.functions.columns import (
 from periodlens.operators.facts import population_fact, ridership_fact
 from periodlens.operators.ingest import resolve_hour_columns, subway_observations
 from periodlens.operators.joins import bounded_rows, join_dimension
-from periodlens.operators.metrics import ranked, zscore
+from periodlens.operators.metrics import ranked, with_zscores
 from periodlens.operators.periods import expand_calendar, label_periods, overlapping_periods
 from periodlens.operators.quality import EmptyStageError, Gates, is_nonempty
 from periodlens.operators.reshape import columns_to_rows, rows_to_columns
@@ -85,9 +85,11 @@ def test_ranked_ties_and_nulls(spark):
     assert got == {"d": 1, "a": 2, "b": 3, "c": 4}
 
 
-def test_zscore_constant_is_null(spark):
-    df = spark.createDataFrame([("p", 1.0), ("p", 1.0)], "k string, x double")
-    assert [r["z"] for r in df.select(zscore("x", ["k"]).alias("z")).collect()] == [None, None]
+@pytest.mark.parametrize("method", ["window", "aggregate"])
+def test_zscores(spark, method):
+    df = spark.createDataFrame([("p", 1.0), ("p", 1.0), ("q", 1.0), ("q", 3.0)], "k string, x double")
+    got = sorted((r["k"], r["x"], r["z"]) for r in with_zscores(df, {"z": "x"}, ["k"], method).collect())
+    assert got == [("p", 1.0, None), ("p", 1.0, None), ("q", 1.0, -1.0), ("q", 3.0, 1.0)]
 
 
 PERIODS = [
