@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .plans.reports import REPORTS, order_columns
+from .session import shared_dir
 
 POPULATION_FACT_SCHEMA = T.StructType(
     [
@@ -53,6 +54,15 @@ def write_parquet(
     writer.parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the session's
+    ``spark.checkpoint.dir`` (shared storage on a cluster), e.g. to reuse facts
+    for several reports in one session. Lost executors then re-read the
+    checkpoint instead of recomputing the raw scan."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def read_fact(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A fact directory with its fixed schema (S6): no inference job."""
     return spark.read.schema(FACT_SCHEMAS[table]).parquet(path)

@@ -282,3 +282,12 @@ def test_broadcast_bound_counts_bytes(spark):
     wide = spark.range(3).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("payload"))
     assert bounded_rows(wide, 10)
     assert not bounded_rows(wide, 10, max_bytes=20_000)
+
+
+def test_checkpointed_cuts_lineage(spark):
+    from periodlens.sinks import checkpointed
+
+    df = spark.range(10).withColumn("y", F.col("id") * 2)
+    cp = checkpointed(df)
+    assert cp.count() == 10
+    assert "LogicalRDD" in cp._jdf.queryExecution().logical().toString()
