@@ -109,6 +109,22 @@ def test_r4(facts):
     assert got == {"hongdae": (1, 2, -1), "shinchon": (2, 1, 1)}
 
 
+def test_r5_r6_r7(facts):
+    r5 = {r["area_type"]: (r["before_population"], r["after_population"], approx(r["population_after_lift"]),
+                           r["before_young_population"], r["after_young_population"], approx(r["young_after_lift"]),
+                           r["before_alighting"], r["after_alighting"], approx(r["alighting_after_lift"]))
+          for r in report(facts, "area_type_change").collect()}
+    assert r5 == {
+        "nightlife": (150.0, 300.0, 1.0, 55.0, 120.0, 1.181818, 1000.0, 550.0, -0.45),
+        "university": (200.0, 100.0, -0.5, 80.0, 60.0, -0.25, 500.0, 600.0, 0.2),
+    }
+    r6 = {(r["area_id"], r["time_band"]): (approx(r["young_after_lift"]), r["rank_no"]) for r in report(facts, "time_band_young_lift").collect()}
+    assert r6 == {("hongdae", "evening"): (1.181818, 1), ("shinchon", "evening"): (-0.25, 2)}
+    r7 = {(r["area_id"], r["is_weekend"]): (approx(r["young_after_lift"]), approx(r["alighting_after_lift"]))
+          for r in report(facts, "weekend_effect").collect()}
+    assert r7 == {("hongdae", False): (1.181818, -0.45), ("shinchon", False): (-0.25, 0.2)}
+
+
 def test_r8(facts):
     got = [(r["area_id"], r["normal_young_population"], r["after_young_population"], approx(r["young_after_vs_normal_lift"]),
             r["normal_total_population"], r["after_total_population"], approx(r["total_after_vs_normal_lift"]))
