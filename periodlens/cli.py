@@ -1,14 +1,14 @@
-"""Command-line entry for the three jobs (K5: every path is an argument).
-
-    spark-submit -m periodlens.cli --base-dir /data/analysis dimensions
-    spark-submit -m periodlens.cli --base-dir /data/analysis population
-    spark-submit -m periodlens.cli population --input raw/people/ --mapping m.csv \
-        --periods p.csv --output processed/area_population
-    spark-submit -m periodlens.cli ridership  --input raw/subway/ ... --output processed/area_subway
-    spark-submit -m periodlens.cli reports    --population processed/area_population \
+"""Command-line entry for the jobs (K5: every path is an argument or derives
+from ``--base-dir``).
+
+    spark-submit --py-files periodlens.zip jobs.py --base-dir /data/analysis dimensions
+    spark-submit --py-files periodlens.zip jobs.py --base-dir /data/analysis population
+    python -m periodlens.cli ridership --input raw/subway/ --mapping m.csv --periods p.csv \
+        --output processed/area_subway
+    python -m periodlens.cli reports --population processed/area_population \
         --ridership processed/area_subway --results results --database analysis
 
-The session comes from the cluster (``getOrCreate``); only the settings the
+The session comes from the submitter (``getOrCreate``); only the settings the
 library needs are applied on top.
 """
 
