@@ -28,8 +28,18 @@ class Gates:
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def counts(self) -> dict[str, int]:
-        """Row count per watched stage (available after an action ran the plan)."""
-        return {label: int(obs.get.get("rows", 0)) for label, obs in self._stages}
+        """Row count per watched stage (available after an action ran the plan).
+
+        A stage below an empty one may be pruned from the executed plan (AQE
+        propagates empty relations), so its observation never reports: no row
+        reached it, and it counts as 0."""
+        out = {}
+        for label, obs in self._stages:
+            try:
+                out[label] = int((obs.get or {}).get("rows", 0))
+            except Exception:  # noqa: BLE001 - unreported observation
+                out[label] = 0
+        return out
 
     def check(self) -> dict[str, int]:
         counts = self.counts()

@@ -14,6 +14,7 @@ from ..operators.facts import population_fact, ridership_fact
 from ..operators.ingest import people_observations, subway_observations
 from ..operators.joins import join_dimension
 from ..operators.quality import Gates
+from ..session import staging_path
 from ..sinks import export_report, read_fact, save_table, write_parquet
 from ..sources.csv import read_csv_layouts
 from ..sources.dimensions import (
@@ -81,11 +82,18 @@ def population_job(
 def ridership_job(
     spark, subway_path, mapping_path, periods_path, output, partition_by=(), replace_partitions_only=False, **options
 ) -> dict[str, int]:
+    """Build the ridership fact; publish it to ``output`` only if every stage
+    produced rows. The fact is first written to the shared staging folder (one
+    pass over the raw feed, gates counted by that job), then copied: the copy
+    reads the small aggregated fact, and a failed gate leaves ``output`` as it was."""
     gates = Gates("ridership")
     fact = ridership_fact_from_csv(spark, subway_path, mapping_path, periods_path, gates=gates, **options)
     fact = gates.watch(fact, "area mapping and roll-up")
-    write_parquet(fact, output, partition_by, replace_partitions_only)
-    return gates.check()
+    staged = staging_path(spark, "ridership-fact")
+    write_parquet(fact, staged)
+    counts = gates.check()
+    write_parquet(spark.read.parquet(staged), output, partition_by, replace_partitions_only)
+    return counts
 
 
 def report_job(

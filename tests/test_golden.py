@@ -176,3 +176,17 @@ def test_cli_jobs(spark, tmp_path):
     assert cli.main([*b, "reports", "--names", "did_subway_alighting"]) == 0
     text = "".join(p.read_text() for p in (base / "results" / "did_subway_alighting").glob("part-*"))
     assert text.startswith("1,midterm,500.0,600.0,0.2,1000.0,550.0,-0.45,0.65")
+
+
+def test_failed_gate_keeps_previous_output(spark, tmp_path):
+    from periodlens.operators.quality import EmptyStageError
+
+    (tmp_path / "subway").mkdir()
+    boarding_only = [r for r in SUBWAY_ROWS if "승차" in r]
+    (tmp_path / "subway" / "s.csv").write_bytes(("\n".join([SUBWAY_HEADER, *boarding_only]) + "\n").encode("cp949"))
+    dims = write_dimension_csvs(spark, str(tmp_path / "dims"))
+    out = str(tmp_path / "rid")
+    spark.range(3).write.parquet(out)
+    with pytest.raises(EmptyStageError):
+        pipelines.ridership_job(spark, str(tmp_path / "subway"), dims["area_mapping"], dims["exam_periods"], out)
+    assert spark.read.parquet(out).count() == 3
