@@ -12,7 +12,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import did_lift, lift
+from ..functions.columns import did_lift, lift, to_units
 from ..sources.dimensions import CONTROL_AREA_TYPES, TREATMENT_AREA_TYPES
 
 
@@ -20,9 +20,19 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def conditional_avg(measure: Column | str, condition: Column) -> Column:
+def exact_avg(measure: Column | str, scale: int | None = None) -> Column:
+    """AVG of ``measure``. With ``scale`` (values recorded with that many decimals)
+    the sum is taken exactly in integer units: (sum of units / count) / 10^scale,
+    so the result does not depend on the order the rows are summed in."""
+    if scale is None:
+        return F.avg(_c(measure))
+    x = _c(measure)
+    return F.sum(to_units(x, scale)) / F.count(x) / float(10**scale)
+
+
+def conditional_avg(measure: Column | str, condition: Column, scale: int | None = None) -> Column:
     """AVG over the rows where ``condition`` holds (A3): AVG(CASE WHEN c THEN x END)."""
-    return F.avg(F.when(condition, _c(measure)))
+    return exact_avg(F.when(condition, _c(measure)), scale)
 
 
 def period_rows(fact: DataFrame, phases: Iterable[str], require_semester: bool = True) -> DataFrame:
@@ -39,15 +49,18 @@ def phase_avg(
     keys: Sequence[str],
     outputs: Sequence[tuple[str, str, str]],
     require_semester: bool = True,
+    scales: dict[str, int] | None = None,
 ) -> DataFrame:
     """Phase pivot (A3-A12): for each ``(name, measure, phase)`` the AVG of
-    ``measure`` over the rows in ``phase``, grouped by ``keys``, in one pass."""
+    ``measure`` over the rows in ``phase``, grouped by ``keys``, in one pass.
+    ``scales`` gives the decimal scale of measures to average exactly."""
+    scales = scales or {}
     phases = sorted({p for _, _, p in outputs})
     rows = period_rows(fact, phases, require_semester)
     if len(phases) == 1:
-        aggs = [F.avg(m).alias(n) for n, m, _ in outputs]
+        aggs = [exact_avg(m, scales.get(m)).alias(n) for n, m, _ in outputs]
     else:
-        aggs = [conditional_avg(m, F.col("phase") == p).alias(n) for n, m, p in outputs]
+        aggs = [conditional_avg(m, F.col("phase") == p, scales.get(m)).alias(n) for n, m, p in outputs]
     return rows.groupBy(*keys).agg(*aggs)
 
 
@@ -105,13 +118,14 @@ def group_phase_avg(
     phases: Sequence[str] = ("before", "after"),
     group_col: str = "area_type",
     name_fmt: str = "{group}_{phase}",
+    scale: int | None = None,
 ) -> DataFrame:
     """Group x phase pivot (A13, A14): AVG of ``measure`` for each (group, phase),
     only over rows whose ``group_col`` is in one of the groups (F6)."""
     members = sorted({v for vs in groups.values() for v in vs})
     rows = period_rows(fact, phases).filter(F.col(group_col).isin(*members))
     aggs = [
-        conditional_avg(measure, F.col(group_col).isin(*vals) & (F.col("phase") == p)).alias(
+        conditional_avg(measure, F.col(group_col).isin(*vals) & (F.col("phase") == p), scale).alias(
             name_fmt.format(group=g, phase=p)
         )
         for g, vals in groups.items()
@@ -127,11 +141,13 @@ def did(
     keys: Sequence[str] = ("semester", "exam_type"),
     treatment: Sequence[str] = TREATMENT_AREA_TYPES,
     control: Sequence[str] = CONTROL_AREA_TYPES,
+    scale: int | None = None,
 ) -> DataFrame:
     """Difference in differences of the after-vs-before lift, treatment vs control
     (A13, A14, P14): one group x phase pivot, then the two lifts and their gap."""
     pivot = group_phase_avg(
-        fact, keys, measure, {"treatment": treatment, "control": control}, name_fmt="{group}_{phase}_" + suffix
+        fact, keys, measure, {"treatment": treatment, "control": control},
+        name_fmt="{group}_{phase}_" + suffix, scale=scale,
     )
     tb, ta = f"treatment_before_{suffix}", f"treatment_after_{suffix}"
     cb, ca = f"control_before_{suffix}", f"control_after_{suffix}"

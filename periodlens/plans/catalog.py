@@ -83,7 +83,7 @@ def event_facts(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame,
 def _report_query(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pop, rid = event_facts(spark, sf_dir)
-        return rounded(REPORTS[name].build(pop, rid))
+        return rounded(REPORTS[name].build(pop, rid, scales=td.MEASURE_SCALES))
 
     run.__name__ = f"report_{name}"
     return run
@@ -193,6 +193,16 @@ def _lift(base: str, new: str) -> str:
     return f"CASE WHEN {base} > 0 THEN ({new} - {base}) / {base} END"
 
 
+def _xavg(col: str, cond: str | None = None) -> str:
+    """Exact average of a cent-valued column: (sum of cents / count) / 100."""
+    if cond is None:
+        return f"CAST(SUM(CAST(ROUND({col} * 100) AS BIGINT)) AS DOUBLE) / COUNT({col}) / 100.0"
+    return (
+        f"CAST(SUM(CASE WHEN {cond} THEN CAST(ROUND({col} * 100) AS BIGINT) END) AS DOUBLE)"
+        f" / COUNT(CASE WHEN {cond} THEN {col} END) / 100.0"
+    )
+
+
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["fact_population"] = f"""{_FACTS}
@@ -207,9 +217,9 @@ SELECT * FROM rid"""
 ORACLE_SQL["report_population_phase_change"] = f"""{_FACTS},
 s AS (
   SELECT semester, exam_type, area_id, area_name, area_type,
-    AVG(CASE WHEN phase = 'before' THEN total_population END) AS b,
-    AVG(CASE WHEN phase = 'during' THEN total_population END) AS du,
-    AVG(CASE WHEN phase = 'after' THEN total_population END) AS a
+    {_xavg("total_population", "phase = 'before'")} AS b,
+    {_xavg("total_population", "phase = 'during'")} AS du,
+    {_xavg("total_population", "phase = 'after'")} AS a
   FROM pop WHERE phase IN ('before', 'during', 'after') AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type)
 SELECT semester, exam_type, area_id, area_name, area_type,
@@ -220,8 +230,8 @@ FROM s"""
 ORACLE_SQL["report_young_population_lift"] = f"""{_FACTS},
 s AS (
   SELECT semester, exam_type, area_id, area_name, area_type,
-    AVG(CASE WHEN phase = 'before' THEN young_20s_population END) AS b,
-    AVG(CASE WHEN phase = 'after' THEN young_20s_population END) AS a
+    {_xavg("young_20s_population", "phase = 'before'")} AS b,
+    {_xavg("young_20s_population", "phase = 'after'")} AS a
   FROM pop WHERE phase IN ('before', 'after') AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type),
 l AS (SELECT *, {_lift('b', 'a')} AS lift FROM s)
@@ -245,7 +255,7 @@ FROM l"""
 
 ORACLE_SQL["report_hotplace_rank_compare"] = f"""{_FACTS},
 p AS (
-  SELECT semester, exam_type, area_id, area_name, area_type, AVG(total_population) AS ap
+  SELECT semester, exam_type, area_id, area_name, area_type, {_xavg("total_population")} AS ap
   FROM pop WHERE phase = 'after' AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type),
 r AS (
@@ -264,10 +274,10 @@ FROM j"""
 ORACLE_SQL["report_area_type_change"] = f"""{_FACTS},
 p AS (
   SELECT semester, exam_type, area_type,
-    AVG(CASE WHEN phase = 'before' THEN total_population END) AS bp,
-    AVG(CASE WHEN phase = 'after' THEN total_population END) AS ap,
-    AVG(CASE WHEN phase = 'before' THEN young_20s_population END) AS by_,
-    AVG(CASE WHEN phase = 'after' THEN young_20s_population END) AS ay
+    {_xavg("total_population", "phase = 'before'")} AS bp,
+    {_xavg("total_population", "phase = 'after'")} AS ap,
+    {_xavg("young_20s_population", "phase = 'before'")} AS by_,
+    {_xavg("young_20s_population", "phase = 'after'")} AS ay
   FROM pop WHERE phase IN ('before', 'after') AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_type),
 r AS (
@@ -285,8 +295,8 @@ FROM p JOIN r ON p.semester = r.semester AND p.exam_type = r.exam_type AND p.are
 ORACLE_SQL["report_time_band_young_lift"] = f"""{_FACTS},
 s AS (
   SELECT semester, exam_type, area_id, area_name, area_type, time_band,
-    AVG(CASE WHEN phase = 'before' THEN young_20s_population END) AS b,
-    AVG(CASE WHEN phase = 'after' THEN young_20s_population END) AS a
+    {_xavg("young_20s_population", "phase = 'before'")} AS b,
+    {_xavg("young_20s_population", "phase = 'after'")} AS a
   FROM pop WHERE phase IN ('before', 'after') AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type, time_band),
 l AS (SELECT *, {_lift('b', 'a')} AS lift FROM s)
@@ -298,8 +308,8 @@ FROM l"""
 ORACLE_SQL["report_weekend_effect"] = f"""{_FACTS},
 p AS (
   SELECT semester, exam_type, area_id, area_name, area_type, is_weekend,
-    AVG(CASE WHEN phase = 'before' THEN young_20s_population END) AS by_,
-    AVG(CASE WHEN phase = 'after' THEN young_20s_population END) AS ay
+    {_xavg("young_20s_population", "phase = 'before'")} AS by_,
+    {_xavg("young_20s_population", "phase = 'after'")} AS ay
   FROM pop WHERE phase IN ('before', 'after') AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type, is_weekend),
 r AS (
@@ -316,11 +326,11 @@ FROM p JOIN r ON p.semester = r.semester AND p.exam_type = r.exam_type AND p.are
 
 ORACLE_SQL["report_after_vs_normal"] = f"""{_FACTS},
 n AS (
-  SELECT area_id, area_name, area_type, AVG(young_20s_population) AS ny, AVG(total_population) AS nt
+  SELECT area_id, area_name, area_type, {_xavg("young_20s_population")} AS ny, {_xavg("total_population")} AS nt
   FROM pop WHERE phase = 'normal' GROUP BY area_id, area_name, area_type),
 a AS (
   SELECT semester, exam_type, area_id, area_name, area_type,
-    AVG(young_20s_population) AS ay, AVG(total_population) AS at
+    {_xavg("young_20s_population")} AS ay, {_xavg("total_population")} AS at
   FROM pop WHERE phase = 'after' AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type)
 SELECT a.area_id, a.area_name, a.area_type, a.semester, a.exam_type,
@@ -334,13 +344,18 @@ FROM n JOIN a ON n.area_id = a.area_id"""
 def _did_sql(fact: str, measure: str, suffix: str) -> str:
     treat = "('university', 'culture_university', 'university_nightlife')"
     ctrl = "('nightlife', 'nightlife_business')"
+    def avg(cond: str) -> str:
+        if measure in ("total_population", "young_20s_population"):
+            return _xavg(measure, cond)
+        return f"AVG(CASE WHEN {cond} THEN {measure} END)"
+
     return f"""{_FACTS},
 g AS (
   SELECT semester, exam_type,
-    AVG(CASE WHEN area_type IN {treat} AND phase = 'before' THEN {measure} END) AS tb,
-    AVG(CASE WHEN area_type IN {treat} AND phase = 'after' THEN {measure} END) AS ta,
-    AVG(CASE WHEN area_type IN {ctrl} AND phase = 'before' THEN {measure} END) AS cb,
-    AVG(CASE WHEN area_type IN {ctrl} AND phase = 'after' THEN {measure} END) AS ca
+    {avg(f"area_type IN {treat} AND phase = 'before'")} AS tb,
+    {avg(f"area_type IN {treat} AND phase = 'after'")} AS ta,
+    {avg(f"area_type IN {ctrl} AND phase = 'before'")} AS cb,
+    {avg(f"area_type IN {ctrl} AND phase = 'after'")} AS ca
   FROM {fact}
   WHERE phase IN ('before', 'after') AND semester IS NOT NULL
     AND area_type IN ('university', 'culture_university', 'university_nightlife', 'nightlife', 'nightlife_business')
@@ -360,9 +375,9 @@ ORACLE_SQL["report_did_subway_alighting"] = _did_sql("rid", "alighting_count", "
 ORACLE_SQL["report_hotplace_score"] = f"""{_FACTS},
 p AS (
   SELECT semester, exam_type, area_id, area_name, area_type,
-    AVG(CASE WHEN phase = 'after' THEN total_population END) AS ap,
-    AVG(CASE WHEN phase = 'before' THEN young_20s_population END) AS by_,
-    AVG(CASE WHEN phase = 'after' THEN young_20s_population END) AS ay
+    {_xavg("total_population", "phase = 'after'")} AS ap,
+    {_xavg("young_20s_population", "phase = 'before'")} AS by_,
+    {_xavg("young_20s_population", "phase = 'after'")} AS ay
   FROM pop WHERE phase IN ('before', 'after') AND semester IS NOT NULL
   GROUP BY semester, exam_type, area_id, area_name, area_type),
 r AS (
@@ -391,10 +406,10 @@ FROM s"""
 ORACLE_SQL["report_midterm_vs_final"] = f"""{_FACTS},
 g AS (
   SELECT semester, area_id, area_name, area_type,
-    AVG(CASE WHEN exam_type = 'midterm' AND phase = 'before' THEN young_20s_population END) AS mb,
-    AVG(CASE WHEN exam_type = 'midterm' AND phase = 'after' THEN young_20s_population END) AS ma,
-    AVG(CASE WHEN exam_type = 'final' AND phase = 'before' THEN young_20s_population END) AS fb,
-    AVG(CASE WHEN exam_type = 'final' AND phase = 'after' THEN young_20s_population END) AS fa
+    {_xavg("young_20s_population", "exam_type = 'midterm' AND phase = 'before'")} AS mb,
+    {_xavg("young_20s_population", "exam_type = 'midterm' AND phase = 'after'")} AS ma,
+    {_xavg("young_20s_population", "exam_type = 'final' AND phase = 'before'")} AS fb,
+    {_xavg("young_20s_population", "exam_type = 'final' AND phase = 'after'")} AS fa
   FROM pop WHERE phase IN ('before', 'after') AND semester IS NOT NULL AND exam_type IN ('midterm', 'final')
   GROUP BY semester, area_id, area_name, area_type),
 l AS (SELECT *, {_lift('mb', 'ma')} AS ml, {_lift('fb', 'fa')} AS fl FROM g)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import lift
-from ..operators.metrics import did, phase_avg, ranked, with_lifts, with_zscores
+from ..operators.metrics import did, exact_avg, phase_avg, ranked, with_lifts, with_zscores
 
 AREA = ["area_id", "area_name", "area_type"]
 
@@ -26,7 +26,7 @@ def _period_keys(by_year: bool) -> list[str]:
     return ["semester", "exam_type"] + (["exam_year"] if by_year else [])
 
 
-def population_phase_change(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False) -> DataFrame:
+def population_phase_change(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Average night population before / during / after, with two lifts."""
     keys = _period_keys(by_year) + AREA
     avgs = phase_avg(
@@ -36,15 +36,14 @@ def population_phase_change(population: DataFrame, ridership: DataFrame | None =
             ("before_population", "total_population", "before"),
             ("during_population", "total_population", "during"),
             ("after_population", "total_population", "after"),
-        ],
-    )
+        ], scales=scales)
     return with_lifts(
         avgs,
         [("during_lift", "before_population", "during_population"), ("after_lift", "before_population", "after_population")],
     )
 
 
-def young_population_lift(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False) -> DataFrame:
+def young_population_lift(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """R2: young population before vs after, lift, rank within the period."""
     pk = _period_keys(by_year)
     avgs = phase_avg(
@@ -53,29 +52,27 @@ def young_population_lift(population: DataFrame, ridership: DataFrame | None = N
         [
             ("before_young_population", "young_20s_population", "before"),
             ("after_young_population", "young_20s_population", "after"),
-        ],
-    )
+        ], scales=scales)
     lifted = with_lifts(avgs, [("young_after_lift", "before_young_population", "after_young_population")])
     return ranked(lifted, pk, "young_after_lift")
 
 
-def subway_alighting_lift(population: DataFrame | None, ridership: DataFrame, by_year: bool = False) -> DataFrame:
+def subway_alighting_lift(population: DataFrame | None, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Night exits before vs after, lift, rank within the period."""
     pk = _period_keys(by_year)
     avgs = phase_avg(
         ridership,
         pk + AREA,
-        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")],
-    )
+        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")], scales=scales)
     lifted = with_lifts(avgs, [("alighting_after_lift", "before_alighting", "after_alighting")])
     return ranked(lifted, pk, "alighting_after_lift")
 
 
-def hotplace_rank_compare(population: DataFrame, ridership: DataFrame, by_year: bool = False) -> DataFrame:
+def hotplace_rank_compare(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Rank areas by after-exam population and by after-exam exits; rank gap."""
     pk = _period_keys(by_year)
-    pop = phase_avg(population, pk + AREA, [("after_population", "total_population", "after")])
-    sub = phase_avg(ridership, pk + ["area_id"], [("after_alighting", "alighting_count", "after")])
+    pop = phase_avg(population, pk + AREA, [("after_population", "total_population", "after")], scales=scales)
+    sub = phase_avg(ridership, pk + ["area_id"], [("after_alighting", "alighting_count", "after")], scales=scales)
     joined = pop.join(sub, pk + ["area_id"], "inner")
     both = ranked(ranked(joined, pk, "after_population", "population_rank"), pk, "after_alighting", "subway_rank")
     return both.select(
@@ -84,7 +81,7 @@ def hotplace_rank_compare(population: DataFrame, ridership: DataFrame, by_year:
     )
 
 
-def area_type_change(population: DataFrame, ridership: DataFrame, by_year: bool = False) -> DataFrame:
+def area_type_change(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Before / after / lift of three measures per area type."""
     keys = _period_keys(by_year) + ["area_type"]
     pop = phase_avg(
@@ -95,13 +92,11 @@ def area_type_change(population: DataFrame, ridership: DataFrame, by_year: bool
             ("after_population", "total_population", "after"),
             ("before_young_population", "young_20s_population", "before"),
             ("after_young_population", "young_20s_population", "after"),
-        ],
-    )
+        ], scales=scales)
     sub = phase_avg(
         ridership,
         keys,
-        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")],
-    )
+        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")], scales=scales)
     merged = pop.join(sub, keys, "inner")
     return merged.select(
         *keys,
@@ -114,7 +109,7 @@ def area_type_change(population: DataFrame, ridership: DataFrame, by_year: bool
     )
 
 
-def time_band_young_lift(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False) -> DataFrame:
+def time_band_young_lift(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Young population lift per area and time band, ranked within (period, band)."""
     pk = _period_keys(by_year)
     avgs = phase_avg(
@@ -123,13 +118,12 @@ def time_band_young_lift(population: DataFrame, ridership: DataFrame | None = No
         [
             ("before_young_population", "young_20s_population", "before"),
             ("after_young_population", "young_20s_population", "after"),
-        ],
-    )
+        ], scales=scales)
     lifted = with_lifts(avgs, [("young_after_lift", "before_young_population", "after_young_population")])
     return ranked(lifted, pk + ["time_band"], "young_after_lift")
 
 
-def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool = False) -> DataFrame:
+def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Young population and exits, before / after / lift, weekday vs weekend."""
     pk = _period_keys(by_year)
     pop = phase_avg(
@@ -138,13 +132,11 @@ def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool =
         [
             ("before_young_population", "young_20s_population", "before"),
             ("after_young_population", "young_20s_population", "after"),
-        ],
-    )
+        ], scales=scales)
     sub = phase_avg(
         ridership,
         pk + ["area_id", "is_weekend"],
-        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")],
-    )
+        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")], scales=scales)
     merged = pop.join(sub, pk + ["area_id", "is_weekend"], "inner")
     return merged.select(
         *pk, *AREA, "is_weekend",
@@ -155,23 +147,23 @@ def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool =
     )
 
 
-def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False) -> DataFrame:
+def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """After-exam averages against the area's baseline outside every period."""
     pk = _period_keys(by_year)
+    sc = scales or {}
     normal = (
         population.filter(F.col("phase") == "normal")
         .groupBy(*AREA)
         .agg(
-            F.avg("young_20s_population").alias("normal_young_population"),
-            F.avg("total_population").alias("normal_total_population"),
+            exact_avg("young_20s_population", sc.get("young_20s_population")).alias("normal_young_population"),
+            exact_avg("total_population", sc.get("total_population")).alias("normal_total_population"),
         )
         .select("area_id", "normal_young_population", "normal_total_population")
     )
     after = phase_avg(
         population,
         pk + AREA,
-        [("after_young_population", "young_20s_population", "after"), ("after_total_population", "total_population", "after")],
-    )
+        [("after_young_population", "young_20s_population", "after"), ("after_total_population", "total_population", "after")], scales=scales)
     merged = after.join(normal, "area_id", "inner")
     return merged.select(
         *AREA, *pk,
@@ -182,17 +174,19 @@ def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, b
     )
 
 
-def did_young_population(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False) -> DataFrame:
+def did_young_population(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Treatment (university areas) vs control (nightlife areas), young population."""
-    return did(population, "young_20s_population", "young", _period_keys(by_year))
+    scale = (scales or {}).get("young_20s_population")
+    return did(population, "young_20s_population", "young", _period_keys(by_year), scale=scale)
 
 
-def did_subway_alighting(population: DataFrame | None, ridership: DataFrame, by_year: bool = False) -> DataFrame:
+def did_subway_alighting(population: DataFrame | None, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Treatment vs control difference in differences of exits."""
-    return did(ridership, "alighting_count", "alighting", _period_keys(by_year))
+    scale = (scales or {}).get("alighting_count")
+    return did(ridership, "alighting_count", "alighting", _period_keys(by_year), scale=scale)
 
 
-def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool = False) -> DataFrame:
+def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """z(after population) + z(young lift) + z(exit lift) within each period."""
     pk = _period_keys(by_year)
     pop = phase_avg(
@@ -202,13 +196,11 @@ def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool =
             ("after_population", "total_population", "after"),
             ("before_young_population", "young_20s_population", "before"),
             ("after_young_population", "young_20s_population", "after"),
-        ],
-    )
+        ], scales=scales)
     sub = phase_avg(
         ridership,
         pk + ["area_id"],
-        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")],
-    )
+        [("before_alighting", "alighting_count", "before"), ("after_alighting", "alighting_count", "after")], scales=scales)
     joined = pop.join(sub, pk + ["area_id"], "inner").select(
         *pk, *AREA, "after_population",
         lift("before_young_population", "after_young_population").alias("young_after_lift"),
@@ -222,7 +214,7 @@ def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool =
     return ranked(scored, pk, "hotplace_score", "hotplace_rank")
 
 
-def midterm_vs_final(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False) -> DataFrame:
+def midterm_vs_final(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Young population lift after the midterm vs after the final, per area."""
     keys = ["semester"] + (["exam_year"] if by_year else []) + AREA
     rows = population.filter(
@@ -231,9 +223,11 @@ def midterm_vs_final(population: DataFrame, ridership: DataFrame | None = None,
         & F.col("exam_type").isin("midterm", "final")
     )
 
+    scale = (scales or {}).get("young_20s_population")
+
     def cavg(exam: str, phase: str):
         cond = (F.col("exam_type") == exam) & (F.col("phase") == phase)
-        return F.avg(F.when(cond, F.col("young_20s_population"))).alias(f"{exam}_{phase}_young")
+        return exact_avg(F.when(cond, F.col("young_20s_population")), scale).alias(f"{exam}_{phase}_young")
 
     avgs = rows.groupBy(*keys).agg(
         cavg("midterm", "before"), cavg("midterm", "after"), cavg("final", "before"), cavg("final", "after")
@@ -341,5 +335,9 @@ REPORTS: dict[str, Report] = {
 }
 
 
-def run_report(name: str, population: DataFrame, ridership: DataFrame, by_year: bool = False) -> DataFrame:
-    return REPORTS[name].build(population, ridership, by_year=by_year)
+def run_report(
+    name: str, population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None
+) -> DataFrame:
+    """Build one report. ``scales`` maps measures recorded with a fixed number of
+    decimals to that number, so their averages are computed exactly."""
+    return REPORTS[name].build(population, ridership, by_year=by_year, scales=scales)

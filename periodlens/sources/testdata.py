@@ -58,8 +58,9 @@ ORDER_CALENDAR = [
     (1997, 1, "midterm", "before", "1997-04-01", "1997-04-14"),
     (1997, 1, "midterm", "after", "1997-04-22", "1997-05-05"),
 ]
-# Value precision of the test tables (cents).
+# Value precision of the test tables (cents), and the fact measures carrying it.
 VALUE_SCALE = 2
+MEASURE_SCALES = {"total_population": VALUE_SCALE, "young_20s_population": VALUE_SCALE}
 
 
 _READS: dict[tuple, DataFrame] = {}
