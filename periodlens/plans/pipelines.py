@@ -104,8 +104,10 @@ def report_job(
     database: str | None = None,
     names: list[str] | None = None,
     by_year: bool = False,
+    scales: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Run reports over written facts; optionally save tables and exports."""
+    """Run reports over written facts; optionally save tables and exports.
+    ``scales`` (measure -> decimals) makes those measures' averages exact."""
     if by_year:
         pop, rid = spark.read.parquet(population_path), spark.read.parquet(ridership_path)
     else:
@@ -113,7 +115,7 @@ def report_job(
         rid = read_fact(spark, ridership_path, "area_subway")
     out = {}
     for name in names or list(REPORTS):
-        df = REPORTS[name].build(pop, rid, by_year=by_year)
+        df = REPORTS[name].build(pop, rid, by_year=by_year, scales=scales)
         if database:
             save_table(df, f"{database}.result_{name}")
             df = spark.table(f"{database}.result_{name}")
