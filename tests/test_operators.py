@@ -291,3 +291,15 @@ def test_checkpointed_cuts_lineage(spark):
     cp = checkpointed(df)
     assert cp.count() == 10
     assert "LogicalRDD" in cp._jdf.queryExecution().logical().toString()
+
+
+def test_exact_avg(spark):
+    from periodlens.operators.metrics import conditional_avg, exact_avg
+
+    df = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("a", 0.3), ("b", None)], "k string, x double")
+    got = {r["k"]: (r["plain"], r["exact"], r["none"]) for r in df.groupBy("k").agg(
+        exact_avg("x").alias("plain"), exact_avg("x", 2).alias("exact"),
+        conditional_avg("x", F.col("x") > 1, 2).alias("none"),
+    ).collect()}
+    assert got["a"][1] == 0.2 and abs(got["a"][0] - 0.2) < 1e-12 and got["a"][2] is None
+    assert got["b"] == (None, None, None)
