@@ -68,6 +68,8 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--database", default=None, help="save each report as a table in this database")
     r.add_argument("--names", default="", help="comma-separated report names (default: all)")
     r.add_argument("--by-year", action="store_true")
+    r.add_argument("--scales", default="",
+                   help="exact averages for decimal measures, e.g. total_population=2,young_20s_population=2")
     return p
 
 
@@ -116,7 +118,10 @@ def main(argv: list[str] | None = None) -> int:
         if args.database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
         names = [n for n in args.names.split(",") if n] or None
-        pipelines.report_job(spark, args.population, args.ridership, args.results, args.database, names, args.by_year)
+        scales = {k: int(v) for k, v in (item.split("=") for item in args.scales.split(",") if item)} or None
+        pipelines.report_job(
+            spark, args.population, args.ridership, args.results, args.database, names, args.by_year, scales
+        )
     return 0
 
 

@@ -173,7 +173,7 @@ def test_cli_jobs(spark, tmp_path):
     assert cli.main([*b, "dimensions"]) == 0
     assert cli.main([*b, "population", "--partition-by", "year,month"]) == 0
     assert cli.main([*b, "ridership", "--encoding", "CP949", "--single-layout"]) == 0
-    assert cli.main([*b, "reports", "--names", "did_subway_alighting"]) == 0
+    assert cli.main([*b, "reports", "--names", "did_subway_alighting", "--scales", "total_population=0"]) == 0
     text = "".join(p.read_text() for p in (base / "results" / "did_subway_alighting").glob("part-*"))
     assert text.startswith("1,midterm,500.0,600.0,0.2,1000.0,550.0,-0.45,0.65")
 
