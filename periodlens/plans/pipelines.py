@@ -72,27 +72,40 @@ def ridership_fact_from_csv(
     return ridership_fact(obs, units, calendar, unit_col="raw_station_name", gates=gates, **options)
 
 
+def _stage(spark: SparkSession, fact: DataFrame, name: str) -> str:
+    """Write a fact to the shared staging folder (the one pass over the raw feed)."""
+    staged = staging_path(spark, name)
+    write_parquet(fact, staged)
+    return staged
+
+
+def _publish(spark: SparkSession, staged: str, output: str, partition_by=(), replace_partitions_only=False) -> None:
+    """Copy a staged fact to its output. An overwrite drops the old output when its
+    job starts, so the long raw-feed job never writes to ``output`` directly: if it
+    fails (or its gates do), the previous output stays. The copy reads the small
+    aggregated fact."""
+    write_parquet(spark.read.parquet(staged), output, partition_by, replace_partitions_only)
+
+
 def population_job(
     spark, people_path, mapping_path, periods_path, output, partition_by=(), replace_partitions_only=False, **options
 ) -> None:
     fact = population_fact_from_csv(spark, people_path, mapping_path, periods_path, **options)
-    write_parquet(fact, output, partition_by, replace_partitions_only)
+    _publish(spark, _stage(spark, fact, "population-fact"), output, partition_by, replace_partitions_only)
 
 
 def ridership_job(
     spark, subway_path, mapping_path, periods_path, output, partition_by=(), replace_partitions_only=False, **options
 ) -> dict[str, int]:
     """Build the ridership fact; publish it to ``output`` only if every stage
-    produced rows. The fact is first written to the shared staging folder (one
-    pass over the raw feed, gates counted by that job), then copied: the copy
-    reads the small aggregated fact, and a failed gate leaves ``output`` as it was."""
+    produced rows (gates are counted by the staging job; a failed gate leaves
+    ``output`` as it was)."""
     gates = Gates("ridership")
     fact = ridership_fact_from_csv(spark, subway_path, mapping_path, periods_path, gates=gates, **options)
     fact = gates.watch(fact, "area mapping and roll-up")
-    staged = staging_path(spark, "ridership-fact")
-    write_parquet(fact, staged)
+    staged = _stage(spark, fact, "ridership-fact")
     counts = gates.check()
-    write_parquet(spark.read.parquet(staged), output, partition_by, replace_partitions_only)
+    _publish(spark, staged, output, partition_by, replace_partitions_only)
     return counts
 
 
