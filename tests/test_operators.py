@@ -303,3 +303,37 @@ def test_exact_avg(spark):
     ).collect()}
     assert got["a"][1] == 0.2 and abs(got["a"][0] - 0.2) < 1e-12 and got["a"][2] is None
     assert got["b"] == (None, None, None)
+
+
+def test_source_bytes_and_encoding_detection(spark, tmp_path):
+    import os
+
+    from periodlens.sources.csv import detect_encodings, require_min_bytes, source_bytes
+
+    (tmp_path / "a.csv").write_bytes("역명,n\n신촌,1\n".encode("utf-8"))
+    (tmp_path / "b.csv").write_bytes("역명,n\n이대,2\n".encode("cp949"))
+    total = sum(os.path.getsize(tmp_path / f) for f in ("a.csv", "b.csv"))
+    row = source_bytes(spark, str(tmp_path)).first()
+    assert (row["files"], row["bytes"]) == (2, total)
+    assert require_min_bytes(spark, str(tmp_path), total) == total
+    with pytest.raises(ValueError):
+        require_min_bytes(spark, str(tmp_path), total + 1)
+    found = {os.path.basename(p): c for p, c in detect_encodings(spark, str(tmp_path)).items()}
+    assert found == {"a.csv": "UTF-8", "b.csv": "CP949"}
+
+
+def test_table_helpers(spark, tmp_path):
+    from periodlens.sinks import POPULATION_FACT_SCHEMA, drop_table, register_fact_table, save_table, use_database
+
+    db = f"t_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path / 'wh'}'")
+    spark.createDataFrame([], POPULATION_FACT_SCHEMA).write.parquet(str(tmp_path / "fact"))
+    register_fact_table(spark, db, "area_population", str(tmp_path / "fact"))
+    assert spark.table(f"{db}.area_population").schema == POPULATION_FACT_SCHEMA
+    save_table(spark.range(2), f"{db}.result_x")
+    assert spark.table(f"{db}.result_x").count() == 2
+    drop_table(spark, f"{db}.result_x")
+    assert not spark.catalog.tableExists(f"{db}.result_x")
+    use_database(spark, db)
+    assert spark.catalog.currentDatabase() == db
+    use_database(spark, "default")
