@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from typing import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,17 @@ def read_csv_strings(spark: SparkSession, paths: str | Sequence[str], encoding:
     return clean_columns(reader.csv(list(paths) if not isinstance(paths, str) else paths))
 
 
+_GLOB_CHARS = "\\[]{}*?"
+
+
+def literal_path(uri: str) -> str:
+    """A path for Spark's readers from a ``_metadata.file_path`` value: the URI is
+    percent-decoded (spaces arrive as ``%20``) and glob characters are escaped,
+    so a file named ``a [1].csv`` is read as itself, not as a pattern."""
+    path = unquote(uri)
+    return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
+
+
 @dataclass(frozen=True)
 class FileProfile:
     path: str
@@ -65,7 +77,7 @@ def file_profiles(spark: SparkSession, paths: str | Sequence[str]) -> list[FileP
         F.min(F.is_valid_utf8("value")).alias("utf8"),
         F.min_by("value", F.struct("block", "row_id")).alias("header"),
     )
-    return [FileProfile(r["path"], bool(r["utf8"]), r["header"] or "") for r in per_file.collect()]
+    return [FileProfile(literal_path(r["path"]), bool(r["utf8"]), r["header"] or "") for r in per_file.collect()]
 
 
 def detect_encodings(

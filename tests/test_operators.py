@@ -337,3 +337,11 @@ def test_table_helpers(spark, tmp_path):
     use_database(spark, db)
     assert spark.catalog.currentDatabase() == db
     use_database(spark, "default")
+
+
+def test_reader_handles_spaces_brackets_and_percent_in_file_names(spark, tmp_path):
+    (tmp_path / "서울 지하철 2025.csv").write_bytes("역명,n\n신촌,1\n".encode("cp949"))
+    (tmp_path / "plain file [1].csv").write_bytes("역명,n\n이대,2\n".encode("utf-8"))
+    (tmp_path / "pct%20name.csv").write_bytes("역명,n\n강남,3\n".encode("utf-8"))
+    got = sorted(tuple(r) for r in read_csv_layouts(spark, str(tmp_path)).collect())
+    assert got == [("강남", "3"), ("신촌", "1"), ("이대", "2")]
