@@ -87,7 +87,8 @@ def register_fact_table(spark: SparkSession, database: str, table: str, path: st
     """External Parquet table over a fact directory."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACT_SCHEMAS[table].fields)
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
-    spark.sql(f"CREATE TABLE `{database}`.`{table}` ({cols}) USING parquet LOCATION '{path}'")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE `{database}`.`{table}` ({cols}) USING parquet LOCATION '{location}'")
 
 
 def save_table(df: DataFrame, name: str) -> None:
