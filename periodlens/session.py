@@ -80,22 +80,33 @@ def _is_local(spark: SparkSession) -> bool:
     return str(master).startswith("local")
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, set up locally only if unset."""
-    current = spark.conf.get(_CONF_CHECKPOINT, None)
+    """The shared checkpoint folder of the session, set up locally only if unset.
+
+    Read from ``spark.checkpoint.dir`` (session or application conf), else from a
+    checkpoint folder already registered on the SparkContext. When none exists and
+    the master is local, one temporary folder per session is created and
+    registered with ``setCheckpointDir`` (the conf itself cannot be changed at run
+    time); on a cluster a missing setting is an error."""
+    key = session_key(spark)
+    current = spark.conf.get(_CONF_CHECKPOINT, None) or _LOCAL_DIRS.get(key)
     try:
         sc = spark.sparkContext
-        current = current or sc.getConf().get(_CONF_CHECKPOINT, None)
+        current = current or sc.getConf().get(_CONF_CHECKPOINT, None) or sc.getCheckpointDir()
     except Exception:  # noqa: BLE001 - Spark Connect: the conf is the only source
         sc = None
     if not current:
-        if not _is_local(spark):
-            raise ValueError(
-                "spark.checkpoint.dir is not set: point it at a folder on shared storage "
-                "(a machine-local folder is not visible to every executor)"
-            )
-        current = tempfile.mkdtemp(prefix="periodlens-ckpt-")
-        spark.conf.set(_CONF_CHECKPOINT, current)
+        if key not in _LOCAL_DIRS:
+            if not _is_local(spark):
+                raise ValueError(
+                    "spark.checkpoint.dir is not set: point it at a folder on shared storage "
+                    "(a machine-local folder is not visible to every executor)"
+                )
+            _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="periodlens-ckpt-")
+        current = _LOCAL_DIRS[key]
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current.rstrip("/")
