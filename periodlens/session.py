@@ -11,7 +11,9 @@ correct results:
 Staging data (CSV round trips, checkpoints) goes to the folder named by
 ``spark.checkpoint.dir``, which a cluster points at shared storage. Only when the
 setting is absent and the master is local (local runs, tests) is a local folder
-chosen and recorded; on a cluster a missing setting is an error.
+chosen (one per session) and registered with ``setCheckpointDir``; the conf
+itself is never changed at run time (Spark rejects it). On a cluster a missing
+setting is an error.
 """
 
 from __future__ import annotations
