@@ -190,3 +190,12 @@ def test_failed_gate_keeps_previous_output(spark, tmp_path):
     with pytest.raises(EmptyStageError):
         pipelines.ridership_job(spark, str(tmp_path / "subway"), dims["area_mapping"], dims["exam_periods"], out)
     assert spark.read.parquet(out).count() == 3
+
+
+def test_cli_reports_missing_paths():
+    from periodlens import cli
+
+    with pytest.raises(SystemExit, match="missing --input"):
+        cli.main(["population", "--mapping", "m.csv", "--periods", "p.csv", "--output", "out"])
+    with pytest.raises(SystemExit, match="missing --population, --ridership"):
+        cli.main(["reports"])
