@@ -40,4 +40,4 @@ def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards, op8_suffix_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLES: dict[str, str] = {}
