@@ -35,6 +35,25 @@ def maybe_in(spark: SparkSession, keys: DataFrame, *columns: str) -> Column:
     return test(*[F.pmod(F.xxhash64(F.lit(i), *columns), F.lit(BITS)) for i in range(HASHES)])
 
 
+def of_hashes(spark: SparkSession, keys: DataFrame, column: str):
+    """The filter's words, to be sent to the tasks, for a column of values that are hashes already; see :func:`holds`."""
+    places = F.array(*[F.shiftrightunsigned(column, 20 * i).bitwiseAND(F.lit(BITS - 1)) for i in range(HASHES)])
+    words = keys.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
+    filled = np.zeros(BITS // 64, np.int64)
+    for w, b in words.collect():  # BITS / 64 rows at most
+        filled[w] = b
+    return spark.sparkContext.broadcast(filled.view(np.uint64))
+
+
+def holds(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False where a hash surely isn't among the keys."""
+    out = np.ones(len(hashes), bool)
+    for i in range(HASHES):
+        p = hashes >> np.uint64(20 * i) & np.uint64(BITS - 1)
+        out &= (words[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
+
+
 def inner(spark: SparkSession, rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
     """rows joined with keys, of which only those that may match are shuffled."""
     return rows.where(maybe_in(spark, keys, *columns)).join(keys, list(columns))

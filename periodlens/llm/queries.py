@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import decontamination, near_dedup, packing, pii, sharding, tokenfile, topk
+from periodlens.llm import decontamination, near_dedup, packing, pii, sharding, suffix_dedup, tokenfile, topk
 from periodlens.llm.tokens import vocabulary
 from periodlens.session import staging_path
 
@@ -39,9 +39,13 @@ def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find_contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_radix_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
+
+
 def op10_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards, op8_suffix_decontamination, op10_bayesian_minhash)}
+QUERIES = {f.__name__: f for f in (op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards, op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash)}
 ORACLES: dict[str, str] = {}
