@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import decontamination, near_dedup, packing, passages, pii, sharding, suffix_dedup, tokenfile, topk
+from periodlens.llm import decontamination, near_dedup, packing, passages, pii, quality, sharding, suffix_dedup, tokenfile, topk
 from periodlens.llm.tokens import vocabulary
 from periodlens.session import staging_path
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(spark, table(spark, sf_dir, "documents"))
 
@@ -51,5 +55,5 @@ def op10_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_collinear_passages, op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards, op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash)}
+QUERIES = {f.__name__: f for f in (op1_weak_label_quality, op2_collinear_passages, op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards, op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash)}
 ORACLES: dict[str, str] = {}
