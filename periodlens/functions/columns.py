@@ -9,6 +9,7 @@ returning NULL.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import Iterable
 
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 # Fixed values that define the analysis (they must stay exactly as below).
-# Time bands, by hour of day: evening 18 <= h < 21, night 21 <= h < 24,
-# late_night 0 <= h <= 2, everything else (and NULL) other.
+# Time bands: label -> first and last hour of day, both included; other hours (and NULL) are "other".
 EVENING, NIGHT, LATE_NIGHT, OTHER = "evening", "night", "late_night", "other"
+NIGHT_BANDS = {EVENING: (18, 20), NIGHT: (21, 23), LATE_NIGHT: (0, 2)}
 # Spark dayofweek numbering: Sunday = 1 ... Saturday = 7; weekend = {1, 7}.
 WEEKEND_DAYS = (1, 7)
 
@@ -31,13 +32,8 @@ def _col(c: ColumnOrName) -> Column:
 
 def time_band(hour: ColumnOrName) -> Column:
     """Night-time band of an hour of day."""
-    h = _col(hour)
-    return (
-        F.when((h >= 18) & (h < 21), F.lit(EVENING))
-        .when((h >= 21) & (h < 24), F.lit(NIGHT))
-        .when((h >= 0) & (h <= 2), F.lit(LATE_NIGHT))
-        .otherwise(F.lit(OTHER))
-    )
+    labels = [F.when(_col(hour).between(first, last), F.lit(label)) for label, (first, last) in NIGHT_BANDS.items()]
+    return F.coalesce(*labels, F.lit(OTHER))
 
 
 def in_night_window(hour: ColumnOrName) -> Column:
@@ -46,8 +42,7 @@ def in_night_window(hour: ColumnOrName) -> Column:
     Being a comparison on the raw column, it can be pushed into a Parquet scan
     when the hour is stored, and it drops rows before any join or shuffle (F2).
     """
-    h = _col(hour)
-    return ((h >= 18) & (h < 24)) | ((h >= 0) & (h <= 2))
+    return reduce(lambda a, b: a | b, [_col(hour).between(*band) for band in NIGHT_BANDS.values()])
 
 
 def date_parts(date: ColumnOrName) -> dict[str, Column]:
@@ -135,6 +130,11 @@ def from_units(units: ColumnOrName, scale: int) -> Column:
     return _col(units).cast("double") / float(10**scale)
 
 
+# a header cell: quotes and byte order marks anywhere, blanks around, question marks in front
+_HEADER_MARKS = dict.fromkeys(map(ord, "\ufeff\""))
+_HEADER_CELL = re.compile(r"\s*\?*(.*?)\s*", re.DOTALL)
+
+
 def clean_header_name(name: str) -> str:
-    """Header cleaning (S7): drop BOM and double quotes, trim, drop leading '?'."""
-    return name.replace("\ufeff", "").replace('"', "").strip().lstrip("?")
+    """Header cleaning (S7): the name without the marks that exports leave around it."""
+    return _HEADER_CELL.fullmatch(name.translate(_HEADER_MARKS))[1]

@@ -1,16 +1,20 @@
 """Fact roll-up: observations -> one row per (date, hour, area, period label).
 
-Plan shape (one map stage, one small shuffle):
+Plan shape:
 
-    scan -> filter(parsed, night hours) -> join units->areas (bounded broadcast)
-         -> join calendar days (bounded broadcast) -> partial SUM
-         -> exchange on the roll-up keys -> final SUM -> date parts, band, ratio
+    scan -> filter(parsed, night hours) -> SUM per (date, hour, unit), partial first
+         -> join units->areas -> join calendar days -> SUM per roll-up key
+         -> date parts, band, ratio
+
+Sums are decomposable, so the feed is summed per (date, hour, unit) before it meets
+the unit map: whatever join the planner picks carries partial sums, and a unit that
+holds a third of all observations is one row per (date, hour) there.
 
 The aggregation groups only by the independent keys; date parts and the time
 band are functions of ``date`` and ``hour`` and are computed after the roll-up,
 on the (small) aggregated rows instead of on every input row. The output grain
-is bounded by days x 9 hours x areas x labels, so the shuffle is tiny whatever
-the input volume, and a hot area is absorbed by the map-side partial aggregation.
+is bounded by days x 9 hours x areas x labels, and a hot area is absorbed by the
+map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from ..functions.columns import (
     time_band,
     to_units,
 )
-from .joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from .joins import join_dimension
 from .periods import label_periods, previous_day_for_late_night
 
 # Column order of the facts (the first 14 are shared by both facts).
@@ -52,10 +56,15 @@ class Measure:
     scale: int | None = None
     dtype: str = "double"
 
-    def aggregate(self) -> Column:
-        if self.scale is None:
-            return F.sum(F.col(self.name)).cast(self.dtype).alias(self.name)
-        return from_units(F.sum(to_units(F.col(self.name), self.scale)), self.scale).cast(self.dtype).alias(self.name)
+    def partial(self) -> Column:
+        """The sum per unit: in exact units when there is a scale."""
+        value = F.col(self.name) if self.scale is None else to_units(F.col(self.name), self.scale)
+        return F.sum(value).alias(self.name)
+
+    def total(self) -> Column:
+        """The sum of partial sums, in the output type."""
+        sums = F.sum(F.col(self.name))
+        return (sums if self.scale is None else from_units(sums, self.scale)).cast(self.dtype).alias(self.name)
 
 
 def rollup_fact(
@@ -68,9 +77,7 @@ def rollup_fact(
     by_year: bool = False,
     late_night: str = "same_day",
     strategy: str = "expanded",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    units_rows: int | None = None,
-    calendar_days: int | None = None,
+    literal_units: bool = False,
     gates=None,
     derived: dict[str, Column] | None = None,
 ) -> DataFrame:
@@ -82,8 +89,10 @@ def rollup_fact(
     * ``late_night='previous_day'`` files hours 0-2 under the evening before;
     * ``by_year`` keeps ``exam_year`` as a key, so periods of different years with
       the same semester and exam type are not pooled;
-    * ``gates`` (a :class:`periodlens.operators.quality.Gates`) counts the rows
-      left after the night filter and after the area join, in the same job;
+    * ``gates`` (a :class:`periodlens.operators.quality.Gates`) counts the observations
+      left after the night filter, with a known unit, and with an area, in the same job;
+    * ``literal_units`` states that ``units`` is a table of literal rows;
+    * a unit that is known but has no area (NULL ``area_id``) is dropped after its gate;
     * ``derived`` adds columns computed from the summed measures (after them).
     """
     if late_night not in ("same_day", "previous_day"):
@@ -93,22 +102,21 @@ def rollup_fact(
     ).filter(F.col("date").isNotNull() & F.col("hour").isNotNull() & in_night_window("hour"))
     if late_night == "previous_day":
         obs = obs.withColumn("date", previous_day_for_late_night(F.col("date"), F.col("hour")))
+    counted = [F.count(F.lit(1)).alias("_rows")] if gates is not None else []
+    summed = obs.groupBy("date", "hour", unit_col).agg(*[m.partial() for m in measures], *counted)
     if gates is not None:
-        obs = gates.watch(obs, "time band filtering")
+        summed = gates.watch(summed, "night hours", "_rows")
 
-    area_units = units.select(unit_col, *AREA_COLUMNS)
-    located = join_dimension(
-        obs, area_units, unit_col, "inner", max_broadcast_rows, known_rows=units_rows, size_of=units
-    )
+    located = join_dimension(summed, units.select(unit_col, *AREA_COLUMNS), unit_col, literal=literal_units)
+    if gates is not None:
+        located = gates.watch(located, "unit lookup", "_rows")
+    located = located.filter(F.col("area_id").isNotNull())
     if gates is not None:
-        located = gates.watch(located, "area mapping join")
-    labelled = label_periods(
-        located.drop(unit_col), calendar, "date", strategy,
-        max_broadcast_rows=max_broadcast_rows, calendar_days=calendar_days,
-    )
+        located = gates.watch(located, "area lookup", "_rows").drop("_rows")
+    labelled = label_periods(located.drop(unit_col), calendar, "date", strategy)
 
     keys = ["date", "hour", *AREA_COLUMNS, "phase", "exam_type", "semester"] + (["exam_year"] if by_year else [])
-    rolled = labelled.groupBy(*keys).agg(*[m.aggregate() for m in measures])
+    rolled = labelled.groupBy(*keys).agg(*[m.total() for m in measures])
 
     parts = date_parts("date")
     out = [

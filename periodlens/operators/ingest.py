@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import lenient_date, parse_count, safe_row_sum, strict_date, try_integer, try_number
-from ..sources.csv import resolve_column
+from ..sources.csv import resolve_columns
 from .reshape import columns_to_rows
 
 # ---------------------------------------------------------------------------
@@ -59,8 +59,7 @@ def people_observations(raw: DataFrame) -> DataFrame:
     A bad total becomes NULL (skipped by SUM); a bad age cell counts as 0 in the
     young sum; bad dates or hours become NULL and are dropped by the roll-up.
     """
-    for c in [PEOPLE_DATE, PEOPLE_HOUR, PEOPLE_UNIT, PEOPLE_TOTAL, *PEOPLE_YOUNG]:
-        resolve_column(raw.columns, [c], c)
+    resolve_columns(raw.columns, {c: [c] for c in [PEOPLE_DATE, PEOPLE_HOUR, PEOPLE_UNIT, PEOPLE_TOTAL, *PEOPLE_YOUNG]})
     return raw.select(
         strict_date(PEOPLE_DATE, PEOPLE_DATE_FORMAT).alias("date"),
         try_integer(PEOPLE_HOUR, "int").alias("hour"),
@@ -70,15 +69,13 @@ def people_observations(raw: DataFrame) -> DataFrame:
     )
 
 
-def resolve_hour_columns(columns: list[str]) -> list[tuple[int, str]]:
-    """(hour, column) for every hour column present; error if a required one is
-    missing (P3, Q2)."""
-    found = []
-    for hour, candidates in SUBWAY_HOUR_CANDIDATES:
-        name = resolve_column(columns, candidates, f"{hour} hour", required=hour not in SUBWAY_OPTIONAL_HOURS)
-        if name is not None:
-            found.append((hour, name))
-    return found
+def subway_columns(columns: list[str]) -> tuple[dict, list[tuple[int, str]]]:
+    """(names of the key columns, (hour, name) of the hour columns present); an error
+    lists every required one that is missing (P3, Q2)."""
+    keys = {c: [c] for c in (SUBWAY_DATE, SUBWAY_STATION, SUBWAY_DIRECTION, SUBWAY_PASSENGER_TYPE)}
+    wanted = {**keys, "line name": SUBWAY_LINE_CANDIDATES, **dict(SUBWAY_HOUR_CANDIDATES)}
+    found = resolve_columns(columns, wanted, SUBWAY_OPTIONAL_HOURS)
+    return found, [(hour, found[hour]) for hour, _ in SUBWAY_HOUR_CANDIDATES if hour in found]
 
 
 def subway_observations(raw: DataFrame) -> DataFrame:
@@ -89,10 +86,7 @@ def subway_observations(raw: DataFrame) -> DataFrame:
     counts drop thousands separators; the date keeps its digits only. Rows with
     an unparsable date or count are dropped.
     """
-    resolve_column(raw.columns, SUBWAY_LINE_CANDIDATES, "line name")
-    for c in [SUBWAY_DATE, SUBWAY_STATION, SUBWAY_DIRECTION, SUBWAY_PASSENGER_TYPE]:
-        resolve_column(raw.columns, [c], c)
-    hours = resolve_hour_columns(raw.columns)
+    _, hours = subway_columns(raw.columns)
     exits = raw.filter(F.trim(F.col(SUBWAY_DIRECTION)) == SUBWAY_EXIT_LABEL)
     long = columns_to_rows(
         exits,

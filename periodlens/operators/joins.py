@@ -1,12 +1,10 @@
-"""Joins of a large fact to a dimension.
+"""Joins of a fact to a dimension.
 
-A dimension is broadcast only after its size is proven: one job over
-``limit(cap + 1)`` counts its rows and sums their serialized size, reading at most
-``cap + 1`` rows, so the check stays cheap even when the "dimension" turns out to
-be a billion-row table. Beyond the cap the join is left
-to the planner (sort-merge or shuffled hash join); AQE may still turn it into a
-broadcast at run time from real sizes, and its skew-join handling splits a hot
-key's partition instead of sending a third of the fact to one task.
+Only a literal table, whose size is known by construction, carries a broadcast hint.
+Every other join is left to the planner and AQE, which see real sizes: the plan is
+the same expression at every scale, and nothing is broadcast on a guess. Facts are
+pre-aggregated before they meet a dimension (see :mod:`periodlens.operators.facts`),
+so a shuffle for such a join carries partial sums, not the raw feed.
 """
 
 from __future__ import annotations
@@ -16,63 +14,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import session_key
-
-# Largest dimension that may be broadcast to every executor: both bounds must
-# hold. Bytes are measured as the JSON size of the rows, a close proxy of their
-# in-memory size for flat rows of keys and short strings.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
-
-
-# Verdicts of earlier probes, keyed by (plan, input files, caps). A dataset that
-# gains files gets a new key and is probed again.
-_VERDICTS: dict[tuple, bool] = {}
-
-
-def bounded_rows(df: DataFrame, cap: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``cap`` rows and ``max_bytes`` bytes.
-
-    One job over ``df.limit(cap + 1)``: it never reads more than ``cap + 1`` rows,
-    so the probe stays cheap even when the frame is a billion-row table."""
-    seen = df.__dict__.setdefault("_periodlens_row_bounds", {})
-    if (cap, max_bytes) not in seen:
-        seen[(cap, max_bytes)] = _probe(df, cap, max_bytes)
-    return seen[(cap, max_bytes)]
-
-
-def _probe(df: DataFrame, cap: int, max_bytes: int) -> bool:
-    try:
-        key = (session_key(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), cap, max_bytes)
-    except Exception:  # noqa: BLE001 - plans without a stable identity are probed every time
-        key = None
-    if key is not None and key in _VERDICTS:
-        return _VERDICTS[key]
-    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    stats = df.limit(cap + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
-    verdict = stats["rows"] <= cap and (stats["bytes"] or 0) <= max_bytes
-    if key is not None:
-        _VERDICTS[key] = verdict
-    return verdict
-
 
 def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    known_rows: int | None = None,
-    size_of: DataFrame | None = None,
+    fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner", literal: bool = False
 ) -> DataFrame:
-    """Join ``fact`` to ``dim``; broadcast ``dim`` only when its row count is bounded.
-
-    ``known_rows`` skips the probe for dimensions built from a literal list on the
-    driver, whose size is known by construction. ``size_of`` probes another frame
-    with the same row count (e.g. the unprojected dimension, probed once and reused).
-    """
-    if known_rows is not None:
-        small = known_rows <= max_broadcast_rows
-    else:
-        small = bounded_rows(size_of if size_of is not None else dim, max_broadcast_rows)
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+    """Join ``fact`` to ``dim``. ``literal`` states that ``dim`` is a table of literal
+    rows (or derived from one without growing), and only then is it broadcast."""
+    return fact.join(F.broadcast(dim) if literal else dim, on, how)

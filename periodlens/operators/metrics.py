@@ -7,12 +7,14 @@ frame. None joins facts to facts: joins happen only between aggregates.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import did_lift, lift, to_units
+from ..session import staging_path
 from ..sources.dimensions import CONTROL_AREA_TYPES, TREATMENT_AREA_TYPES
 
 
@@ -86,8 +88,10 @@ def ranked(
     group is numbered in one task, which suits report aggregates, whose size is
     bounded by the number of areas. ``method="range"`` numbers a frame of any size
     without sending a group to one task: the rows are range-partitioned on the
-    full sort key (a large group spans several ranges), numbered within each
-    (group, range), and shifted by the row counts of the group's earlier ranges.
+    full sort key (a large group spans several ranges) and written once to shared
+    storage with their range, then numbered within each (group, range) and shifted
+    by the row counts of the group's earlier ranges. Both branches read what was
+    written, so they see the same ranges. NULL keys are groups like any other.
     """
     sort = [F.col(order).desc_nulls_last(), *[F.col(t).asc() for t in tiebreak]]
     if method == "window":
@@ -95,19 +99,23 @@ def ranked(
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     if method != "range":
         raise ValueError("method must be 'window' or 'range'")
-    spread = df.repartitionByRange(
-        num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        *[F.col(p).asc() for p in partition], *sort,
-    ).withColumn("_range", F.spark_partition_id())
-    local = spread.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*sort))
-    )
+    spark = df.sparkSession
+    ranges = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = staging_path(spark, "ranked")
+    df.repartitionByRange(ranges, *[F.col(p).asc() for p in partition], *sort).withColumn(
+        "_range", F.spark_partition_id()
+    ).write.parquet(path)
+    spread = spark.read.parquet(path)
+    local = spread.withColumn("_local", F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*sort)))
     counts = spread.groupBy(*partition, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*partition, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    # one row per (group, range): bounded by groups x ranges, so it is broadcast
-    joined = local.join(F.broadcast(offsets), [*partition, "_range"], "inner")
-    return joined.withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint")).drop("_range", "_local", "_offset")
+    offsets = counts.select(
+        *[F.col(p).alias(f"_key_{i}") for i, p in enumerate(partition)], F.col("_range").alias("_of"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+    )
+    same = [F.col(p).eqNullSafe(F.col(f"_key_{i}")) for i, p in enumerate(partition)]
+    joined = local.join(offsets, reduce(lambda a, b: a & b, [F.col("_range") == F.col("_of"), *same]))
+    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).cast("bigint").alias(name))
 
 
 def group_phase_avg(
@@ -190,7 +198,9 @@ def with_zscores(
         *[F.avg(x).alias(f"_mean_{n}") for n, x in columns.items()],
         *[F.stddev_pop(x).alias(f"_sd_{n}") for n, x in columns.items()],
     )
-    joined = df.join(stats, list(partition), "left")
+    keyed = stats.select(*[F.col(p).alias(f"_key_{i}") for i, p in enumerate(partition)], *stats.columns[len(partition):])
+    same = [F.col(p).eqNullSafe(F.col(f"_key_{i}")) for i, p in enumerate(partition)]
+    joined = df.join(keyed, reduce(lambda a, b: a & b, same), "left")
     scores = [
         F.when(F.col(f"_sd_{n}") > 0, (F.col(x) - F.col(f"_mean_{n}")) / F.col(f"_sd_{n}")).alias(n)
         for n, x in columns.items()

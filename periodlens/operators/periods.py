@@ -1,13 +1,15 @@
 """Period labelling: attach (phase, exam_type, semester) to dated rows.
 
-Two join forms give identical rows (the range form is kept for parity checks):
+Two join forms give identical rows:
 
 * ``expanded`` (default): the calendar is exploded to one row per day
-  (``explode(sequence(start, end))``) and joined on the date with a hash join.
-  The day table is bounded by the calendar (days covered by periods), so its size
-  is checked and it is broadcast; the fact side is never shuffled for labelling.
-* ``range``: ``start <= date <= end`` as a broadcast nested-loop join. Correct but
-  costs rows x periods comparisons; only sensible for short calendars.
+  (``explode(sequence(start, end))``) and joined on the date.
+* ``range``: periods are exploded to the months they touch and joined on the month,
+  with ``start <= date <= end`` as a further condition. It suits calendars of long
+  periods, where days would be many.
+
+Both are equi-joins, planned by size like any other; neither form compares all
+rows with all periods, and neither depends on how large the calendar is.
 
 A row matching n periods fans out to n rows (periods are not expected to
 overlap; :func:`overlapping_periods` reports any that do).
@@ -19,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.dimensions import NORMAL
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_rows
 
 LABEL_COLUMNS = ["exam_year", "semester", "exam_type", "phase"]
 
@@ -45,30 +46,23 @@ def label_periods(
     date_col: str = "date",
     strategy: str = "expanded",
     default: str = NORMAL,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    calendar_days: int | None = None,
 ) -> DataFrame:
     """Left-join the calendar on ``date_col`` and default unmatched labels.
 
     Adds ``exam_year``, ``semester`` (int, NULL when unmatched), ``exam_type`` and
-    ``phase`` (``default`` when unmatched). ``calendar_days`` is the known size of
-    the day-expanded calendar (for literal calendars); otherwise it is probed.
-    """
+    ``phase`` (``default`` when unmatched)."""
     if strategy not in ("expanded", "range"):
         raise ValueError(f"unknown strategy {strategy!r}; use 'expanded' or 'range'")
     if strategy == "range":
-        periods = calendar.select(*LABEL_COLUMNS, F.col("start_date").alias("_start"), F.col("end_date").alias("_end"))
-        if calendar_days is None and not bounded_rows(periods, max_broadcast_rows):
-            raise ValueError("calendar too large for the range form; use strategy='expanded'")
-        d = F.col(date_col)
-        joined = df.join(F.broadcast(periods), (d >= F.col("_start")) & (d <= F.col("_end")), "left").drop(
-            "_start", "_end"
+        month = lambda c: F.trunc(c, "month")
+        periods = calendar.filter(F.col("start_date") <= F.col("end_date")).select(
+            *LABEL_COLUMNS, F.col("start_date").alias("_start"), F.col("end_date").alias("_end"),
+            F.explode(F.sequence(month("start_date"), month("end_date"), F.expr("interval 1 month"))).alias("_month"),
         )
+        inside = F.col(date_col).between(F.col("_start"), F.col("_end"))
+        joined = df.join(periods, (month(F.col(date_col)) == F.col("_month")) & inside, "left").drop("_start", "_end", "_month")
     else:
-        days = expand_calendar(calendar, date_col)
-        small = calendar_days <= max_broadcast_rows if calendar_days is not None else bounded_rows(days, max_broadcast_rows)
-        days = F.broadcast(days) if small else days
-        joined = df.join(days, date_col, "left")
+        joined = df.join(expand_calendar(calendar, date_col), date_col, "left")
     defaults = {
         "phase": F.coalesce(F.col("phase"), F.lit(default)),
         "exam_type": F.coalesce(F.col("exam_type"), F.lit(default)),

@@ -8,6 +8,7 @@ result, and :meth:`Gates.check` raises naming the first empty stage.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,23 +22,28 @@ class Gates:
         self._prefix = prefix
         self._stages: list[tuple[str, Observation]] = []
 
-    def watch(self, df: DataFrame, label: str) -> DataFrame:
-        """Count the rows flowing out of ``df`` under ``label``."""
+    def watch(self, df: DataFrame, label: str, rows: str | None = None) -> DataFrame:
+        """Count the rows flowing out of ``df`` under ``label`` (for pre-aggregated
+        rows: the sum of their row counts in column ``rows``)."""
         obs = Observation(f"{self._prefix}:{label}:{len(self._stages)}")
         self._stages.append((label, obs))
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        counted = F.count(F.lit(1)) if rows is None else F.coalesce(F.sum(rows), F.lit(0))
+        return df.observe(obs, counted.alias("rows"))
 
     def counts(self) -> dict[str, int]:
         """Row count per watched stage (available after an action ran the plan).
 
         A stage below an empty one may be pruned from the executed plan (AQE
-        propagates empty relations), so its observation never reports: no row
+        propagates empty relations); its observation then reports no metrics: no row
         reached it, and it counts as 0."""
         out = {}
         for label, obs in self._stages:
             try:
-                out[label] = int((obs.get or {}).get("rows", 0))
-            except Exception:  # noqa: BLE001 - unreported observation
+                out[label] = int(obs.get.get("rows", 0))
+            except Py4JJavaError as e:
+                # what Spark raises for an observation without metrics, and nothing else
+                if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+                    raise
                 out[label] = 0
         return out
 
@@ -49,6 +55,11 @@ class Gates:
         return counts
 
 
+def existence(df: DataFrame, label: str) -> DataFrame:
+    """Existence probe (O2) as one row (label, present): at most one row per task is looked at."""
+    return df.select(F.lit(1).alias("one")).limit(1).agg(F.lit(label).alias("label"), (F.count("one") > 0).alias("present"))
+
+
 def is_nonempty(df: DataFrame) -> bool:
     """Existence probe (O2): stops at the first row."""
-    return not df.isEmpty()
+    return existence(df, "").first()["present"]

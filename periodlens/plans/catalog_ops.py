@@ -8,8 +8,9 @@ back through the raw-feed readers). Oracle SQL texts are written independently.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +45,29 @@ from ..operators.ingest import (
 )
 from ..operators.metrics import group_phase_avg, phase_avg, ranked
 from ..operators.periods import label_periods, overlapping_periods
-from ..operators.quality import Gates
+from ..operators.quality import Gates, existence
 from ..operators.reshape import columns_to_rows, rows_to_columns
 from ..session import staging_path
-from ..sinks import create_database, export_report, register_fact_table, write_parquet
+from ..sinks import (
+    EXPORT_FORMAT,
+    create_database,
+    drop_table,
+    export_delimited,
+    export_report,
+    register_fact_table,
+    save_table,
+    write_parquet,
+)
 from ..sources import testdata as td
-from ..sources.csv import detect_encodings, normalize_to_utf8, read_csv_layouts, read_csv_strings, source_bytes
-from ..sources.dimensions import calendar_day_count, calendar_from_rows, local_table
+from ..sources.csv import CsvLayout, detect_encodings, normalize_to_utf8, read_csv_layouts, read_csv_strings
+from ..sources.dimensions import (
+    calendar_from_rows,
+    local_table,
+    read_small_csv,
+    stations_to_areas,
+    typed_periods,
+    units_to_areas,
+)
 from .catalog import (
     SQL_CALENDAR,
     SQL_FACTS,
@@ -62,6 +79,7 @@ from .catalog import (
     rounded,
     sql_population,
 )
+from .pipelines import station_units
 from .reports import (
     REPORTS,
     area_type_change,
@@ -92,7 +110,7 @@ def _labelled_events(spark, sf, strategy, rows=None):
     dated = [(y, s, e, p, dt.date.fromisoformat(a), dt.date.fromisoformat(b)) for y, s, e, p, a, b in rows]
     cal = calendar_from_rows(spark, dated)
     ev = _events_dated(spark, sf).select("event_id", "date")
-    out = label_periods(ev, cal, "date", strategy, calendar_days=calendar_day_count(dated))
+    out = label_periods(ev, cal, "date", strategy)
     return out.select("event_id", "date", "exam_year", "semester", "exam_type", "phase")
 
 
@@ -192,15 +210,13 @@ def _order_fact(spark, sf, by_year):
     units = td.unit_areas(spark, sf)
     return population_fact(
         td.order_observations(spark, sf), units, td.order_calendar(spark), scale=td.VALUE_SCALE,
-        by_year=by_year, calendar_days=td.ORDER_CALENDAR_DAYS,
+        by_year=by_year,
     )
 
 
 def _order_ridership_fact(spark, sf, by_year):
     obs = td.order_observations(spark, sf).select("date", "hour", "unit_code", F.lit(1).cast("long").alias("alighting_count"))
-    return ridership_fact(
-        obs, td.unit_areas(spark, sf), td.order_calendar(spark), by_year=by_year, calendar_days=td.ORDER_CALENDAR_DAYS
-    )
+    return ridership_fact(obs, td.unit_areas(spark, sf), td.order_calendar(spark), by_year=by_year)
 
 
 def rank_compare_by_exam_year(spark, sf):
@@ -267,9 +283,7 @@ def population_from_csv(spark, sf):
     feed.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
     obs = read_csv_layouts(spark, path, per_layout=people_observations)
     units = td.unit_areas(spark, sf).withColumn("unit_code", F.col("unit_code").cast("string"))
-    return rounded(
-        population_fact(obs, units, td.event_calendar(spark), scale=td.VALUE_SCALE, calendar_days=td.EVENT_CALENDAR_DAYS)
-    )
+    return rounded(population_fact(obs, units, td.event_calendar(spark), scale=td.VALUE_SCALE))
 
 
 # Layout B of the ridership feed: alternative hour names (the second candidate
@@ -282,10 +296,10 @@ def _layout_a_hours():
     return [(h, cands[0]) for h, cands in SUBWAY_HOUR_CANDIDATES]
 
 
-def _write_ridership_feed(spark, sf) -> list[str]:
+def _write_ridership_feed(spark, sf) -> list[CsvLayout]:
     """Events written as a wide ridership feed in two header layouts and two
     charsets (first half of each month UTF-8 layout A, the rest CP949 layout B with
-    reversed columns). Returns the two folders."""
+    reversed columns), with blanks around stations and directions. Returns the two folders."""
     ev = _events_dated(spark, sf)
     areas = td.area_of_nation(spark, sf)
     cust = td.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("nationkey"))
@@ -308,44 +322,45 @@ def _write_ridership_feed(spark, sf) -> list[str]:
         return wide.select(*(cols[::-1] if reverse else cols))
 
     base = staging_path(spark, "ridership-feed")
+    wide.write.parquet(f"{base}/wide")
+    wide = spark.read.parquet(f"{base}/wide")
     first_half = F.dayofmonth("date") <= 15
-    feed(_layout_a_hours(), "yyyy-MM-dd", "호선명", False).filter(first_half).write.mode("overwrite").option(
-        "header", True
-    ).csv(f"{base}/a")
-    feed(_layout_b_hours(), "yyyy.MM.dd", "호선", True).filter(~first_half).write.mode("overwrite").option(
-        "header", True
-    ).option("encoding", "CP949").csv(f"{base}/b")
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    a, b = feed(_layout_a_hours(), "yyyy-MM-dd", "호선명", False), feed(_layout_b_hours(), "yyyy.MM.dd", "호선", True)
+    a.filter(first_half).write.options(**keep).csv(f"{base}/a")
+    b.filter(~first_half).write.options(encoding="CP949", **keep).csv(f"{base}/b")
+    return [CsvLayout(f"{base}/a", "UTF-8"), CsvLayout(f"{base}/b", "CP949")]
+
 
-    return [f"{base}/a", f"{base}/b"]
+def _paths(layouts: list[CsvLayout]) -> list[str]:
+    return [x.path for x in layouts]
 
 
 def _ridership_fact_from_feed(spark, sf, paths, encoding="auto"):
     obs = read_csv_layouts(spark, paths, encoding, per_layout=subway_observations)
     areas = td.area_of_nation(spark, sf)
     units = areas.select(F.col("area_name").alias("raw_station_name"), "area_id", "area_name", "area_type")
-    return ridership_fact(
-        obs, units, td.event_calendar(spark), unit_col="raw_station_name", calendar_days=td.EVENT_CALENDAR_DAYS
-    )
+    return ridership_fact(obs, units, td.event_calendar(spark), unit_col="raw_station_name")
 
 
 def ridership_from_wide_csv(spark, sf):
-    """The two-layout, two-charset feed read back with the layout-safe reader;
-    equals ``fact_ridership``."""
+    """The two-layout, two-charset feed read back by its stated layouts, in one strict
+    pass; equals ``fact_ridership``."""
     return _ridership_fact_from_feed(spark, sf, _write_ridership_feed(spark, sf))
 
 
 def ridership_from_normalized_csv(spark, sf):
     """The same feed first rewritten as UTF-8 per layout (S8), then read with an
     explicit UTF-8 charset; equals ``fact_ridership``."""
-    folders = normalize_to_utf8(spark, _write_ridership_feed(spark, sf), staging_path(spark, "ridership-utf8"))
-    return _ridership_fact_from_feed(spark, sf, folders, encoding="UTF-8")
+    folders = normalize_to_utf8(spark, _paths(_write_ridership_feed(spark, sf)), staging_path(spark, "ridership-utf8"))
+    return _ridership_fact_from_feed(spark, sf, [CsvLayout(f, "UTF-8") for f in folders])
 
 
 def csv_detect_encoding(spark, sf):
     """Charset detected per file of the two-charset feed (S8), as data rows per
     detected charset (file names and counts depend on the writer, rows do not)."""
     by_charset: dict[str, list[str]] = {}
-    for path, charset in detect_encodings(spark, _write_ridership_feed(spark, sf)).items():
+    for path, charset in detect_encodings(spark, _paths(_write_ridership_feed(spark, sf))).items():
         by_charset.setdefault(charset, []).append(path)
     frames = [
         read_csv_strings(spark, sorted(paths), charset).select(F.lit(charset).alias("charset"))
@@ -357,13 +372,56 @@ def csv_detect_encoding(spark, sf):
     return rows.groupBy("charset").agg(F.count(F.lit(1)).alias("data_rows"))
 
 
+def _mapping_csv(spark, sf) -> DataFrame:
+    """The area mapping as a CSV of customers (unit: segment, station: customer name within blanks),
+    written and read back: one row per customer, many per (area, unit)."""
+    c = td.table(spark, sf, "customer").select(F.col("c_nationkey").alias("nationkey"), "c_mktsegment", "c_name")
+    rows = join_dimension(c, td.area_of_nation(spark, sf), "nationkey").select(
+        "area_id", "area_name", "area_type", F.col("c_mktsegment").alias("dong_code"),
+        F.lower("c_mktsegment").alias("dong_name"),
+        F.concat(F.lit(" "), F.substring("c_name", 1, 17), F.lit("  ")).alias("station_name"),
+        F.lit("line").alias("line_name"), F.lit(None).cast("string").alias("notes"),
+    )
+    path = staging_path(spark, "area-mapping")
+    rows.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_small_csv(spark, path)
+
+
 def dedupe_dimension(spark, sf):
-    c = td.table(spark, sf, "customer")
-    areas = td.area_of_nation(spark, sf)
-    mapping = join_dimension(c.withColumnRenamed("c_nationkey", "nationkey"), areas, "nationkey").select(
-        "area_id", "area_name", F.col("c_mktsegment").alias("unit_code")
+    """(area, unit) rows of an area mapping read from CSV."""
+    return units_to_areas(_mapping_csv(spark, sf))
+
+
+def station_dimension(spark, sf):
+    """(area, station) rows of an area mapping read from CSV."""
+    return stations_to_areas(_mapping_csv(spark, sf))
+
+
+def station_area_chain(spark, sf):
+    """Feed name -> station -> area (J2, J3) with a given name table: every customer under
+    a feed name; names of every seventh customer lead to no station."""
+    c = td.table(spark, sf, "customer").select("c_custkey", F.substring("c_name", 1, 17).alias("name"))
+    names = c.select(
+        F.concat(F.lit("feed-"), F.col("c_custkey").cast("string")).alias("raw_station_name"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("name")).otherwise(F.lit("nowhere")).alias("station_name"),
     )
-    return mapping.dropDuplicates(["area_id", "unit_code"])
+    return station_units(spark, _mapping_csv(spark, sf), names)
+
+
+def typed_calendar(spark, sf):
+    """A calendar CSV (S4) of the orders' weeks, some with numbers like 1.0 and some that don't parse."""
+    o = td.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), "o_orderpriority", "o_orderstatus")
+    odd = F.col("o_orderkey") % 5 == 0
+    rows = o.select(
+        F.concat(F.year("d").cast("string"), F.when(odd, ".0").otherwise("")).alias("year"),
+        F.when(F.col("o_orderkey") % 11 == 0, "first").otherwise(F.when(F.month("d") <= 6, "1").otherwise(" 2 ")).alias("semester"),
+        F.col("o_orderpriority").alias("exam_type"), F.col("o_orderstatus").alias("phase"),
+        F.when(F.col("o_orderkey") % 13 == 0, "2024-02-31").otherwise(F.date_format("d", "yyyy-MM-dd")).alias("start_date"),
+        F.date_format(F.date_add("d", 6), "yyyy-MM-dd").alias("end_date"), F.lit("").alias("notes"),
+    )
+    path = staging_path(spark, "calendar")
+    rows.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return typed_periods(read_small_csv(spark, path))
 
 
 def literal_dimension_join(spark, sf):
@@ -371,7 +429,7 @@ def literal_dimension_join(spark, sf):
     (region name -> area type) table (S5, J2); one row per customer."""
     schema = T.StructType([T.StructField("r_name", T.StringType()), T.StructField("area_type", T.StringType())])
     types = local_table(spark, td.REGION_AREA_TYPES, schema)
-    region = join_dimension(td.table(spark, sf, "region"), types, "r_name", "left", known_rows=len(td.REGION_AREA_TYPES))
+    region = join_dimension(td.table(spark, sf, "region"), types, "r_name", "left", literal=True)
     region = region.select(F.col("r_regionkey").alias("n_regionkey"), "area_type")
     nation = join_dimension(td.table(spark, sf, "nation"), region, "n_regionkey").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_nationkey").cast("string").alias("area_id"),
@@ -406,7 +464,65 @@ def ordered_export_roundtrip(spark, sf):
     path = staging_path(spark, "export-r1")
     r1 = REPORTS["population_phase_change"].build(pop, rid, scales=td.MEASURE_SCALES)
     export_report(rounded(r1), "population_phase_change", path)
-    return spark.read.schema(R1_EXPORT_SCHEMA).option("nullValue", "\\N").csv(path)
+    return spark.read.schema(R1_EXPORT_SCHEMA).options(**EXPORT_FORMAT).csv(path)
+
+
+def ordered_export_positions(spark, sf):
+    """The customers exported in a total order (O1) over several part files: each line's
+    place in the export, counted through the files in name order."""
+    path = staging_path(spark, "export-order")
+    c = td.table(spark, sf, "customer").select("c_mktsegment", "c_nationkey", "c_custkey")
+    export_delimited(c.repartition(4), path, ["c_mktsegment", "c_nationkey", "c_custkey"])
+    # a line's number within its file needs no order of files: it grows along a file
+    lines = spark.read.schema("c_mktsegment string, c_nationkey int, c_custkey long").options(**EXPORT_FORMAT).csv(path).select(
+        "*", F.col("_metadata.file_path").alias("f"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("n")
+    )
+    base = staging_path(spark, "export-lines")
+    lines.write.parquet(base)
+    lines = spark.read.parquet(base)
+    before = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)  # one row per part file
+    starts = lines.groupBy("f").count().select("f", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("f").orderBy("n")) + F.col("start")
+    return lines.join(starts, "f").select(place.cast("long").alias("position"), "c_mktsegment", "c_nationkey", "c_custkey")
+
+
+def export_text_cells(spark, sf):
+    """The lines of an export (K3) of text cells with blanks, commas, quotes, backslashes, empty and NULL."""
+    c = td.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    cell = (
+        F.when(k % 6 == 0, F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
+        .when(k % 6 == 1, F.concat_ws(", ", "c_name", "c_mktsegment"))
+        .when(k % 6 == 2, F.concat(F.lit('a "'), F.col("c_name"), F.lit('" b')))
+        .when(k % 6 == 3, F.lit(""))
+        .when(k % 6 == 4, F.concat(F.lit("x\\"), F.col("c_name")))
+    )
+    path = staging_path(spark, "export-text")
+    export_delimited(c.select("c_custkey", cell.alias("label"), "c_mktsegment"), path, ["c_custkey"])
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def save_table_roundtrip(spark, sf):
+    """Drop-and-create table as select (K2): saved twice under one name, read back; then dropped
+    and saved again as the customers of one more column."""
+    base = staging_path(spark, "saved")
+    db = "periodlens_" + base.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{base}'")
+    name = f"`{db}`.`result_customers`"
+    c = td.table(spark, sf, "customer")
+    save_table(c.select("c_custkey"), name)
+    drop_table(spark, name)
+    save_table(c.select("c_custkey", "c_name"), name)
+    save_table(c.select("c_custkey", "c_nationkey", "c_mktsegment"), name)
+    return spark.table(name)
+
+
+def existence_probes(spark, sf):
+    """Whether any order (O2) of each status and priority is above a price."""
+    o = td.table(spark, sf, "orders")
+    cases = [(s, x) for s in ("F", "O", "P", "Q") for x in (0, 400_000, 10_000_000)]
+    probes = [existence(o.filter((F.col("o_orderstatus") == s) & (F.col("o_totalprice") > x)), f"{s}>{x}") for s, x in cases]
+    return reduce(lambda a, b: a.unionAll(b), probes)
 
 
 def table_roundtrip(spark, sf):
@@ -429,20 +545,18 @@ def top_k_lift(spark, sf, k: int = 20):
     return r2.orderBy(F.col("young_after_lift").desc_nulls_last(), "semester", "exam_type", "area_id").limit(k)
 
 
-def source_bytes_query(spark, sf):
-    return source_bytes(spark, f"{sf.rstrip('/')}/*.parquet")
-
-
 def nonempty_counts(spark, sf):
-    units = td.unit_areas(spark, sf)
+    """Rows that pass each gate (Q1) of a ridership build: parsed, at night, with a known unit, with
+    an area. The unit map knows all customers but those of every ninth key, and gives no area to every
+    fifth."""
+    known = td.unit_areas(spark, sf).filter(F.col("unit_code") % 9 != 0)
+    units = known.withColumn("area_id", F.when(F.col("unit_code") % 5 != 0, F.col("area_id")))
     gates = Gates("catalog")
-    fact = ridership_fact(
-        td.exit_observations(spark, sf), units, td.event_calendar(spark), calendar_days=td.EVENT_CALENDAR_DAYS, gates=gates
-    )
+    obs = gates.watch(td.exit_observations(spark, sf), "feed parsing")
+    fact = ridership_fact(obs, units, td.event_calendar(spark), gates=gates)
     fact.write.format("noop").mode("overwrite").save()
-    counts = gates.check()
-    schema = T.StructType([T.StructField("stage", T.StringType()), T.StructField("row_count", T.LongType())])
-    return spark.createDataFrame(list(counts.items()), schema)
+    # four numbers, counted by the job itself
+    return spark.createDataFrame(list(gates.check().items()), "stage string, row_count long")
 
 
 # ---------------------------------------------------------------------------
@@ -452,12 +566,12 @@ def nonempty_counts(spark, sf):
 
 def row_number_two_orders(spark, sf):
     """Two row numbers over the same partition with different orders (W2, P13):
-    each customer's orders by price and by date."""
+    each customer's orders by price and by date, a hot customer's over several tasks."""
     o = td.table(spark, sf, "orders").select(
         "o_custkey", "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("order_date")
     )
-    by_price = ranked(o, ["o_custkey"], "o_totalprice", "price_rank", ("o_orderkey",))
-    both = ranked(by_price, ["o_custkey"], "order_date", "recency_rank", ("o_orderkey",))
+    by_price = ranked(o, ["o_custkey"], "o_totalprice", "price_rank", ("o_orderkey",), method="range")
+    both = ranked(by_price, ["o_custkey"], "order_date", "recency_rank", ("o_orderkey",), method="range")
     return both.select(
         "o_custkey", "o_orderkey", "price_rank", "recency_rank",
         (F.col("price_rank") - F.col("recency_rank")).alias("rank_gap"),
@@ -471,6 +585,21 @@ def row_number_three_keys(spark, sf):
     return ranked(c, ["c_nationkey", "c_mktsegment"], "c_acctbal", "balance_rank", ("c_custkey",), method="range")
 
 
+def row_number_all_columns(spark, sf):
+    """The orders with all their columns, ranked by price within few large groups."""
+    o = td.table(spark, sf, "orders")
+    return rounded(ranked(o, ["o_orderstatus"], "o_totalprice", "price_rank", ("o_orderkey",), method="range"))
+
+
+def row_number_null_group(spark, sf):
+    """Ranks within groups of which one is NULL, and with NULLs among the ranked values."""
+    c = td.table(spark, sf, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_nationkey") % 3 != 0, F.col("c_mktsegment")).alias("segment"),
+        F.when(F.col("c_custkey") % 10 != 0, F.col("c_acctbal")).alias("balance"),
+    )
+    return ranked(c, ["segment"], "balance", "balance_rank", ("c_custkey",), method="range")
+
+
 def phase_avg_pivot(spark, sf):
     """Three-phase pivot of the total by (exam type, time band) (A3)."""
     pop, _ = event_facts(spark, sf)
@@ -503,8 +632,8 @@ def guarded_ratio_query(spark, sf):
 
 def resolve_columns_two_layouts(spark, sf):
     """Exit observations of the two-layout, two-charset feed, before any mapping
-    (P3, U1, Q2): every layout is resolved against its own header."""
-    obs = read_csv_layouts(spark, _write_ridership_feed(spark, sf), per_layout=subway_observations)
+    (P3, U1, Q2): layouts and charsets detected per file, each resolved against its own header."""
+    obs = read_csv_layouts(spark, _paths(_write_ridership_feed(spark, sf)), per_layout=subway_observations)
     return obs.select("date", "hour", "raw_station_name", "alighting_count")
 
 
@@ -569,14 +698,22 @@ QUERIES = {
     "ridership_from_normalized_csv": ridership_from_normalized_csv,
     "csv_detect_encoding": csv_detect_encoding,
     "dedupe_dimension": dedupe_dimension,
+    "station_dimension": station_dimension,
+    "station_area_chain": station_area_chain,
+    "typed_calendar": typed_calendar,
     "literal_dimension_join": literal_dimension_join,
     "ordered_export_roundtrip": ordered_export_roundtrip,
+    "ordered_export_positions": ordered_export_positions,
+    "export_text_cells": export_text_cells,
     "table_roundtrip": table_roundtrip,
+    "save_table_roundtrip": save_table_roundtrip,
+    "existence_probes": existence_probes,
     "top_k_lift": top_k_lift,
-    "source_bytes": source_bytes_query,
     "nonempty_counts": nonempty_counts,
     "row_number_two_orders": row_number_two_orders,
     "row_number_three_keys": row_number_three_keys,
+    "row_number_all_columns": row_number_all_columns,
+    "row_number_null_group": row_number_null_group,
     "phase_avg_pivot": phase_avg_pivot,
     "group_phase_avg": group_phase_avg_query,
     "guarded_ratio": guarded_ratio_query,
@@ -613,10 +750,11 @@ def _order_r1_sql(by_year: bool) -> str:
 f AS (
   SELECT c.semester, COALESCE(c.exam_type, 'normal') AS exam_type{cy}, u.area_id, u.area_name, u.area_type,
     COALESCE(c.phase, 'normal') AS phase, CAST(o.o_orderdate AS DATE) AS d,
+    o.o_orderkey % 24 AS h,
     CAST(SUM(CAST(ROUND(o.o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS tot
   FROM orders o JOIN units u ON o.o_custkey = u.unit_code
   LEFT JOIN ocal c ON CAST(o.o_orderdate AS DATE) BETWEEN c.start_date AND c.end_date
-  WHERE hour(o.o_orderdate) >= 18 OR hour(o.o_orderdate) <= 2
+  WHERE o.o_orderkey % 24 >= 18 OR o.o_orderkey % 24 <= 2
   GROUP BY ALL),
 s AS (
   SELECT semester, exam_type{y}, area_id, area_name, area_type,
@@ -694,12 +832,12 @@ FROM lpop""",
     "rank_compare_by_exam_year": f"""WITH {_ORDER_CAL},{SQL_UNITS},
 f AS (
   SELECT c.semester, c.exam_type, c.exam_year, u.area_id, u.area_name, u.area_type, c.phase,
-    CAST(o.o_orderdate AS DATE) AS d,
+    CAST(o.o_orderdate AS DATE) AS d, o.o_orderkey % 24 AS h,
     CAST(SUM(CAST(ROUND(o.o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS tot,
     COUNT(*) AS n
   FROM orders o JOIN units u ON o.o_custkey = u.unit_code
   JOIN ocal c ON CAST(o.o_orderdate AS DATE) BETWEEN c.start_date AND c.end_date
-  WHERE hour(o.o_orderdate) >= 18 OR hour(o.o_orderdate) <= 2
+  WHERE o.o_orderkey % 24 >= 18 OR o.o_orderkey % 24 <= 2
   GROUP BY ALL),
 p AS (
   SELECT semester, exam_type, exam_year, area_id, area_name, area_type, {_xavg("tot")} AS ap
@@ -721,10 +859,10 @@ FROM j""",
     "did_exits_by_exam_year": f"""WITH {_ORDER_CAL},{SQL_UNITS},
 f AS (
   SELECT c.semester, c.exam_type, c.exam_year, u.area_type, c.phase, CAST(o.o_orderdate AS DATE) AS d,
-    u.area_id, u.area_name, COUNT(*) AS n
+    u.area_id, u.area_name, o.o_orderkey % 24 AS h, COUNT(*) AS n
   FROM orders o JOIN units u ON o.o_custkey = u.unit_code
   JOIN ocal c ON CAST(o.o_orderdate AS DATE) BETWEEN c.start_date AND c.end_date
-  WHERE hour(o.o_orderdate) >= 18 OR hour(o.o_orderdate) <= 2
+  WHERE o.o_orderkey % 24 >= 18 OR o.o_orderkey % 24 <= 2
   GROUP BY ALL),
 g AS (
   SELECT semester, exam_type, exam_year,
@@ -754,13 +892,42 @@ FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
   WHERE hour(e.ts) >= 18 OR hour(e.ts) <= 2)
 SELECT CASE WHEN day(d) <= 15 THEN 'UTF-8' ELSE 'CP949' END AS charset, COUNT(*) AS data_rows
 FROM w GROUP BY 1""",
-    "dedupe_dimension": """SELECT DISTINCT CAST(n.n_nationkey AS VARCHAR) AS area_id, n.n_name AS area_name,
-  c.c_mktsegment AS unit_code
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "dedupe_dimension": f"""WITH {SQL_UNITS}
+SELECT DISTINCT u.area_id, u.area_name, u.area_type, c.c_mktsegment AS unit_code
+FROM customer c JOIN units u ON c.c_custkey = u.unit_code""",
+    "station_dimension": f"""WITH {SQL_UNITS}
+SELECT DISTINCT u.area_id, u.area_name, u.area_type, TRIM(SUBSTRING(c.c_name, 1, 17)) AS station_name
+FROM customer c JOIN units u ON c.c_custkey = u.unit_code""",
+    "station_area_chain": f"""WITH {SQL_UNITS},
+st AS (
+  SELECT DISTINCT u.area_id, u.area_name, u.area_type, TRIM(SUBSTRING(c.c_name, 1, 17)) AS station_name
+  FROM customer c JOIN units u ON c.c_custkey = u.unit_code),
+nm AS (
+  SELECT 'feed-' || CAST(c_custkey AS VARCHAR) AS raw_station_name,
+    CASE WHEN c_custkey % 7 <> 0 THEN SUBSTRING(c_name, 1, 17) ELSE 'nowhere' END AS station_name
+  FROM customer)
+SELECT nm.station_name, nm.raw_station_name, st.area_id, st.area_name, st.area_type
+FROM nm LEFT JOIN st ON nm.station_name = st.station_name""",
+    "typed_calendar": """SELECT CAST(year(o_orderdate) AS INTEGER) AS exam_year,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS semester,
+  o_orderpriority AS exam_type, o_orderstatus AS phase,
+  CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) END AS start_date,
+  CAST(CAST(o_orderdate AS DATE) + 6 AS DATE) AS end_date
+FROM orders""",
     "literal_dimension_join": f"""WITH {SQL_UNITS}
 SELECT unit_code, area_id, area_name, area_type FROM units""",
     "ordered_export_roundtrip": REPORT_SQL["report_population_phase_change"],
+    "ordered_export_positions": """SELECT
+  ROW_NUMBER() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) AS position, c_mktsegment, c_nationkey, c_custkey
+FROM customer""",
+    "export_text_cells": """SELECT CAST(c_custkey AS VARCHAR) || ',' || CASE c_custkey % 6
+    WHEN 0 THEN '  ' || c_name || ' ' WHEN 1 THEN '"' || c_name || ', ' || c_mktsegment || '"'
+    WHEN 2 THEN '"a ""' || c_name || '"" b"' WHEN 3 THEN '' WHEN 4 THEN 'x\\' || c_name ELSE '\\N' END || ',' || c_mktsegment AS line
+FROM customer""",
+    "save_table_roundtrip": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
+    "existence_probes": """SELECT s || '>' || CAST(x AS VARCHAR) AS label,
+  EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = s AND o_totalprice > x) AS present
+FROM (VALUES ('F'), ('O'), ('P'), ('Q')) a(s), (VALUES (0), (400000), (10000000)) b(x)""",
     "table_roundtrip": REPORT_SQL["report_area_type_change"],
     "top_k_lift": f"""SELECT * FROM ({REPORT_SQL['report_young_population_lift']}) r2
 ORDER BY young_after_lift DESC NULLS LAST, semester, exam_type, area_id LIMIT 20""",
@@ -774,6 +941,13 @@ FROM (SELECT o_custkey, o_orderkey,
   ROW_NUMBER() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_acctbal DESC NULLS LAST, c_custkey)
     AS balance_rank
 FROM customer""",
+    "row_number_all_columns": """SELECT *,
+  ROW_NUMBER() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS price_rank
+FROM orders""",
+    "row_number_null_group": """SELECT c_custkey, c_name, segment, balance,
+  ROW_NUMBER() OVER (PARTITION BY segment ORDER BY balance DESC NULLS LAST, c_custkey) AS balance_rank
+FROM (SELECT c_custkey, c_name, CASE WHEN c_nationkey % 3 <> 0 THEN c_mktsegment END AS segment,
+    CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END AS balance FROM customer) c""",
     "phase_avg_pivot": f"""{SQL_FACTS_PREFIX}
 SELECT exam_type, time_band,
   ROUND({_xavg("total_population", "phase = 'before'")}, 6) AS before_population,
@@ -807,10 +981,12 @@ WHERE e.event_type = 'purchase' AND (hour(e.ts) >= 18 OR hour(e.ts) <= 2)
 GROUP BY ALL""",
     "csv_roundtrip_utf8_bom": _PEOPLE_OBS_SQL,
     "csv_roundtrip_cp949": _PEOPLE_OBS_SQL,
-    "nonempty_counts": f"""WITH {SQL_UNITS},
-e AS (SELECT user_id FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL
-      AND (hour(ts) >= 18 OR hour(ts) <= 2))
-SELECT 'time band filtering' AS stage, CAST(COUNT(*) AS BIGINT) AS row_count FROM e
-UNION ALL
-SELECT 'area mapping join' AS stage, CAST(COUNT(*) AS BIGINT) AS row_count FROM e JOIN units u ON e.user_id = u.unit_code""",
+    "nonempty_counts": """WITH p AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase'),
+e AS (SELECT user_id FROM p WHERE ts IS NOT NULL AND (hour(ts) >= 18 OR hour(ts) <= 2)),
+k AS (SELECT e.user_id FROM e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey WHERE e.user_id % 9 <> 0)
+SELECT 'feed parsing' AS stage, COUNT(*) AS row_count FROM p
+UNION ALL SELECT 'night hours' AS stage, COUNT(*) AS row_count FROM e
+UNION ALL SELECT 'unit lookup' AS stage, COUNT(*) AS row_count FROM k
+UNION ALL SELECT 'area lookup' AS stage, COUNT(*) AS row_count FROM k WHERE user_id % 5 <> 0""",
 }

@@ -8,19 +8,19 @@ plain arguments (K5).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.facts import population_fact, ridership_fact
 from ..operators.ingest import people_observations, subway_observations
-from ..operators.joins import join_dimension
 from ..operators.quality import Gates
-from ..session import staging_path
-from ..sinks import export_report, read_fact, save_table, write_parquet
+from ..sinks import delete_path, export_report, read_fact, replace_path, save_table, write_parquet
 from ..sources.csv import read_csv_layouts
 from ..sources.dimensions import (
     read_small_csv,
     station_names,
-    STATION_NAME_ROWS,
     stations_to_areas,
     typed_periods,
     units_to_areas,
@@ -47,11 +47,17 @@ def population_fact_from_csv(
     return population_fact(obs, units_to_areas(mapping), calendar, **options)
 
 
-def station_units(spark: SparkSession, mapping: DataFrame) -> DataFrame:
-    """Native station name -> areas: the two small dimensions joined to each other
-    first (J2, J3), so the fact is joined once."""
-    stations = station_names(spark)
-    return join_dimension(stations_to_areas(mapping), stations, "station_name", "inner", known_rows=len(STATION_NAME_ROWS))
+def station_units(spark: SparkSession, mapping: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Native station name -> areas (J2, J3): the two dimensions joined to each other
+    first, so the fact is joined once. ``names`` (raw_station_name, station_name) is the
+    shipped name table unless given. A name without an area keeps NULL areas, so that an
+    unknown name and an unmapped station can be told apart (Q1)."""
+    shipped = names is None
+    names = station_names(spark) if shipped else names
+    areas = stations_to_areas(mapping)
+    if shipped:
+        return F.broadcast(names).join(areas, "station_name", "left")
+    return names.join(areas, "station_name", "left")
 
 
 def ridership_fact_from_csv(
@@ -67,31 +73,36 @@ def ridership_fact_from_csv(
     obs = read_csv_layouts(spark, subway_path, encoding, per_layout=subway_observations, single_layout=single_layout)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
     if gates is not None:
-        obs = gates.watch(obs, "date and passenger parsing")
+        obs = gates.watch(obs, "feed parsing")
     units = station_units(spark, mapping)
     return ridership_fact(obs, units, calendar, unit_col="raw_station_name", gates=gates, **options)
 
 
-def _stage(spark: SparkSession, fact: DataFrame, name: str) -> str:
-    """Write a fact to the shared staging folder (the one pass over the raw feed)."""
-    staged = staging_path(spark, name)
-    write_parquet(fact, staged)
-    return staged
-
-
-def _publish(spark: SparkSession, staged: str, output: str, partition_by=(), replace_partitions_only=False) -> None:
-    """Copy a staged fact to its output. An overwrite drops the old output when its
-    job starts, so the long raw-feed job never writes to ``output`` directly: if it
-    fails (or its gates do), the previous output stays. The copy reads the small
-    aggregated fact."""
-    write_parquet(spark.read.parquet(staged), output, partition_by, replace_partitions_only)
+def _publish(
+    spark: SparkSession, fact: DataFrame, output: str, partition_by=(), replace_partitions_only=False, check=lambda: None
+) -> None:
+    """Write a fact beside its output, then put it in place (K1).
+
+    The long raw-feed job never writes to ``output`` itself: if it or ``check`` fails, the previous
+    output stays, and what was staged is removed. A whole output is replaced by renaming;
+    with ``replace_partitions_only`` the staged rows are copied over their partitions."""
+    staged = f"{output.rstrip('/')}.staged-{uuid.uuid4().hex[:8]}"
+    try:
+        write_parquet(fact, staged, () if replace_partitions_only else partition_by)
+        check()
+        if replace_partitions_only:
+            write_parquet(spark.read.schema(fact.schema).parquet(staged), output, partition_by, True)
+        else:
+            replace_path(spark, staged, output)
+    finally:
+        delete_path(spark, staged)
 
 
 def population_job(
     spark, people_path, mapping_path, periods_path, output, partition_by=(), replace_partitions_only=False, **options
 ) -> None:
     fact = population_fact_from_csv(spark, people_path, mapping_path, periods_path, **options)
-    _publish(spark, _stage(spark, fact, "population-fact"), output, partition_by, replace_partitions_only)
+    _publish(spark, fact, output, partition_by, replace_partitions_only)
 
 
 def ridership_job(
@@ -102,11 +113,9 @@ def ridership_job(
     ``output`` as it was)."""
     gates = Gates("ridership")
     fact = ridership_fact_from_csv(spark, subway_path, mapping_path, periods_path, gates=gates, **options)
-    fact = gates.watch(fact, "area mapping and roll-up")
-    staged = _stage(spark, fact, "ridership-fact")
-    counts = gates.check()
-    _publish(spark, staged, output, partition_by, replace_partitions_only)
-    return counts
+    fact = gates.watch(fact, "roll-up")
+    _publish(spark, fact, output, partition_by, replace_partitions_only, gates.check)
+    return gates.counts()
 
 
 def report_job(

@@ -13,11 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import lift
+from ..functions.columns import lift, to_units
 from ..operators.metrics import did, exact_avg, phase_avg, ranked, with_lifts, with_zscores
+from ..sources.dimensions import NORMAL
 
 AREA = ["area_id", "area_name", "area_type"]
 
@@ -148,23 +149,36 @@ def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool =
 
 
 def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
-    """After-exam averages against the area's baseline outside every period."""
+    """After-exam averages against the area's baseline outside every period.
+
+    One scan: sums and counts per (area, period, phase); the baseline is then a window
+    over an area's few rows of sums."""
     pk = _period_keys(by_year)
     sc = scales or {}
-    normal = (
-        population.filter(F.col("phase") == "normal")
-        .groupBy(*AREA)
-        .agg(
-            exact_avg("young_20s_population", sc.get("young_20s_population")).alias("normal_young_population"),
-            exact_avg("total_population", sc.get("total_population")).alias("normal_total_population"),
-        )
-        .select("area_id", "normal_young_population", "normal_total_population")
-    )
-    after = phase_avg(
-        population,
-        pk + AREA,
-        [("after_young_population", "young_20s_population", "after"), ("after_total_population", "total_population", "after")], scales=scales)
-    merged = after.join(normal, "area_id", "inner")
+    measures = {"young": "young_20s_population", "total": "total_population"}
+    phase, after = F.col("phase"), (F.col("phase") == "after") & F.col("semester").isNotNull()
+    rows = population.filter((phase == NORMAL) | after)
+
+    def parts(short: str, x: str) -> list:
+        value = F.col(x) if sc.get(x) is None else to_units(F.col(x), sc[x])
+        return [F.sum(value).alias(f"_{short}_sum"), F.count(x).alias(f"_{short}_n")]
+
+    sums = rows.groupBy(*AREA, *pk, "phase").agg(*[c for short, x in measures.items() for c in parts(short, x)])
+    area = Window.partitionBy("area_id")
+
+    def mean(short: str, baseline: bool) -> Column:
+        total, n = F.col(f"_{short}_sum"), F.col(f"_{short}_n")
+        if baseline:
+            total, n = (F.sum(F.when(phase == NORMAL, c)).over(area) for c in (total, n))
+        scale = sc.get(measures[short])
+        ratio = F.when(n > 0, total / n)
+        return ratio if scale is None else ratio / float(10**scale)
+
+    merged = sums.select(
+        *AREA, *pk, "phase", F.max(phase == NORMAL).over(area).alias("_has_normal"),
+        *[mean(short, True).alias(f"normal_{short}_population") for short in measures],
+        *[mean(short, False).alias(f"after_{short}_population") for short in measures],
+    ).filter((phase == "after") & F.col("_has_normal"))
     return merged.select(
         *AREA, *pk,
         "normal_young_population", "after_young_population",

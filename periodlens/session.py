@@ -22,16 +22,18 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 _CONF_CHECKPOINT = "spark.checkpoint.dir"
 
 REQUIRED_CONF = {
     "spark.sql.legacy.javaCharsets": "true",
+    # bytes that are no character become U+FFFD, which the CSV readers look for (and name the file)
+    "spark.sql.legacy.codingErrorAction": "true",
     # literal dimension tables are shipped through Arrow as LocalRelations
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # a fact-to-dimension join past the broadcast cap relies on AQE splitting a
-    # partition that holds a hot unit (skew join) instead of one straggler task
+    # joins are left to AQE, which sees real sizes and splits skewed partitions
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
@@ -66,20 +68,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
-def session_key(spark: SparkSession) -> str:
-    """An identifier of the running application (for per-session plan caches)."""
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
     try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
-        return f"session-{id(spark)}"
-
-
-def _is_local(spark: SparkSession) -> bool:
-    try:
-        master = spark.sparkContext.master
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): assume a cluster
-        master = spark.conf.get("spark.master", "")
-    return str(master).startswith("local")
+        return spark.sparkContext
+    except PySparkAttributeError:
+        return None
 
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -93,22 +87,17 @@ def shared_dir(spark: SparkSession) -> str:
     the master is local, one temporary folder per session is created and
     registered with ``setCheckpointDir`` (the conf itself cannot be changed at run
     time); on a cluster a missing setting is an error."""
-    key = session_key(spark)
-    current = spark.conf.get(_CONF_CHECKPOINT, None) or _LOCAL_DIRS.get(key)
-    try:
-        sc = spark.sparkContext
-        current = current or sc.getConf().get(_CONF_CHECKPOINT, None) or sc.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - Spark Connect: the conf is the only source
-        sc = None
+    sc = _context(spark)
+    current = spark.conf.get(_CONF_CHECKPOINT, None)
+    if sc is not None:
+        current = current or sc.getConf().get(_CONF_CHECKPOINT, None) or sc.getCheckpointDir() or _LOCAL_DIRS.get(sc.applicationId)
     if not current:
-        if key not in _LOCAL_DIRS:
-            if not _is_local(spark):
-                raise ValueError(
-                    "spark.checkpoint.dir is not set: point it at a folder on shared storage "
-                    "(a machine-local folder is not visible to every executor)"
-                )
-            _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="periodlens-ckpt-")
-        current = _LOCAL_DIRS[key]
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: point it at a folder on shared storage "
+                "(a machine-local folder is not visible to every executor)"
+            )
+        current = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="periodlens-ckpt-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current.rstrip("/")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .plans.reports import REPORTS, order_columns
-from .session import shared_dir
 
 POPULATION_FACT_SCHEMA = T.StructType(
     [
@@ -54,15 +54,6 @@ def write_parquet(
     writer.parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the session's
-    ``spark.checkpoint.dir`` (shared storage on a cluster), e.g. to reuse facts
-    for several reports in one session. Lost executors then re-read the
-    checkpoint instead of recomputing the raw scan."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def read_fact(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A fact directory with its fixed schema (S6): no inference job."""
     return spark.read.schema(FACT_SCHEMAS[table]).parquet(path)
@@ -96,19 +87,43 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+# Cells are written as they are; only one that holds the delimiter, a quote or a line break is quoted,
+# and a quote inside it is doubled. Empty text is an empty cell, NULL is \\N.
+EXPORT_FORMAT = {
+    "header": "false", "nullValue": "\\N", "emptyValue": "", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def export_delimited(df: DataFrame, path: str, order: Sequence[str], columns: Sequence[str] | None = None) -> None:
     """Ordered, comma-delimited export without header; NULL written as ``\\N``
-    (K3, O1). Use on aggregated reports only: the total order is one range
-    shuffle and the output is gathered into a single ordered file."""
+    (K3, O1). The total order is one range shuffle; part files follow each other in
+    name order, so no task gathers the whole export."""
     out = df.select(*columns) if columns else df
-    (
-        out.orderBy(*order_columns(list(order)))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("header", False)
-        .option("nullValue", "\\N")
-        .csv(path)
-    )
+    out.orderBy(*order_columns(list(order))).write.mode("overwrite").options(**EXPORT_FORMAT).csv(path)
+
+
+def replace_path(spark: SparkSession, staged: str, output: str) -> None:
+    """Put a finished folder in the place of ``output`` by renaming (K1): the old output goes
+    last, and comes back if the new one can't take its place. Both lie in one file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, place, old = hadoop.Path(staged), hadoop.Path(output), hadoop.Path(f"{output.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"can't move {output} aside")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"can't publish {staged} as {output}")
+    if had:
+        files.delete(old, True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def export_report(df: DataFrame, name: str, path: str) -> None:

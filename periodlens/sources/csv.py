@@ -4,19 +4,26 @@ layout-safe multi-file reader.
 Why a layout-safe reader: given a glob of CSV files whose headers differ (two
 naming schemes of the hour columns, or a different column order), Spark's CSV
 source takes one header and binds every other file **by position**, silently
-mixing columns. :func:`read_csv_layouts` first profiles every file in one
-distributed text scan (header line, whether every line is valid UTF-8), then
-reads each (encoding, header) group with its own header and unions the groups
-by column name. Only the per-file profile (one row per file) reaches the driver.
+mixing columns. Two ways lead past that:
+
+* **Stated layouts** (:class:`CsvLayout`): the caller names the charset of each folder; every
+  file of a folder has the same header (checked by the reader). The bytes are read
+  once, cells that don't decode raise an error that names the file. This is the way for
+  large feeds.
+* **Detected layouts**: one distributed text scan profiles every file (header line, charset), then
+  each (charset, header) group is read with its own header and the groups are unioned by
+  column name. It reads the bytes twice and brings one row per file to the driver: for
+  folders of some thousand files.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable, Sequence
+from functools import partial
+from typing import Callable, Iterable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import clean_header_name
@@ -32,14 +39,28 @@ def clean_columns(df: DataFrame) -> DataFrame:
     return df if cleaned == df.columns else df.toDF(*cleaned)
 
 
-def read_csv_strings(spark: SparkSession, paths: str | Sequence[str], encoding: str = UTF8) -> DataFrame:
+_REPLACED = "\ufffd"  # what a decoder writes for bytes that are no character
+
+
+def read_csv_strings(
+    spark: SparkSession, paths: str | Sequence[str], encoding: str = UTF8, strict: bool = False
+) -> DataFrame:
     """Header CSV with every column as a string, headers cleaned.
 
-    Non-UTF-8 charsets such as CP949 need ``spark.sql.legacy.javaCharsets=true``
-    (set by :func:`periodlens.session.configure`).
+    ``strict`` checks, while reading, that every file has the same header and that every cell decodes;
+    the error names the file. Non-UTF-8 charsets such as CP949 need
+    ``spark.sql.legacy.javaCharsets=true`` (set by :func:`periodlens.session.configure`).
     """
     reader = spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
-    return clean_columns(reader.csv(list(paths) if not isinstance(paths, str) else paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not strict:
+        return clean_columns(reader.csv(paths))
+    frame = reader.option("enforceSchema", False).csv(paths)
+    cells = [F.col("`" + c.replace("`", "``") + "`") for c in frame.columns]
+    # the check stands in every cell, so it runs for the columns that are read, and only for those
+    message = F.concat(F.lit(f"not valid {encoding}: "), F.col("_metadata.file_path"))
+    checked = [F.when(c.contains(_REPLACED), F.raise_error(message).cast("string")).otherwise(c).alias(n) for c, n in zip(cells, frame.columns)]
+    return clean_columns(frame.select(*checked))
 
 
 _GLOB_CHARS = "\\[]{}*?"
@@ -53,19 +74,33 @@ def literal_path(uri: str) -> str:
     return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in path)
 
 
+@dataclass(frozen=True)
+class CsvLayout:
+    """Files (a folder or glob) that share one header and one charset."""
+
+    path: str
+    encoding: str = UTF8
+
+
 @dataclass(frozen=True)
 class FileProfile:
     path: str
     utf8: bool
+    legacy: bool
     header: str
 
+    def charset(self, legacy_encoding: str) -> str:
+        return UTF8 if self.utf8 else legacy_encoding
 
-def file_profiles(spark: SparkSession, paths: str | Sequence[str]) -> list[FileProfile]:
-    """One distributed text scan -> (path, all lines valid UTF-8, first line) per file.
 
-    The first line is the line with the smallest (block start, row id) of each
-    file: rows of one split keep their order in ``monotonically_increasing_id``.
-    Whole files are checked for UTF-8 validity, not only their first block.
+def file_profiles(
+    spark: SparkSession, paths: str | Sequence[str], legacy: str = DEFAULT_LEGACY_ENCODING
+) -> list[FileProfile]:
+    """One distributed text scan -> (path, valid UTF-8, valid ``legacy``, first line) per file.
+
+    Whole files are checked, not only their first block. The first line is the line with
+    the smallest (block start, row id) of each file: rows of one split keep their order in
+    ``monotonically_increasing_id``. A file that is valid in neither charset is an error.
     """
     text = spark.read.text(list(paths) if not isinstance(paths, str) else paths)
     lines = text.select(
@@ -73,23 +108,34 @@ def file_profiles(spark: SparkSession, paths: str | Sequence[str]) -> list[FileP
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
     ).withColumn("row_id", F.monotonically_increasing_id())
+    utf8 = F.is_valid_utf8("value")
     per_file = lines.groupBy("path").agg(
-        F.min(F.is_valid_utf8("value")).alias("utf8"),
+        F.min(utf8).alias("utf8"),
+        F.min(F.when(utf8, True).otherwise(~_decoded("value", legacy).contains(_REPLACED))).alias("legacy"),
         F.min_by("value", F.struct("block", "row_id")).alias("header"),
     )
-    return [FileProfile(literal_path(r["path"]), bool(r["utf8"]), r["header"] or "") for r in per_file.collect()]
+    found = [FileProfile(literal_path(r["path"]), bool(r["utf8"]), bool(r["legacy"]), r["header"] or "") for r in per_file.collect()]
+    bad = sorted(p.path for p in found if not (p.utf8 or p.legacy))
+    if bad:
+        raise ValueError(f"neither {UTF8} nor {legacy}: {', '.join(bad[:5])}" + (f" and {len(bad) - 5} more" if len(bad) > 5 else ""))
+    return found
+
+
+def _decoded(line: str, charset: str) -> Column:
+    """A line read as text, decoded from its bytes (a byte sequence that is no character becomes U+FFFD)."""
+    return F.col(line) if charset == UTF8 else F.decode(F.col(line).cast("binary"), charset)
 
 
 def detect_encodings(
     spark: SparkSession, paths: str | Sequence[str], legacy: str = DEFAULT_LEGACY_ENCODING
 ) -> dict[str, str]:
-    """File path -> charset: UTF-8 when every line decodes, else ``legacy``."""
-    return {p.path: (UTF8 if p.utf8 else legacy) for p in file_profiles(spark, paths)}
+    """File path -> charset: UTF-8 when every line decodes, else ``legacy`` when every line does."""
+    return {p.path: p.charset(legacy) for p in file_profiles(spark, paths, legacy)}
 
 
 def read_csv_layouts(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Sequence[str] | Sequence[CsvLayout],
     encoding: str = "auto",
     legacy_encoding: str = DEFAULT_LEGACY_ENCODING,
     per_layout: Callable[[DataFrame], DataFrame] | None = None,
@@ -103,23 +149,25 @@ def read_csv_layouts(
     every group is resolved against its own header. Without it, columns missing
     from a layout are NULL in the union.
 
-    Profiling costs one pass over the files. ``single_layout=True`` (with an
-    explicit ``encoding``) states that every file shares one header and charset
-    and skips that pass: one plain read, as Spark's CSV source does.
+    With :class:`CsvLayout` entries as ``paths``, each is read in one strict pass and
+    nothing is profiled. ``single_layout=True`` (with an explicit ``encoding``) says the
+    same of plain paths.
     """
     if single_layout:
         if encoding == "auto":
             raise ValueError("single_layout=True needs an explicit encoding")
-        frame = read_csv_strings(spark, paths, encoding)
-        return per_layout(frame) if per_layout is not None else frame
-    profiles = file_profiles(spark, paths)
-    if not profiles:
-        raise ValueError(f"no input files under {paths!r}")
-    groups: dict[tuple[str, str], list[str]] = {}
-    for p in profiles:
-        charset = (UTF8 if p.utf8 else legacy_encoding) if encoding == "auto" else encoding
-        groups.setdefault((charset, p.header), []).append(p.path)
-    frames = [read_csv_strings(spark, sorted(files), charset) for (charset, _), files in sorted(groups.items())]
+        paths = [CsvLayout(p, encoding) for p in ([paths] if isinstance(paths, str) else paths)]
+    if not isinstance(paths, str) and any(isinstance(p, CsvLayout) for p in paths):
+        frames = [read_csv_strings(spark, p.path, p.encoding, strict=True) for p in paths]
+    else:
+        profiles = file_profiles(spark, paths, legacy_encoding)
+        if not profiles:
+            raise ValueError(f"no input files under {paths!r}")
+        groups: dict[tuple[str, str], list[str]] = {}
+        for p in profiles:
+            charset = p.charset(legacy_encoding) if encoding == "auto" else encoding
+            groups.setdefault((charset, p.header), []).append(p.path)
+        frames = [read_csv_strings(spark, sorted(files), charset) for (charset, _), files in sorted(groups.items())]
     if per_layout is not None:
         frames = [per_layout(f) for f in frames]
     out = frames[0]
@@ -134,31 +182,54 @@ def normalize_to_utf8(
     output: str,
     legacy_encoding: str = DEFAULT_LEGACY_ENCODING,
 ) -> list[str]:
-    """Rewrite CSV files as UTF-8 (S8): each (charset, header) group is read with
-    its own charset and written, with its header, to ``output/layout=<i>``.
-    Returns the written folders. Runs as Spark jobs; no file passes the driver."""
-    profiles = file_profiles(spark, paths)
+    """Rewrite text files as UTF-8 (S8), line by line: cells, blanks, quotes and ragged
+    rows stay as they are. Each (charset, header) group goes to ``output/layout=<i>``; every
+    written part begins with the group's header line, so parts are files of their own. A file that is
+    valid in neither charset is an error before anything is written. Returns the written
+    folders. Runs as Spark jobs; no file passes the driver."""
+    profiles = file_profiles(spark, paths, legacy_encoding)
     groups: dict[tuple[str, str], list[str]] = {}
     for p in profiles:
-        groups.setdefault((UTF8 if p.utf8 else legacy_encoding, p.header), []).append(p.path)
+        groups.setdefault((p.charset(legacy_encoding), p.header), []).append(p.path)
     written = []
     for i, ((charset, _), files) in enumerate(sorted(groups.items())):
         target = f"{output.rstrip('/')}/layout={i}"
-        frame = read_csv_strings(spark, sorted(files), charset)
-        frame.write.mode("overwrite").option("header", True).option("encoding", UTF8).csv(target)
+        lines = spark.read.text(sorted(files)).select(
+            _decoded("value", charset).alias("value"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+        )
+        header = spark.read.text(files[0]).select(_decoded("value", charset).alias("value")).first()["value"]
+        lines.mapInPandas(partial(_with_one_header, header=header), "value string").write.mode("overwrite").text(target)
         written.append(target)
     return written
 
 
-def resolve_column(columns: Sequence[str], candidates: Sequence[str], label: str, required: bool = True) -> str | None:
-    """First candidate present in ``columns`` (P3). A missing required column is an
-    error listing the candidates and the input columns, raised before any job (Q2)."""
-    for c in candidates:
-        if c in columns:
-            return c
-    if not required:
-        return None
-    raise ValueError(f"missing required column for {label}: candidates={list(candidates)}, input_columns={list(columns)}")
+def _with_one_header(batches, header: str):
+    """The lines of a task's parts of files, with the header in front once and not where files begin."""
+    import pandas as pd
+
+    begun: set[str] = set()
+    for n, lines in enumerate(batches):
+        first = (lines["block"] == 0) & ~lines["path"].duplicated() & ~lines["path"].isin(begun)
+        begun.update(lines["path"])
+        kept = lines.loc[~first, ["value"]]
+        yield pd.concat([pd.DataFrame({"value": [header]}), kept]) if n == 0 else kept
+
+
+def resolve_columns(columns: Sequence[str], wanted: dict, optional: Iterable = ()) -> dict:
+    """Names of an input's columns for what a parser wants.
+
+    ``wanted`` maps each key to the names it may have, best first. The result maps the
+    keys found to the names present. What is missing and not ``optional`` is
+    reported in one error, before any job runs (Q2)."""
+    present = set(columns)
+    found = {key: next((n for n in names if n in present), None) for key, names in wanted.items()}
+    missing = {key: list(wanted[key]) for key, name in found.items() if name is None and key not in set(optional)}
+    if missing:
+        listed = "; ".join(f"{key} ({' or '.join(names)})" for key, names in missing.items())
+        raise ValueError(f"the input has no column for: {listed}. It has: {', '.join(columns)}")
+    return {key: name for key, name in found.items() if name is not None}
 
 
 def source_bytes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -2,8 +2,7 @@
 
 These are the inputs the analysis is defined by. They are tiny (tens of rows) and
 are built on the driver from literal rows or read from small CSV files; joins to
-them go through :func:`periodlens.operators.joins.join_dimension`, which checks
-the row bound before broadcasting.
+them go through :func:`periodlens.operators.joins.join_dimension`.
 """
 
 from __future__ import annotations
@@ -169,8 +168,3 @@ def typed_periods(periods: DataFrame) -> DataFrame:
 def calendar_from_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """A typed calendar from (exam_year, semester, exam_type, phase, start, end) tuples."""
     return local_table(spark, rows, PERIOD_SCHEMA)
-
-
-def calendar_day_count(rows: list[tuple]) -> int:
-    """Rows of the day-expanded calendar of literal period rows (its exact size)."""
-    return sum(max((end - start).days + 1, 0) for *_, start, end in rows if start is not None and end is not None)

@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_row_sum
 from ..operators.joins import join_dimension
-from ..session import session_key
-from .dimensions import calendar_day_count, calendar_from_rows
+from .dimensions import calendar_from_rows
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -63,16 +62,9 @@ VALUE_SCALE = 2
 MEASURE_SCALES = {"total_population": VALUE_SCALE, "young_20s_population": VALUE_SCALE}
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. The DataFrame (a lazy plan; file listing and footer read
-    done once) is reused by every query of the same session."""
-    key = (session_key(spark), sf_dir.rstrip("/"), name)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _READS[key]
+    """A test table, listed anew by every query, so files added later are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dates(rows):
@@ -87,10 +79,6 @@ def order_calendar(spark: SparkSession) -> DataFrame:
     return calendar_from_rows(spark, _dates(ORDER_CALENDAR))
 
 
-EVENT_CALENDAR_DAYS = calendar_day_count(_dates(EVENT_CALENDAR))
-ORDER_CALENDAR_DAYS = calendar_day_count(_dates(ORDER_CALENDAR))
-
-
 def area_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region -> (nationkey, area_id, area_name, area_type); 25 rows.
 
@@ -100,7 +88,7 @@ def area_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_regionkey").alias("n_regionkey"), types[F.col("r_name")].alias("area_type")
     )
     nation = table(spark, sf_dir, "nation")
-    return join_dimension(nation, region, "n_regionkey", "inner").select(
+    return join_dimension(nation, region, "n_regionkey").select(
         F.col("n_nationkey").alias("nationkey"),
         F.col("n_nationkey").cast("string").alias("area_id"),
         F.col("n_name").alias("area_name"),
@@ -108,27 +96,16 @@ def area_of_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_UNITS: dict[tuple, DataFrame] = {}
-
-
 def unit_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit (customer) -> area: (unit_code, area_id, area_name, area_type).
 
-    The customer table grows with the data; the nation side is tiny and is
-    broadcast after a size check. The plan is built once per session.
+    The customer table grows with the data; how it meets the nations is the planner's choice.
     """
-    key = (session_key(spark), sf_dir.rstrip("/"))
-    if key not in _UNITS:
-        _UNITS[key] = _unit_areas(spark, sf_dir)
-    return _UNITS[key]
-
-
-def _unit_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("unit_code"), F.col("c_nationkey").alias("nationkey")
     )
     areas = area_of_nation(spark, sf_dir)
-    return join_dimension(customer, areas, "nationkey", "inner").drop("nationkey")
+    return join_dimension(customer, areas, "nationkey").drop("nationkey")
 
 
 def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,11 +133,12 @@ def exit_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders -> (date, hour, unit_code, total_population = price, young = 0)."""
+    """orders -> (date, hour, unit_code, total_population = price, young = 0). Order dates have
+    no time of day, so the hour is the order key modulo 24."""
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.to_date("o_orderdate").alias("date"),
-        F.hour("o_orderdate").alias("hour"),
+        F.pmod("o_orderkey", F.lit(24)).cast("int").alias("hour"),
         F.col("o_custkey").alias("unit_code"),
         F.col("o_totalprice").alias("total_population"),
         F.lit(0.0).alias("young_20s_population"),

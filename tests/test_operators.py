@@ -17,14 +17,14 @@ from periodlens.functions.columns import (
     try_number,
 )
 from periodlens.operators.facts import population_fact, ridership_fact
-from periodlens.operators.ingest import resolve_hour_columns, subway_observations
-from periodlens.operators.joins import bounded_rows, join_dimension
+from periodlens.operators.ingest import subway_columns, subway_observations
+from periodlens.operators.joins import join_dimension
 from periodlens.operators.metrics import ranked, with_zscores
 from periodlens.operators.periods import expand_calendar, label_periods, overlapping_periods
 from periodlens.operators.quality import EmptyStageError, Gates, is_nonempty
 from periodlens.operators.reshape import columns_to_rows, rows_to_columns
 from periodlens.plans.reports import REPORTS
-from periodlens.sources.csv import read_csv_layouts, resolve_column
+from periodlens.sources.csv import CsvLayout, normalize_to_utf8, read_csv_layouts, resolve_columns
 from periodlens.sources.dimensions import calendar_from_rows, typed_periods
 
 D = dt.date
@@ -71,9 +71,12 @@ def test_safe_row_sum_guarded_ratio_lift(spark):
     assert one == 0.5
 
 
-def test_clean_header_name():
-    assert clean_header_name('\ufeff"기준일ID" ') == "기준일ID"
-    assert clean_header_name("?수송일자") == "수송일자"
+@pytest.mark.parametrize(
+    "raw,name",
+    [('\ufeff"기준일ID" ', "기준일ID"), ("?수송일자", "수송일자"), (' "a b" ', "a b"), ("??x?", "x?"), ('x"\ufeffy', "xy"), ("", ""), ("?", ""), ("  ", "")],
+)
+def test_clean_header_name(raw, name):
+    assert clean_header_name(raw) == name
 
 
 def test_ranked_ties_and_nulls(spark):
@@ -192,13 +195,12 @@ def test_late_night_previous_day(spark):
     assert (prev["date"], prev["phase"]) == (D(2025, 4, 13), "normal")
 
 
-def test_join_dimension_bound(spark):
+def test_only_literal_dimensions_carry_a_hint(spark):
     fact = spark.range(10).withColumnRenamed("id", "k")
     dim = spark.range(5).withColumnRenamed("id", "k")
-    assert bounded_rows(dim, 5) and not bounded_rows(dim, 4)
-    plan_small = join_dimension(fact, dim, "k", max_broadcast_rows=10)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    assert join_dimension(fact, dim, "k", max_broadcast_rows=2).count() == 5
+    hint = lambda df: "strategy=broadcast" in df._jdf.queryExecution().logical().toString()
+    assert hint(join_dimension(fact, dim, "k", literal=True)) and not hint(join_dimension(fact, dim, "k"))
+    assert join_dimension(fact, dim, "k").count() == 5
 
 
 def test_reshape_roundtrip(spark):
@@ -209,11 +211,13 @@ def test_reshape_roundtrip(spark):
     assert sorted(tuple(r) for r in long.collect()) == [("x", 0, 1), ("x", 18, 2), ("y", 18, 4)]
 
 
-def test_required_hour_column_missing_errors_before_job():
-    cols = ["수송일자", "호선", "역명", "승하차구분", "승객유형", "18시", "19시", "20시", "21시", "22시", "23시"]
-    with pytest.raises(ValueError, match="0 hour"):
-        resolve_hour_columns(cols)
-    assert resolve_column(["a"], ["b", "c"], "x", required=False) is None
+def test_missing_columns_are_reported_together_before_any_job():
+    cols = ["수송일자", "역명", "승하차구분", "승객유형", "18시", "19시", "20시", "21시", "22시", "23시"]
+    with pytest.raises(ValueError, match="line name.*; 0 "):
+        subway_columns(cols)
+    names, hours = subway_columns([*cols, "호선", "24시간대이후", "02시"])
+    assert names["line name"] == "호선" and hours[-2:] == [(0, "24시간대이후"), (2, "02시")]
+    assert resolve_columns(["a", "c"], {"x": ["b", "c"], "y": ["d"]}, optional=["y"]) == {"x": "c"}
 
 
 def test_layout_safe_reader(spark, tmp_path):
@@ -253,17 +257,23 @@ def test_ridership_fact_types(spark):
     assert dict(fact.dtypes)["alighting_count"] == "bigint" and fact.first()["alighting_count"] == 3
 
 
-def test_rollup_without_broadcast_matches_and_survives_hot_unit(spark):
-    """Forcing every dimension join to the shuffle path (cap 1 row) gives the same
-    fact; one unit holds a third of the rows."""
+def test_rollup_without_broadcast_sums_before_the_unit_join(spark):
+    """With broadcasting off the plan has a sort-merge join on the unit, and it carries sums:
+    a unit that holds a third of the rows is one row per (date, hour) there."""
     rows = [(D(2025, 4, 14 + (i % 7)), 18 + (i % 3), "u1" if i % 3 == 0 else f"u{2 + i % 2}", float(i), 1.0) for i in range(300)]
     obs = _obs(spark, rows)
-    fast = population_fact(obs, _units(spark), cal(spark, PERIODS))
-    slow = population_fact(obs, _units(spark), cal(spark, PERIODS), max_broadcast_rows=1)
-    plan = slow._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin [unit_code" in plan  # the unit map is not broadcast past the cap
-    assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, slow.collect()), key=str)
-    assert fast.count() == 35  # 7 days x (hour 18: area a; hours 19, 20: areas a and b)
+    fast = sorted(map(tuple, population_fact(obs, _units(spark), cal(spark, PERIODS)).collect()), key=str)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow = population_fact(obs, _units(spark), cal(spark, PERIODS))
+        plan = slow._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, slow.collect()), key=str) == fast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    below = plan[plan.index("SortMergeJoin [unit_code"):]
+    assert "partial_sum(total_population" in below and "keys=[date" in below
+    assert len(fast) == 35  # 7 days x (hour 18: area a; hours 19, 20: areas a and b)
 
 
 def test_dynamic_partition_overwrite(spark, tmp_path):
@@ -278,21 +288,6 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
     assert got == [(1, 1.0), (2, 5.0)]
 
 
-def test_broadcast_bound_counts_bytes(spark):
-    wide = spark.range(3).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("payload"))
-    assert bounded_rows(wide, 10)
-    assert not bounded_rows(wide, 10, max_bytes=20_000)
-
-
-def test_checkpointed_cuts_lineage(spark):
-    from periodlens.sinks import checkpointed
-
-    df = spark.range(10).withColumn("y", F.col("id") * 2)
-    cp = checkpointed(df)
-    assert cp.count() == 10
-    assert "LogicalRDD" in cp._jdf.queryExecution().logical().toString()
-
-
 def test_exact_avg(spark):
     from periodlens.operators.metrics import conditional_avg, exact_avg
 
@@ -345,3 +340,87 @@ def test_reader_handles_spaces_brackets_and_percent_in_file_names(spark, tmp_pat
     (tmp_path / "pct%20name.csv").write_bytes("역명,n\n강남,3\n".encode("utf-8"))
     got = sorted(tuple(r) for r in read_csv_layouts(spark, str(tmp_path)).collect())
     assert got == [("강남", "3"), ("신촌", "1"), ("이대", "2")]
+
+
+def test_undecodable_files_are_named(spark, tmp_path):
+    (tmp_path / "good.csv").write_bytes("역명,n\n신촌,1\n".encode("cp949"))
+    (tmp_path / "broken.csv").write_bytes("역명,n\n".encode("cp949") + b"\x80\xff\xfe,2\n")
+    for read in (read_csv_layouts, lambda s, p: normalize_to_utf8(s, p, str(tmp_path / "out"))):
+        with pytest.raises(ValueError, match="broken.csv"):
+            read(spark, str(tmp_path / "*.csv"))
+    stated = read_csv_layouts(spark, [CsvLayout(str(tmp_path / "*.csv"), "CP949")])
+    with pytest.raises(Exception, match="not valid CP949.*broken.csv"):
+        stated.collect()
+
+
+def test_stated_layouts_check_the_header_of_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_layouts(spark, [CsvLayout(str(tmp_path))]).collect()
+
+
+def test_normalized_lines_keep_their_cells(spark, tmp_path):
+    import glob
+
+    lines = ["\ufeff\"역명\",코드,n", " 11440660,  신촌 ,1", "a,,", "ragged,1,2,넷", '"x, y",\'q\',"a ""b"""', "한,둘,셋"]
+    for name, charset in (("old.csv", "cp949"), ("new.csv", "utf-8")):
+        (tmp_path / name).write_bytes("\n".join(lines if charset == "utf-8" else [lines[0][1:], *lines[1:]]).encode(charset))
+    folders = normalize_to_utf8(spark, str(tmp_path / "*.csv"), str(tmp_path / "out"))
+    got = []
+    for folder in folders:
+        for part in sorted(glob.glob(f"{folder}/part-*")):
+            text = open(part, encoding="utf-8").read().split("\n")
+            assert text[0].lstrip("\ufeff") == lines[0][1:]
+            got += text[1:-1]
+    assert sorted(got) == sorted(lines[1:] * 2)
+    # and the blanks are there when the rewritten files are read
+    rows = read_csv_layouts(spark, [CsvLayout(f) for f in folders])
+    assert rows.columns == ["역명", "코드", "n"] and rows.filter("`코드` = '  신촌 '").count() == 2
+
+
+def test_raw_bytes_of_a_stated_layout_are_read_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 50)
+    df = read_csv_layouts(spark, [CsvLayout(str(tmp_path))]).groupBy("x").count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and df.first()["count"] == 50
+
+
+def test_ranked_range_keeps_payload_and_null_groups(spark):
+    rows = [(i % 4 or None, (i * 37) % 11 if i % 5 else None, i, f"payload {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, x int, id int, note string")
+    args = (["k"], "x", "r", ("id",))
+    window, ranges = ranked(df, *args), ranked(df.repartition(7), *args, method="range", num_ranges=9)
+    assert sorted(map(str, window.collect())) == sorted(map(str, ranges.collect())) and ranges.columns == window.columns
+
+
+def test_zscores_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 1.0)], "k string, x double")
+    rows = lambda m: sorted(map(str, with_zscores(df, {"z": "x"}, ["k"], m).collect()))
+    assert rows("window") == rows("aggregate")
+
+
+def test_publish_keeps_the_old_output_when_a_check_fails(spark, tmp_path):
+    from periodlens.plans.pipelines import _publish
+
+    out = str(tmp_path / "fact")
+    _publish(spark, spark.range(3), out)
+    _publish(spark, spark.range(5), out)
+    assert spark.read.parquet(out).count() == 5
+
+    def fail():
+        raise EmptyStageError("nothing")
+
+    with pytest.raises(EmptyStageError):
+        _publish(spark, spark.range(9), out, check=fail)
+    assert spark.read.parquet(out).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["fact"]  # nothing staged is left
+
+
+def test_gates_tell_unknown_units_from_units_without_an_area(spark):
+    obs = spark.createDataFrame([(D(2025, 4, 14), 18, u, 1) for u in ("u1", "u1", "gone", "bare")], "date date, hour int, unit_code string, alighting_count long")
+    units = spark.createDataFrame([("u1", "a", "A", "x"), ("bare", None, None, None)], "unit_code string, area_id string, area_name string, area_type string")
+    gates = Gates("t")
+    fact = ridership_fact(obs, units, cal(spark, PERIODS), gates=gates)
+    assert fact.first()["alighting_count"] == 2
+    assert gates.counts() == {"night hours": 4, "unit lookup": 3, "area lookup": 2}

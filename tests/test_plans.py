@@ -30,12 +30,19 @@ def test_fact_plan_broadcasts_and_partially_aggregates(spark):
     assert plan.count("BroadcastHashJoin") >= 2  # units and calendar days
     assert "partial_sum" in plan
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(shuffles) == 1  # the only shuffle carries partially aggregated rows
+    assert len(shuffles) == 2  # sums per (date, hour, unit), then sums per roll-up key
+    assert plan.index("BroadcastHashJoin [unit_code") < plan.rindex("partial_sum")
 
 
-def test_range_strategy_is_a_nested_loop_join(spark):
+def test_range_strategy_is_an_equi_join(spark):
     plan = physical(catalog.event_population_fact(spark, SF, strategy="range"))
-    assert "BroadcastNestedLoopJoin" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_baseline_report_scans_its_fact_once(spark, tmp_path):
+    write_parquet(catalog.event_population_fact(spark, SF), str(tmp_path / "pop"))
+    pop = read_fact(spark, str(tmp_path / "pop"), "area_population")
+    assert physical(REPORTS["after_vs_normal"].build(pop, None)).count("FileScan parquet") == 1
 
 
 def test_reports_over_persisted_facts_push_filters_and_prune_columns(spark, tmp_path):
