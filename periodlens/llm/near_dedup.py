@@ -7,8 +7,8 @@
    similarity of at least t is P(Bin(n + 1, t) <= m) (uniform prior). A pair whose chance falls
    below ``miss`` is dropped; survivors are verified exactly on their full sets.
 4. Links found so far are contracted to components. Buckets that still hold more than one
-   component are compared across components, block by block, with the same pruning, and the
-   survivors verified: every candidate pair is either judged or already in one component.
+   component are compared across components, block by block, with the same pruning, and
+   survivors are verified on the spot: every candidate pair is either judged or already in one component.
 
 What can be missed: a pair that shares no band (at similarity 0.85: 8e-7) or is pruned (``miss``
 per batch). A bucket is never held by one task: counts and leaders are pre-aggregated, and
@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +95,7 @@ def banded(classes: DataFrame) -> DataFrame:
                 with np.errstate(over="ignore"):
                     for k in range(ROWS):
                         h = texts.mix(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
+                h = h & ~np.uint64(31) | np.arange(BANDS, dtype=np.uint64)  # the band stands in the lowest bits
                 node = np.repeat(batch.column(0).to_numpy(), BANDS)
                 yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(node)], names=["h", "node"])
 
@@ -138,42 +138,72 @@ def pruned(pairs: DataFrame, classes: DataFrame, least: int, miss: float) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
-def across(members: DataFrame, classes: DataFrame, least: int, miss: float) -> DataFrame:
-    """Pairs (a, b) of members (h, node, comp, c) of one bucket but different components that pruning keeps.
+def across(spark: SparkSession, members: DataFrame, classes: DataFrame, docs: DataFrame, least: int, width: int, miss: float, text_column: str) -> DataFrame:
+    """Links (a, b) between members (h, node, comp, c) of one bucket but different components.
 
-    A bucket of c members is cut into c / BLOCK blocks; every two blocks meet in a task of their own."""
+    A bucket of c members is cut into c / BLOCK blocks; every two blocks meet once, with signatures and sets,
+    so that pairs are pruned and verified where they meet and only links leave. A pair that
+    shares several bands is judged in the first of them."""
+    nodes = members.select("node").distinct()
+    whole = full_sets(spark, nodes, classes, docs, width, text_column)
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     cut = members.withColumn("k", blocks).withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     cut = cut.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    cut = cut.select("h", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), (F.col("i") <= F.col("j")).alias("first"), "i", "node", "comp").join(classes.select("node", "n", "sig"), "node")
+    cut = cut.select("h", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "node", "comp")
+    cut = cut.join(classes.select("node", "n", "sig"), "node").join(whole, "node")
+    met = cut.select("h", "lo", "hi", "i", "node", "comp", "n", "sig", "s").repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")
     steps = least_matches(least / 100, miss)
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, lo, hi = key
-        x, y = frame[frame["i"] == lo], frame[frame["i"] == hi]
-        out = []
-        if len(x) and len(y):
-            sx, sy = (np.frombuffer(b"".join(f["sig"]), np.uint32).reshape(-1, SIZE) for f in (x, y))
-            na, nb = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None]
-            fit = (x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None]) & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * least)
-            if lo == hi:
-                fit = np.triu(fit, 1)
-            i, j = np.nonzero(fit)
-            same, done = np.zeros(len(i), np.int64), 0
-            for n, m in steps:
-                same += (sx[i, done:n] == sy[j, done:n]).sum(1)
-                keep = same >= m
-                i, j, same, done = i[keep], j[keep], same[keep], n
-            a, b = x["node"].to_numpy()[i], y["node"].to_numpy()[j]
-            out = {"a": np.minimum(a, b), "b": np.maximum(a, b)}
-        return pd.DataFrame(out or {"a": [], "b": []}).astype("int64")
-
-    return cut.groupBy("h", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
+    def judge(held: list[pa.RecordBatch]) -> tuple[list[int], list[int]]:
+        table = pa.Table.from_batches(held)
+        h, lo, hi = (table.column(k)[0].as_py() for k in ("h", "lo", "hi"))
+        block, node, comp, n = (table.column(k).to_numpy() for k in ("i", "node", "comp", "n"))
+        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        fit = (comp[x][:, None] != comp[y][None]) & (np.minimum(n[x][:, None], n[y][None]) * 100 >= np.maximum(n[x][:, None], n[y][None]) * least)
+        i, j = np.nonzero(np.triu(fit, 1) if lo == hi else fit)
+        if not len(i):
+            return [], []
+        i, j = x[i], y[j]
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, SIZE)
+        same, done = np.zeros(len(i), np.int64), 0
+        for size, m in steps:
+            same += (sig[i, done:size] == sig[j, done:size]).sum(1)
+            keep = same >= m
+            i, j, same, done = i[keep], j[keep], same[keep], size
+        first = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(2).argmax(1) == h & 31
+        i, j = i[first], j[first]
+        held_sets = {k: np.frombuffer(table.column("s")[int(k)].as_py(), np.uint64) for k in np.unique(np.concatenate((i, j)))}
+        links = [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if similar(held_sets[a], held_sets[b], least)]
+        return [int(min(node[a], node[b])) for a, b in links], [int(max(node[a], node[b])) for a, b in links]
 
-
-def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: DataFrame, least: int, width: int, text_column: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]):
+        held, key = [], None
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1), len(keys)] if len(keys) else []
+            a, b = [], []
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                now = tuple(keys[start])
+                if held and now != key:
+                    found = judge(held)
+                    a, b, held = a + found[0], b + found[1], []
+                key = now
+                held.append(batch.slice(start, end - start))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        found = judge(held) if held else ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], names=["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
+
+
+def similar(x: np.ndarray, y: np.ndarray, least: int) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    common = np.intersect1d(x, y, assume_unique=True).size
+    return 100 * common >= least * (len(x) + len(y) - common)
+
+
+def full_sets(spark: SparkSession, nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int, text_column: str) -> DataFrame:
+    """(node, s): the whole sets of the nodes, from the text of the row that stands for each."""
     keys = stage(spark, nodes.join(classes.select("node", "_f", "_r"), "node"), "nodes")
     held = bloom.inner(spark, docs.select("_f", "_r", F.col(text_column).alias("t")), keys, "_f", "_r").select("node", "t")
 
@@ -183,7 +213,13 @@ def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: Da
                 value, first = sets(data, at, width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([value[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["node", "s"])
 
-    whole = stage(spark, held.mapInArrow(full, "node long, s binary"), "sets")
+    return stage(spark, held.mapInArrow(full, "node long, s binary"), "sets")
+
+
+def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: DataFrame, least: int, width: int, text_column: str) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    whole = full_sets(spark, nodes, classes, docs, width, text_column)
     of = lambda x: whole.select(F.col("node").alias(x), F.col("s").alias(f"s{x}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
 
@@ -191,9 +227,7 @@ def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: Da
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = np.intersect1d(x, y, assume_unique=True).size
-                keep[i] = 100 * common >= least * (len(x) + len(y) - common)
+                keep[i] = similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), least)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
@@ -216,8 +250,7 @@ def classes_and_links(spark: SparkSession, docs: DataFrame, least: int, width: i
     open_ = live.join(labels, "node", "left").select("h", "node", F.coalesce("label", "node").alias("comp"))
     split = open_.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c")).where("x <> y").select("h", "c")
     members = stage(spark, open_.join(split, "h"), "open")
-    rest = stage(spark, across(members, classes, least, miss).join(near, ["a", "b"], "left_anti"), "rest")
-    more = stage(spark, verified(spark, rest, classes, docs, least, width, text_column), "more-links")
+    more = across(spark, members, classes, docs, least, width, miss, text_column)
     return rows, classes, stage(spark, links.union(more), "all-links")
 
 
