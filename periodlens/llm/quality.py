@@ -121,33 +121,33 @@ def vote_features(junk: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 # ---- the label model
 
-def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, float, np.ndarray]:
-    """(posterior of each pattern, prior, vote chances [labeller, label, vote]) by expectation-maximisation.
-
-    It starts alike for all heuristics: a yes comes from half of the yes cases (each knows one kind of
-    them) and from one in a hundred others; yes is the rarer label. The last labeller is the labels
-    table: its votes stay right in 99 of 100, which ties the answer to its meaning."""
-    m = patterns.shape[1]
-    total = counts.sum()
-    chance = np.zeros((m, 2, 3))
-    chance[:, YES], chance[:, NO] = [0.0, 0.5, 0.5], [0.0, 0.01, 0.99]
-    none = counts[patterns[:, -1] == NONE].sum() / max(total, 1)
-    for label in (YES, NO):
-        chance[-1, label] = [(0.99 if v == label else 0.01) * (1 - none) for v in (NO, YES)] + [none]
-    chance += 1e-6
-    prior, post = 0.1, np.zeros(len(patterns))
+def chance_of(patterns: np.ndarray, accuracy: np.ndarray, leak: float) -> np.ndarray:
+    """Chance of a yes given the heuristics' votes: none of those that say yes is right only if all of them err."""
+    wrong = np.where(patterns[:, : len(accuracy)] == YES, 1 - accuracy, 1.0).prod(1)
+    return 1 - (1 - leak) * wrong
+
+
+def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float, np.ndarray]:
+    """(posterior of each pattern, chance of a yes without votes, accuracy of each heuristic).
+
+    The last column of a pattern is the labels table, right in 99 of 100. A heuristic knows one
+    kind of case, so its silence says nothing about other kinds; its accuracy is how
+    often it is right by itself where it says yes. Expectation: the chance of a yes from the accuracies of
+    those that vote, and the label, and each heuristic's share in it. Maximisation: each accuracy is its mean
+    share where it votes, with two imagined votes at 0.8, where all start."""
+    votes, label = patterns[:, :-1], patterns[:, -1]
+    accuracy, leak = np.full(votes.shape[1], 0.8), 0.02
+    silent = (votes != YES).all(1)
+    odds = np.where(label == YES, 99.0, np.where(label == NO, 1 / 99.0, 1.0))
+    post = np.zeros(len(patterns))
     for _ in range(rounds):
-        logs = np.log(chance)
-        score = np.log(prior) - np.log(1 - prior) + sum((logs[j, YES, patterns[:, j]] - logs[j, NO, patterns[:, j]] for j in range(m)), np.zeros(len(patterns)))
-        post = 1 / (1 + np.exp(-np.clip(score, -60, 60)))
-        prior = float(np.clip((post * counts).sum() / max(total, 1), 1e-4, 0.5))
-        for label, weight in ((YES, post * counts), (NO, (1 - post) * counts)):
-            for j in range(m - 1):
-                by = np.array([weight[patterns[:, j] == v].sum() for v in range(3)])
-                # a few imagined votes keep chances off 0; more of them on the right answer
-                by += np.where(np.arange(3) == label, 2.0, np.where(np.arange(3) == NONE, 0.5, 0.01))
-                chance[j, label] = by / by.sum()
-    return post, prior, chance
+        p = np.clip(chance_of(votes, accuracy, leak), 1e-9, 1 - 1e-9)
+        post = p * odds / (p * odds + 1 - p)
+        for j in range(votes.shape[1]):
+            own = counts * (votes[:, j] == YES)
+            accuracy[j] = ((own * post / p).sum() * accuracy[j] + 2 * 0.8) / (own.sum() + 2)
+        leak = float(np.clip(((counts * silent * post).sum() + 0.02) / ((counts * silent).sum() + 1), 1e-4, 0.4))
+    return post, leak, accuracy
 
 
 # ---- the scorer
@@ -187,10 +187,8 @@ class Model:
         for head, w in enumerate(self.weights):
             margin = np.bincount(doc, w[bucket], minlength=read.n_docs) + w[SIZE] + np.where(votes >= 0, w[votes], 0).sum(1)
             score.append(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
-            prior, chance = self.chances[head]
-            own = junk if head == 0 else toxic
-            odds = np.log(prior) - np.log(1 - prior) + sum(np.log(chance[j, YES, own[:, j]]) - np.log(chance[j, NO, own[:, j]]) for j in range(own.shape[1]))
-            posterior.append(1 / (1 + np.exp(-np.clip(odds, -35, 35))))
+            leak, accuracy = self.chances[head]
+            posterior.append(chance_of(junk if head == 0 else toxic, accuracy, leak))
         score, posterior, words = np.stack(score, 1), np.stack(posterior, 1), read.n_words > 0
         return words, posterior, score, words & (score < 0.5).all(1)
 
@@ -211,7 +209,7 @@ def _lists(rows: list[tuple], k: int) -> np.ndarray:
     at[at == len(other)] = 0
     seen = np.where(other[at] == value, others[at], 0)
     odds = (count + 0.5) / (len(yes) + 1) / ((seen + 0.5) / (len(no) + 1))
-    return value[(count >= max(8, 0.02 * len(yes))) & (odds > 25) & (seen <= 0.001 * len(no))]
+    return value[(count >= 5) & (odds > 60)]
 
 
 def _labels(labels: DataFrame) -> DataFrame:
@@ -271,8 +269,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
             key = np.frombuffer(r.votes, np.int8)[part].tobytes() + bytes([NONE if r[label] is None else r[label]])
             total[key] = total.get(key, 0) + r.n
         patterns = np.array([list(k) for k in total], np.int64).reshape(len(total), len(LABELLERS[HEADS[head]]))
-        posterior, prior, chance = em(patterns, np.array(list(total.values()), float))
-        chances.append((prior, chance))
+        posterior, leak, accuracy = em(patterns, np.array(list(total.values()), float))
+        chances.append((leak, accuracy))
         of = dict(zip(total, posterior, strict=True))
         none = 0.0  # a sample row is one of the corpus, so its pattern was counted (but for texts without words)
         target = np.array([of.get((r[3] if head == 0 else f[1]).tobytes() + bytes([r[4] if head == 0 else r[0]]), none) for r, f in zip(rows, features_of, strict=True)])
