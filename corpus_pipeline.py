@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from periodlens.llm import decontamination, near_dedup, packing, pii, quality
-from periodlens.llm.rows import stage
+from periodlens.llm.rows import bounded_batches, stage
 from periodlens.llm.tokens import vocabulary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return quality.filter_documents(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

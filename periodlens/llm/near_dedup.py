@@ -38,7 +38,9 @@ from periodlens.llm.rows import stage, with_row_key
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
 BATCH = 24
-BLOCK = 128
+BLOCK = 1024
+#: pairs of a block compared at once
+PAIRS = 1 << 16
 
 _rng = np.random.default_rng(77)
 _MULTIPLY = _rng.integers(0, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -159,22 +161,34 @@ def across(spark: SparkSession, members: DataFrame, classes: DataFrame, docs: Da
         h, lo, hi = (table.column(k)[0].as_py() for k in ("h", "lo", "hi"))
         block, node, comp, n = (table.column(k).to_numpy() for k in ("i", "node", "comp", "n"))
         x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        fit = (comp[x][:, None] != comp[y][None]) & (np.minimum(n[x][:, None], n[y][None]) * 100 >= np.maximum(n[x][:, None], n[y][None]) * least)
-        i, j = np.nonzero(np.triu(fit, 1) if lo == hi else fit)
-        if not len(i):
-            return [], []
-        i, j = x[i], y[j]
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, SIZE)
-        same, done = np.zeros(len(i), np.int64), 0
-        for size, m in steps:
-            same += (sig[i, done:size] == sig[j, done:size]).sum(1)
-            keep = same >= m
-            i, j, same, done = i[keep], j[keep], same[keep], size
-        first = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(2).argmax(1) == h & 31
-        i, j = i[first], j[first]
-        held_sets = {k: np.frombuffer(table.column("s")[int(k)].as_py(), np.uint64) for k in np.unique(np.concatenate((i, j)))}
-        links = [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if similar(held_sets[a], held_sets[b], least)]
-        return [int(min(node[a], node[b])) for a, b in links], [int(max(node[a], node[b])) for a, b in links]
+        known: dict[int, np.ndarray] = {}
+
+        def members_of(k: int) -> np.ndarray:
+            if k not in known:
+                known[k] = np.frombuffer(table.column("s")[k].as_py(), np.uint64)
+            return known[k]
+
+        a, b = [], []
+        step = max(1, PAIRS // max(1, len(y)))
+        for at in range(0, len(x), step):
+            part = x[at : at + step]
+            fit = (comp[part][:, None] != comp[y][None]) & (np.minimum(n[part][:, None], n[y][None]) * 100 >= np.maximum(n[part][:, None], n[y][None]) * least)
+            if lo == hi:
+                fit &= part[:, None] < y[None]
+            i, j = np.nonzero(fit)
+            i, j = part[i], y[j]
+            same, done = np.zeros(len(i), np.int64), 0
+            for size, m in steps:
+                same += (sig[i, done:size] == sig[j, done:size]).sum(1)
+                keep = same >= m
+                i, j, same, done = i[keep], j[keep], same[keep], size
+            first = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(2).argmax(1) == h & 31
+            for p, q in zip(i[first].tolist(), j[first].tolist(), strict=True):
+                if similar(members_of(p), members_of(q), least):
+                    a.append(int(min(node[p], node[q])))
+                    b.append(int(max(node[p], node[q])))
+        return a, b
 
     def run(batches: Iterator[pa.RecordBatch]):
         held, key = [], None

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from periodlens.llm import decontamination, near_dedup, packing, passages, pii, quality, sharding, suffix_dedup, tokenfile, topk
+from periodlens.llm.rows import bounded_batches
 from periodlens.llm.tokens import vocabulary
 from periodlens.session import staging_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

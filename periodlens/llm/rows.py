@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from periodlens.session import staging_path
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand at most 8 MB at a time to Python (Spark's own bound is 64 MB, twice or more of that in a worker)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def stage(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: later jobs don't depend on its lineage."""
     path = staging_path(spark, name)
@@ -30,6 +35,7 @@ def with_row_key(spark: SparkSession, frame: DataFrame, name: str = "rows") -> D
     def keyed(df: DataFrame) -> DataFrame:
         return df.select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
 
+    bounded_batches(spark)
     try:
         return keyed(frame)
     except AnalysisException:
