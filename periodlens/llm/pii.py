@@ -95,13 +95,13 @@ _NAME = r"[A-Za-z0-9-]+"
 _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _ODD = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + "]")
 #: (pattern, replacement or None for digits); a pass reads what the one before it wrote
-_AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}", re.I)
+_AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}|(?<=[A-Za-z0-9])(?:[ \t]+@[ \t]*|@[ \t]+)(?=[A-Za-z0-9])", re.I)
 _DOT = re.compile(rf"{_OPEN}(?:dot|\.){_CLOSE}", re.I)
 _PLAIN_DOT = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
 _PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?={_NAME}\.{_NAME})", re.I)
 _WORDS = re.compile(rf"\b(?:plus[ \t-]+)?(?:{_SPELLED}|[0-9])(?:(?:[ \t]*[-.,][ \t]*|[ \t]+(?:dot|point)[ \t]+|[ \t]+|(?<=[0-9])(?=[0-9]))(?:{_SPELLED}|[0-9])){{3,}}\b", re.I)
 _WORD = re.compile(rf"{_SPELLED}|[0-9]|dot|point|plus|\.", re.I)
-_LIKELY = re.compile(rf"[\[({{<][ \t]*(?:at|dot|@|\.)[ \t]*[\])}}>]|[ \t]dot[ \t]|\b(?:{_SPELLED})[ \t,.-]+(?:{_SPELLED}|[0-9])\b", re.I).search
+_LIKELY = re.compile(rf"[\[({{<][ \t]*(?:at|dot|@|\.)[ \t]*[\])}}>]|[ \t]@|@[ \t]|[ \t]dot[ \t]|\b(?:{_SPELLED})[ \t,.-]+(?:{_SPELLED}|[0-9])\b", re.I).search
 
 
 def _spelled(found: re.Match) -> str:

@@ -53,6 +53,7 @@ def test_base_spans_equal_the_patterns(text):
     "text,want",
     [
         ("mail bob.42 [at] mail8 [dot] example (dot) com now", [("email", "bob.42 [at] mail8 [dot] example (dot) com")]),
+        ("mail bob @ mail8.example.com, not bob @ work", [("email", "bob @ mail8.example.com")]),
         ("write to bob at mail dot example dot com.", [("email", "bob at mail dot example dot com")]),
         ("x bоb＠mail․example.com y", [("email", "bоb＠mail․example.com")]),
         ("call plus one two two nine five five five four eight three eight today", [("phone", "plus one two two nine five five five four eight three eight")]),
