@@ -17,6 +17,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import safe_row_sum
 from ..operators.joins import join_dimension
@@ -62,9 +63,16 @@ VALUE_SCALE = 2
 MEASURE_SCALES = {"total_population": VALUE_SCALE, "young_20s_population": VALUE_SCALE}
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, listed anew by every query, so files added later are seen."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, listed anew by every query, so files added later are seen; only its
+    column types are inferred once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _dates(rows):
