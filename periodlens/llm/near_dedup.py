@@ -253,11 +253,12 @@ def classes_and_links(spark: SparkSession, docs: DataFrame, least: int, width: i
     whole = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.min(F.struct("_f", "_r", "n", "sig")).alias("x"))
     classes = stage(spark, whole.select(F.monotonically_increasing_id().alias("node"), "key", "id", "x.*"), "classes")
     bands = banded(classes)
-    # buckets with company; the count is pre-aggregated, a hot bucket's rows can be split in the join
-    live = stage(spark, bands.join(bands.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "h"), "buckets")
+    # buckets with company; counts and leaders are pre-aggregated and written, so that a join can split a hot bucket
+    counts = stage(spark, bands.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    live = stage(spark, bands.join(counts, "h"), "buckets")
     popular = live.groupBy("node").agg(F.sum("c").alias("p"))
     leaders = live.join(popular, "node").groupBy("h").agg(F.max(F.struct("p", (-F.col("node")).alias("m"))).alias("x")).select("h", (-F.col("x.m")).alias("leader"))
-    star = live.join(leaders, "h").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    star = live.join(stage(spark, leaders, "leaders"), "h").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     near = stage(spark, pruned(star, classes, least, miss), "pairs")
     links = stage(spark, verified(spark, near, classes, docs, least, width, text_column), "links")
     labels = graph.components(spark, links)

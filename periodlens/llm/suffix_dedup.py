@@ -162,12 +162,13 @@ def repeated_starts(spark: SparkSession, docs: DataFrame, length: int, gram: int
     grams = stage(spark, repeated_grams(docs, length, gram), "grams")
     found = spans_of_runs(docs, length, gram, bloom.of_hashes(spark, grams, "g")).join(grams, "g")
     found = stage(spark, found, "runs")
-    # per span: how often, and the run that stands for it
-    spans = found.groupBy("x", "y").agg(F.count("*").alias("c"), F.min(F.struct("_f", "_r", "first")).alias("least"))
-    judged = stage(spark, found.join(spans, ["x", "y"]).withColumn("stands", F.struct("_f", "_r", "first") == F.col("least")).select("_f", "_r", "g", "first", "last", "c", "stands"), "judged")
+    # repeated spans: how often, and the run that stands for each; written, so that the join can split a hot span
+    spans = found.groupBy("x", "y").agg(F.count("*").alias("c"), F.min(F.struct("_f", "_r", "first")).alias("least")).where("c > 1")
+    both = found.join(stage(spark, spans, "spans"), ["x", "y"], "left").withColumn("stands", F.struct("_f", "_r", "first") == F.col("least"))
+    judged = stage(spark, both.select("_f", "_r", "g", "first", "last", F.coalesce("c", F.lit(1)).alias("c"), "stands"), "judged")
     whole = judged.where("c > 1").select("_f", "_r", "first", "last")
     left = judged.where("c = 1")
-    support = judged.where("c > 1 and stands").join(left.select("g").distinct(), "g", "left_semi")
+    support = judged.where("c > 1 and stands").join(stage(spark, left.select("g").distinct(), "open-grams"), "g", "left_semi")
     edge = left.withColumn("open", F.lit(True)).unionByName(support.withColumn("open", F.lit(False)))
     by_doc = stage(spark, edge.groupBy("_f", "_r").agg(F.collect_list(F.struct("first", "last", "open")).alias("runs")), "edge-runs")
     edges = stage(spark, bloom.inner(spark, docs, by_doc, "_f", "_r").select("_f", "_r", "t", "runs"), "edges")
