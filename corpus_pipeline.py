@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from periodlens.llm import decontamination, near_dedup, packing, pii, quality
-from periodlens.llm.rows import bounded_batches, stage
+from periodlens.llm.rows import bounded_batches, discard_staged, stage, staged
 from periodlens.llm.tokens import vocabulary
 
 
@@ -49,9 +49,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, function in STAGES[:-1]:
+    before = staged()
+    for name, function in STAGES:
         docs = stage(spark, function(spark, docs, sf_dir), name.replace(" ", "-"))
-    return stage(spark, STAGES[-1][1](spark, docs, sf_dir), "packed")
+        discard_staged(spark, before, keep=1)  # what this run wrote, but for the stage's result
+    return docs
 
 
 QUERIES = {"pipeline": run}

@@ -7,6 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodlens.session import staging_path
+from periodlens.sinks import delete_path
+
+
+_STAGED: list[str] = []
+
+
+def staged() -> frozenset[str]:
+    """The tables staged so far."""
+    return frozenset(_STAGED)
+
+
+def discard_staged(spark: SparkSession, but: frozenset[str] = frozenset(), keep: int = 0) -> None:
+    """Remove what was staged, but for the tables in ``but`` and the last ``keep`` ones: for when results that
+    read it are written."""
+    old = [p for p in _STAGED[: len(_STAGED) - keep] if p not in but]
+    for path in old:
+        _STAGED.remove(path)
+        delete_path(spark, path)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -17,6 +35,7 @@ def bounded_batches(spark: SparkSession) -> None:
 def stage(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: later jobs don't depend on its lineage."""
     path = staging_path(spark, name)
+    _STAGED.append(path)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
