@@ -33,7 +33,7 @@ from periodlens.llm.rows import with_row_key
 
 #: characters of benchmark text sent to the tasks at once
 BLOCK_CHARS = 1 << 25
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 19
 
 
 class TestSuffixes:

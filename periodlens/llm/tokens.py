@@ -16,8 +16,9 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: entries of a worker's cache; a full cache starts anew
-CHUNKS = 800_000
+#: entries of a worker's cache; a full cache starts anew. The "word" kind has fewer, as its chunks come in both cases
+#: and its encoder runs after other work in a pipeline's executors
+CHUNKS = {"byte": 800_000, "word": 400_000}
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\n\t\r\x20-\x7e{_LETTERS}]*").fullmatch
@@ -47,6 +48,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.spaced = kind == "byte"
+        self.most = CHUNKS[kind]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.table = byte_characters()
@@ -92,7 +94,7 @@ class Encoder:
                 return self.whole(text)
             head, space = self.chunk(pieces[0], ""), " "
             del pieces[0]
-        if len(known) + len(self.inner) > CHUNKS:
+        if len(known) + len(self.inner) > self.most:
             known.clear()
             self.inner.clear()
         for x in {x for x in pieces if x not in known}:
