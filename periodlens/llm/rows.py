@@ -28,8 +28,8 @@ def discard_staged(spark: SparkSession, but: frozenset[str] = frozenset(), keep:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Hand at most 8 MB at a time to Python (Spark's own bound is 64 MB, twice or more of that in a worker)."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Hand at most 4 MB at a time to Python (Spark's own bound is 64 MB, twice or more of that in a worker)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def stage(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:

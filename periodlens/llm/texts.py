@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SEGMENT_BYTES = 1 << 19
+SEGMENT_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240607)
 _VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
