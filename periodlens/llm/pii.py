@@ -94,14 +94,13 @@ _SPELLED = "|".join(DIGITS)
 _NAME = r"[A-Za-z0-9-]+"
 _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _ODD = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + "]")
-#: (pattern, replacement or None for digits); a pass reads what the one before it wrote
+# a pass reads what the one before it wrote
 _AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}|(?<=[A-Za-z0-9])(?:[ \t]+@[ \t]*|@[ \t]+)(?=[A-Za-z0-9])", re.I)
 _DOT = re.compile(rf"{_OPEN}(?:dot|\.){_CLOSE}", re.I)
 _PLAIN_DOT = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
-_PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?={_NAME}\.{_NAME})", re.I)
+_PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=({_NAME}(?:\.{_NAME})++))", re.I)
 _WORDS = re.compile(rf"\b(?:plus[ \t-]+)?(?:{_SPELLED}|[0-9])(?:(?:[ \t]*[-.,][ \t]*|[ \t]+(?:dot|point)[ \t]+|[ \t]+|(?<=[0-9])(?=[0-9]))(?:{_SPELLED}|[0-9])){{3,}}\b", re.I)
 _WORD = re.compile(rf"{_SPELLED}|[0-9]|dot|point|plus|\.", re.I)
-_LIKELY = re.compile(rf"[\[({{<][ \t]*(?:at|dot|@|\.)[ \t]*[\])}}>]|[ \t]@|@[ \t]|[ \t]dot[ \t]|\b(?:{_SPELLED})[ \t,.-]+(?:{_SPELLED}|[0-9])\b", re.I).search
 
 
 def _spelled(found: re.Match) -> str:
@@ -111,13 +110,20 @@ def _spelled(found: re.Match) -> str:
     return "".join({"plus": "+", "dot": ".", "point": ".", ".": "."}.get(w) or DIGITS.get(w, w) for w in _WORD.findall(text))
 
 
+def _plain_at(found: re.Match) -> str:
+    """``@`` before a name that ends like a domain: "sat at 5.30" and "a host at 10.0.0.1" stay as they are."""
+    last = found[1].rpartition(".")[2]
+    return "@" if len(last) > 1 and last[0].isalpha() else found[0]
+
+
+#: (pattern, what it writes, characters one of which any match holds)
 PASSES = (
-    (_ODD, lambda m: HOMOGLYPHS[m[0]]),
-    (_AT, lambda m: "@"),
-    (_DOT, lambda m: "."),
-    (_WORDS, _spelled),
-    (_PLAIN_DOT, lambda m: "."),
-    (_PLAIN_AT, lambda m: "@"),
+    (_ODD, lambda m: HOMOGLYPHS[m[0]], ""),
+    (_AT, lambda m: "@", "@[({<"),
+    (_DOT, lambda m: ".", "[({<"),
+    (_WORDS, _spelled, ""),
+    (_PLAIN_DOT, lambda m: ".", ""),
+    (_PLAIN_AT, _plain_at, ""),
 )
 
 
@@ -163,11 +169,10 @@ class Rewritten:
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Spans found only after the rewriting, in source characters."""
-    if not (_ODD.search(text) if not text.isascii() else None) and not _LIKELY(text):
-        return []
     rewritten = Rewritten(text)
-    for pattern, write in PASSES:
-        rewritten.apply(pattern, write)
+    for pattern, write, needs in PASSES:
+        if (not needs or any(c in rewritten.text for c in needs)) and not (pattern is _ODD and text.isascii()):
+            rewritten.apply(pattern, write)
     if not rewritten.layers:
         return []
     out, taken = [], sorted((s, e) for _, s, e in base)

@@ -69,6 +69,22 @@ def test_disguises_map_back(text, want):
     assert [(k, text[s:e]) for k, s, e in spans] == want
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("write to jane at example.com today", [("email", "jane at example.com")]),
+        ("host one point two point three point four is up", [("ip", "one point two point three point four")]),
+        ("card 4866 3512 0168 952 zero please", [("card", "4866 3512 0168 952 zero")]),
+        ("he sat at 5.30 and left at 6.15pm", []),
+        ("a host at 10.0.0.1 is up", [("ip", "10.0.0.1")]),
+    ],
+)
+def test_each_disguise_counts_alone(text, want):
+    for around in ("{}", "one two — {}"):
+        held = around.format(text)
+        assert [(k, held[s:e]) for k, s, e in pii.find(held)[1]] == want
+
+
 def test_base_spans_stay_beside_disguised_ones():
     text = "a@b.example and c [at] d [dot] example; 1.2.3.4"
     base, spans = pii.find(text)
