@@ -4,7 +4,7 @@ Base detectors run on the source text. A transducer then rewrites disguises (hom
 invisible characters, ``[at]``/``dot`` words, spelled digits) and keeps, for each rewritten
 piece, the source span it came from; the same detectors run on the rewritten text, and what
 they find is mapped back to source characters. Base spans always stay; a mapped span is added
-when it overlaps no base span.
+unless a base span of its kind covers it, so spans may overlap.
 
 Defined results: null text is empty; an empty text has no spans; repeated rows are judged
 each; other columns, whatever their names, aren't read. Work is linear in the text length.
@@ -168,21 +168,18 @@ class Rewritten:
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
-    """Spans found only after the rewriting, in source characters."""
+    """Spans found only after the rewriting (no base span of their kind covers them), in source characters."""
     rewritten = Rewritten(text)
     for pattern, write, needs in PASSES:
         if (not needs or any(c in rewritten.text for c in needs)) and not (pattern is _ODD and text.isascii()):
             rewritten.apply(pattern, write)
     if not rewritten.layers:
         return []
-    out, taken = [], sorted((s, e) for _, s, e in base)
-    reach = []  # the furthest end of the spans up to each one
-    for _, e in taken:
-        reach.append(max(e, reach[-1]) if reach else e)
+    out, held = [], {k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}
     for kind, start, end in detect(rewritten.text):
         s, e = rewritten.source(start, end)
-        i = bisect_right(taken, (e - 1, len(text) + 1)) - 1
-        if i < 0 or reach[i] <= s:
+        i = bisect_right(held[kind], (s, len(text) + 1)) - 1  # those of one kind don't overlap
+        if i < 0 or held[kind][i][1] < e:
             out.append((kind, s, e))
     return out
 

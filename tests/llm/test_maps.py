@@ -91,6 +91,22 @@ def test_base_spans_stay_beside_disguised_ones():
     assert set(base) < set(spans) and len(spans) == 3
 
 
+@pytest.mark.parametrize(
+    "text,want,masked",
+    [
+        ("call +1 555 123 45 six seven now", [("phone", "+1 555 123 45"), ("phone", "+1 555 123 45 six seven")], "call [PHONE] now"),
+        ("to jane@mail.example[.]com now", [("email", "jane@mail.example"), ("email", "jane@mail.example[.]com")], "to [EMAIL] now"),
+        ("to 4866351201689520 [at] mail [dot] example now", [("email", "4866351201689520 [at] mail [dot] example"), ("card", "4866351201689520")], "to [EMAIL] now"),
+        ("to a@b.example, not [here]", [("email", "a@b.example")], "to [EMAIL], not [here]"),
+    ],
+)
+def test_disguised_spans_that_overlap_base_ones_stay(text, want, masked):
+    base, spans = pii.find(text)
+    assert base == plain(text) and set(base) <= set(spans)
+    assert [(k, text[s:e]) for k, s, e in spans] == want
+    assert pii.mask(text, spans) == masked
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "@" * 100_000, "+1" * 100_000, "1." * 100_000, "a@" * 100_000, "one " * 50_000):
         pii.find(text)
