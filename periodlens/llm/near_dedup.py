@@ -270,23 +270,24 @@ def classes_and_links(spark: SparkSession, docs: DataFrame, least: int, width: i
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, least: int = 85, width: int = 5, miss: float = 1e-9, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id, kept, and n_links (of its class with other classes)."""
+    """Per row: id, n_shingles, component_id, kept, and n_spanning_links: the links of its class
+    that were found on the way to the components, which is not all (pairs within a component formed already aren't judged)."""
     docs = with_row_key(spark, docs.select(id_column, text_column), "documents")
     rows, found = _assigned(spark, docs, least, width, miss, id_column, text_column)
     alone = F.col("key").isNull()
     out = rows.join(found, "key", "left")
     component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.coalesce("n_spanning_links", F.lit(0)).alias("n_spanning_links"))
 
 
 def _assigned(spark: SparkSession, docs: DataFrame, least: int, width: int, miss: float, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, per class key: component_id, component, number of links)."""
+    """(rows, per class key: component_id, component, number of links found)."""
     rows, classes, links = classes_and_links(spark, docs, least, width, miss, id_column, text_column)
     labels = graph.components(spark, links)
-    count = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("n_links"))
+    count = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("n_spanning_links"))
     named = classes.select("node", "key", "id").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))
     ids = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    found = named.join(ids, "component").join(count.withColumnRenamed("a", "node"), "node", "left").select("key", "component", "component_id", "n_links")
+    found = named.join(ids, "component").join(count.withColumnRenamed("a", "node"), "node", "left").select("key", "component", "component_id", "n_spanning_links")
     return rows, stage(spark, found, "components")
 
 

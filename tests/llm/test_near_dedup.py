@@ -131,3 +131,12 @@ def test_pruning_rarely_drops_a_similar_pair():
     assert [n for n, _ in steps] == [24, 48, 72, 96, 120] and 70 < steps[-1][1] < 90
     for n, m in steps:  # the chance that a pair at the threshold falls below
         assert sum(comb(n, i) * 0.85**i * 0.15 ** (n - i) for i in range(m)) < 2e-8
+
+
+def test_links_found_span_their_component(spark):
+    words = [f"w{i}" for i in range(200)]
+    docs = documents(spark, [" ".join([*words, f"end{i}"]) for i in range(6)] + ["all alone here"])
+    out = near_dedup.near_duplicates(spark, docs)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept", "n_spanning_links"]
+    found = {r.doc_id: r.n_spanning_links for r in out.collect()}
+    assert found[6] == 0 and all(found[i] > 0 for i in range(6)) and sum(found.values()) >= 2 * 5
