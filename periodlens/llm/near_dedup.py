@@ -296,10 +296,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, least: int = 80,
 
     Rows without words are linked with nothing and stay."""
     names = docs.columns
-    keyed = with_row_key(spark, docs, "documents")
-    rows, found = _assigned(spark, keyed, least, width, miss, id_column, text_column)
+    own = [f"c{i}" for i in range(len(names))]  # names of the frame's own columns may be anything
+    keyed = with_row_key(spark, docs.toDF(*own), "documents")
+    rows, found = _assigned(spark, keyed, least, width, miss, own[names.index(id_column)], own[names.index(text_column)])
     order = F.struct(F.col("id").isNull().alias("null"), "id", "_f", "_r")
     member = rows.where("key is not null").join(found.select("key", "component"), "key").select("component", "id", "_f", "_r")
     first = member.groupBy("component").agg(F.min(order).alias("x")).select("x._f", "x._r")
     dropped = stage(spark, member.select("_f", "_r").join(first, ["_f", "_r"], "left_anti"), "dropped")
-    return bloom.without(spark, keyed, dropped, "_f", "_r").select([F.col("`" + n.replace("`", "``") + "`") for n in names])
+    return bloom.without(spark, keyed, dropped, "_f", "_r").select(own).toDF(*names)

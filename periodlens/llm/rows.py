@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,17 +44,26 @@ def column(frame: DataFrame, name: str) -> F.Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def _is_file_scan(frame: DataFrame) -> bool:
+    """Whether a frame is one file relation under column selections only, so that each of its rows is a row of a file."""
+    node = getattr(frame, "_jdf", None)
+    if node is None:  # a session without a JVM at hand
+        return False
+    node = node.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "SubqueryAlias"):
+        if not node.deterministic():
+            return False
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "LogicalRelation" and node.relation().getClass().getSimpleName() == "HadoopFsRelation"
+
+
 def with_row_key(spark: SparkSession, frame: DataFrame, name: str = "rows") -> DataFrame:
     """Add ``_f``, ``_r``: a key of each row, the same in every job.
 
     It is the file's path (hashed) and the row's index there, so repeated rows and
-    repeated or null ids stay apart. A frame that isn't a plain file scan is staged first."""
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
-
+    repeated or null ids stay apart. A frame that isn't a plain file scan (filtered, exploded, joined, limited ...)
+    is staged first: there a file's row may stand for several rows or none, and another job may see other rows."""
     bounded_batches(spark)
-    try:
-        return keyed(frame)
-    except AnalysisException:
-        return keyed(stage(spark, frame, name))
+    if not _is_file_scan(frame):
+        frame = stage(spark, frame, name)
+    return frame.select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))

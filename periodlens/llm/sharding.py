@@ -52,10 +52,12 @@ def _large(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
 
 
 def shuffle_to_shards(spark: SparkSession, docs: DataFrame, n_shards: int = 24, seed: int = 7, chunk_rows: int = 1 << 16, cell_rows: int = 1 << 13) -> DataFrame:
-    """All columns of docs (those named shard, slot, _f, _r, _cell or _key are replaced), with shard and slot.
+    """All columns of docs (those named shard or slot are replaced), with shard and slot.
 
     Slots of a shard are 0, 1, ... without gaps, in uniformly random order."""
-    docs = with_row_key(spark, docs.drop("shard", "slot", "_f", "_r", "_cell", "_key", "_base"), "sharding")
+    docs = docs.drop("shard", "slot")
+    names = docs.columns
+    docs = with_row_key(spark, docs.toDF(*[f"c{i}" for i in range(len(names))]), "sharding")
     total = docs.count()
     chunk_rows = max(chunk_rows, math.ceil(total / (MOST_CHUNKS // 2)))
     chunk = F.floor(F.col("_r") / F.lit(chunk_rows))
@@ -86,7 +88,7 @@ def shuffle_to_shards(spark: SparkSession, docs: DataFrame, n_shards: int = 24,
     bases = rows.groupBy("shard", "_cell").count().select("shard", "_cell", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_base"))
     within = Window.partitionBy("shard", "_cell").orderBy("_key", "_f", "_r")
     placed = rows.join(bases, ["shard", "_cell"]).withColumn("slot", F.col("_base") + F.row_number().over(within) - 1)
-    return placed.drop("_f", "_r", "_cell", "_key", "_base")
+    return placed.drop("_f", "_r", "_cell", "_key", "_base").select(*[F.col(f"c{i}") for i in range(len(names))], "shard", "slot").toDF(*names, "shard", "slot")
 
 
 def digest(sharded: DataFrame) -> DataFrame:
