@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import decontamination, near_dedup, packing, passages, pii, quality, sharding, suffix_dedup, tokenfile, topk
+from periodlens.llm import conversation_trie, decontamination, near_dedup, packing, passages, pii, quality, sharding, suffix_dedup, tokenfile, topk
+from periodlens.llm.oracles import ORACLES
 from periodlens.llm.rows import bounded_batches
 from periodlens.llm.tokens import vocabulary
 from periodlens.session import staging_path
@@ -57,5 +58,13 @@ def op10_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weak_label_quality, op2_collinear_passages, op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards, op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash)}
-ORACLES: dict[str, str] = {}
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(spark, table(spark, sf_dir, "conversations")).drop("k1", "k2")
+
+
+_ALL = (
+    op1_weak_label_quality, op2_collinear_passages, op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards,
+    op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash, op13_conversation_trie,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+__all__ = ["ORACLES", "QUERIES"]
