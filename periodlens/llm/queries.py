@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import conversation_trie, decontamination, near_dedup, packing, passages, pii, quality, sharding, suffix_dedup, tokenfile, topk
+from periodlens.llm import conversation_trie, decontamination, near_dedup, packing, passages, phrases, pii, prefix_tree_join, quality, sharding, suffix_dedup, tokenfile, topk
 from periodlens.llm.oracles import ORACLES
 from periodlens.llm.rows import bounded_batches
 from periodlens.llm.tokens import vocabulary
@@ -58,13 +58,21 @@ def op10_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree_join.similar_groups(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top(phrases.collocations(spark, table(spark, sf_dir, "documents")))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(spark, table(spark, sf_dir, "conversations")).drop("k1", "k2")
 
 
 _ALL = (
     op1_weak_label_quality, op2_collinear_passages, op3_vafile_topk, op4_pii_deobfuscation, op5_ranked_token_file, op6_best_fit_packing, op7_hypergeometric_shards,
-    op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash, op13_conversation_trie,
+    op8_suffix_decontamination, op9_radix_suffix_dedup, op10_bayesian_minhash, op11_prefix_tree_join, op12_phrase_streams, op13_conversation_trie,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 __all__ = ["ORACLES", "QUERIES"]
