@@ -85,7 +85,7 @@ class Frequent:
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     """(_f, _r, id, n, half: n-grams with an even hash, k: the key's first 64 bits, key) of each row, and a row per task with
     (n = -1, key: frequent n-grams and their counts)."""
-    schema = T.StructType([*docs.schema.fields[:3], *[T.StructField(x, T.LongType()) for x in ("n", "half", "k")], T.StructField("key", T.BinaryType())])
+    schema = T.StructType([*docs.schema.fields[:2], T.StructField("id", docs.schema["id"].dataType), *[T.StructField(x, T.LongType()) for x in ("n", "half", "k")], T.StructField("key", T.BinaryType())])
     id_type = to_arrow_type(docs.schema["id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -103,8 +103,8 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
                 often.add(np.concatenate(values))
         kept = often.count > 1
         data = np.stack((often.value[kept].view(np.int64), often.count[kept]), 1).tobytes()
-        none = pa.nulls(1, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, id_type), pa.array([-1], pa.int64()), none, none, pa.array([data], pa.binary())], names=schema.names)
+        zero = pa.array([0], pa.int64())
+        yield pa.RecordBatch.from_arrays([zero, zero, pa.nulls(1, id_type), pa.array([-1], pa.int64()), zero, zero, pa.array([data], pa.binary())], names=schema.names)
 
     return docs.select("_f", "_r", "id", "t").mapInArrow(run, schema)
 
