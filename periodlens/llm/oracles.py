@@ -35,42 +35,56 @@ PHRASES = f"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format(x="text")}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
 lists AS (SELECT lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
 grams AS (
-  SELECT lang, m, list_slice(w, i, i + m - 1) AS g
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS g
   FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM lists, (VALUES (1), (2), (3), (4)) AS o(m))),
-f AS (SELECT lang, m, g, count(*) AS a FROM grams GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, m, g, count(*) AS a FROM grams GROUP BY ALL),
 totals AS (SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY lang),
-cand AS (SELECT * FROM f WHERE m > 1 AND a >= 30),
-cuts AS (SELECT lang, m, g, a, unnest(range(1, m)) AS k FROM cand),
-scored AS (
+often AS MATERIALIZED (SELECT lang, m, g, a FROM f WHERE a >= 30),
+cand AS (SELECT lang, m, g, a, string_split(g, ' ') AS w FROM often WHERE m > 1),
+cuts AS MATERIALIZED (
+  SELECT lang, g, a, k, array_to_string(list_slice(w, 1, k), ' ') AS head, array_to_string(list_slice(w, k + 1, m), ' ') AS tail
+  FROM (SELECT lang, m, g, a, w, unnest(range(1, m)) AS k FROM cand)),
+scored AS MATERIALIZED (
   SELECT c.lang, c.g, c.a, c.k, p.a AS l, r.a AS r, (2000000::HUGEINT * c.a // (p.a + r.a))::BIGINT AS score
-  FROM cuts c JOIN f p ON p.lang = c.lang AND p.g = list_slice(c.g, 1, c.k) JOIN f r ON r.lang = c.lang AND r.g = list_slice(c.g, c.k + 1, c.m)),
+  FROM cuts c JOIN often p ON p.lang = c.lang AND p.g = c.head JOIN often r ON r.lang = c.lang AND r.g = c.tail),
 best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
-spans AS (SELECT lang, g, a, m, j, unnest(range(1, m - j + 2)) AS i FROM (SELECT lang, g, a, m, unnest(range(2, m)) AS j FROM cand)),
-inside AS (SELECT lang, list_slice(g, i, i + j - 1) AS g, max(a) AS longer FROM spans GROUP BY 1, 2),
-kept AS (SELECT b.* FROM best b LEFT JOIN inside s ON s.lang = b.lang AND s.g = b.g WHERE s.longer IS NULL OR 100 * s.longer < 80 * b.a),
-named AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM kept),
+spans AS (SELECT lang, w, a, m, j, unnest(range(1, m - j + 2)) AS i FROM (SELECT lang, w, a, m, unnest(range(2, m)) AS j FROM cand)),
+inside AS MATERIALIZED (SELECT lang, array_to_string(list_slice(w, i, i + j - 1), ' ') AS g, max(a) AS longer FROM spans GROUP BY ALL),
+named AS (
+  SELECT b.lang, b.g AS phrase, b.a, l, r, score FROM best b LEFT JOIN inside s ON s.lang = b.lang AND s.g = b.g
+  WHERE s.longer IS NULL OR 100 * s.longer < 80 * b.a),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
 SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-#: every document's set of n-grams, the links of distinct sets, and the components by the smallest number reached in rounds
+_WORDS = """rows_ AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+lists AS (SELECT row, doc_id, list_filter(string_split_regex({lower}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM rows_),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS n FROM lists)"""
+
+#: every document's set of n-grams, the links of distinct sets, and the smallest number reached along links
 _GROUPS = """
-WITH RECURSIVE words AS (
-  SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex({lower}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
-sets AS (
-  SELECT row, doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
-    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(list_slice(w, i, i + {width} - 1), ' ')))) END AS s FROM words),
-classes AS (SELECT s, min(doc_id) AS id, len(s) AS n, row_number() OVER (ORDER BY md5(array_to_string(s, '|'))) AS node FROM sets WHERE len(s) > 0 GROUP BY s),
-grams AS (SELECT node, n, unnest(s) AS g FROM classes),
-shared AS (SELECT a.node AS x, b.node AS y, a.n AS nx, b.n AS ny, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.node <> b.node
+WITH RECURSIVE {words},
+runs AS (SELECT row, i, n, word || {leads} AS g, {whole} AS short FROM words WINDOW w AS (PARTITION BY row ORDER BY i)),
+grams AS MATERIALIZED (SELECT DISTINCT row, coalesce(g, short) AS g FROM runs WHERE g IS NOT NULL OR (i = 1 AND n < {width})),
+sets AS MATERIALIZED (SELECT row, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS s FROM grams GROUP BY row),
+classes AS MATERIALIZED (SELECT s, any_value(sets.n) AS n, min(row) AS node, min(doc_id) AS id FROM sets JOIN rows_ USING (row) GROUP BY s),
+own AS (SELECT node, n, g FROM classes JOIN grams ON grams.row = classes.node),
+shared AS (SELECT a.node AS x, b.node AS y, a.n AS nx, b.n AS ny, count(*) AS c FROM own a JOIN own b ON a.g = b.g AND a.node <> b.node
   AND 100 * least(a.n, b.n) >= {least} * greatest(a.n, b.n) GROUP BY ALL),
-links AS (SELECT x, y FROM shared WHERE 100 * c >= {least} * (nx + ny - c)),
+links AS MATERIALIZED (SELECT x, y FROM shared WHERE 100 * c >= {least} * (nx + ny - c)),
 reach AS (SELECT x AS node, y AS other FROM links UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other),
-found AS (SELECT c.s, least(c.id, min(o.id)) AS component FROM classes c LEFT JOIN reach r USING (node) LEFT JOIN classes o ON o.node = r.other GROUP BY c.s, c.id)
-SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, CASE WHEN len(sets.s) = 0 THEN doc_id ELSE component END AS component_id{kept}
-FROM sets LEFT JOIN found ON found.s = sets.s
+found AS MATERIALIZED (SELECT c.s, least(min(c.id), min(o.id)) AS component FROM classes c LEFT JOIN reach r USING (node) LEFT JOIN classes o ON o.node = r.other GROUP BY c.s)
+SELECT doc_id, coalesce(sets.n, 0)::BIGINT AS n_shingles, CASE WHEN sets.n IS NULL THEN doc_id ELSE component END AS component_id{kept}
+FROM rows_ LEFT JOIN sets USING (row) LEFT JOIN found USING (s)
 """
 
-PREFIX_TREE_JOIN = _GROUPS.format(lower=_LOWER.format(x="text"), width=4, least=85, kept="")
+
+def _groups(width: int, least: int, kept: str = "") -> str:
+    leads = " || ".join(f"' ' || lead(word, {k}) OVER w" for k in range(1, width))
+    whole = "concat_ws(' ', word, " + ", ".join(f"lead(word, {k}) OVER w" for k in range(1, width)) + ")"
+    return _GROUPS.format(words=_WORDS.format(lower=_LOWER.format(x="text")), leads=leads, whole=whole, width=width, least=least, kept=kept)
+
+
+PREFIX_TREE_JOIN = _groups(4, 85)
 
 ORACLES = {"op11_prefix_tree_join": PREFIX_TREE_JOIN, "op12_phrase_streams": PHRASES, "op13_conversation_trie": CONVERSATION_TRIE}
