@@ -1,8 +1,8 @@
 """Phrase collocations from count streams kept in prefix and in suffix order.
 
-1. Words get 64-bit codes. Counts of words, then of phrases of 2, 3 and 4 words are made level by level: a phrase is
-   counted only where its first and its last part may be frequent (a Bloom filter of the level below; counts
-   are exact, as every part of a frequent phrase is frequent). Each task combines blocks before the shuffle.
+1. Words get 64-bit codes. Counts of words, then of pairs, then of phrases of 3 and 4 words are made: a phrase is
+   counted only where its words (for longer ones: its pairs) may be frequent, by a Bloom filter; counts
+   are exact, as every part of a frequent phrase is frequent. Each task combines blocks before the shuffle.
 2. The counts of two neighbouring levels are laid out as one sorted stream: in prefix order each shorter phrase stands
    right before the phrases it begins, in suffix order right before those it ends. One pass over a stream,
    in lockstep, hands a phrase the counts of all its first (last) parts and takes back the most frequent
@@ -12,8 +12,8 @@
 
 Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those into words ``[^\\x20\\x09]+``.
 Defined results: null text is empty; null lang is ``und``; repeated rows count each; ties are ranked by score, a, phrase
-(bytes); an empty table gives no rows; other columns aren't read. Two words of one language with the same
-64-bit code raise an error (never seen; chance about V * V / 2**65).
+(bytes); an empty table gives no rows; other columns aren't read. Two frequent words of one language with the same
+64-bit code raise an error (never seen; words are told apart by their codes).
 """
 
 from __future__ import annotations
@@ -22,17 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodlens.llm import bloom, texts
 from periodlens.llm.rows import bounded_batches, stage
-from periodlens.llm.texts import mix
+from periodlens.llm.texts import lean, mix
+from periodlens.operators.metrics import ranked
 
 LONGEST = 4
 #: phrases combined at once in a task
 BLOCK = 1 << 20
 
+_CODES = [f"c{i}" for i in range(1, LONGEST + 1)]
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(10, 14)]] = True
 _IN_WORD = ~_BREAKS
@@ -69,43 +71,62 @@ def _pieces(batch: pa.RecordBatch):
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, code, word, cnt), a row per block; word null: all words of the block."""
+    """(lang, code, word, cnt), a row per block and distinct word; word null: all words of the block."""
 
     def run(batches: Iterator[pa.RecordBatch]):
+        held, size, known = [], 0, {}
+
+        def flush():
+            h, lang, code, count = (np.concatenate([x[k] for x in held]) for k in range(4))
+            words = [w for x in held for w in x[4]]
+            order = np.argsort(h, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (code[order][1:] != code[order][:-1]))))
+            at, each = order[first], np.add.reduceat(count[order], first)
+            total = np.bincount(lang, count, len(known)).astype(np.int64)
+            names, some = list(known), np.flatnonzero(total)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([names[k] for k in [*lang[at].tolist(), *some.tolist()]], pa.string()),
+                    pa.array(np.concatenate((code[at].view(np.int64), np.zeros(len(some), np.int64)))),
+                    pa.array([*[words[i] for i in at.tolist()], *[None] * len(some)], pa.string()),
+                    pa.array(np.concatenate((each, total[some]))),
+                ],
+                names=["lang", "code", "word", "cnt"],
+            )
+
         for batch in batches:
-            for lang, seed, _, code, start, end, data, names in _pieces(batch):
+            for lang, seed, _, code, start, end, data, langs in _pieces(batch):
                 if not len(code):
                     continue
+                number = np.array([known.setdefault(x, len(known)) for x in langs], np.int32)
                 h = _chain(seed, code)
-                order = np.argsort(h, kind="stable")
-                first = np.flatnonzero(np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (code[order][1:] != code[order][:-1]))))
-                at, size = order[first], np.diff(np.concatenate((first, [len(h)])))
+                _, at, count = np.unique(h, return_index=True, return_counts=True)
                 low = texts._LOWER[data].tobytes()
                 words = [low[a:b].decode("utf-8", "replace") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
-                total = np.bincount(lang, minlength=len(names))
-                some = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([names[k] for k in [*lang[at], *some]]),
-                        pa.array(np.concatenate((code[at].view(np.int64), np.zeros(len(some), np.int64)))),
-                        pa.array([*words, *[None] * len(some)], pa.string()),
-                        pa.array(np.concatenate((size, total[some]))),
-                    ],
-                    names=["lang", "code", "word", "cnt"],
-                )
+                held.append((h[at], number[lang[at]], code[at], count, words))
+                size += len(at)
+                if size >= BLOCK // 4:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return docs.mapInArrow(lean(run), "lang string, code long, word string, cnt long")
 
-    return docs.mapInArrow(run, "lang string, code long, word string, cnt long")
 
+def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], frequent) -> DataFrame:
+    """(lang, c1.., cnt) of the phrases of so many words, a row per block; codes beyond a phrase's words are 0.
 
-def phrase_counts(docs: DataFrame, m: int, frequent) -> DataFrame:
-    """(lang, c1..cm, cnt) of the phrases of m words whose first and last m - 1 words may be frequent, a row per block."""
-    names = [f"c{i}" for i in range(1, m + 1)]
+    ``frequent``: a filter of the frequent phrases of one word less than the shortest length; a phrase counts only
+    if all parts of that length may be frequent."""
+    base = lengths[0] - 1
+    names = _CODES[: lengths[-1]]
 
     def run(batches: Iterator[pa.RecordBatch]):
         held, size, known = [], 0, {}
 
         def flush():
-            h, lang, *codes = (np.concatenate([x[k] for x in held]) for k in range(m + 2))
+            h, lang, *codes = (np.concatenate([x[k] for x in held]) for k in range(len(names) + 2))
             order = np.argsort(h, kind="stable")
             h = h[order]
             new = np.concatenate(([True], h[1:] != h[:-1]))
@@ -119,17 +140,27 @@ def phrase_counts(docs: DataFrame, m: int, frequent) -> DataFrame:
 
         for batch in batches:
             for lang, seed, piece, code, *_, langs in _pieces(batch):
-                if len(code) < m:
+                if len(code) <= base:
                     continue
                 number = np.array([known.setdefault(x, len(known)) for x in langs], np.int32)
                 part = seed
-                for k in range(m - 1):
+                for k in range(base):
                     part = _chain(part[: len(code) - k], code[k:])
-                may = bloom.holds(frequent.value, part)  # of the part of m - 1 words that begins at each word
-                n = len(code) - m + 1
-                at = np.flatnonzero((piece[:n] == piece[m - 1 :]) & may[:n] & may[1 : n + 1])
-                if len(at):
-                    held.append((_chain(part[at], code[at + m - 1]), number[lang[at]], *[code[at + k] for k in range(m)]))
+                may = bloom.holds(frequent.value, part)  # of the part that begins at each word
+                for m in lengths:
+                    n = len(code) - m + 1
+                    if n < 1:
+                        continue
+                    whole = piece[:n] == piece[m - 1 :]
+                    for k in range(m - base + 1):
+                        whole &= may[k : k + n]
+                    at = np.flatnonzero(whole)
+                    if not len(at):
+                        continue
+                    h, own = part[at], [code[at + k] for k in range(m)]
+                    for k in range(base, m):
+                        h = _chain(h, own[k])
+                    held.append((h, number[lang[at]], *own, *[np.zeros(len(at), np.uint64)] * (len(names) - m)))
                     size += len(at)
                 if size >= BLOCK:
                     yield flush()
@@ -137,7 +168,7 @@ def phrase_counts(docs: DataFrame, m: int, frequent) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, f"lang string, {', '.join(f'{n} long' for n in names)}, cnt long")
+    return docs.mapInArrow(lean(run), f"lang string, {', '.join(f'{n} long' for n in names)}, cnt long")
 
 
 def _hashed(level: DataFrame, m: int) -> DataFrame:
@@ -151,10 +182,9 @@ def _hashed(level: DataFrame, m: int) -> DataFrame:
                 h = _chain(h, batch.column(k).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    return level.select("lang", *[f"c{i}" for i in range(1, m + 1)]).mapInArrow(run, "h long")
+    return level.select("lang", *[f"c{i}" for i in range(1, m + 1)]).mapInArrow(lean(run), "h long")
 
 
-_CODES = [f"c{i}" for i in range(1, LONGEST + 1)]
 _LEFT, _RIGHT = [f"l{k}" for k in range(1, LONGEST)], [f"r{k}" for k in range(1, LONGEST)]
 _STREAM = ["m", *_CODES, "f", *_LEFT, *_RIGHT, "ext"]
 
@@ -206,7 +236,7 @@ def lockstep(level: DataFrame, m: int, side: str) -> DataFrame:
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array([held["lang"]], pa.string()), *[pa.array([held[n]], pa.int64()) for n in _STREAM]], names=["lang", *_STREAM])
 
-    return stream.mapInArrow(run, "lang string, " + ", ".join(f"{n} long" for n in _STREAM))
+    return stream.mapInArrow(lean(run), "lang string, " + ", ".join(f"{n} long" for n in _STREAM))
 
 
 def score_sql(k: int, scale: int) -> str:
@@ -220,11 +250,11 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = 30, absorbed
     score: the least floor(scale * a / (l + r)) over all cuts into a first part (l) and a rest (r)."""
     bounded_batches(spark)
     docs = docs.select(F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_column), F.lit("")).alias("t"))
-    one_code = F.when(F.min("word") == F.max("word"), F.min("word")).when(F.min("word").isNotNull(), F.raise_error(F.lit("two words share a code")).cast("string"))
-    counted = word_counts(docs).groupBy("lang", F.col("word").isNull().alias("all"), "code").agg(F.sum("cnt").alias("f"), one_code.alias("word")).where(F.col("all") | (F.col("f") >= least))
-    counted = stage(spark, counted, "words")
-    totals = counted.where("all").select("lang", F.col("f").alias("n"))
-    words = counted.where("not all").select("lang", F.col("code").alias("c1"), "word", "f")
+    counted = stage(spark, word_counts(docs).groupBy("lang", "code", "word").agg(F.sum("cnt").alias("f")).where(F.col("word").isNull() | (F.col("f") >= least)), "words")
+    totals = counted.where("word is null").select("lang", F.col("f").alias("n"))
+    words = counted.where("word is not null").select("lang", F.col("code").alias("c1"), "word", "f")
+    if not words.groupBy("lang", "c1").count().where("count > 1").isEmpty():
+        raise ValueError("two frequent words share a code")
     zero = F.lit(0).cast("long")
 
     def as_stream(level: DataFrame, m: int) -> DataFrame:
@@ -232,12 +262,17 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = 30, absorbed
         return level.select("lang", F.lit(m).cast("long").alias("m"), *[(F.col(n) if n in has else zero).alias(n) for n in _STREAM[1:]])
 
     shorter, done = as_stream(words, 1), []
-    level = words
+    filters, counts = [], None
     for m in range(2, LONGEST + 1):
-        frequent = bloom.of_hashes(spark, stage(spark, _hashed(level, m - 1), "hashes"), "h")
-        codes = _CODES[:m]
-        level = stage(spark, phrase_counts(docs, m, frequent).groupBy("lang", *codes).agg(F.sum("cnt").alias("f")).where(F.col("f") >= least), f"phrases-{m}")
-        frequent.unpersist()
+        # words, then pairs, then what frequent pairs make up: the two longest are counted in one pass
+        if m <= 3:
+            below = words if m == 2 else counts
+            filters.append(bloom.of_hashes(spark, stage(spark, _hashed(below, m - 1), "hashes"), "h"))
+            lengths = (2,) if m == 2 else tuple(range(3, LONGEST + 1))
+            codes = _CODES[: lengths[-1]]
+            found = phrase_counts(docs, lengths, filters[-1]).groupBy("lang", *codes).agg(F.sum("cnt").alias("f")).where(F.col("f") >= least)
+            counts = stage(spark, found, f"phrases-{m}")
+        level = counts if m == 2 else counts.where(F.col(_CODES[LONGEST - 1]) == 0) if m < LONGEST else counts.where(F.col(_CODES[LONGEST - 1]) != 0)
         in_prefix_order = stage(spark, lockstep(shorter.unionByName(as_stream(level, m)), m, "l"), "prefix-order")
         in_suffix_order = stage(spark, lockstep(in_prefix_order, m, "r"), "suffix-order")
         if m > 2:
@@ -254,11 +289,12 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = 30, absorbed
             found = found.join(words.select("lang", F.col("c1").alias(c), F.col("word").alias(f"w{i}")), ["lang", c])
         found = found.withColumn("phrase", F.concat_ws(" ", *[f"w{i}" for i in range(1, m + 1)])).select("lang", "phrase", "a", "l", "r", "score")
         out = found if out is None else out.unionByName(found)
+    for shared in filters:
+        shared.unpersist()
     return out.join(totals, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
 
 def top(found: DataFrame, k: int = 2000) -> DataFrame:
-    """The first k of each language by score, a (both descending) and phrase. Each task keeps k a language before the shuffle."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    """The first k of each language by score, a (both descending) and phrase, numbered over sorted ranges: no language is one task's."""
+    numbered = ranked(found.withColumn("less", -F.col("a")), ["lang"], "score", "rank", ["less", "phrase"], method="range").where(F.col("rank") <= k)
+    return numbered.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
