@@ -111,7 +111,7 @@ def file_profiles(
     utf8 = F.is_valid_utf8("value")
     per_file = lines.groupBy("path").agg(
         F.min(utf8).alias("utf8"),
-        F.min(F.when(utf8, True).otherwise(~_decoded("value", legacy).contains(_REPLACED))).alias("legacy"),
+        F.min(F.when(utf8, True).otherwise(decodes("value", legacy))).alias("legacy"),
         F.min_by("value", F.struct("block", "row_id")).alias("header"),
     )
     found = [FileProfile(literal_path(r["path"]), bool(r["utf8"]), bool(r["legacy"]), r["header"] or "") for r in per_file.collect()]
@@ -126,6 +126,15 @@ def _decoded(line: str, charset: str) -> Column:
     return F.col(line) if charset == UTF8 else F.decode(F.col(line).cast("binary"), charset)
 
 
+def decodes(line: str, charset: str) -> Column:
+    """Whether the bytes of a line are text in a charset: they come back when decoded and encoded again. A line
+    that holds U+FFFD itself is valid UTF-8."""
+    if charset == UTF8:
+        return F.is_valid_utf8(line)
+    raw = F.col(line).cast("binary")
+    return F.encode(F.decode(raw, charset), charset) == raw
+
+
 def detect_encodings(
     spark: SparkSession, paths: str | Sequence[str], legacy: str = DEFAULT_LEGACY_ENCODING
 ) -> dict[str, str]:
