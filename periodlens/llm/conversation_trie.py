@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodlens.llm.rows import bounded_batches, stage
-from periodlens.llm.texts import mix
+from periodlens.llm.texts import lean, mix
 
 #: rows a shard's arrays may have, of whole subtrees
 LIMIT = 1 << 18
@@ -171,7 +171,7 @@ def running(spark: SparkSession, frame: DataFrame, order: list, make, columns: s
             done += len(c)
 
     sorted_ = frame.repartitionByRange("c", *order).sortWithinPartitions("c", *order)
-    part = stage(spark, sorted_.mapInArrow(local, _long(f"_p _i c {columns} {lanes}")), name)
+    part = stage(spark, sorted_.mapInArrow(lean(local), _long(f"_p _i c {columns} {lanes}")), name)
     last = F.max(F.struct("_i", "c", *names))
     ranges = {r["_p"]: r for r in part.groupBy("_p").agg(F.min("c").alias("low"), last.alias("last")).collect()}
     carry, key, held = {}, None, dict.fromkeys(names, 0)
@@ -197,7 +197,7 @@ def running(spark: SparkSession, frame: DataFrame, order: list, make, columns: s
                             out[n][goes_on] += np.uint64(sums[n])
             yield _batch(out)
 
-    return part.mapInArrow(whole, _long(f"c {columns} {lanes}"))
+    return part.mapInArrow(lean(whole), _long(f"c {columns} {lanes}"))
 
 
 def turns(spark: SparkSession, conversations: DataFrame) -> DataFrame:
@@ -263,7 +263,7 @@ def paths(spark: SparkSession, rows: DataFrame) -> DataFrame:
                     out |= {f"k{lane}": _digest(lane - 1, s, d), f"p{lane}": _digest(lane - 1, s - v, d - 1), f"a{lane}": _digest(lane - 1, f, one)}
             yield _batch({k: out[k] for k in ("c", "d", "chars", "k1", "k2", "p1", "p2", "a1", "a2")})
 
-    return stage(spark, summed.mapInArrow(keyed, _long("c d chars k1 k2 p1 p2 a1 a2")), "paths")
+    return stage(spark, summed.mapInArrow(lean(keyed), _long("c d chars k1 k2 p1 p2 a1 a2")), "paths")
 
 
 _ROW = "k1 k2 p1 p2 a1 a2 d chars n c"
@@ -293,7 +293,7 @@ def combined(rows: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return rows.mapInArrow(run, _long(_ROW))
+    return rows.mapInArrow(lean(run), _long(_ROW))
 
 
 _NODE = "k1 k2 p1 p2 d n c top pc children leaves saved"
@@ -329,7 +329,7 @@ def _tables(rows: DataFrame, limit: int) -> DataFrame:
         if held:
             yield nodes(held)
 
-    return rows.mapInArrow(run, _long(_NODE))
+    return rows.mapInArrow(lean(run), _long(_NODE))
 
 
 def _spine(rows: DataFrame) -> DataFrame:
@@ -346,7 +346,7 @@ def _spine(rows: DataFrame) -> DataFrame:
         out = node_table({n: v[own] for n, v in x.items()}, {n: v[sums] for n, v in x.items()})
         yield _batch({n: out[n] for n in _NODE.split()})
 
-    return rows.repartition(1).mapInArrow(run, _long(_NODE))
+    return rows.repartition(1).mapInArrow(lean(run), _long(_NODE))
 
 
 def member_hashes(spark: SparkSession, ends: DataFrame) -> DataFrame:
@@ -362,7 +362,7 @@ def member_hashes(spark: SparkSession, ends: DataFrame) -> DataFrame:
             stops = [*starts[1:], len(c)]
             yield pa.RecordBatch.from_arrays([pa.array(k1[starts]), pa.array(k2[starts]), pa.array(c[starts]), pa.array([",".join(map(str, c[a:b].tolist())).encode() for a, b in zip(starts, stops, strict=True)], pa.binary())], names=["k1", "k2", "c", "ids"])
 
-    parts = ends.repartitionByRange("k1", "k2", "c").sortWithinPartitions("k1", "k2", "c").select("k1", "k2", "c").mapInArrow(run, "k1 long, k2 long, c long, ids binary")
+    parts = ends.repartitionByRange("k1", "k2", "c").sortWithinPartitions("k1", "k2", "c").select("k1", "k2", "c").mapInArrow(lean(run), "k1 long, k2 long, c long, ids binary")
 
     def hashed(batches: Iterator[pa.RecordBatch]):
         key, sha = None, None
@@ -379,7 +379,7 @@ def member_hashes(spark: SparkSession, ends: DataFrame) -> DataFrame:
         if key is not None:
             yield pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]]), pa.array([sha.hexdigest()])], names=["k1", "k2", "ends_sha256"])
 
-    return stage(spark, parts, "ids").repartition("k1", "k2").sortWithinPartitions("k1", "k2", "c").mapInArrow(hashed, "k1 long, k2 long, ends_sha256 string")
+    return stage(spark, parts, "ids").repartition("k1", "k2").sortWithinPartitions("k1", "k2", "c").mapInArrow(lean(hashed), "k1 long, k2 long, ends_sha256 string")
 
 
 def prefix_trie(spark: SparkSession, conversations: DataFrame, share_heads: bool = True, limit: int = LIMIT) -> DataFrame:

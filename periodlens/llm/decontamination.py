@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from periodlens.llm import texts
 from periodlens.llm.rows import with_row_key
+from periodlens.llm.texts import lean
 
 #: characters of benchmark text sent to the tasks at once
 BLOCK_CHARS = 1 << 25
@@ -160,7 +161,7 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
                         names=schema.names,
                     )
 
-        return frame.mapInArrow(run, schema)
+        return frame.mapInArrow(lean(run), schema)
 
     tests = list(_blocks(benchmark, id_column="item_id", text_column="text", window=window))
     docs = docs.select(id_column, text_column)
@@ -207,7 +208,7 @@ def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
                 names=schema.names,
             )
 
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(lean(run), schema)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10, text_column: str = "text") -> DataFrame:
@@ -221,5 +222,5 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
                 keep = np.concatenate([np.array([not len(r[1]) for r in _judge(data, offsets, shared.value)], bool) for _, _, data, offsets in texts.segments(batch.column(at), SHARD_BYTES)] or [np.zeros(0, bool)])
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from periodlens.llm import bloom, graph, texts
 from periodlens.llm.rows import stage, with_row_key
+from periodlens.llm.texts import lean
 
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
@@ -83,7 +84,7 @@ def sketch(docs: DataFrame, width: int, id_column: str, text_column: str) -> Dat
                 keys = [hashlib.blake2b(value[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(i, j - i) for k in range(3)], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array([next(sig).tobytes() if k else None for k in keys], pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def banded(classes: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def banded(classes: DataFrame) -> DataFrame:
                 node = np.repeat(batch.column(0).to_numpy(), BANDS)
                 yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(node)], names=["h", "node"])
 
-    return classes.select("node", "sig").mapInArrow(run, "h long, node long")
+    return classes.select("node", "sig").mapInArrow(lean(run), "h long, node long")
 
 
 def least_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
@@ -137,7 +138,7 @@ def pruned(pairs: DataFrame, classes: DataFrame, least: int, miss: float) -> Dat
                 left, done = left[same[left] >= m], n
             yield batch.select([0, 1]).take(pa.array(left))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(lean(run), "a long, b long")
 
 
 def across(spark: SparkSession, members: DataFrame, classes: DataFrame, docs: DataFrame, least: int, width: int, miss: float, text_column: str) -> DataFrame:
@@ -207,7 +208,7 @@ def across(spark: SparkSession, members: DataFrame, classes: DataFrame, docs: Da
         found = judge(held) if held else ([], [])
         yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], names=["a", "b"])
 
-    return met.mapInArrow(run, "a long, b long")
+    return met.mapInArrow(lean(run), "a long, b long")
 
 
 def similar(x: np.ndarray, y: np.ndarray, least: int) -> bool:
@@ -227,7 +228,7 @@ def full_sets(spark: SparkSession, nodes: DataFrame, classes: DataFrame, docs: D
                 value, first = sets(data, at, width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([value[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["node", "s"])
 
-    return stage(spark, held.mapInArrow(full, "node long, s binary"), "sets")
+    return stage(spark, held.mapInArrow(lean(full), "node long, s binary"), "sets")
 
 
 def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: DataFrame, least: int, width: int, text_column: str) -> DataFrame:
@@ -244,7 +245,7 @@ def verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: Da
                 keep[i] = similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), least)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(lean(run), "a long, b long")
 
 
 def classes_and_links(spark: SparkSession, docs: DataFrame, least: int, width: int, miss: float, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from periodlens.llm.texts import lean
+
 KINDS = ("email", "ip", "card", "phone")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
 Span = tuple[str, int, int]
@@ -228,7 +230,7 @@ def find_pii(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 names=[f.name for f in schema],
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def mask_pii(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars") -> DataFrame:
@@ -256,7 +258,7 @@ def mask_pii(docs: DataFrame, text_column: str = "text", length_column: str = "n
                     columns[length] = pa.array(sizes, batch.schema.field(length).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:

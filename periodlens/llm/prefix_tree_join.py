@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from periodlens.llm import bloom, graph, texts
 from periodlens.llm.rows import stage, with_row_key
-from periodlens.llm.texts import mix
+from periodlens.llm.texts import lean, mix
 
 #: counters of frequent n-grams a task, and in all
 COUNTERS, MOST_FREQUENT = 1 << 13, 1 << 17
@@ -106,7 +106,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
         zero = pa.array([0], pa.int64())
         yield pa.RecordBatch.from_arrays([zero, zero, pa.nulls(1, id_type), pa.array([-1], pa.int64()), zero, zero, pa.array([data], pa.binary())], names=schema.names)
 
-    return docs.select("_f", "_r", "id", "t").mapInArrow(run, schema)
+    return docs.select("_f", "_r", "id", "t").mapInArrow(lean(run), schema)
 
 
 def frequent_ngrams(rows: DataFrame) -> np.ndarray:
@@ -118,7 +118,7 @@ def frequent_ngrams(rows: DataFrame) -> np.ndarray:
                 pairs = np.frombuffer(data.as_buffer(), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["h", "c"])
 
-    counts = rows.where("n = -1").select("key").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
+    counts = rows.where("n = -1").select("key").mapInArrow(lean(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= FREQUENT)
     found = counts.orderBy(F.desc("c"), "h").limit(MOST_FREQUENT).toArrow()
     h, c = found.column("h").to_numpy(), found.column("c").to_numpy()
     return h[np.lexsort((h, c))].view(np.uint64)
@@ -206,8 +206,8 @@ def shared_counts(docs: DataFrame, order, ranges: int, width: int) -> DataFrame:
         if held:
             yield counted(held, last)
 
-    blocks = docs.select("t").mapInArrow(split, "p int, h binary, k binary")
-    return blocks.repartition("p").sortWithinPartitions("p").mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
+    blocks = docs.select("t").mapInArrow(lean(split), "p int, h binary, k binary")
+    return blocks.repartition("p").sortWithinPartitions("p").mapInArrow(lean(run), "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
 
 
 def _prefix(n: np.ndarray, least: int) -> np.ndarray:
@@ -236,7 +236,7 @@ def prefixes(whole: DataFrame, least: int) -> DataFrame:
                     g = mix(codes * np.uint64(0x9E3779B97F4A7C15) + (band + more).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(node)], names=["g", "node"])
 
-    return whole.select("node", "n", "s").mapInArrow(run, "g long, node long")
+    return whole.select("node", "n", "s").mapInArrow(lean(run), "g long, node long")
 
 
 class Trie:
@@ -393,7 +393,7 @@ def judged(units: DataFrame, least: int) -> DataFrame:
 
     order = ["leader", "lo", "hi"]
     units = units.select(*order, "side", "node", "comp", "s").repartition(*order).sortWithinPartitions(*order, "side", "node")
-    return units.mapInArrow(run, "a long, b long")
+    return units.mapInArrow(lean(run), "a long, b long")
 
 
 def _blocks(members: DataFrame, sized: DataFrame) -> DataFrame:
@@ -458,7 +458,7 @@ def full_sets(spark: SparkSession, classes: DataFrame, docs: DataFrame, order, w
                 out = [np.sort(codes[a:b]).astype(">u8").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(first), pa.int64()), pa.array(out, pa.binary())], names=["node", "n", "s"])
 
-    return held.mapInArrow(run, "node long, n long, s binary")
+    return held.mapInArrow(lean(run), "node long, n long, s binary")
 
 
 def similar_groups(spark: SparkSession, docs: DataFrame, least: int = 85, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

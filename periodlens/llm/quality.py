@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodlens.llm import texts
+from periodlens.llm.texts import lean
 
 HEADS = ("junk", "toxic")
 BITS = 18
@@ -240,7 +241,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
 
     shape = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, l_junk int, l_toxic int, votes binary, words binary, stems binary"
     # at most sample_rows ids, a fixed bound; a repeated id may bring more rows, so the bound is set again
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "t", "l_junk", "l_toxic").mapInArrow(features, shape).orderBy(F.xxhash64("doc_id", "words"), "doc_id").limit(sample_rows).collect()
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "t", "l_junk", "l_toxic").mapInArrow(lean(features), shape).orderBy(F.xxhash64("doc_id", "words"), "doc_id").limit(sample_rows).collect()
     parse = lambda r: (NONE if r.l_toxic is None else r.l_toxic, np.frombuffer(r.words, np.uint64), np.frombuffer(r.stems, np.uint64), np.frombuffer(r.votes, np.int8), NONE if r.l_junk is None else r.l_junk)
     rows = [parse(r) for r in sample]
     lists = [_lists(rows[0::2], 1), _lists(rows[1::2], 1), _lists(rows, 2)]
@@ -253,7 +254,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
                 pattern = np.concatenate((read.junk_votes(), read.toxic_votes(shared.value)), 1)[read.n_words > 0]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).filter(pa.array(read.n_words > 0)), pa.array([bytes(p) for p in pattern], pa.binary())], names=["doc_id", "votes"])
 
-    voted = docs.mapInArrow(votes_of, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, votes binary").join(given, "doc_id", "left")
+    voted = docs.mapInArrow(lean(votes_of), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, votes binary").join(given, "doc_id", "left")
     counted = voted.groupBy("votes", "l_junk", "l_toxic").agg(F.count("*").alias("n")).collect()  # at most a row per pattern
     n_junk = len(LABELLERS["junk"]) - 1
     chances, weights = [], []
@@ -292,7 +293,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_row
                 values = [pa.array(np.round(c, 6), mask=~words) for c in (*posterior.T, *score.T)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *values, pa.array(kept)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def filter_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -305,4 +306,4 @@ def filter_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, sa
             kept = [model.value.judge(data, at)[3] for _, _, data, at in texts.segments(batch.column(at_text))]
             yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

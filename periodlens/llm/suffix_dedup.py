@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from periodlens.llm import bloom, texts
 from periodlens.llm.rows import stage, with_row_key
+from periodlens.llm.texts import lean
 
 GRAM = 64
 _PLACE = np.uint64((1 << 30) - 1)
@@ -97,7 +98,7 @@ def repeated_grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for _, _, data, at in texts.segments(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([_long(runs(data, at, length, gram, Prefixes(data, two=False))[2])], names=["g"])
 
-    return docs.select("t").mapInArrow(run, "g long").groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
+    return docs.select("t").mapInArrow(lean(run), "g long").groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
 
 
 def spans_of_runs(docs: DataFrame, length: int, gram: int, filled) -> DataFrame:
@@ -118,7 +119,7 @@ def spans_of_runs(docs: DataFrame, length: int, gram: int, filled) -> DataFrame:
                 rows = pa.array(doc + i)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *map(_long, (g, first - at[doc], last - at[doc], x, y))], names=names)
 
-    return docs.select("_f", "_r", "t").mapInArrow(run, schema)
+    return docs.select("_f", "_r", "t").mapInArrow(lean(run), schema)
 
 
 def _windows(row_first: list[int], row_last: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +155,7 @@ def single_suffixes(edges: DataFrame, length: int, filled=None) -> DataFrame:
                     at_row = pa.array(row[keep] + i)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(at_row), batch.column(1).take(at_row), *map(_long, (p[keep], x[keep], y[keep]))], names=names)
 
-    return edges.select("_f", "_r", "t", "runs").mapInArrow(run, schema)
+    return edges.select("_f", "_r", "t", "runs").mapInArrow(lean(run), schema)
 
 
 def repeated_starts(spark: SparkSession, docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -211,7 +212,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200, gram
                 kept.append(b"".join(text[a:b].tobytes() for a, b in zip(cuts[::2], cuts[1::2], strict=True)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())], names=schema.names)
 
-    return touched.mapInArrow(run, schema)
+    return touched.mapInArrow(lean(run), schema)
 
 
 def digest(out: DataFrame, id_column: str = "doc_id") -> DataFrame:

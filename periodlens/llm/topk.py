@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodlens.llm.rows import stage
+from periodlens.llm.texts import lean
 
 CELLS = 256
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 256
@@ -70,7 +71,7 @@ def _blocked(table: DataFrame, rows: int, tag: str) -> DataFrame:
                         [pa.array([d], pa.int32()), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([_matrix(part.column(1)).astype("<i8").tobytes()], pa.binary())], names=[f"{tag}_dim", f"{tag}_ids", f"{tag}_v"]
                     )
 
-    return table.select("vec_id", "v").mapInArrow(run, schema)
+    return table.select("vec_id", "v").mapInArrow(lean(run), schema)
 
 
 def cell_bounds(spark: SparkSession, table: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -113,7 +114,7 @@ def approximation_file(spark: SparkSession, table: DataFrame, k: int) -> tuple[D
                 keep = np.sort(by[rank <= k])
                 yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([ids[keep].tolist()], pa.list_(pa.int64())), pa.array([approximate(v[keep], *marks[d]).tobytes()], pa.binary())], names=["d_dim", "d_ids", "d_cells"])
 
-    return _blocked(table, BLOCK_ROWS, "d").mapInArrow(run, "d_dim int, d_ids array<long>, d_cells binary"), marks
+    return _blocked(table, BLOCK_ROWS, "d").mapInArrow(lean(run), "d_dim int, d_ids array<long>, d_cells binary"), marks
 
 
 def top_k(spark: SparkSession, embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -141,7 +142,7 @@ def top_k(spark: SparkSession, embeddings: DataFrame, k: int = 10, every: int =
                 i, j = np.nonzero((upper >= kth[:, None]) & ~own)
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(q_ids, np.int64)[i]), pa.array(ids[j]), pa.array(lower[i, j]), pa.array(upper[i, j]), pa.array(np.full(len(i), d, np.int32))], names=["query_id", "vec_id", "lower", "upper", "dim"])
 
-    near = stage(spark, met.mapInArrow(scan, "query_id long, vec_id long, lower double, upper double, dim int"), "candidates")
+    near = stage(spark, met.mapInArrow(lean(scan), "query_id long, vec_id long, lower double, upper double, dim int"), "candidates")
     kth = near.groupBy("query_id", "dim").agg(F.array_sort(F.collect_list("lower"), lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)).alias("l")).select("query_id", "dim", F.try_element_at("l", F.lit(k)).alias("kth"))
     left = near.join(kth, ["query_id", "dim"]).where(F.col("kth").isNull() | (F.col("upper") >= F.col("kth"))).select("query_id", "vec_id", "upper", "dim")
     exact = left.join(table.select("vec_id", "v", F.size("v").alias("dim")), ["vec_id", "dim"]).join(chosen.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.size("v").alias("dim")), ["query_id", "dim"])
