@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodlens.llm.tokens import encoder
+from periodlens.llm.tokens import binaries, encoder
+from periodlens.llm.texts import lean
 
 WINDOW = 4096
 
@@ -91,51 +92,50 @@ def pieces(docs: DataFrame, path: str, kind: str, end_id: int, window: int, id_c
 
     def run(batches: Iterator[pa.RecordBatch]):
         encode = encoder(path, kind)
-        step = window * encode.dtype.itemsize
-        end = np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
-            row, start, ids, tokens = [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                data = encode.encode(text.as_py() or "") + end
-                n = len(data) // encode.dtype.itemsize
-                for at in range(0, len(data), step):
-                    row.append(i)
-                    start.append(at // encode.dtype.itemsize)
-                    ids.append(data[at : at + step])
-                    tokens.append(n)
-                if len(row) >= 2000:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(start, pa.int64()), pa.array(ids, pa.binary()), pa.array(tokens, pa.int64())], names=schema.names)
-                    row, start, ids, tokens = [], [], [], []
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(ids, pa.binary()), pa.array(tokens, pa.int64())], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+            ids, at = encode.encode_all(batch.column(1), end_id)
+            tokens = np.diff(at)
+            parts = -(-tokens // window)
+            row = np.repeat(np.arange(len(parts)), parts)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * window
+            cuts = np.concatenate((at[row] + start, at[-1:]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(start), binaries(ids, cuts), pa.array(tokens[row])], names=schema.names)
+
+    return docs.mapInArrow(lean(run), schema)
 
 
 def pack(
-    spark: SparkSession, docs: DataFrame, path: str, kind: str = "word", end_id: int = 2, window: int = WINDOW, bucket_tokens: int = 1 << 22, id_column: str = "doc_id", text_column: str = "text"
+    spark: SparkSession, docs: DataFrame, path: str, kind: str = "word", end_id: int = 2, window: int = WINDOW, bucket_tokens: int = 1 << 22, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True
 ) -> DataFrame:
-    """Pieces with their place: id, start, length, ids, doc_tokens, sequence_id, offset.
+    """Pieces with their place: id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``ids`` is binary (little-endian; width = size / length). The number of buckets follows the
+    ``ids`` is binary (little-endian; width = size / length), left out unless ``with_ids``; ``ids_crc32`` is the checksum of the ids as
+    unsigned 32-bit integers. The number of buckets follows the
     bytes of all texts (about 2.5 bytes a token)."""
     size = docs.select(F.sum(F.octet_length(text_column) + 8)).first()[0] or 0
     cut = pieces(docs, path, kind, end_id, window, id_column, text_column)
-    schema = T.StructType([*cut.schema.fields, T.StructField("length", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    kept = [f for f in cut.schema.fields if with_ids or f.name != "ids"]
+    schema = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in ("length", "ids_crc32", "sequence_id", "offset")]])
 
     def run(batches: Iterator[pa.RecordBatch]):
         held = list(batches)
         if not held:
             return
         table = pa.Table.from_batches(held).combine_chunks()
-        width = encoder(path, kind).dtype.itemsize
-        sizes = np.array([len(x.as_buffer()) for x in table.column("ids").chunk(0)] if table.num_rows else [], np.int64)
-        where, offset = best_fit_decreasing(sizes // width, window)
+        if not table.num_rows:
+            return
+        dtype = encoder(path, kind).dtype
+        ids = [np.frombuffer(x.as_buffer(), dtype) for x in table.column("ids").chunk(0)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        where, offset = best_fit_decreasing(sizes, window)
         base = TaskContext.get().partitionId() << 32
-        out = table.append_column("length", pa.array(sizes // width)).append_column("sequence_id", pa.array(base + where)).append_column("offset", pa.array(offset))
-        yield from out.to_batches(max_chunksize=2000)
+        more = {"length": sizes, "ids_crc32": np.array([zlib.crc32(x.astype("<u4")) for x in ids], np.int64), "sequence_id": base + where, "offset": offset}
+        for name, values in more.items():
+            table = table.append_column(name, pa.array(values))
+        yield from table.select(schema.names).to_batches(max_chunksize=2000)
 
     # dealing out is by turns over sorted rows, so a task that runs again gets the same rows
-    return cut.repartition(max(1, int(size / 2.5 / bucket_tokens) + 1)).mapInArrow(run, schema)
+    return cut.repartition(max(1, int(size / 2.5 / bucket_tokens) + 1)).mapInArrow(lean(run), schema)
 
 
 def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
@@ -153,19 +153,9 @@ def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataF
                 ids.append(x if len(x) & (len(x) - 1) == 0 else np.concatenate((x, np.full(window - len(x), pad_id, np.int32))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int32()), pa.array(ids, pa.list_(pa.int32()))], names=["sequence_id", "length", "input_ids"])
 
-    return whole.mapInArrow(run, schema)
+    return whole.mapInArrow(lean(run), schema)
 
 
 def digest(packed: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The placing of each piece with the checksum of its ids as unsigned 32-bit integers."""
-    schema = T.StructType([packed.schema[id_column], *[T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]])
-    packed = packed.select(id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
-
-    def run(batches):
-        for batch in batches:
-            crc = [zlib.crc32(np.frombuffer(x, f"<u{len(x) // n}").astype("<u4")) for x, n in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            columns = list(batch.columns)
-            columns[3] = pa.array(crc, pa.int64())
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return packed.mapInArrow(run, schema)
+    """The placing of each piece with the checksum of its ids."""
+    return packed.select(id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

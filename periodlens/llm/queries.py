@@ -39,7 +39,7 @@ def op5_ranked_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
+    return packing.digest(packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False))
 
 
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

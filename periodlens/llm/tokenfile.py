@@ -25,9 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from periodlens.llm.rows import stage, with_row_key
-from periodlens.llm.tokens import encoder
+from periodlens.llm.tokens import binaries, encoder
+from periodlens.llm.texts import lean
 
 #: bytes of each of the four ranks of a control byte
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -61,35 +63,38 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, path: str, kind: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, _f, _r, ids): the ids of each document with the end id, little-endian binary."""
+    """(id, _f, _r, ids): the ids of each document with the end id, little-endian binary; and a row per task
+    with _r = -1, whose ids are pairs of 64-bit (id, number of its occurrences in the task)."""
     docs = with_row_key(spark, docs.select(id_column, text_column), "tokens").select(id_column, "_f", "_r", text_column)
     schema = T.StructType([*docs.schema.fields[:3], T.StructField("ids", T.BinaryType())])
 
+    id_type = to_arrow_type(docs.schema[0].dataType)
+
     def run(batches: Iterator[pa.RecordBatch]):
-        encode = encoder(path, kind)
-        end = np.array([end_id], encode.dtype).tobytes()
+        encode, total = encoder(path, kind), np.zeros(0, np.int64)
         for batch in batches:
-            ids = pa.array([encode.encode(t.as_py() or "") + end for t in batch.column(3)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], ids], names=schema.names)
+            ids, cuts = encode.encode_all(batch.column(3), end_id)
+            n = np.bincount(ids, minlength=len(total))
+            n[: len(total)] += total
+            total = n
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], binaries(ids, cuts)], names=schema.names)
+        at = np.flatnonzero(total)
+        zero, none = pa.array([0], pa.int64()), pa.nulls(1, id_type)
+        yield pa.RecordBatch.from_arrays([none, zero, pa.array([-1], pa.int64()), pa.array([np.stack((at, total[at]), 1).tobytes()], pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
-def frequencies(tokens: DataFrame, dtype: str) -> DataFrame:
-    """(id, n) of all ids: each task adds up its own before anything is shuffled."""
+def frequencies(tokens: DataFrame) -> DataFrame:
+    """(id, n) of all ids, from the tasks' own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        total = np.zeros(0, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                n = np.bincount(np.frombuffer(x.as_buffer(), dtype))
-                if len(n) > len(total):
-                    total = np.concatenate((total, np.zeros(len(n) - len(total), np.int64)))
-                total[: len(n)] += n
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
+                pairs = np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.where("_r = -1").select("ids").mapInArrow(lean(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(
@@ -100,7 +105,7 @@ def write(
     width = np.dtype(dtype).itemsize
     tokens = stage(spark, token_ids(spark, docs, path, kind, end_id, id_column, text_column), "token-ids")
     # as many rows as the vocabulary has ids
-    ranked = frequencies(tokens, dtype).orderBy(F.desc("n"), "id").collect()
+    ranked = frequencies(tokens).orderBy(F.desc("n"), "id").collect()
     spark.createDataFrame([(i, r["id"], r["n"]) for i, r in enumerate(ranked)], "rank long, id long, n long").coalesce(1).write.parquet(f"{folder}/ranks")
     total = sum(r["n"] for r in ranked)
     rank = np.zeros(max((r["id"] for r in ranked), default=0) + 1, np.uint32)
@@ -130,8 +135,8 @@ def write(
             yield made()
 
     in_order = [F.asc_nulls_first(id_column), F.asc("_f"), F.asc("_r")]
-    ordered = tokens.repartitionByRange(max(1, -(-total // shard_ids)), *in_order).sortWithinPartitions(*in_order)
-    ordered.select(F.col(id_column).cast("long"), "ids").mapInArrow(run, schema).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    ordered = tokens.where("_r >= 0").repartitionByRange(max(1, -(-total // shard_ids)), *in_order).sortWithinPartitions(*in_order)
+    ordered.select(F.col(id_column).cast("long"), "ids").mapInArrow(lean(run), schema).write.option("compression", "zstd").parquet(f"{folder}/blocks")
     # one row per shard
     sizes = spark.read.parquet(f"{folder}/blocks").groupBy("shard").agg(F.sum("n_ids"), F.sum("n_docs")).orderBy("shard").collect()
     rows, before = [], 0
@@ -166,7 +171,7 @@ def read(spark: SparkSession, folder: str, each=None, schema: str = "doc_id long
                         names=names,
                     )
 
-    return blocks.select("start", "before", "n_ids", "doc_ids", "sizes", "control", "data").mapInArrow(run, schema)
+    return blocks.select("start", "before", "n_ids", "doc_ids", "sizes", "control", "data").mapInArrow(lean(run), schema)
 
 
 def digest(spark: SparkSession, folder: str) -> DataFrame:

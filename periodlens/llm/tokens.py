@@ -3,7 +3,8 @@
 Both public tokenizers split a text before a space followed by a non-space and merge
 bytes only inside the parts, so ids of a text are the ids of its chunks one after
 another. Most chunks repeat: a bounded cache per Python worker holds their ids as
-bytes. A text where white space stands around a space (where the split would differ)
+bytes, in two generations: when the younger one is full, the older one goes, and what is
+used again moves up, so that frequent chunks stay. A text where white space stands around a space (where the split would differ)
 is encoded whole; so is a chunk with characters beyond Latin-1 letters.
 """
 
@@ -13,12 +14,13 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: entries of a worker's cache; a full cache starts anew. The "word" kind has fewer, as its chunks come in both cases
-#: and its encoder runs after other work in a pipeline's executors
-CHUNKS = {"byte": 800_000, "word": 400_000}
+#: entries of a generation of a worker's cache (there are two)
+CHUNKS = 200_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\n\t\r\x20-\x7e{_LETTERS}]*").fullmatch
@@ -48,13 +50,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.spaced = kind == "byte"
-        self.most = CHUNKS[kind]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.table = byte_characters()
         self.packed = [i.to_bytes(self.dtype.itemsize, "little") for i in range(size)]
         self.known: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -68,12 +70,13 @@ class Encoder:
     def part(self, part: str) -> bytes:
         """As merged(), kept: after a space, or for "word", it is a chunk of its own."""
         if self.spaced != part.startswith(" "):
-            store, key = self.inner, part
+            store, old, key = self.inner, self.older[1], part
         else:
-            store, key = self.known, part[self.spaced :]
-        if key not in store:
-            store[key] = self.merged(part)
-        return store[key]
+            store, old, key = self.known, self.older[0], part[self.spaced :]
+        ids = store.get(key)
+        if ids is None:
+            ids = store[key] = old.get(key) or self.merged(part)
+        return ids
 
     def chunk(self, text: str, space: str) -> bytes:
         """The ids of a chunk that follows ``space``."""
@@ -86,20 +89,62 @@ class Encoder:
         text = text.lower()
         return b"".join(map(self.part, [text] if text.isalpha() else _WORD_PARTS(text)))
 
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that follow a space."""
+        if len(self.known) + len(self.inner) > CHUNKS:
+            self.older = self.known, self.inner
+            self.known, self.inner = {}, {}
+        known, old, space, out = self.known, self.older[0], " " if self.spaced else "", []
+        for x in chunks:
+            ids = known.get(x)
+            if ids is None:
+                ids = old.get(x)
+                known[x] = ids = self.chunk(x, space) if ids is None else ids
+            out.append(ids)
+        return out
+
+    def encode_all(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, each with the end id; offsets of the texts). Null is an empty text.
+
+        Arrow splits the texts and tells their distinct chunks; Python sees each of these once, numpy lays their ids out."""
+        texts, heads, rest = column.to_pylist(), [], []
+        for text in texts:
+            text = text or ""
+            if not self.spaced:  # lower case as the tokenizer's, for these characters; both cases are one chunk
+                rest.append(text.lower() if "<|" not in text and _PLAIN(text) else text)
+            elif _AROUND(text):
+                heads.append(self.whole(text))
+                rest.append(None)
+            else:
+                first, space, more = text.partition(" ")
+                heads.append(self.chunk(first, ""))
+                rest.append(more if space else None)
+        pieces = pc.split_pattern(pa.array(rest, pa.string()), " ")
+        n, size = len(rest), pc.fill_null(pc.list_value_length(pieces), 0).to_numpy()
+        chunks = pieces.flatten().dictionary_encode()
+        end = np.array([end_id], self.dtype).tobytes()
+        blobs = [*self._ids(chunks.dictionary.to_pylist()), *(heads or [b""] * n), end]
+        length = np.fromiter(map(len, blobs), np.int64, len(blobs)) // self.dtype.itemsize
+        start = np.cumsum(length) - length
+        # each text is its head, its chunks, the end id
+        first = np.cumsum(size + 2) - size - 2
+        order = np.full(int(size.sum()) + 2 * n, len(blobs) - 1, np.int64)
+        order[first] = len(chunks.dictionary) + np.arange(n)
+        order[np.repeat(first + 1 - (np.cumsum(size) - size), size) + np.arange(len(chunks))] = chunks.indices.to_numpy()
+        length, start = length[order], start[order]
+        ends = np.cumsum(length)
+        ids = np.frombuffer(b"".join(blobs), self.dtype)[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.concatenate(([0], ends[first + size + 1])) if n else np.zeros(1, np.int64)
+
     def encode(self, text: str) -> bytes:
-        known, head, space = self.known, b"", ""
-        pieces = text.split(" ")
-        if self.spaced:
-            if _AROUND(text):
-                return self.whole(text)
-            head, space = self.chunk(pieces[0], ""), " "
-            del pieces[0]
-        if len(known) + len(self.inner) > self.most:
-            known.clear()
-            self.inner.clear()
-        for x in {x for x in pieces if x not in known}:
-            known[x] = self.chunk(x, space)
-        return head + b"".join([known[x] for x in pieces])
+        """The ids of one text, without an end id."""
+        return self.encode_all(pa.array([text], pa.string()), 0)[0][:-1].tobytes()
+
+
+def binaries(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """ids[cuts[0]:cuts[1]], ids[cuts[1]:cuts[2]], ... as little-endian binary values."""
+    at = (cuts * ids.dtype.itemsize).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
