@@ -56,6 +56,8 @@ def _parser() -> argparse.ArgumentParser:
         j.add_argument("--encoding", default="auto", help="charset, or 'auto' to detect UTF-8 vs CP949 per file")
         j.add_argument("--single-layout", action="store_true",
                        help="all files share one header and the given --encoding: skip the profiling pass")
+        j.add_argument("--manifest", default=None,
+                       help="layout manifest folder: only files new since the last run are profiled, all layouts are read in one pass")
         j.add_argument("--partition-by", default="", help="comma-separated fact columns, e.g. year,month")
         j.add_argument("--replace-partitions", action="store_true",
                        help="with --partition-by: replace only the partitions this load contains")
@@ -104,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(paths))
     elif args.job in ("population", "ridership"):
         options = {
-            "encoding": args.encoding, "single_layout": args.single_layout,
+            "encoding": args.encoding, "single_layout": args.single_layout, "manifest": args.manifest,
             "by_year": args.by_year, "late_night": args.late_night,
         }
         parts = tuple(c for c in args.partition_by.split(",") if c)

@@ -52,6 +52,16 @@ SUBWAY_HOUR_CANDIDATES = [
 SUBWAY_OPTIONAL_HOURS = (1, 2)
 
 
+#: column -> names it may have in a header, best first, and the columns a header may lack: for readers that resolve layouts
+PEOPLE_WANTED = {c: [c] for c in [PEOPLE_DATE, PEOPLE_HOUR, PEOPLE_UNIT, PEOPLE_TOTAL, *PEOPLE_YOUNG]}
+SUBWAY_WANTED = {
+    **{c: [c] for c in (SUBWAY_DATE, SUBWAY_STATION, SUBWAY_DIRECTION, SUBWAY_PASSENGER_TYPE)},
+    SUBWAY_LINE_CANDIDATES[0]: SUBWAY_LINE_CANDIDATES,
+    **{names[0]: names for _, names in SUBWAY_HOUR_CANDIDATES},
+}
+SUBWAY_OPTIONAL = [names[0] for hour, names in SUBWAY_HOUR_CANDIDATES if hour in SUBWAY_OPTIONAL_HOURS]
+
+
 def people_observations(raw: DataFrame) -> DataFrame:
     """Population CSV rows -> ``date, hour, unit_code, total_population,
     young_20s_population`` (P1, P2, P7).
@@ -59,7 +69,7 @@ def people_observations(raw: DataFrame) -> DataFrame:
     A bad total becomes NULL (skipped by SUM); a bad age cell counts as 0 in the
     young sum; bad dates or hours become NULL and are dropped by the roll-up.
     """
-    resolve_columns(raw.columns, {c: [c] for c in [PEOPLE_DATE, PEOPLE_HOUR, PEOPLE_UNIT, PEOPLE_TOTAL, *PEOPLE_YOUNG]})
+    resolve_columns(raw.columns, PEOPLE_WANTED)
     return raw.select(
         strict_date(PEOPLE_DATE, PEOPLE_DATE_FORMAT).alias("date"),
         try_integer(PEOPLE_HOUR, "int").alias("hour"),

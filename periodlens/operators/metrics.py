@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import did_lift, lift, to_units
 from ..session import staging_path
 from ..sources.dimensions import CONTROL_AREA_TYPES, TREATMENT_AREA_TYPES
+from .lattice import Source, mean
 
 
 def _c(c: Column | str) -> Column:
@@ -37,7 +38,7 @@ def conditional_avg(measure: Column | str, condition: Column, scale: int | None
     return exact_avg(F.when(condition, _c(measure)), scale)
 
 
-def period_rows(fact: DataFrame, phases: Iterable[str], require_semester: bool = True) -> DataFrame:
+def period_rows(fact: Source, phases: Iterable[str], require_semester: bool = True) -> Source:
     """Rows of the listed phases (F4), with a semester (F5). Both predicates reach a
     Parquet scan as pushed filters."""
     cond = F.col("phase").isin(*phases)
@@ -47,7 +48,7 @@ def period_rows(fact: DataFrame, phases: Iterable[str], require_semester: bool =
 
 
 def phase_avg(
-    fact: DataFrame,
+    fact: Source,
     keys: Sequence[str],
     outputs: Sequence[tuple[str, str, str]],
     require_semester: bool = True,
@@ -60,9 +61,9 @@ def phase_avg(
     phases = sorted({p for _, _, p in outputs})
     rows = period_rows(fact, phases, require_semester)
     if len(phases) == 1:
-        aggs = [exact_avg(m, scales.get(m)).alias(n) for n, m, _ in outputs]
+        aggs = [mean(rows, m, None, scales.get(m)).alias(n) for n, m, _ in outputs]
     else:
-        aggs = [conditional_avg(m, F.col("phase") == p, scales.get(m)).alias(n) for n, m, p in outputs]
+        aggs = [mean(rows, m, F.col("phase") == p, scales.get(m)).alias(n) for n, m, p in outputs]
     return rows.groupBy(*keys).agg(*aggs)
 
 
@@ -101,25 +102,39 @@ def ranked(
         raise ValueError("method must be 'window' or 'range'")
     spark = df.sparkSession
     ranges = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part, local_rank, offset, rows = free_names(df, "_range", "_local", "_offset", "_rows")
     path = staging_path(spark, "ranked")
     df.repartitionByRange(ranges, *[F.col(p).asc() for p in partition], *sort).withColumn(
-        "_range", F.spark_partition_id()
+        part, F.spark_partition_id()
     ).write.parquet(path)
     spread = spark.read.parquet(path)
-    local = spread.withColumn("_local", F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*sort)))
-    counts = spread.groupBy(*partition, "_range").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    local = spread.withColumn(local_rank, F.row_number().over(Window.partitionBy(*partition, part).orderBy(*sort)))
+    counts = spread.groupBy(*partition, part).agg(F.count(F.lit(1)).alias(rows))
+    before = Window.partitionBy(*partition).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    keys = free_names(df, *[f"_key_{i}" for i in range(len(partition) + 1)])
     offsets = counts.select(
-        *[F.col(p).alias(f"_key_{i}") for i, p in enumerate(partition)], F.col("_range").alias("_of"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+        *[F.col(p).alias(k) for k, p in zip(keys, partition)], F.col(part).alias(keys[-1]),
+        F.coalesce(F.sum(rows).over(before), F.lit(0)).alias(offset),
     )
-    same = [F.col(p).eqNullSafe(F.col(f"_key_{i}")) for i, p in enumerate(partition)]
-    joined = local.join(offsets, reduce(lambda a, b: a & b, [F.col("_range") == F.col("_of"), *same]))
-    return joined.select(*df.columns, (F.col("_local") + F.col("_offset")).cast("bigint").alias(name))
+    same = [F.col(p).eqNullSafe(F.col(k)) for k, p in zip(keys, partition)]
+    joined = local.join(offsets, reduce(lambda a, b: a & b, [F.col(part) == F.col(keys[-1]), *same]))
+    return joined.select(*df.columns, (F.col(local_rank) + F.col(offset)).cast("bigint").alias(name))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
 
 
 def group_phase_avg(
-    fact: DataFrame,
+    fact: Source,
     keys: Sequence[str],
     measure: str,
     groups: dict[str, Sequence[str]],
@@ -133,7 +148,7 @@ def group_phase_avg(
     members = sorted({v for vs in groups.values() for v in vs})
     rows = period_rows(fact, phases).filter(F.col(group_col).isin(*members))
     aggs = [
-        conditional_avg(measure, F.col(group_col).isin(*vals) & (F.col("phase") == p), scale).alias(
+        mean(rows, measure, F.col(group_col).isin(*vals) & (F.col("phase") == p), scale).alias(
             name_fmt.format(group=g, phase=p)
         )
         for g, vals in groups.items()
@@ -143,7 +158,7 @@ def group_phase_avg(
 
 
 def did(
-    fact: DataFrame,
+    fact: Source,
     measure: str,
     suffix: str,
     keys: Sequence[str] = ("semester", "exam_type"),

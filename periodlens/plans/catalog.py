@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.facts import population_fact, ridership_fact
+from ..operators.lattice import MEASURES, Lattice, lattice
 from ..sources import testdata as td
 from .reports import REPORTS
 
@@ -82,6 +83,31 @@ QUERIES: dict[str, QueryFn] = {
     **{f"report_{name}": _report_query(name) for name in REPORTS},
 }
 
+
+
+def event_lattices(spark: SparkSession, sf_dir: str) -> tuple[Lattice, Lattice]:
+    pop, rid = event_facts(spark, sf_dir)
+    return lattice(pop, MEASURES["area_population"], scales=td.MEASURE_SCALES), lattice(rid, MEASURES["area_subway"], scales=td.MEASURE_SCALES)
+
+
+def _lattice_report(name: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(REPORTS[name].build(*event_lattices(spark, sf_dir), scales=td.MEASURE_SCALES))
+
+    return run
+
+
+def lattice_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The population lattice itself: whole units and counts at the finest report key."""
+    return event_lattices(spark, sf_dir)[0].frame
+
+
+#: the same reports, folded from the facts' lattices
+LATTICE_QUERIES: dict[str, QueryFn] = {
+    "lattice_population": lattice_population,
+    **{f"lattice_{name}": _lattice_report(name) for name in ("weekend_effect", "after_vs_normal", "hotplace_score", "midterm_vs_final")},
+}
+
 #: as the jobs run by default: plain double sums and averages
 PLAIN_QUERIES: dict[str, QueryFn] = {
     "fact_population_plain": lambda spark, sf: rounded(event_population_fact(spark, sf, scale=None), PLAIN_DIGITS, PLAIN_SHIFT),
@@ -95,7 +121,7 @@ def all_queries() -> dict[str, QueryFn]:
     """Reports and fact builds plus the operator-level entries."""
     from . import catalog_ops
 
-    return {**QUERIES, **PLAIN_QUERIES, **catalog_ops.QUERIES}
+    return {**QUERIES, **PLAIN_QUERIES, **LATTICE_QUERIES, **catalog_ops.QUERIES}
 
 
 def all_oracle_sql() -> dict[str, str]:
@@ -444,3 +470,12 @@ SELECT p.semester, p.exam_type, p.area_type,
   ROUND(by_ + 1e-7, 3) AS before_young_population, ROUND(ay + 1e-7, 3) AS after_young_population, ROUND({_lift('by_', 'ay')} + 1e-7, 3) AS young_after_lift,
   ROUND(ba + 1e-7, 3) AS before_alighting, ROUND(aa + 1e-7, 3) AS after_alighting, ROUND({_lift('ba', 'aa')} + 1e-7, 3) AS alighting_after_lift
 FROM p JOIN r ON p.semester = r.semester AND p.exam_type = r.exam_type AND p.area_type = r.area_type"""
+
+ORACLE_SQL["lattice_population"] = f"""{_FACTS}
+SELECT area_id, area_name, area_type, semester, exam_type, phase, time_band, is_weekend,
+  CAST(SUM(CAST(ROUND(total_population * 100) AS BIGINT)) AS BIGINT) AS total_population_sum, COUNT(total_population) AS total_population_n,
+  CAST(SUM(CAST(ROUND(young_20s_population * 100) AS BIGINT)) AS BIGINT) AS young_20s_population_sum, COUNT(young_20s_population) AS young_20s_population_n
+FROM pop GROUP BY ALL"""
+for _name in LATTICE_QUERIES:
+    if _name != "lattice_population":
+        ORACLE_SQL[_name] = ORACLE_SQL["report_" + _name.removeprefix("lattice_")]

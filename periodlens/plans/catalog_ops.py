@@ -29,6 +29,8 @@ from ..functions.columns import (
 from ..operators.facts import population_fact, ridership_fact
 from ..operators.joins import join_dimension
 from ..operators.ingest import (
+    SUBWAY_OPTIONAL,
+    SUBWAY_WANTED,
     PEOPLE_DATE,
     PEOPLE_HOUR,
     PEOPLE_TOTAL,
@@ -60,6 +62,7 @@ from ..sinks import (
 )
 from ..sources import testdata as td
 from ..sources.csv import CsvLayout, detect_encodings, normalize_to_utf8, read_csv_layouts, read_csv_strings
+from ..sources.manifest import read_csv_manifest, read_manifest, update_manifest
 from ..sources.dimensions import (
     calendar_from_rows,
     local_table,
@@ -356,6 +359,31 @@ def ridership_from_normalized_csv(spark, sf):
     return _ridership_fact_from_feed(spark, sf, [CsvLayout(f, "UTF-8") for f in folders])
 
 
+def _ridership_by_manifest(spark, sf):
+    """(feed folders, manifest) after two loads: the second one profiles only the folder that is new."""
+    folders = _paths(_write_ridership_feed(spark, sf))
+    manifest = staging_path(spark, "manifest")
+    for landed in (folders[:1], folders):
+        update_manifest(spark, landed, manifest)
+    return folders, manifest
+
+
+def ridership_from_manifest_csv(spark, sf):
+    """The feed read through a layout manifest: both layouts and charsets in one pass over the bytes; equals ``fact_ridership``."""
+    folders, manifest = _ridership_by_manifest(spark, sf)
+    obs = subway_observations(read_csv_manifest(spark, folders, manifest, SUBWAY_WANTED, SUBWAY_OPTIONAL))
+    units = td.area_of_nation(spark, sf).select(F.col("area_name").alias("raw_station_name"), "area_id", "area_name", "area_type")
+    return ridership_fact(obs, units, td.event_calendar(spark), unit_col="raw_station_name")
+
+
+def csv_manifest_layouts(spark, sf):
+    """Rows of the feed per charset and header layout, as the manifest of two loads knows them."""
+    folders, manifest = _ridership_by_manifest(spark, sf)
+    known = read_manifest(spark, manifest).select("path", "charset", F.split_part("header", F.lit(","), F.lit(1)).alias("first_column"))
+    rows = spark.read.option("header", True).csv(folders).select(F.col("_metadata.file_path").alias("path"))
+    return rows.join(known, "path").groupBy("charset", "first_column").agg(F.count(F.lit(1)).alias("data_rows"))
+
+
 def csv_detect_encoding(spark, sf):
     """Charset detected per file of the two-charset feed (S8), as data rows per
     detected charset (file names and counts depend on the writer, rows do not)."""
@@ -696,6 +724,8 @@ QUERIES = {
     "population_from_csv": population_from_csv,
     "ridership_from_wide_csv": ridership_from_wide_csv,
     "ridership_from_normalized_csv": ridership_from_normalized_csv,
+    "ridership_from_manifest_csv": ridership_from_manifest_csv,
+    "csv_manifest_layouts": csv_manifest_layouts,
     "csv_detect_encoding": csv_detect_encoding,
     "dedupe_dimension": dedupe_dimension,
     "station_dimension": station_dimension,
@@ -885,6 +915,13 @@ FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
     "population_from_csv": REPORT_SQL["fact_population"],
     "ridership_from_wide_csv": REPORT_SQL["fact_ridership"],
     "ridership_from_normalized_csv": REPORT_SQL["fact_ridership"],
+    "ridership_from_manifest_csv": REPORT_SQL["fact_ridership"],
+    "csv_manifest_layouts": """WITH w AS (
+  SELECT DISTINCT CAST(e.ts AS DATE) AS d, n.n_name, e.event_type = 'purchase' AS leaving
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE hour(e.ts) >= 18 OR hour(e.ts) <= 2)
+SELECT 'UTF-8' AS charset, '수송일자' AS first_column, COUNT(*) AS data_rows FROM w WHERE day(d) <= 15 HAVING COUNT(*) > 0
+UNION ALL SELECT 'CP949', '02시', COUNT(*) FROM w WHERE day(d) > 15 HAVING COUNT(*) > 0""",
     "csv_detect_encoding": """WITH w AS (
   SELECT DISTINCT CAST(e.ts AS DATE) AS d, n.n_name,
     CASE WHEN e.event_type = 'purchase' THEN 'exit' ELSE 'entry' END AS direction

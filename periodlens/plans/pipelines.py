@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.facts import population_fact, ridership_fact
-from ..operators.ingest import people_observations, subway_observations
+from ..operators.ingest import PEOPLE_WANTED, SUBWAY_OPTIONAL, SUBWAY_WANTED, people_observations, subway_observations
+from ..operators.lattice import MEASURES, Lattice, lattice
 from ..operators.quality import Gates
+from ..session import staging_path
 from ..sinks import delete_path, export_report, read_fact, replace_path, save_table, write_parquet
 from ..sources.csv import read_csv_layouts
 from ..sources.dimensions import (
@@ -25,6 +27,7 @@ from ..sources.dimensions import (
     typed_periods,
     units_to_areas,
 )
+from ..sources.manifest import read_csv_manifest, update_manifest
 from .reports import REPORTS
 
 
@@ -33,6 +36,12 @@ def load_dimensions(spark: SparkSession, mapping_path: str, periods_path: str) -
     return read_small_csv(spark, mapping_path), typed_periods(read_small_csv(spark, periods_path))
 
 
+def _by_manifest(spark: SparkSession, path: str, manifest: str, wanted: dict, optional=()) -> DataFrame:
+    """A feed read through its layout manifest, which learns the files that are new."""
+    update_manifest(spark, path, manifest)
+    return read_csv_manifest(spark, path, manifest, wanted, optional)
+
+
 def population_fact_from_csv(
     spark: SparkSession,
     people_path: str,
@@ -40,9 +49,13 @@ def population_fact_from_csv(
     periods_path: str,
     encoding: str = "auto",
     single_layout: bool = False,
+    manifest: str | None = None,
     **options,
 ) -> DataFrame:
-    obs = read_csv_layouts(spark, people_path, encoding, per_layout=people_observations, single_layout=single_layout)
+    if manifest is not None:
+        obs = people_observations(_by_manifest(spark, people_path, manifest, PEOPLE_WANTED))
+    else:
+        obs = read_csv_layouts(spark, people_path, encoding, per_layout=people_observations, single_layout=single_layout)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
     return population_fact(obs, units_to_areas(mapping), calendar, **options)
 
@@ -68,9 +81,13 @@ def ridership_fact_from_csv(
     encoding: str = "auto",
     gates: Gates | None = None,
     single_layout: bool = False,
+    manifest: str | None = None,
     **options,
 ) -> DataFrame:
-    obs = read_csv_layouts(spark, subway_path, encoding, per_layout=subway_observations, single_layout=single_layout)
+    if manifest is not None:
+        obs = subway_observations(_by_manifest(spark, subway_path, manifest, SUBWAY_WANTED, SUBWAY_OPTIONAL))
+    else:
+        obs = read_csv_layouts(spark, subway_path, encoding, per_layout=subway_observations, single_layout=single_layout)
     mapping, calendar = load_dimensions(spark, mapping_path, periods_path)
     if gates is not None:
         obs = gates.watch(obs, "feed parsing")
@@ -118,6 +135,14 @@ def ridership_job(
     return gates.counts()
 
 
+def staged_lattice(spark: SparkSession, fact: DataFrame, table: str, by_year: bool = False, scales: dict[str, int] | None = None) -> Lattice:
+    """The lattice of a fact, written to the staging folder and read back."""
+    made = lattice(fact, MEASURES[table], by_year, scales)
+    path = staging_path(spark, f"lattice-{table}")
+    made.frame.write.parquet(path)
+    return Lattice(spark.read.schema(made.frame.schema).parquet(path), made.scales)
+
+
 def report_job(
     spark: SparkSession,
     population_path: str,
@@ -129,12 +154,15 @@ def report_job(
     scales: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Run reports over written facts; optionally save tables and exports.
-    ``scales`` (measure -> decimals) makes those measures' averages exact."""
+    ``scales`` (measure -> decimals) makes those measures' averages exact.
+
+    Each fact is scanned once: its lattice is written to the staging folder, all reports fold that."""
     if by_year:
         pop, rid = spark.read.parquet(population_path), spark.read.parquet(ridership_path)
     else:
         pop = read_fact(spark, population_path, "area_population")
         rid = read_fact(spark, ridership_path, "area_subway")
+    pop, rid = (staged_lattice(spark, fact, table, by_year, scales) for fact, table in ((pop, "area_population"), (rid, "area_subway")))
     out = {}
     for name in names or list(REPORTS):
         df = REPORTS[name].build(pop, rid, by_year=by_year, scales=scales)

@@ -1,7 +1,8 @@
 """The report catalog (R1-R10, X1, X2) built from the two facts.
 
 Each report is a function ``(population, ridership, by_year=False) -> DataFrame``
-over the fact DataFrames (read from Parquet, or built in the same plan). Every
+over the fact DataFrames (read from Parquet, or built in the same plan) or over their
+lattices (:mod:`periodlens.operators.lattice`), which fold each fact once for all reports. Over a fact, every
 report scans a fact with pushed-down phase / semester filters, aggregates it in
 one pass with conditional averages, and joins only small aggregates. With
 ``by_year=True`` (facts built with ``by_year=True``) ``exam_year`` becomes a key
@@ -16,8 +17,9 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import lift, to_units
-from ..operators.metrics import did, exact_avg, phase_avg, ranked, with_lifts, with_zscores
+from ..functions.columns import lift
+from ..operators.lattice import Source, mean, sum_and_count
+from ..operators.metrics import did, phase_avg, ranked, with_lifts, with_zscores
 from ..sources.dimensions import NORMAL
 
 AREA = ["area_id", "area_name", "area_type"]
@@ -27,7 +29,7 @@ def _period_keys(by_year: bool) -> list[str]:
     return ["semester", "exam_type"] + (["exam_year"] if by_year else [])
 
 
-def population_phase_change(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def population_phase_change(population: Source, ridership: Source | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Average night population before / during / after, with two lifts."""
     keys = _period_keys(by_year) + AREA
     avgs = phase_avg(
@@ -44,7 +46,7 @@ def population_phase_change(population: DataFrame, ridership: DataFrame | None =
     )
 
 
-def young_population_lift(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def young_population_lift(population: Source, ridership: Source | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """R2: young population before vs after, lift, rank within the period."""
     pk = _period_keys(by_year)
     avgs = phase_avg(
@@ -58,7 +60,7 @@ def young_population_lift(population: DataFrame, ridership: DataFrame | None = N
     return ranked(lifted, pk, "young_after_lift")
 
 
-def subway_alighting_lift(population: DataFrame | None, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def subway_alighting_lift(population: Source | None, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Night exits before vs after, lift, rank within the period."""
     pk = _period_keys(by_year)
     avgs = phase_avg(
@@ -69,7 +71,7 @@ def subway_alighting_lift(population: DataFrame | None, ridership: DataFrame, by
     return ranked(lifted, pk, "alighting_after_lift")
 
 
-def hotplace_rank_compare(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def hotplace_rank_compare(population: Source, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Rank areas by after-exam population and by after-exam exits; rank gap."""
     pk = _period_keys(by_year)
     pop = phase_avg(population, pk + AREA, [("after_population", "total_population", "after")], scales=scales)
@@ -82,7 +84,7 @@ def hotplace_rank_compare(population: DataFrame, ridership: DataFrame, by_year:
     )
 
 
-def area_type_change(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def area_type_change(population: Source, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Before / after / lift of three measures per area type."""
     keys = _period_keys(by_year) + ["area_type"]
     pop = phase_avg(
@@ -110,7 +112,7 @@ def area_type_change(population: DataFrame, ridership: DataFrame, by_year: bool
     )
 
 
-def time_band_young_lift(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def time_band_young_lift(population: Source, ridership: Source | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Young population lift per area and time band, ranked within (period, band)."""
     pk = _period_keys(by_year)
     avgs = phase_avg(
@@ -124,7 +126,7 @@ def time_band_young_lift(population: DataFrame, ridership: DataFrame | None = No
     return ranked(lifted, pk + ["time_band"], "young_after_lift")
 
 
-def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def weekend_effect(population: Source, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Young population and exits, before / after / lift, weekday vs weekend."""
     pk = _period_keys(by_year)
     pop = phase_avg(
@@ -148,7 +150,7 @@ def weekend_effect(population: DataFrame, ridership: DataFrame, by_year: bool =
     )
 
 
-def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def after_vs_normal(population: Source, ridership: Source | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """After-exam averages against the area's baseline outside every period.
 
     One scan: sums and counts per (area, period, phase); the baseline is then a window
@@ -160,13 +162,13 @@ def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, b
     rows = population.filter((phase == NORMAL) | after)
 
     def parts(short: str, x: str) -> list:
-        value = F.col(x) if sc.get(x) is None else to_units(F.col(x), sc[x])
-        return [F.sum(value).alias(f"_{short}_sum"), F.count(x).alias(f"_{short}_n")]
+        total, n = sum_and_count(rows, x, sc.get(x))
+        return [total.alias(f"_{short}_sum"), n.alias(f"_{short}_n")]
 
     sums = rows.groupBy(*AREA, *pk, "phase").agg(*[c for short, x in measures.items() for c in parts(short, x)])
     area = Window.partitionBy("area_id")
 
-    def mean(short: str, baseline: bool) -> Column:
+    def average(short: str, baseline: bool) -> Column:
         total, n = F.col(f"_{short}_sum"), F.col(f"_{short}_n")
         if baseline:
             total, n = (F.sum(F.when(phase == NORMAL, c)).over(area) for c in (total, n))
@@ -176,8 +178,8 @@ def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, b
 
     merged = sums.select(
         *AREA, *pk, "phase", F.max(phase == NORMAL).over(area).alias("_has_normal"),
-        *[mean(short, True).alias(f"normal_{short}_population") for short in measures],
-        *[mean(short, False).alias(f"after_{short}_population") for short in measures],
+        *[average(short, True).alias(f"normal_{short}_population") for short in measures],
+        *[average(short, False).alias(f"after_{short}_population") for short in measures],
     ).filter((phase == "after") & F.col("_has_normal"))
     return merged.select(
         *AREA, *pk,
@@ -188,19 +190,19 @@ def after_vs_normal(population: DataFrame, ridership: DataFrame | None = None, b
     )
 
 
-def did_young_population(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def did_young_population(population: Source, ridership: Source | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Treatment (university areas) vs control (nightlife areas), young population."""
     scale = (scales or {}).get("young_20s_population")
     return did(population, "young_20s_population", "young", _period_keys(by_year), scale=scale)
 
 
-def did_subway_alighting(population: DataFrame | None, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def did_subway_alighting(population: Source | None, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Treatment vs control difference in differences of exits."""
     scale = (scales or {}).get("alighting_count")
     return did(ridership, "alighting_count", "alighting", _period_keys(by_year), scale=scale)
 
 
-def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def hotplace_score(population: Source, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """z(after population) + z(young lift) + z(exit lift) within each period."""
     pk = _period_keys(by_year)
     pop = phase_avg(
@@ -228,7 +230,7 @@ def hotplace_score(population: DataFrame, ridership: DataFrame, by_year: bool =
     return ranked(scored, pk, "hotplace_score", "hotplace_rank")
 
 
-def midterm_vs_final(population: DataFrame, ridership: DataFrame | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
+def midterm_vs_final(population: Source, ridership: Source | None = None, by_year: bool = False, scales: dict[str, int] | None = None) -> DataFrame:
     """Young population lift after the midterm vs after the final, per area."""
     keys = ["semester"] + (["exam_year"] if by_year else []) + AREA
     rows = population.filter(
@@ -241,7 +243,7 @@ def midterm_vs_final(population: DataFrame, ridership: DataFrame | None = None,
 
     def cavg(exam: str, phase: str):
         cond = (F.col("exam_type") == exam) & (F.col("phase") == phase)
-        return exact_avg(F.when(cond, F.col("young_20s_population")), scale).alias(f"{exam}_{phase}_young")
+        return mean(rows, "young_20s_population", cond, scale).alias(f"{exam}_{phase}_young")
 
     avgs = rows.groupBy(*keys).agg(
         cavg("midterm", "before"), cavg("midterm", "after"), cavg("final", "before"), cavg("final", "after")
@@ -350,7 +352,7 @@ REPORTS: dict[str, Report] = {
 
 
 def run_report(
-    name: str, population: DataFrame, ridership: DataFrame, by_year: bool = False, scales: dict[str, int] | None = None
+    name: str, population: Source, ridership: Source, by_year: bool = False, scales: dict[str, int] | None = None
 ) -> DataFrame:
     """Build one report. ``scales`` maps measures recorded with a fixed number of
     decimals to that number, so their averages are computed exactly."""
