@@ -116,8 +116,8 @@ def unit_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_dimension(customer, areas, "nationkey").drop("nationkey")
 
 
-def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> (date, hour, unit_code, total_population, young_20s_population)."""
+def event_observations(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """events -> (date, hour, unit_code, total_population, young_20s_population), and the columns to ``keep``."""
     e = table(spark, sf_dir, "events")
     young_parts = [F.when(F.col("event_type") == t, F.col("value")) for t in YOUNG_EVENT_TYPES]
     return e.select(
@@ -126,6 +126,7 @@ def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("unit_code"),
         F.col("value").alias("total_population"),
         safe_row_sum(young_parts).alias("young_20s_population"),
+        *keep,
     )
 
 
