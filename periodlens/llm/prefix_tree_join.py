@@ -42,8 +42,8 @@ from periodlens.llm.texts import lean, mix
 COUNTERS, MOST_FREQUENT = 1 << 13, 1 << 17
 #: an n-gram is frequent from this count on
 FREQUENT = 64
-#: n-grams of a range of hashes, when classes' n-grams are counted
-RANGE = 1 << 21
+#: n-grams of a range of hashes, when classes' n-grams are counted; ranges there are at least
+RANGE, RANGES = 1 << 21, 48
 #: bytes of the sets of a block
 BLOCK_BYTES = 1 << 21
 #: n-grams of the first part of a trie's edge; later parts double
@@ -153,7 +153,7 @@ def shared_counts(docs: DataFrame, order, ranges: int, width: int) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for _, _, data, at in texts.segments(batch.column(0), 1 << 21):
+            for _, _, data, at in texts.segments(batch.column(0)):
                 value, first = sets(data, at, width)
                 n = np.diff(first)
                 some = np.flatnonzero(n)
@@ -396,15 +396,16 @@ def judged(units: DataFrame, least: int) -> DataFrame:
     return units.mapInArrow(lean(run), "a long, b long")
 
 
-def _blocks(members: DataFrame, sized: DataFrame) -> DataFrame:
+def _blocks(spark: SparkSession, members: DataFrame, sized: DataFrame) -> DataFrame:
     """members (leader, node, ...) with blocks (of the leader's members: as many as BLOCK_BYTES asks for) and i (the node's)."""
     count = members.join(sized, "node").groupBy("leader").agg(F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES).cast("int").alias("blocks"))
-    return members.join(count, "leader").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # written, so that the join can leave a leader's many members where they are
+    return members.join(stage(spark, count, "blocks"), "leader").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
 
 
 def star_links(spark: SparkSession, stars: DataFrame, whole: DataFrame, least: int) -> DataFrame:
     """Links of leaders with their members."""
-    cut = stage(spark, _blocks(stars, whole.select("node", "n")), "cut")
+    cut = stage(spark, _blocks(spark, stars, whole.select("node", "n")), "cut")
     members = cut.select("leader", F.col("i").alias("lo"), F.lit(-1).alias("hi"), F.lit(1).alias("side"), "node")
     leads = cut.groupBy("leader", "i").agg(F.lit(0).alias("side")).select("leader", F.col("i").alias("lo"), F.lit(-1).alias("hi"), "side", F.col("leader").alias("node"))
     return judged(members.unionByName(leads).withColumn("comp", F.col("node")).join(whole.select("node", "s"), "node"), least)
@@ -415,8 +416,8 @@ def across(spark: SparkSession, stars: DataFrame, labels: DataFrame, whole: Data
     members = stars.unionByName(stars.select("leader", F.col("leader").alias("node")).distinct())
     of = members.join(labels, "node", "left").select("leader", "node", F.coalesce("label", "node").alias("comp"))
     several = of.groupBy("leader").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("leader")
-    open_ = stage(spark, of.join(several, "leader"), "open")
-    cut = _blocks(open_, whole.select("node", "n"))
+    open_ = stage(spark, of.join(stage(spark, several, "several"), "leader"), "open")
+    cut = _blocks(spark, open_, whole.select("node", "n"))
     cut = cut.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("i", "j"), F.greatest("i", "j")
     # of two blocks the first one's sets are probes; a block by itself has members only
@@ -431,7 +432,7 @@ def classes_and_links(spark: SparkSession, docs: DataFrame, least: int, width: i
     one = rows.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min(F.struct("_f", "_r", "n", "half", "k")).alias("x"))
     classes = stage(spark, one.select(F.monotonically_increasing_id().alias("node"), "key", "id", "x.*"), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    shared = shared_counts(docs, order, max(1, -(-total // (2 * RANGE))), width)
+    shared = shared_counts(docs, order, max(RANGES, -(-total // (2 * RANGE))), width)
     # of the n-grams that count, at most n - ceil(t n) may be a class's own
     survivors = stage(spark, classes.join(shared, "k", "left").where(F.coalesce("c", F.lit(0)) >= F.col("half") - (F.col("n") - F.ceil(F.col("n") * least / 100))).select("node", "_f", "_r"), "survivors")
     whole = stage(spark, full_sets(spark, survivors, docs, order, width), "sets")

@@ -80,7 +80,7 @@ def test_equals_brute_force(spark, texts):
 
 @pytest.mark.parametrize("least, frequent", [(85, 3), (70, 5), (95, 1000)])
 def test_small_blocks_ranges_and_few_frequent_ngrams(spark, monkeypatch, least, frequent):
-    for name, value in {"BLOCK_BYTES": 9000, "RANGE": 300, "FREQUENT": frequent, "MOST_FREQUENT": 40, "COUNTERS": 60, "EDGE": 5}.items():
+    for name, value in {"BLOCK_BYTES": 9000, "RANGE": 300, "RANGES": 1, "FREQUENT": frequent, "MOST_FREQUENT": 40, "COUNTERS": 60, "EDGE": 5}.items():
         monkeypatch.setattr(join, name, value)
     df = documents(spark, family(seed=least))
     assert got(df, spark, least=least) == brute(rows_of(df), least)
