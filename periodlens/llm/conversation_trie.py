@@ -6,7 +6,8 @@
 2. Prefixes are combined where they are made: a row per distinct digest of a task's block, with its number of
    conversations and the smallest one. So a first turn or a whole conversation that many share makes few rows.
 3. Whole subtrees go to shards, by their first turn; where a subtree has more than ``limit`` rows, its top node is
-   taken out (to the spine) and its children's subtrees are dealt instead, and so on.
+   taken out (to the spine) and its children's subtrees are dealt instead, and so on. The same goes for a subtree of more than one in
+   ``SHARES`` of all rows, so that shards are of like size.
 4. In a shard the distinct digests get slots 0..m-1 by a minimal perfect hash; a slot's digest is
    compared whenever it is looked up. Counts are scattered into flat arrays, children are added to their
    parents' slots from the deepest level up. The spine, which has at most rows / limit nodes a level, is such a
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from periodlens.llm.rows import bounded_batches, stage
 from periodlens.llm.texts import lean, mix
 
-#: rows a shard's arrays may have, of whole subtrees
-LIMIT = 1 << 18
+#: rows a shard's arrays may have, of whole subtrees; a subtree of more than one in SHARES of all rows is split, too
+LIMIT, SHARES = 1 << 18, 256
 #: prefixes combined at once in a task
 BLOCK = 1 << 17
 #: bytes of conversation ids hashed at once
@@ -393,8 +394,8 @@ def prefix_trie(spark: SparkSession, conversations: DataFrame, share_heads: bool
     rows = rebuilt(ordered) if share_heads else ordered.withColumnRenamed("pos", "d")
     whole = paths(spark, rows)
     parts = stage(spark, combined(whole), "prefixes")
-    longest = parts.agg(F.max("d")).first()[0] or 0
-    most, level, todo, light, spine = max(limit, 2 * longest), 1, parts, [], []
+    longest, total = parts.agg(F.coalesce(F.max("d"), F.lit(0)), F.count("*")).first()
+    most, level, todo, light, spine = max(min(limit, total // SHARES), 2 * longest), 1, parts, [], []
     while True:
         heavy = stage(spark, todo.groupBy("a1", "a2").count().where(F.col("count") > most).select("a1", "a2"), "heavy")
         if heavy.isEmpty():
