@@ -61,7 +61,24 @@ def date_parts(date: ColumnOrName) -> dict[str, Column]:
 def lenient_date(text: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
     """Strip every non-digit, parse ``yyyyMMdd``; NULL when not a real date."""
     digits = F.regexp_replace(_col(text).cast("string"), "[^0-9]", "")
-    return F.try_to_date(digits, fmt)
+    return digits_date(digits) if fmt == "yyyyMMdd" else F.try_to_date(digits, fmt)
+
+
+def digits_date(digits: Column) -> Column:
+    """The date of eight digits, yyyymmdd; NULL when there is no such day.
+
+    The day is checked by arithmetic before the date is made: a parser would raise and catch an exception for every
+    text that is no date. ``transform`` binds the number, so that it is read once however often the check names it."""
+    number = F.when(F.length(digits) == 8, digits).cast("int")
+
+    def made(n: Column) -> Column:
+        year, month, day = F.floor(n / 10000).cast("int"), F.floor(n / 100).cast("int") % 100, n % 100
+        leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+        last = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+        real = month.between(1, 12) & (day >= 1) & (day <= last)
+        return F.when(real, F.make_date(year, month, day))
+
+    return F.transform(F.array(number), made)[0]
 
 
 def strict_date(text: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:

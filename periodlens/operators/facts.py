@@ -32,6 +32,7 @@ from ..functions.columns import (
     time_band,
     to_units,
 )
+from ..functions.stable import STABLE, stable_sum
 from .joins import join_dimension
 from .periods import label_periods, previous_day_for_late_night
 
@@ -49,20 +50,25 @@ class Measure:
 
     ``scale``: when set, the input is summed exactly as a bigint count of
     10**-scale units (inputs recorded with that many decimals), which makes the
-    distributed sum independent of row order. ``dtype`` is the output type.
+    distributed sum independent of row order. ``STABLE`` does that for any doubles, by
+    binned sums. ``dtype`` is the output type.
     """
 
     name: str
-    scale: int | None = None
+    scale: int | str | None = None
     dtype: str = "double"
 
     def partial(self) -> Column:
         """The sum per unit: in exact units when there is a scale."""
+        if self.scale == STABLE:
+            return stable_sum(self.name).alias(self.name)
         value = F.col(self.name) if self.scale is None else to_units(F.col(self.name), self.scale)
         return F.sum(value).alias(self.name)
 
     def total(self) -> Column:
         """The sum of partial sums, in the output type."""
+        if self.scale == STABLE:
+            return stable_sum(self.name).cast(self.dtype).alias(self.name)
         sums = F.sum(F.col(self.name))
         return (sums if self.scale is None else from_units(sums, self.scale)).cast(self.dtype).alias(self.name)
 

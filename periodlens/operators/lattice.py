@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.columns import to_units
+from ..functions.stable import STABLE, stable_sum
 
 KEYS = ["area_id", "area_name", "area_type", "semester", "exam_type", "phase", "time_band", "is_weekend"]
 MEASURES = {"area_population": ["total_population", "young_20s_population"], "area_subway": ["alighting_count"]}
@@ -53,15 +54,18 @@ def sum_and_count(source: Source, measure: str, scale: int | None = None, condit
         total, n = F.col(f"{measure}_sum"), F.col(f"{measure}_n")
         if condition is not None:
             total, n = F.when(condition, total), F.when(condition, n)
-        return F.sum(total), F.coalesce(F.sum(n), F.lit(0))
+        return (stable_sum(total) if scale == STABLE else F.sum(total)), F.coalesce(F.sum(n), F.lit(0))
     value = F.col(measure) if condition is None else F.when(condition, F.col(measure))
+    if scale == STABLE:
+        return stable_sum(value), F.count(value)
     return F.sum(value if scale is None else to_units(value, scale)), F.count(value)
 
 
 def mean(source: Source, measure: str, condition: Column | None = None, scale: int | None = None) -> Column:
-    """AVG of a measure over the rows where ``condition`` holds (A3); exact with a ``scale``."""
+    """AVG of a measure over the rows where ``condition`` holds (A3); exact with a ``scale``, independent of the rows'
+    order with ``scale=STABLE``."""
     if scale is None and not isinstance(source, Lattice):
         return F.avg(measure if condition is None else F.when(condition, F.col(measure)))
     total, n = sum_and_count(source, measure, scale, condition)
     ratio = F.when(n > 0, total / n)
-    return ratio if scale is None else ratio / float(10**scale)
+    return ratio if scale in (None, STABLE) else ratio / float(10**scale)

@@ -121,6 +121,16 @@ def ranked(
     return joined.select(*df.columns, (F.col(local_rank) + F.col(offset)).cast("bigint").alias(name))
 
 
+def top_k_per_group(df: DataFrame, partition: Sequence[str], order: Sequence[Column], k: int, name: str = "rank_no") -> DataFrame:
+    """The first ``k`` rows of each group (W1, W3, O3), numbered from 1.
+
+    The filter stands on the row number, so the planner keeps ``k`` rows a group in every task before
+    the shuffle (a window group limit): what a group brings to its task is bounded by k times the tasks, however many
+    rows it has. ``order`` should be total, or ties are numbered in any order."""
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w).cast("long")).filter(F.col(name) <= k)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, each with underscores added until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.stable import STABLE
 from ..sinks import delete_path, replace_path, write_parquet
 from .facts import Measure
 
@@ -42,7 +43,7 @@ def parts_of(observations: DataFrame, measures: Sequence[Measure], unit_col: str
 
 def _value(m: Measure):
     """A partial sum in the measure's own unit; whole units of a scale divide exactly enough to be read back."""
-    return (F.col(m.name) if m.scale is None else F.col(m.name).cast("double") / float(10**m.scale)).cast(m.dtype).alias(m.name)
+    return (F.col(m.name) if m.scale in (None, STABLE) else F.col(m.name).cast("double") / float(10**m.scale)).cast(m.dtype).alias(m.name)
 
 
 def read_parts(spark: SparkSession, store: str, days: Iterable[dt.date] | None = None) -> DataFrame:

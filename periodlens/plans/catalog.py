@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.stable import STABLE
 from ..operators.facts import population_fact, ridership_fact
 from ..operators.lattice import MEASURES, Lattice, lattice
 from ..sources import testdata as td
@@ -117,11 +118,23 @@ PLAIN_QUERIES: dict[str, QueryFn] = {
 }
 
 
+#: doubles without a stated scale, summed order-independently
+STABLE_QUERIES: dict[str, QueryFn] = {
+    "fact_population_stable": lambda spark, sf: rounded(event_population_fact(spark, sf, scale=STABLE)),
+    "report_area_type_change_stable": lambda spark, sf: rounded(
+        REPORTS["area_type_change"].build(
+            event_population_fact(spark, sf, scale=STABLE), event_ridership_fact(spark, sf), scales=dict.fromkeys(td.MEASURE_SCALES, STABLE)
+        ),
+        PLAIN_DIGITS, PLAIN_SHIFT,
+    ),
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     """Reports and fact builds plus the operator-level entries."""
     from . import catalog_ops
 
-    return {**QUERIES, **PLAIN_QUERIES, **LATTICE_QUERIES, **catalog_ops.QUERIES}
+    return {**QUERIES, **PLAIN_QUERIES, **LATTICE_QUERIES, **STABLE_QUERIES, **catalog_ops.QUERIES}
 
 
 def all_oracle_sql() -> dict[str, str]:
@@ -479,3 +492,6 @@ FROM pop GROUP BY ALL"""
 for _name in LATTICE_QUERIES:
     if _name != "lattice_population":
         ORACLE_SQL[_name] = ORACLE_SQL["report_" + _name.removeprefix("lattice_")]
+
+ORACLE_SQL["fact_population_stable"] = ORACLE_SQL["fact_population"]
+ORACLE_SQL["report_area_type_change_stable"] = ORACLE_SQL["report_area_type_change_plain"]

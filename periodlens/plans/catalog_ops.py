@@ -45,10 +45,11 @@ from ..operators.ingest import (
     people_observations,
     subway_observations,
 )
-from ..operators.metrics import group_phase_avg, phase_avg, ranked
+from ..operators.metrics import group_phase_avg, phase_avg, ranked, top_k_per_group
 from ..operators.parts import load, read_folded
 from ..operators.periods import label_periods, overlapping_periods
 from ..operators.quality import Gates, existence
+from ..operators.rejects import ACCEPTED, REJECTED, people_rules, read_split, with_reason, write_split
 from ..operators.reshape import columns_to_rows, rows_to_columns
 from ..session import staging_path
 from ..sinks import (
@@ -58,6 +59,7 @@ from ..sinks import (
     export_delimited,
     export_report,
     register_fact_table,
+    register_partitions,
     save_table,
     write_parquet,
 )
@@ -273,6 +275,59 @@ def fact_population_incremental(spark, sf):
     return rounded(read_folded(spark, store, build(obs.drop("source")).schema))
 
 
+def rejected_rows_by_reason(spark, sf):
+    """A population feed with broken cells, read back, split into accepted and rejected rows in one write; rows per reason.
+    Purchases break: by hour of day the date, the hour, the unit or the total, some two of them (the first one counts)."""
+    ev = _events_dated(spark, sf)
+    hit = F.col("event_type") == "purchase"
+
+    def broken(hours, bad, good):
+        return F.when(hit & F.col("hour").isin(*hours), F.lit(bad)).otherwise(good)
+
+    feed = ev.select(
+        broken([0, 1], "2024013", broken([2], " ", F.date_format("date", "yyyyMMdd"))).alias(PEOPLE_DATE),
+        broken([1, 3, 4], "25", broken([5], "", F.col("hour").cast("string"))).alias(PEOPLE_HOUR),
+        broken([6, 7], " ", F.col("user_id").cast("string")).alias(PEOPLE_UNIT),
+        broken([7, 8, 9], "n/a", F.col("value").cast("string")).alias(PEOPLE_TOTAL),
+    )
+    path = staging_path(spark, "people-broken")
+    feed.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/feed")
+    rules = people_rules()
+    checked = with_reason(read_csv_strings(spark, f"{path}/feed"), rules)
+    write_split(checked, rules, f"{path}/split")
+    rejected = read_split(spark, f"{path}/split", REJECTED, checked).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    accepted = read_split(spark, f"{path}/split", ACCEPTED, checked).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rejected.unionByName(accepted.select(F.lit(ACCEPTED).alias("reason"), "n_rows"))
+
+
+def top_orders_per_segment(spark, sf, k: int = 25):
+    """The k dearest orders of each market segment (W1, O3): k rows a group leave each task."""
+    o = td.table(spark, sf, "orders").join(td.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    top = top_k_per_group(o, ["c_mktsegment"], [F.desc("o_totalprice"), F.asc("o_orderkey")], k)
+    return rounded(top.select("c_mktsegment", "rank_no", "o_orderkey", "o_totalprice"))
+
+
+def partitioned_table_roundtrip(spark, sf):
+    """A fact as a PARTITIONED BY table (S6, K4): the first load's partitions registered at once, the rest after a second load."""
+    pop, _ = event_facts(spark, sf)
+    base = staging_path(spark, "partitioned")
+    pop.write.parquet(f"{base}/plain")
+    pop = spark.read.parquet(f"{base}/plain")
+    db, path, by = "periodlens_" + base.rsplit("-", 1)[-1], f"{base}/area_population", ("year", "month", "day_of_week_num")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{base}/warehouse'")
+    weekend = F.col("is_weekend")
+    write_parquet(pop.filter(weekend), path, by)
+    register_fact_table(spark, db, "area_population", path, by)
+    write_parquet(pop.filter(~weekend), path, by, replace_partitions_only=True)
+    register_partitions(spark, db, "area_population")
+    return rounded(spark.table(f"{db}.area_population").select(*pop.columns))
+
+
+def calendar_overlap_days(spark, sf):
+    """The calendar check by a row per period and day; equals the sweep."""
+    return overlapping_periods(order_week_calendar(spark, sf), method="days")
+
+
 def unpivot_hours(spark, sf):
     ev = _events_dated(spark, sf).filter(in_night_window("hour"))
     per = ev.select("date", F.col("user_id").alias("unit_code"), "hour", F.lit(1).cast("long").alias("n"))
@@ -731,6 +786,10 @@ def csv_roundtrip_cp949(spark, sf):
 
 
 QUERIES = {
+    "rejected_rows_by_reason": rejected_rows_by_reason,
+    "top_orders_per_segment": top_orders_per_segment,
+    "partitioned_table_roundtrip": partitioned_table_roundtrip,
+    "calendar_overlap_days": calendar_overlap_days,
     "fact_population_incremental": fact_population_incremental,
     "label_periods_expanded": label_periods_expanded,
     "label_periods_range": label_periods_range,
@@ -944,6 +1003,14 @@ FROM events WHERE hour(ts) >= 18 OR hour(ts) <= 2 GROUP BY ALL""",
     "ridership_from_normalized_csv": REPORT_SQL["fact_ridership"],
     "ridership_from_manifest_csv": REPORT_SQL["fact_ridership"],
     "fact_population_incremental": REPORT_SQL["fact_population"],
+    "partitioned_table_roundtrip": REPORT_SQL["fact_population"],
+    "rejected_rows_by_reason": """WITH e AS (SELECT hour(ts) AS h, event_type = 'purchase' AS hit FROM events),
+r AS (SELECT CASE WHEN NOT hit THEN 'accepted' WHEN h = 2 THEN 'no date' WHEN h IN (0, 1) THEN 'bad date' WHEN h = 5 THEN 'no hour'
+  WHEN h IN (3, 4) THEN 'bad hour' WHEN h IN (6, 7) THEN 'no unit' WHEN h IN (8, 9) THEN 'bad total' ELSE 'accepted' END AS reason FROM e)
+SELECT reason, COUNT(*) AS n_rows FROM r GROUP BY reason""",
+    "top_orders_per_segment": """SELECT c_mktsegment, rank_no, o_orderkey, ROUND(o_totalprice, 6) AS o_totalprice FROM (
+  SELECT c.c_mktsegment, o.o_orderkey, o.o_totalprice, ROW_NUMBER() OVER (PARTITION BY c.c_mktsegment ORDER BY o.o_totalprice DESC, o.o_orderkey) AS rank_no
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) WHERE rank_no <= 25""",
     "csv_manifest_layouts": """WITH w AS (
   SELECT DISTINCT CAST(e.ts AS DATE) AS d, n.n_name, e.event_type = 'purchase' AS leaving
   FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -1055,3 +1122,5 @@ UNION ALL SELECT 'night hours' AS stage, COUNT(*) AS row_count FROM e
 UNION ALL SELECT 'unit lookup' AS stage, COUNT(*) AS row_count FROM k
 UNION ALL SELECT 'area lookup' AS stage, COUNT(*) AS row_count FROM k WHERE user_id % 5 <> 0""",
 }
+
+ORACLE_SQL["calendar_overlap_days"] = ORACLE_SQL["calendar_overlap_check"]

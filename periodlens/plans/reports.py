@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import lift
+from ..functions.stable import STABLE
 from ..operators.lattice import Source, mean, sum_and_count
 from ..operators.metrics import did, phase_avg, ranked, with_lifts, with_zscores
 from ..sources.dimensions import NORMAL
@@ -174,7 +175,7 @@ def after_vs_normal(population: Source, ridership: Source | None = None, by_year
             total, n = (F.sum(F.when(phase == NORMAL, c)).over(area) for c in (total, n))
         scale = sc.get(measures[short])
         ratio = F.when(n > 0, total / n)
-        return ratio if scale is None else ratio / float(10**scale)
+        return ratio if scale in (None, STABLE) else ratio / float(10**scale)
 
     merged = sums.select(
         *AREA, *pk, "phase", F.max(phase == NORMAL).over(area).alias("_has_normal"),

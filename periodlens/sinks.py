@@ -74,12 +74,23 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def register_fact_table(spark: SparkSession, database: str, table: str, path: str) -> None:
-    """External Parquet table over a fact directory."""
+def register_fact_table(spark: SparkSession, database: str, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
+    """External Parquet table over a fact directory.
+
+    For a directory written with ``partition_by``, the same columns make the table PARTITIONED BY: its partitions are registered in
+    the catalog (:func:`register_partitions` adds later ones), which then prunes them without listing the others' files."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACT_SCHEMAS[table].fields)
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE `{database}`.`{table}` ({cols}) USING parquet LOCATION '{location}'")
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE `{database}`.`{table}` ({cols}) USING parquet{parts} LOCATION '{location}'")
+    if partition_by:
+        register_partitions(spark, database, table)
+
+
+def register_partitions(spark: SparkSession, database: str, table: str) -> None:
+    """Bring the catalog's partitions in line with the directory: new ones are added, gone ones dropped."""
+    spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}` SYNC PARTITIONS")
 
 
 def save_table(df: DataFrame, name: str) -> None:
