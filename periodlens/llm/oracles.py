@@ -87,4 +87,45 @@ def _groups(width: int, least: int, kept: str = "") -> str:
 
 PREFIX_TREE_JOIN = _groups(4, 85)
 
-ORACLES = {"op11_prefix_tree_join": PREFIX_TREE_JOIN, "op12_phrase_streams": PHRASES, "op13_conversation_trie": CONVERSATION_TRIE}
+BAYESIAN_MINHASH = _groups(5, 85, ",\n  doc_id = CASE WHEN sets.n IS NULL THEN doc_id ELSE component END AS kept")
+
+VAFILE_TOPK = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(range(1, len(v.v) + 1), lambda i: q.v[i] * v.v[i]))::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.v) = len(v.v) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+_SPLIT = "list_filter(string_split_regex({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+_RUNS = ", ".join(["word", *["word || " + " || ".join(f"' ' || lead(word, {k}) OVER w" for k in range(1, n)) for n in range(2, 11)]])
+
+DECONTAMINATION = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {_SPLIT.format(lower=_LOWER.format(x="text"))} AS w FROM documents),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+runs AS (SELECT row, i, [{_RUNS}] AS g FROM words WINDOW w AS (PARTITION BY row ORDER BY i)),
+found AS MATERIALIZED (SELECT row, i, unnest(g) AS g, generate_subscripts(g, 1) AS n FROM runs),
+items AS (SELECT item_id::VARCHAR AS item, {_SPLIT.format(lower=_LOWER.format(x="text"))} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item, n, g FROM (
+    SELECT item, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS g
+    FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM items WHERE len(w) > 0))),
+hits AS MATERIALIZED (SELECT f.row, f.i, f.n, w.item FROM found f JOIN windows w ON w.g = f.g AND w.n = f.n),
+touched AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS place FROM hits) GROUP BY row),
+named AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item FROM hits) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN touched USING (row) LEFT JOIN named USING (row)
+"""
+
+ORACLES = {
+    "op3_vafile_topk": VAFILE_TOPK,
+    "op8_suffix_decontamination": DECONTAMINATION,
+    "op10_bayesian_minhash": BAYESIAN_MINHASH,
+    "op11_prefix_tree_join": PREFIX_TREE_JOIN,
+    "op12_phrase_streams": PHRASES,
+    "op13_conversation_trie": CONVERSATION_TRIE,
+}

@@ -47,7 +47,7 @@ def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.digest(decontamination.find_contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return decontamination.digest(decontamination.find_contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))).drop("longest")
 
 
 def op9_radix_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op9_radix_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents")).drop("n_spanning_links")
 
 
 def op11_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
