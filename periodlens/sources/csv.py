@@ -19,7 +19,6 @@ mixing columns. Two ways lead past that:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
 from typing import Callable, Iterable, Sequence
 from urllib.parse import unquote
 
@@ -39,9 +38,6 @@ def clean_columns(df: DataFrame) -> DataFrame:
     return df if cleaned == df.columns else df.toDF(*cleaned)
 
 
-_REPLACED = "\ufffd"  # what a decoder writes for bytes that are no character
-
-
 def read_csv_strings(
     spark: SparkSession, paths: str | Sequence[str], encoding: str = UTF8, strict: bool = False
 ) -> DataFrame:
@@ -51,21 +47,31 @@ def read_csv_strings(
     the error names the file. Non-UTF-8 charsets such as CP949 need
     ``spark.sql.legacy.javaCharsets=true`` (set by :func:`periodlens.session.configure`).
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding)
+    reader = spark.read.option("header", True).option("inferSchema", False)
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not strict:
-        return clean_columns(reader.csv(paths))
-    frame = reader.option("enforceSchema", False).csv(paths)
-    cells = [F.col("`" + c.replace("`", "``") + "`") for c in frame.columns]
+        return clean_columns(reader.option("encoding", encoding).csv(paths))
+    # every byte is read as one character, so a cell's own bytes can be checked and decoded
+    frame = reader.option("encoding", _BYTES).option("enforceSchema", False).csv(paths)
+    cells = [F.encode(F.col("`" + c.replace("`", "``") + "`"), _BYTES) for c in frame.columns]
+    names = spark.range(1).select(*[F.decode(F.lit(bytearray(c, "latin-1")), encoding) for c in frame.columns]).first()
     # the check stands in every cell, so it runs for the columns that are read, and only for those
     message = F.concat(F.lit(f"not valid {encoding}: "), F.col("_metadata.file_path"))
-    checked = [F.when(c.contains(_REPLACED), F.raise_error(message).cast("string")).otherwise(c).alias(n) for c, n in zip(cells, frame.columns)]
-    return clean_columns(frame.select(*checked))
+    checked = [F.when(~_valid(c, encoding), F.raise_error(message).cast("string")).otherwise(F.decode(c, encoding)) for c in cells]
+    return clean_columns(frame.select(*[c.alias(n) for c, n in zip(checked, names)]))
 
 
+_BYTES = "ISO-8859-1"
 _GLOB_CHARS = "\\[]{}*?"
 
 
+def _valid(raw: Column, charset: str) -> Column:
+    """Whether bytes are text in a charset: they come back when decoded and encoded again."""
+    if charset.upper().replace("-", "") == "UTF8":
+        return F.is_valid_utf8(raw.cast("string"))
+    return F.encode(F.decode(raw, charset), charset) == raw
+
+
 def literal_path(uri: str) -> str:
     """A path for Spark's readers from a ``_metadata.file_path`` value: the URI is
     percent-decoded (spaces arrive as ``%20``) and glob characters are escaped,
@@ -127,12 +133,8 @@ def _decoded(line: str, charset: str) -> Column:
 
 
 def decodes(line: str, charset: str) -> Column:
-    """Whether the bytes of a line are text in a charset: they come back when decoded and encoded again. A line
-    that holds U+FFFD itself is valid UTF-8."""
-    if charset == UTF8:
-        return F.is_valid_utf8(line)
-    raw = F.col(line).cast("binary")
-    return F.encode(F.decode(raw, charset), charset) == raw
+    """Whether the bytes of a line are text in a charset. A line that holds U+FFFD itself is valid UTF-8."""
+    return _valid(F.col(line).cast("binary"), charset)
 
 
 def detect_encodings(
@@ -192,7 +194,7 @@ def normalize_to_utf8(
     legacy_encoding: str = DEFAULT_LEGACY_ENCODING,
 ) -> list[str]:
     """Rewrite text files as UTF-8 (S8), line by line: cells, blanks, quotes and ragged
-    rows stay as they are. Each (charset, header) group goes to ``output/layout=<i>``; every
+    rows stay as they are; lines of nothing but blanks, which no CSV reader sees, are left out. Each (charset, header) group goes to ``output/layout=<i>``; every
     written part begins with the group's header line, so parts are files of their own. A file that is
     valid in neither charset is an error before anything is written. Returns the written
     folders. Runs as Spark jobs; no file passes the driver."""
@@ -203,27 +205,20 @@ def normalize_to_utf8(
     written = []
     for i, ((charset, _), files) in enumerate(sorted(groups.items())):
         target = f"{output.rstrip('/')}/layout={i}"
-        lines = spark.read.text(sorted(files)).select(
-            _decoded("value", charset).alias("value"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-        )
         header = spark.read.text(files[0]).select(_decoded("value", charset).alias("value")).first()["value"]
-        lines.mapInPandas(partial(_with_one_header, header=header), "value string").write.mode("overwrite").text(target)
+        # the reader leaves out each file's header line, the writer puts one into each part
+        lines = spark.read.schema("value string").options(header=True, enforceSchema=True, encoding=_BYTES, **_WHOLE_LINES).csv(sorted(files))
+        raw = F.encode("value", _BYTES)  # each byte is one character there, so the file's bytes come through
+        lines.select(F.decode(raw, charset).alias(header)).write.mode("overwrite").options(header=True, escapeQuotes=False, **_WHOLE_LINES).csv(target)
         written.append(target)
     return written
 
 
-def _with_one_header(batches, header: str):
-    """The lines of a task's parts of files, with the header in front once and not where files begin."""
-    import pandas as pd
-
-    begun: set[str] = set()
-    for n, lines in enumerate(batches):
-        first = (lines["block"] == 0) & ~lines["path"].duplicated() & ~lines["path"].isin(begun)
-        begun.update(lines["path"])
-        kept = lines.loc[~first, ["value"]]
-        yield pd.concat([pd.DataFrame({"value": [header]}), kept]) if n == 0 else kept
+#: a line as one cell: a separator that no line holds, no quotes, no trimming
+_WHOLE_LINES = {
+    "sep": "\u0001\u0002\u0001", "quote": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "emptyValue": "", "nullValue": "\u0002\u0003",
+}
 
 
 def resolve_columns(columns: Sequence[str], wanted: dict, optional: Iterable = ()) -> dict:

@@ -102,3 +102,30 @@ def test_large_feeds_join_without_broadcast_of_files(spark, feed, monkeypatch):
     base, manifest = str(feed / "in"), staging_path(spark, "m")
     m.update_manifest(spark, base, manifest)
     assert len(rows(m.read_csv_manifest(spark, base, manifest, WANTED))) == 5
+
+
+def test_strict_reading_takes_a_replacement_character_that_is_in_the_file(spark, feed):
+    from periodlens.sources.csv import read_csv_strings
+
+    (feed / "one").mkdir()
+    (feed / "one" / "x.csv").write_text("a,b\n�,1\n", encoding="utf-8")
+    assert rows(read_csv_strings(spark, str(feed / "one"), strict=True)) == [("�", "1")]
+    (feed / "one" / "y.csv").write_bytes(b"a,b\n\xff\xfe,1\n")
+    with pytest.raises(Exception, match="y.csv"):
+        read_csv_strings(spark, str(feed / "one"), strict=True).collect()
+
+
+def test_normalizing_runs_without_python(spark, feed, monkeypatch):
+    from periodlens.sources import csv as source
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    def none(*_):
+        raise AssertionError("a Python worker")
+
+    monkeypatch.setattr(Classic, "mapInPandas", none)
+    monkeypatch.setattr(Classic, "mapInArrow", none)
+    (feed / "in" / "empty.csv").unlink()
+    folders = source.normalize_to_utf8(spark, str(feed / "in"), str(feed / "out"))
+    assert len(folders) == 3
+    got = sorted(r["value"] for r in spark.read.text([f + "/*.csv" for f in folders]).collect())
+    assert got == sorted(["날짜,수,비고", '1,10,"가,나"', "2,20,�", "count,date", "30,3", "40,4", "날짜,수", "5,50"])
