@@ -289,3 +289,22 @@ def test_queries_cover_the_whole_table(spark):
     n = sample(spark).count()
     for name in ("op4_pii_deobfuscation", "op5_ranked_token_file", "op7_hypergeometric_shards", "op8_suffix_decontamination"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == n
+
+
+@pytest.mark.parametrize("rows", [200, 37])
+def test_shards_by_a_matrix_of_two_levels(spark, monkeypatch, rows):
+    monkeypatch.setattr(sharding, "MOST_CHUNKS", 2)
+    monkeypatch.setattr(sharding, "GROUP_CHUNKS", 3)
+    docs = sample(spark, rows).repartition(5)
+
+    def placed(seed):
+        return {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shuffle_to_shards(spark, stable, n_shards=7, chunk_rows=4, seed=seed).collect()}
+
+    from periodlens.llm.rows import stage
+
+    stable = stage(spark, docs, "docs")
+    got = placed(1)
+    sizes = [sum(s == k for s, _ in got.values()) for k in range(7)]
+    assert len(got) == rows and max(sizes) - min(sizes) <= 1
+    assert all(sorted(slot for s, slot in got.values() if s == k) == list(range(sizes[k])) for k in range(7))
+    assert placed(1) == got != placed(2)
