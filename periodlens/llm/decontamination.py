@@ -4,7 +4,8 @@ Each task cuts its documents into shards of bounded size and builds a suffix arr
 word ids: suffixes are sorted by their first ``window`` words. Every suffix of every benchmark
 item is looked up in it by binary search, one word deeper at a time, which gives the interval
 of suffixes that share its first 1, 2, ... words; an interval that is left at full depth holds
-all places of that verbatim window, and runs of windows give the longest matches. Suffixes
+all places of that verbatim window, and windows that follow each other in the document and the item
+give the longest matches with their places (:func:`longest_matches`). Suffixes
 whose first two words begin no benchmark suffix can never be found and aren't sorted.
 
 The benchmark reaches the tasks in blocks of bounded size, each sent once; a larger benchmark
@@ -53,10 +54,15 @@ class TestSuffixes:
         count = np.bincount(doc, minlength=len(items)) if len(items) else np.zeros(0, np.int64)
         first = np.concatenate(([0], np.cumsum(count)))
         rows: dict[tuple[int, ...], set[int]] = {}
+        places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         for k, (name, _) in enumerate(items):
             own = ids[first[k] : first[k + 1]].tolist()
             for j in range(max(1, len(own) - window + 1) if own else 0):
                 rows.setdefault(tuple(own[j : j + window]), set()).add(number[name])
+                places.setdefault(tuple(own[j : j + window]), []).append((k, j))
+        #: the places of each window, as (text, first word there), and the item of each text
+        self.places = [np.array(x, np.int64) for x in places.values()]
+        self.item_of = np.array([number[name] for name, _ in items], np.int64)
         self.window = window
         self.length = np.array([len(r) for r in rows], np.int64)
         self.ids = np.zeros((len(rows), window), np.int64)
@@ -131,6 +137,47 @@ def _judge(data: np.ndarray, at: np.ndarray, test: TestSuffixes) -> Iterator[tup
         yield int(count[d]), np.flatnonzero(hit[1:] != hit[:-1]), np.unique(np.concatenate([test.items[w] for w in np.unique(window[own])]))
 
 
+def _matches(data: np.ndarray, at: np.ndarray, test: TestSuffixes) -> np.ndarray:
+    """Rows (document, first word, item, first word there, words) of the longest verbatim matches: windows that follow each
+    other in the document and in one item's text are one match."""
+    _, first, place, window = lookup(data, at, test)
+    if not len(place):
+        return np.zeros((0, 5), np.int64)
+    base = first[:-1] + np.arange(len(at) - 1)
+    owner = np.searchsorted(base, place, "right") - 1
+    n = np.array([len(test.places[w]) for w in window], np.int64)
+    where = np.concatenate([test.places[w] for w in window])
+    owner, start, length = np.repeat(owner, n), np.repeat(place - base[owner], n), np.repeat(test.length[window], n)
+    text, there = where[:, 0], where[:, 1]
+    order = np.lexsort((start, start - there, text, owner))
+    owner, start, length, text, there = (x[order] for x in (owner, start, length, text, there))
+    new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (text[1:] != text[:-1]) | (start[1:] - there[1:] != start[:-1] - there[:-1]) | (start[1:] != start[:-1] + 1)))
+    begin = np.flatnonzero(new)
+    end = np.concatenate((begin[1:], [len(new)])) - 1
+    out = np.stack((owner[begin], start[begin], test.item_of[text[begin]], there[begin], start[end] - start[begin] + length[end]), 1)
+    return np.unique(out, axis=0)  # texts of one item that say the same give one match
+
+
+def longest_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per longest verbatim match of ``window`` words or more (or of a whole shorter item): id, doc_start, item_id (string),
+    item_start, n_words; places count words from 0."""
+    docs = docs.select(id_column, text_column)
+    schema = T.StructType([docs.schema[id_column], T.StructField("doc_start", T.LongType()), T.StructField("item_id", T.StringType()), T.StructField("item_start", T.LongType()), T.StructField("n_words", T.LongType())])
+    out = spark.createDataFrame([], schema)
+    for test in _blocks(benchmark, "item_id", "text", window):
+        shared = spark.sparkContext.broadcast(test)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared):
+            for batch in batches:
+                for i, _, data, at in texts.segments(batch.column(1), SHARD_BYTES):
+                    found = _matches(data, at, shared.value)
+                    names = pa.array([shared.value.names[k] for k in found[:, 2].tolist()], pa.string())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found[:, 0] + i)), pa.array(found[:, 1]), names, pa.array(found[:, 3]), pa.array(found[:, 4])], names=schema.names)
+
+        out = out.unionByName(docs.mapInArrow(lean(run), schema))
+    return out
+
+
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str, window: int) -> Iterator[TestSuffixes]:
     """The items in blocks of bounded size (an item is never cut)."""
     items = benchmark.select(F.col(id_column).cast("string").alias("i"), F.col(text_column).alias("t")).where("i is not null and t is not null")

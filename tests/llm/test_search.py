@@ -128,3 +128,39 @@ def test_bounds_hold_the_scores():
     lower, upper = topk.bounds(topk.approximate(v, low, width).astype(float), low, width, q)
     exact = q @ v.T
     assert (lower <= exact).all() and (exact <= upper).all() and (upper - lower).mean() < 0.2 * np.abs(exact).mean() + 20_000
+
+
+@pytest.mark.parametrize("block, shard", [(1 << 25, 1 << 19), (60, 120)])
+def test_longest_matches(spark, monkeypatch, block, shard):
+    import random
+    import re
+
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", block)
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", shard)
+    rng = random.Random(8)
+    line = [rng.choice("abcd") + str(rng.randrange(3)) for _ in range(60)]
+    items = [("1", " ".join(line[:30])), ("2", " ".join(line[20:50])), ("2", " ".join(line[20:50])), ("3", "a0 b1"), ("4", ""), ("5", " ".join(line[:12] + line[:12])), (None, "a0 a0")]
+    texts_ = [" ".join(rng.choice("abcd") + str(rng.randrange(3)) for _ in range(rng.randrange(30))) + " . ".join(["", *line[rng.randrange(20) : rng.randrange(20, 60)]]) for _ in range(25)]
+    docs = documents(spark, [*texts_, None, "", " ".join(line), (None, " ".join(line))])
+    bench = spark.createDataFrame(items, "item_id string, text string")
+
+    def brute(text):
+        words = re.findall(r"[a-z0-9]+", text or "")
+        out = set()
+        for name, item in items:
+            own = re.findall(r"[a-z0-9]+", item)
+            least = min(10, len(own))
+            for i in range(len(words)):
+                for j in range(len(own) if name and least else 0):
+                    if i and j and words[i - 1] == own[j - 1]:
+                        continue
+                    n = 0
+                    while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                        n += 1
+                    if n >= least:
+                        out.add((i, name, j, n))
+        return out
+
+    want = sorted(((r["doc_id"], *m) for r in docs.collect() for m in brute(r["text"])), key=str)
+    got = sorted((tuple(r) for r in decontamination.longest_matches(spark, docs, bench).collect()), key=str)
+    assert got == want
