@@ -9,7 +9,9 @@ stems and votes (follow-the-regularised-leader, which leaves most weights at zer
 scorer judges every document.
 
 Toxic labellers are word lists drawn from two halves of the labelled sample (words and stems whose
-odds differ), so there are none without toxic labels, and then nothing is toxic.
+odds differ), so there are none without toxic labels, and then nothing is toxic. The halves go by a hash of the id, and a
+list has no vote on labelled documents of its own half when accuracies are estimated and the scorer is trained: there it
+could hardly err.
 
 Bounds: the sample has at most ``sample_rows`` rows (labelled ones first, then by hash of the id);
 patterns are at most 3 ** labellers; weights are 2 ** 19 numbers. Statistics, votes and scores
@@ -39,7 +41,9 @@ SAMPLE_ROWS = 10_000
 STEM = 5
 YES, NO, NONE = 1, 0, 2
 #: labellers of each head, the labels table last
-LABELLERS = {"junk": ("symbols", "capitals", "stutter", "repeats", "label"), "toxic": ("words_a", "words_b", "stems", "label")}
+LABELLERS = {"junk": ("symbols", "capitals", "stutter", "repeats", "label"), "toxic": ("words_a", "words_b", "stems_a", "stems_b", "label")}
+#: the half of the labelled documents that each toxic list comes from
+FOLD_OF = (0, 1, 0, 1)
 #: first hashed feature of words, of stems, of votes
 WORDS, STEMS, VOTES = 0, 1 << BITS, 2 << BITS
 SIZE = (2 << BITS) + 64
@@ -100,7 +104,7 @@ class Read:
     def toxic_votes(self, lists: list[np.ndarray]) -> np.ndarray:
         out = []
         for k, known in enumerate(lists):
-            hashes = self.stem if k == 2 else self.hash
+            hashes = self.stem if k >= 2 else self.hash
             if not len(known):
                 out.append(np.full(self.n_docs, NONE, np.int8))
                 continue
@@ -213,6 +217,11 @@ def _lists(rows: list[tuple], k: int) -> np.ndarray:
     return value[(count >= 5) & (odds > 60)]
 
 
+def cross_fitted(votes: np.ndarray, labelled: bool, fold: int | None) -> np.ndarray:
+    """The toxic lists' votes on a document, without those of the lists that its own label may have helped to draw."""
+    return np.where(np.array(FOLD_OF) == fold, NONE, votes).astype(np.int8) if labelled else votes
+
+
 def _labels(labels: DataFrame) -> DataFrame:
     vote = lambda c, bad: F.max(F.when(F.col(c) == bad, YES).when(F.col(c).isNotNull(), NO))
     return labels.where("doc_id is not null").groupBy("doc_id").agg(vote("quality", 0).alias("l_junk"), vote("toxic", 1).alias("l_toxic"))
@@ -240,11 +249,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
                 )
 
     shape = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, l_junk int, l_toxic int, votes binary, words binary, stems binary"
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
     # at most sample_rows ids, a fixed bound; a repeated id may bring more rows, so the bound is set again
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "t", "l_junk", "l_toxic").mapInArrow(lean(features), shape).orderBy(F.xxhash64("doc_id", "words"), "doc_id").limit(sample_rows).collect()
-    parse = lambda r: (NONE if r.l_toxic is None else r.l_toxic, np.frombuffer(r.words, np.uint64), np.frombuffer(r.stems, np.uint64), np.frombuffer(r.votes, np.int8), NONE if r.l_junk is None else r.l_junk)
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "t", "l_junk", "l_toxic").mapInArrow(lean(features), shape).withColumn("fold", half).orderBy(F.xxhash64("doc_id", "words"), "doc_id").limit(sample_rows).collect()
+    parse = lambda r: (NONE if r.l_toxic is None else r.l_toxic, np.frombuffer(r.words, np.uint64), np.frombuffer(r.stems, np.uint64), np.frombuffer(r.votes, np.int8), NONE if r.l_junk is None else r.l_junk, r.fold)
     rows = [parse(r) for r in sample]
-    lists = [_lists(rows[0::2], 1), _lists(rows[1::2], 1), _lists(rows, 2)]
+    halves = [[r for r in rows if r[5] == fold] for fold in (0, 1)]
+    lists = [_lists(halves[0], 1), _lists(halves[1], 1), _lists(halves[0], 2), _lists(halves[1], 2)]
     shared = spark.sparkContext.broadcast(lists)
 
     def votes_of(batches: Iterator[pa.RecordBatch]):
@@ -255,19 +266,23 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: in
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).filter(pa.array(read.n_words > 0)), pa.array([bytes(p) for p in pattern], pa.binary())], names=["doc_id", "votes"])
 
     voted = docs.mapInArrow(lean(votes_of), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, votes binary").join(given, "doc_id", "left")
-    counted = voted.groupBy("votes", "l_junk", "l_toxic").agg(F.count("*").alias("n")).collect()  # at most a row per pattern
+    counted = voted.groupBy("votes", half.alias("fold"), "l_junk", "l_toxic").agg(F.count("*").alias("n")).collect()  # at most a row per pattern and half
     n_junk = len(LABELLERS["junk"]) - 1
     chances, weights = [], []
     features_of = []
-    for _, words, stems, junk, _ in rows:
+    for label, words, stems, junk, _, fold in rows:
         low = np.uint64((1 << BITS) - 1)
-        toxic = np.array([YES if len(k) and np.isin(stems if i == 2 else words, k).any() else NONE for i, k in enumerate(lists)], np.int8)
+        toxic = np.array([YES if len(k) and np.isin(stems if i >= 2 else words, k).any() else NONE for i, k in enumerate(lists)], np.int8)
+        toxic = cross_fitted(toxic, label != NONE, fold)
         own = vote_features(junk[None], toxic[None])[0]
         features_of.append((np.unique(np.concatenate(((words & low).astype(np.int64) + WORDS, (stems & low).astype(np.int64) + STEMS, own[own >= 0], [SIZE]))), toxic))
     for head, part, label in ((0, slice(0, n_junk), "l_junk"), (1, slice(n_junk, None), "l_toxic")):
         total: dict[bytes, int] = {}
         for r in counted:
-            key = np.frombuffer(r.votes, np.int8)[part].tobytes() + bytes([NONE if r[label] is None else r[label]])
+            votes = np.frombuffer(r.votes, np.int8)[part]
+            if head == 1:
+                votes = cross_fitted(votes, r.l_toxic is not None, r.fold)
+            key = votes.tobytes() + bytes([NONE if r[label] is None else r[label]])
             total[key] = total.get(key, 0) + r.n
         patterns = np.array([list(k) for k in total], np.int64).reshape(len(total), len(LABELLERS[HEADS[head]]))
         posterior, leak, accuracy = em(patterns, np.array(list(total.values()), float))
