@@ -101,7 +101,7 @@ def pieces(docs: DataFrame, path: str, kind: str, end_id: int, window: int, id_c
             cuts = np.concatenate((at[row] + start, at[-1:]))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(start), binaries(ids, cuts), pa.array(tokens[row])], names=schema.names)
 
-    return docs.mapInArrow(lean(run), schema)
+    return docs.mapInArrow(lean(run, keep=True), schema)
 
 
 def pack(
@@ -114,6 +114,7 @@ def pack(
     bytes of all texts (about 2.5 bytes a token)."""
     size = docs.select(F.sum(F.octet_length(text_column) + 8)).first()[0] or 0
     cut = pieces(docs, path, kind, end_id, window, id_column, text_column)
+    dtype = encoder(path, kind).dtype  # of the vocabulary's ids; the tasks that pack need no tokenizer
     kept = [f for f in cut.schema.fields if with_ids or f.name != "ids"]
     schema = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in ("length", "ids_crc32", "sequence_id", "offset")]])
 
@@ -124,7 +125,6 @@ def pack(
         table = pa.Table.from_batches(held).combine_chunks()
         if not table.num_rows:
             return
-        dtype = encoder(path, kind).dtype
         ids = [np.frombuffer(x.as_buffer(), dtype) for x in table.column("ids").chunk(0)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         where, offset = best_fit_decreasing(sizes, window)

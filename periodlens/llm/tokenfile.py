@@ -82,7 +82,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, path: str, kind: str, end_id
         zero, none = pa.array([0], pa.int64()), pa.nulls(1, id_type)
         yield pa.RecordBatch.from_arrays([none, zero, pa.array([-1], pa.int64()), pa.array([np.stack((at, total[at]), 1).tobytes()], pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(lean(run), schema)
+    return docs.mapInArrow(lean(run, keep=True), schema)
 
 
 def frequencies(tokens: DataFrame) -> DataFrame:

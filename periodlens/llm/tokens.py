@@ -17,10 +17,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from periodlens.llm import texts
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: entries of a generation of a worker's cache (there are two)
-CHUNKS = 200_000
+CHUNKS = 100_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\n\t\r\x20-\x7e{_LETTERS}]*").fullmatch
@@ -91,15 +93,16 @@ class Encoder:
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks that follow a space."""
-        if len(self.known) + len(self.inner) > CHUNKS:
-            self.older = self.known, self.inner
-            self.known, self.inner = {}, {}
         known, old, space, out = self.known, self.older[0], " " if self.spaced else "", []
         for x in chunks:
             ids = known.get(x)
             if ids is None:
                 ids = old.get(x)
                 known[x] = ids = self.chunk(x, space) if ids is None else ids
+                if len(known) + len(self.inner) > CHUNKS:
+                    self.older = known, self.inner
+                    self.known, self.inner = {}, {}
+                    known, old = self.known, self.older[0]
             out.append(ids)
         return out
 
@@ -107,8 +110,8 @@ class Encoder:
         """(ids of all texts one after another, each with the end id; offsets of the texts). Null is an empty text.
 
         Arrow splits the texts and tells their distinct chunks; Python sees each of these once, numpy lays their ids out."""
-        texts, heads, rest = column.to_pylist(), [], []
-        for text in texts:
+        heads, rest = [], []
+        for text in column.to_pylist():
             text = text or ""
             if not self.spaced:  # lower case as the tokenizer's, for these characters; both cases are one chunk
                 rest.append(text.lower() if "<|" not in text and _PLAIN(text) else text)
@@ -148,6 +151,7 @@ def binaries(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
+texts.KEPT.append(_ENCODERS.clear)
 
 
 def encoder(path: str, kind: str) -> Encoder:
