@@ -33,6 +33,14 @@ _BYTE_PARTS = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LET
 _WORD_PARTS = re.compile(rf"{_CONTRACTIONS}|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+").findall
 
 
+#: closing punctuation after a letter or digit, before a space or the end: always a part of its own in both splits
+_CLOSING = rf'([{_LETTERS}0-9])([.,;:!?")]+)( |$)'
+#: a line's end between letters or digits: the punctuation, the line break and what follows are parts of their own, too
+_LINE_END = rf'([{_LETTERS}0-9])([.,;:!?")]*)\n([{_LETTERS}0-9])'
+#: stands before what is cut off so, in place of a space that isn't there
+_MARK = "\x01"
+
+
 def byte_characters() -> dict[int, str]:
     """Byte-level BPE writes each byte as a printable character: itself, or the next free one from 256 on."""
     keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -91,14 +99,23 @@ class Encoder:
         text = text.lower()
         return b"".join(map(self.part, [text] if text.isalpha() else _WORD_PARTS(text)))
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        """The ids of chunks that follow a space."""
+    def _ids(self, chunks: list[str], marked: bool) -> list[bytes]:
+        """The ids of chunks that follow a space, or, with a mark, nothing."""
         known, old, space, out = self.known, self.older[0], " " if self.spaced else "", []
+        tokenize, packed = self.model.tokenize, self.packed
         for x in chunks:
+            if not marked and _MARK in x:  # a text's own character
+                out.append(self.whole(space + x))
+                continue
             ids = known.get(x)
             if ids is None:
                 ids = old.get(x)
-                known[x] = ids = self.chunk(x, space) if ids is None else ids
+                if ids is None:
+                    if x.isalpha() and x.isascii():  # most chunks: a word by itself
+                        ids = b"".join([packed[t.id] for t in tokenize(f"Ġ{x}" if space else x.lower())])
+                    else:
+                        ids = self.chunk(x[1:], "") if x.startswith(_MARK) else self.chunk(x, space)
+                known[x] = ids
                 if len(known) + len(self.inner) > CHUNKS:
                     self.older = known, self.inner
                     self.known, self.inner = {}, {}
@@ -122,11 +139,15 @@ class Encoder:
                 first, space, more = text.partition(" ")
                 heads.append(self.chunk(first, ""))
                 rest.append(more if space else None)
-        pieces = pc.split_pattern(pa.array(rest, pa.string()), " ")
-        n, size = len(rest), pc.fill_null(pc.list_value_length(pieces), 0).to_numpy()
+        rest, marked = pa.array(rest, pa.string()), not any(_MARK in x for x in rest if x)
+        if marked:  # a word with a full stop is the word and the full stop: fewer distinct chunks
+            rest = pc.replace_substring_regex(rest, _LINE_END, f"\\1 {_MARK}\\2 {_MARK}\n {_MARK}\\3")
+            rest = pc.replace_substring_regex(rest, _CLOSING, f"\\1 {_MARK}\\2\\3")
+        pieces = pc.split_pattern(rest, " ")
+        n, size = len(column), pc.fill_null(pc.list_value_length(pieces), 0).to_numpy()
         chunks = pieces.flatten().dictionary_encode()
         end = np.array([end_id], self.dtype).tobytes()
-        blobs = [*self._ids(chunks.dictionary.to_pylist()), *(heads or [b""] * n), end]
+        blobs = [*self._ids(chunks.dictionary.to_pylist(), marked), *(heads or [b""] * n), end]
         length = np.fromiter(map(len, blobs), np.int64, len(blobs)) // self.dtype.itemsize
         start = np.cumsum(length) - length
         # each text is its head, its chunks, the end id
