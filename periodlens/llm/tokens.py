@@ -21,8 +21,9 @@ from periodlens.llm import texts
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: entries of a generation of a worker's cache (there are two)
-CHUNKS = 100_000
+#: entries of a generation of a worker's cache (there are two); "word" has fewer, as its encoder runs after other work in a
+#: pipeline's executors
+CHUNKS = {"byte": 400_000, "word": 150_000}
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\n\t\r\x20-\x7e{_LETTERS}]*").fullmatch
@@ -60,6 +61,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.spaced = kind == "byte"
+        self.most = CHUNKS[kind]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.table = byte_characters()
@@ -116,7 +118,7 @@ class Encoder:
                     else:
                         ids = self.chunk(x[1:], "") if x.startswith(_MARK) else self.chunk(x, space)
                 known[x] = ids
-                if len(known) + len(self.inner) > CHUNKS:
+                if len(known) + len(self.inner) > self.most:
                     self.older = known, self.inner
                     self.known, self.inner = {}, {}
                     known, old = self.known, self.older[0]
