@@ -23,7 +23,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: entries of a generation of a worker's cache (there are two); "word" has fewer, as its encoder runs after other work in a
 #: pipeline's executors
-CHUNKS = {"byte": 400_000, "word": 150_000}
+CHUNKS = {"byte": 400_000, "word": 100_000}
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\n\t\r\x20-\x7e{_LETTERS}]*").fullmatch
