@@ -3,6 +3,7 @@
 1. Words get 64-bit codes. Counts of words, then of pairs, then of phrases of 3 and 4 words are made: a phrase is
    counted only where its words (for longer ones: its pairs) may be frequent, by a Bloom filter; counts
    are exact, as every part of a frequent phrase is frequent. Each task combines blocks before the shuffle.
+   Each place makes one row, its longest phrase: a phrase of 3 words counts as often as it and the phrases of 4 that it begins.
 2. The counts of two neighbouring levels are laid out as one sorted stream: in prefix order each shorter phrase stands
    right before the phrases it begins, in suffix order right before those it ends. One pass over a stream,
    in lockstep, hands a phrase the counts of all its first (last) parts and takes back the most frequent
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from periodlens.llm import bloom, texts
@@ -115,10 +116,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], frequent) -> DataFrame:
-    """(lang, c1.., cnt) of the phrases of so many words, a row per block; codes beyond a phrase's words are 0.
+    """(lang, c1.., cnt) of the longest phrase of so many words that begins at each place, a row per block; codes beyond
+    a phrase's words are 0.
 
     ``frequent``: a filter of the frequent phrases of one word less than the shortest length; a phrase counts only
-    if all parts of that length may be frequent."""
+    if all parts of that length may be frequent. A shorter phrase occurs as often as all rows that begin with it."""
     base = lengths[0] - 1
     names = _CODES[: lengths[-1]]
 
@@ -147,6 +149,7 @@ def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], frequent) -> DataFr
                 for k in range(base):
                     part = _chain(part[: len(code) - k], code[k:])
                 may = bloom.holds(frequent.value, part)  # of the part that begins at each word
+                longest = np.zeros(len(code), np.int8)
                 for m in lengths:
                     n = len(code) - m + 1
                     if n < 1:
@@ -154,13 +157,16 @@ def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], frequent) -> DataFr
                     whole = piece[:n] == piece[m - 1 :]
                     for k in range(m - base + 1):
                         whole &= may[k : k + n]
-                    at = np.flatnonzero(whole)
-                    if not len(at):
-                        continue
-                    h, own = part[at], [code[at + k] for k in range(m)]
-                    for k in range(base, m):
-                        h = _chain(h, own[k])
-                    held.append((h, number[lang[at]], *own, *[np.zeros(len(at), np.uint64)] * (len(names) - m)))
+                    longest[:n][whole] = m
+                at = np.flatnonzero(longest)
+                if len(at):
+                    h, own = part[at], [code[at + k] for k in range(base)]
+                    for k in range(base, lengths[-1]):
+                        has = longest[at] > k
+                        own.append(np.zeros(len(at), np.uint64))
+                        own[k][has] = code[at[has] + k]
+                        h[has] = _chain(h[has], own[k][has])
+                    held.append((h, number[lang[at]], *own))
                     size += len(at)
                 if size >= BLOCK:
                     yield flush()
@@ -269,10 +275,20 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = 30, absorbed
             below = words if m == 2 else counts
             filters.append(bloom.of_hashes(spark, stage(spark, _hashed(below, m - 1), "hashes"), "h"))
             lengths = (2,) if m == 2 else tuple(range(3, LONGEST + 1))
-            codes = _CODES[: lengths[-1]]
-            found = phrase_counts(docs, lengths, filters[-1]).groupBy("lang", *codes).agg(F.sum("cnt").alias("f")).where(F.col("f") >= least)
+            codes, first = _CODES[: lengths[-1]], ["lang", *_CODES[:m]]
+            found = phrase_counts(docs, lengths, filters[-1])
+            if m == 2:
+                found = found.groupBy("lang", *codes).agg(F.sum("cnt").alias("f")).where(F.col("f") >= least)
+            else:  # dealt out by the shorter phrase, whose count is the sum over all that follows it
+                found = found.repartition(*first).groupBy("lang", *codes).agg(F.sum("cnt").alias("f"))
+                found = found.withColumn("all", F.sum("f").over(Window.partitionBy(*first))).where(F.col("all") >= least)
             counts = stage(spark, found, f"phrases-{m}")
-        level = counts if m == 2 else counts.where(F.col(_CODES[LONGEST - 1]) == 0) if m < LONGEST else counts.where(F.col(_CODES[LONGEST - 1]) != 0)
+        if m == 2:
+            level = counts
+        elif m < LONGEST:
+            level = counts.groupBy(*first).agg(F.first("all").alias("f"))
+        else:
+            level = counts.where((F.col(_CODES[LONGEST - 1]) != 0) & (F.col("f") >= least))
         in_prefix_order = stage(spark, lockstep(shorter.unionByName(as_stream(level, m)), m, "l"), "prefix-order")
         in_suffix_order = stage(spark, lockstep(in_prefix_order, m, "r"), "suffix-order")
         if m > 2:

@@ -86,3 +86,15 @@ def test_streams_over_small_batches(spark):
 def test_scores_beyond_64_bits(spark):
     df = spark.range(1).select(F.lit(9 * 10**18).cast("long").alias("f"), F.lit(9 * 10**18).cast("long").alias("l1"), F.lit(9 * 10**18).cast("long").alias("r1"))
     assert df.select(F.expr(phrases.score_sql(1, 2_000_000)).alias("s")).first()["s"] == 10**6
+
+
+def test_each_place_makes_one_phrase_of_three_or_four_words(spark, monkeypatch):
+    made, counts = [], phrases.phrase_counts
+    monkeypatch.setattr(phrases, "phrase_counts", lambda *a: made.append(counts(*a)) or made[-1])
+    rng = random.Random(6)  # all pairs of six words come often, few phrases of three, hardly any of four
+    rows = [(i, "en", " ".join(f"w{rng.randrange(6)}" for _ in range(50)) + " strong tea in the house" * (i % 2)) for i in range(30)]
+    assert got(spark, rows, 12) == brute(rows, 12)
+    texts = [text.split() for *_, text in rows]
+    pairs = Counter(p for w in texts for p in zip(w, w[1:]))
+    places = sum(pairs[w[i], w[i + 1]] >= 12 and pairs[w[i + 1], w[i + 2]] >= 12 for w in texts for i in range(len(w) - 2))
+    assert made[-1].groupBy().sum("cnt").first()[0] == places
